@@ -118,7 +118,7 @@ def _spans_sql(rule: secrets.Rule) -> str:
     """DuckDB list of a rule's spans in t.text: places are running lengths of gaps and matches."""
     p = rule.pattern.replace("'", "''")
     good = f"length(part[i]) >= {rule.least}"
-    return f"""(SELECT list({{'start': CAST(list_sum(list_transform(gap[1:i], x -> length(x))) + coalesce(list_sum(list_transform(hit[1:i-1], x -> length(x))), 0) AS BIGINT),
+    return f"""(SELECT list({{'start': CAST(list_sum(list_transform(gap[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(hit[1:i-1], lambda x: length(x))), 0) AS BIGINT),
         'kind': '{rule.kind}', 'size': length(hit[i])}} ORDER BY i)
       FROM (SELECT string_split_regex(t.text, '{p}') AS gap, regexp_extract_all(t.text, '{p}', 0) AS hit, regexp_extract_all(t.text, '{p}', {rule.group}) AS part) m,
         unnest(range(1, len(hit) + 1)) AS u(i) WHERE {good})"""
