@@ -47,7 +47,7 @@ def histogram(texts: DataFrame, add: Callable[[pa.RecordBatch, dict[str, np.ndar
             add(batch, sums)
         for name, counts in sums.items():
             at = np.flatnonzero(counts)
-            yield pa.RecordBatch.from_arrays([pa.array([name] * len(at)), pa.array(at), pa.array(counts[at])], ["name", "bucket", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array([name] * len(at), pa.string()), pa.array(at, pa.int64()), pa.array(counts[at], pa.int64())], ["name", "bucket", "n"])
 
     counted = texts.mapInArrow(work, "name string, bucket long, n long")
     return counted.groupBy("name", "bucket").agg(F.sum("n").alias("n"))

@@ -1,7 +1,8 @@
 """Quality rules: surface counts, and a hashed n-gram log-likelihood ratio of trusted text against the raw corpus.
 
-Byte n-grams are hashed into 2 ** ``BITS`` buckets. Two multinomials with add-one smoothing are counted: the
-target over trusted documents and the raw one over all documents. The score of a text is the mean over its
+Byte n-grams are hashed into 2 ** ``BITS`` buckets. Two multinomials are counted: the target over trusted
+documents and the raw one over all documents; the target is smoothed towards the raw one, so a small trusted
+sample tells little rather than something wrong. The score of a text is the mean over its
 n-grams of log p_target - log p_raw, so its length does not matter, and every text is held against the same
 fixed threshold.
 """
@@ -23,9 +24,11 @@ WIDTH = 4
 BITS = 16
 BUCKETS = 1 << BITS
 #: Mean log-likelihood ratio under which a text is rejected.
-THRESHOLD = -0.4
+THRESHOLD = -0.45
 #: Trusted documents that the target multinomial is fitted on, at most: those of the smallest hash of the id.
 TRUSTED = 20_000
+#: n-grams' worth of raw corpus that the target is smoothed with.
+PRIOR = 50_000
 REPEAT = 5
 MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
@@ -88,7 +91,8 @@ def fit(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: s
     raw, target = counts.get("raw", np.zeros(BUCKETS)), counts.get("target", np.zeros(BUCKETS))
     if not target.sum():
         return np.zeros(BUCKETS)
-    return np.log((target + 1) / (target.sum() + BUCKETS)) - np.log((raw + 1) / (raw.sum() + BUCKETS))
+    p_raw = (raw + 1) / (raw.sum() + BUCKETS)
+    return np.log((target + PRIOR * p_raw) / (target.sum() + PRIOR)) - np.log(p_raw)
 
 
 _OUT = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, score double"
