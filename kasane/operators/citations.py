@@ -64,7 +64,8 @@ def numbered_law(context: Column) -> Column:
     """(law_name, law_num) where a context ends with 名法（…号）; conjunctions before the name are cut off; else null."""
     p = r"(?dU)([^\s。、「（）]{1,30}法)（([^）]{5,40}号)）$"
     name = F.regexp_replace(F.regexp_extract(context, p, 1), f"^.*(?:{_alternatives(D.NAME_BREAKS)})", "")
-    return F.when(F.length(name) >= 2, F.struct(name.alias("law_name"), F.regexp_extract(context, p, 2).alias("law_num")))
+    closed = F.right(context, F.lit(2)).contains("）")  # else the pattern is not tried at all
+    return F.when(closed & (F.length(name) >= 2), F.struct(name.alias("law_name"), F.regexp_extract(context, p, 2).alias("law_num")))
 
 
 def names_itself(context: Column) -> Column:
