@@ -106,3 +106,45 @@ def safe_file_name(name: Column) -> Column:
 def pending_id(law: Column, path: Column, link: Column, anchor: Column) -> Column:
     """Identifier of a pending link, the same whenever it is logged again."""
     return F.substring(F.sha1(F.concat_ws("|", law, path, link, anchor)), 1, 16)
+
+
+def initial_display(name: Column) -> Column:
+    """Display name of a file of an initial supplement: init_0_第10条の2.md → 第10条の2; without an article what follows the first underscore."""
+    stem = F.regexp_replace(name, r"\.md", "")
+    article = F.regexp_extract(stem, "第[0-9]+条(?:の[0-9]+)?", 0)
+    return F.when(article != "", article).when(stem.contains("_"), F.regexp_replace(stem, "^[^_]*_", "")).otherwise(stem)
+
+
+def localized_number(number: Column, supplement: Column) -> Column:
+    """article_num in Japanese; numbers that already are stay, Provision is 附則, 附則 stands before articles of supplements."""
+    mark = F.when(supplement, "附則").otherwise("")
+    start, end = F.substring_index(number, ":", 1), F.substring_index(number, ":", -1)
+    return (
+        F.when(number.rlike("^(第|附則)") | (number == ""), number)
+        .when(number == "Provision", "附則")
+        .when(number.contains(":"), F.concat(mark, F.lit("第"), start, F.lit("条から"), mark, F.lit("第"), end, F.lit("条まで")))
+        .when(number.contains("_"), F.concat(mark, F.lit("第"), F.substring_index(number, "_", 1), F.lit("条の"), F.regexp_replace(number, "^[^_]*_", "")))
+        .otherwise(F.concat(mark, F.lit("第"), number, F.lit("条")))
+    )
+
+
+def localized_id(identifier: Column) -> Column:
+    """JPLAW:X#main#3_2 → JPLAW:X#本文#第3条の2; identifiers that already are Japanese stay."""
+    number, supplement = F.substring_index(identifier, "#", -1), identifier.contains("#suppl#")
+    head = F.regexp_replace(F.regexp_replace(F.regexp_replace(identifier, "[^#]*$", ""), "#main#", "#本文#"), "#suppl#", "#附則#")
+    return F.when(identifier.rlike("#(main|suppl)#"), F.concat(head, localized_number(number, supplement))).otherwise(identifier)
+
+
+def law_of_path(path: Column) -> Column:
+    """The folder after laws in a path; null without one."""
+    parts = F.split(path, "/")
+    at = F.array_position(parts, F.lit("laws"))
+    return F.when(at > 0, F.try_element_at(parts, (at + 1).cast("int")))
+
+
+def node_kind(path: Column, amended: Column) -> Column:
+    """law, article, supplement or amendment_fragment by a file's path; ``amended``: whether its metadata names an amending law. Else null."""
+    law = law_of_path(path)
+    within = lambda name: F.array_contains(F.split(path, "/"), name)
+    own = path.endswith(F.concat(F.lit("laws/"), law, F.lit("/"), law, F.lit(".md")))
+    return F.when(own, "law").when(law.isNotNull() & within("本文"), "article").when(law.isNotNull() & within("附則"), F.when(F.coalesce(amended, F.lit(False)) | within("改正法"), "amendment_fragment").otherwise("supplement"))

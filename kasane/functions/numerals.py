@@ -86,3 +86,24 @@ def amendment_key_of_path(path: Column) -> Column:
     parts = F.split(path, "/")
     at = F.array_position(parts, F.lit("改正法"))
     return F.when(at > 0, amendment_key(F.try_element_at(parts, (at + 1).cast("int"))))
+
+
+_FULL = f"^({_ERA})([〇一二三四五六七八九十百千]+)年[〇一二三四五六七八九十百千]+月[〇一二三四五六七八九十百千]+日法律第([〇一二三四五六七八九十百千]+)号"
+
+
+def _full_title(title: Column) -> tuple[Column, Column, Column]:
+    part = [F.regexp_extract(title, _FULL, i) for i in (1, 2, 3)]
+    return F.nullif(part[0], F.lit("")), kanji_number(part[1]).cast("string"), kanji_number(part[2]).cast("string")
+
+
+def long_title(title: Column) -> Column:
+    """A title with its full date, 昭和一六年三月一二日法律第六一号, as 昭和16年法律第61号; any other stays."""
+    era, year, number = _full_title(title)
+    return F.when(era.isNull(), title).otherwise(F.concat(era, year, F.lit("年法律第"), number, F.lit("号")))
+
+
+def short_title(title: Column) -> Column:
+    """The same as S16_L61; any other title with its non-word characters as underscores."""
+    codes = F.create_map(*(F.lit(x) for kv in ERAS.items() for x in kv))
+    era, year, number = _full_title(title)
+    return F.when(era.isNull(), F.regexp_replace(title, r"(?U)[^\w]", "_")).otherwise(F.concat(F.element_at(codes, era), year, F.lit("_L"), number))

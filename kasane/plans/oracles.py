@@ -156,4 +156,22 @@ SELECT law_name, 'init_' || n AS old, '制定時附則' || CASE WHEN n > 0 THEN
     "q_filled": """SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN 'und' ELSE coalesce(lang, 'und') END AS lang, CASE WHEN doc_id % 4 = 0 THEN 'doc,' || source ELSE source || ',doc' END AS tags,
   CASE WHEN doc_id % 3 = 0 OR lang IS NULL THEN 'lang' ELSE '' END AS added, true AS changed FROM documents""",
     "q_supplement_names": """SELECT s_suppkey AS pos, CASE WHEN s_suppkey % 2 = 0 THEN 'H' || (s_suppkey % 30 + 1) || '_L' || s_suppkey ELSE '制定時附則' || CASE WHEN row_number() OVER (PARTITION BY s_nationkey, s_suppkey % 2 ORDER BY s_suppkey) > 1 THEN CAST(row_number() OVER (PARTITION BY s_nationkey, s_suppkey % 2 ORDER BY s_suppkey) AS VARCHAR) ELSE '' END END AS name FROM supplier""",
+    "q_localized_ids": f"""WITH {_ARTICLES} SELECT pos, 'JPLAW:' || law_id || CASE WHEN pos % 3 = 0 THEN '#附則#附則' ELSE '#本文#' END || {_NAME} AS id, true AS stable,
+  CASE WHEN pos % 5 = 0 THEN '附則' WHEN pos % 3 = 0 THEN '附則第' || pos || '条から附則第' || (pos + 1) || '条まで' ELSE '第' || pos || '条から第' || (pos + 1) || '条まで' END AS span FROM articles""",
+    "q_node_kinds": f"""SELECT p_partkey AS pos, CASE p_partkey % 5 WHEN 0 THEN 'law' WHEN 1 THEN 'article' WHEN 2 THEN 'amendment_fragment' WHEN 3 THEN CASE WHEN p_partkey % 7 = 0 THEN 'amendment_fragment' ELSE 'supplement' END END AS kind, {_law('p_partkey % 8')} AS law FROM part""",
+    "q_full_titles": """SELECT o_orderkey, CASE WHEN o_orderkey % 5 = 0 THEN '某 法' ELSE '昭和' || (o_orderkey % 60 + 1) || '年法律第' || (o_orderkey % 300 + 1) || '号' END AS long, CASE WHEN o_orderkey % 5 = 0 THEN '某_法' ELSE 'S' || (o_orderkey % 60 + 1) || '_L' || (o_orderkey % 300 + 1) END AS short FROM orders""",
+    "q_taken_out": f"""WITH {_LINES}, x AS (SELECT 'p' || l_orderkey || '_' || l_linenumber AS path, l_partkey AS k, l_linenumber % 2 = 0 AS gone, '[[laws/少年法/本文/第' || l_partkey || '条.md|第' || l_partkey || '条]]' AS link FROM li)
+SELECT path, CASE WHEN gone THEN '少年法第' || k || '条と[[x|y]]、第' || k || '条' ELSE '少年法' || link || 'と[[x|y]]、' || link END AS body, CASE WHEN gone THEN CAST(1 AS BIGINT) END AS n_logged,
+  CASE WHEN gone THEN substr(sha1('民法|' || path || '|' || link || '|第' || k || '条'), 1, 16) END AS id FROM x""",
+    "q_put_back": f"""WITH {_LINES} SELECT 'p' || l_orderkey || '_' || l_linenumber AS path, 'i' || l_partkey AS id, CASE l_linenumber % 4 WHEN 0 THEN '甲[[laws/x.md|第1条]]乙第1条' WHEN 1 THEN '甲[[laws/x.md|第1条]]乙' WHEN 2 THEN '甲第1条乙[[laws/x.md|第1条]]丙' ELSE 'なし' END AS body,
+  CASE l_linenumber % 4 WHEN 0 THEN 'marker' WHEN 1 THEN 'context' WHEN 2 THEN 'context' END AS method FROM li""",
+    "q_applied": f"""WITH {_LINES} SELECT l_orderkey * 10 + l_linenumber AS text_id, CASE WHEN l_linenumber % 2 = 0 THEN '[[第' || l_partkey || '条]]' ELSE '第' || l_partkey || '条' END || 'と第' || l_partkey || '条と前条' AS body,
+  CAST(1 - l_linenumber % 2 AS INT) AS n_applied, CAST(2 AS BIGINT) AS n_references FROM li""",
+    "q_summaries": "SELECT c_nationkey, count(*) FILTER (WHERE c_custkey % 3 = 0) AS done, count(*) AS total, count(*) FILTER (WHERE c_custkey % 3 = 0) * 100 // count(*) AS percent FROM customer GROUP BY c_nationkey",
+    "q_amendment_books": f"""WITH {_ARTICLES} SELECT 'H' || (pos % 11 + 1) || '_L1' AS amendment_key, array_to_string(list_sort(list(DISTINCT law_name)), ',') AS laws, count(*) AS n, string_agg(node_id, ',' ORDER BY law_name, node_id) AS node_ids FROM articles WHERE pos % 3 <> 0 GROUP BY pos % 11""",
+    "q_reasons": f"""WITH {_LINES} SELECT l_orderkey * 10 + l_linenumber AS text_id, CASE WHEN l_linenumber % 2 = 0 AND l_partkey % 300 <= 196 THEN 'external_law' ELSE 'missing_article' END AS reason, CASE l_linenumber % 3 WHEN 1 THEN 'external_law' ELSE 'unknown' END AS kind,
+  CASE l_linenumber % 3 WHEN 0 THEN 'same_law_token' WHEN 1 THEN 'detected_external_law_name_in_context' ELSE 'unclassified' END AS why, CASE WHEN l_linenumber % 3 <> 1 AND l_linenumber % 2 = 0 THEN 'H1_L1' END AS amendment_key FROM li""",
+    "q_legacy_names": """SELECT 'laws/x/' || CASE p_partkey % 4 WHEN 0 THEN 'init_' || p_partkey || '/第1条.md' WHEN 1 THEN 'init_' || p_partkey || '.md' ELSE 'a_init_' || p_partkey || '_第' || p_partkey || '条.md' END AS path,
+  CASE p_partkey % 4 WHEN 0 THEN 'folder' WHEN 1 THEN 'file' ELSE 'prefixed_file' END AS category, CASE p_partkey % 4 WHEN 0 THEN '第1条' WHEN 1 THEN CAST(p_partkey AS VARCHAR) ELSE '第' || p_partkey || '条' END AS display FROM part WHERE p_partkey % 4 < 3""",
+    "q_canonical_ids": f"""SELECT p_partkey AS pos, {_law('p_partkey % 8')} || '_附則第' || p_partkey || '条_H' || (p_partkey % 9 + 1) || '_L1' AS canonical_id, CAST(greatest(p_partkey % 4, 2) AS INT) AS tier FROM part""",
 }

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from kasane.functions import links as L
 from kasane.functions import names as N
 from kasane.functions import numerals as K
-from kasane.operators import catalogue, citations, explicit, integrity, rewrite, snapshots, structure, tree
+from kasane.operators import catalogue, citations, explicit, integrity, repair, rewrite, snapshots, structure, tree
 from kasane.plans import statutes
 from kasane.plans.statutes import table
 
@@ -439,3 +439,95 @@ def q_supplement_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Names of the supplements of laws."""
     rows = table(spark, sf_dir, "supplier").selectExpr("s_nationkey AS law_id", "s_suppkey AS pos", "if(s_suppkey % 2 = 0, concat('平成', s_suppkey % 30 + 1, '年法律第', s_suppkey, '号'), null) AS amend_law_num")
     return structure.supplement_names(rows).select("pos", "name")
+
+
+@query
+def q_localized_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Identifiers and numbers of articles in Japanese."""
+    rows = statutes.articles(spark, sf_dir).withColumn("old", F.when(F.expr("pos % 3 = 0"), F.replace("node_id", F.lit("#main#"), F.lit("#suppl#"))).otherwise(F.col("node_id")))
+    again = N.localized_id(N.localized_id(F.col("old")))
+    return rows.select("pos", N.localized_id(F.col("old")).alias("id"), (again == N.localized_id(F.col("old"))).alias("stable"), N.localized_number(F.expr("if(pos % 5 = 0, 'Provision', concat(pos, ':', pos + 1))"), F.expr("pos % 3 = 0")).alias("span"))
+
+
+@query
+def q_node_kinds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Kinds of nodes by path, with their laws."""
+    path = "concat('corpus/laws/', law_name, case pos % 5 when 0 then concat('/', law_name, '.md') when 1 then '/本文/第1条.md' when 2 then '/附則/改正法/H1_L1/第1条.md' when 3 then '/附則/第1条.md' else '/x.md' end) AS path"
+    rows = statutes.articles(spark, sf_dir).selectExpr("pos", path, "if(pos % 7 = 0, true, null) AS amended")
+    return rows.select("pos", N.node_kind(F.col("path"), F.col("amended")).alias("kind"), N.law_of_path(F.col("path")).alias("law"))
+
+
+@query
+def q_full_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Amendment titles with full dates in their long and short forms."""
+    kanji = lambda x: F.translate(x, "0123456789", "〇一二三四五六七八九")
+    title = F.concat(F.lit("昭和"), kanji(F.expr("string(o_orderkey % 60 + 1)")), F.lit("年三月一二日法律第"), K.to_kanji(F.expr("o_orderkey % 300 + 1")), F.lit("号"))
+    rows = table(spark, sf_dir, "orders").select("o_orderkey", F.when(F.expr("o_orderkey % 5 = 0"), F.lit("某 法")).otherwise(title).alias("title"))
+    return rows.select("o_orderkey", K.long_title(F.col("title")).alias("long"), K.short_title(F.col("title")).alias("short"))
+
+
+@query
+def q_taken_out(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bodies without their unresolved links, and how many were logged."""
+    rows = statutes.line_items(spark, sf_dir).selectExpr("concat('p', l_orderkey, '_', l_linenumber) AS path", "'民法' AS law_name", "l_partkey AS k", "l_linenumber AS n")
+    link = F.concat(F.lit("[[laws/少年法/本文/第"), "k", F.lit("条.md|第"), "k", F.lit("条]]"))
+    bodies = rows.select("path", "law_name", F.concat(F.lit("少年法"), link, F.lit("と[[x|y]]、"), link).alias("body"))
+    out, log = repair.taken_out(bodies, rows.where("n % 2 = 0").select("path", link.alias("original")))
+    return out.join(log.groupBy("path").agg(F.count("*").alias("n_logged"), F.min("id").alias("id")), "path", "left").select("path", "body", "n_logged", "id")
+
+
+@query
+def q_put_back(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pending links put back at their marker, their only place, or the place that fits."""
+    rows = statutes.line_items(spark, sf_dir).selectExpr("concat('p', l_orderkey, '_', l_linenumber) AS path", "l_linenumber % 4 AS k", "concat('i', l_partkey) AS id")
+    mark = repair.marker(F.col("id"))
+    body = F.when(F.col("k") == 0, F.concat(F.lit("甲第1条"), mark, F.lit("乙第1条"))).when(F.col("k") == 1, F.lit("甲第1条乙")).when(F.col("k") == 2, F.lit("甲第1条乙第1条丙")).otherwise(F.lit("なし"))
+    entries = rows.select("path", "id", F.lit("第1条").alias("anchor_text"), F.lit("乙").alias("context_before"), F.lit("").alias("context_after"), F.lit("laws/x.md").alias("target"))
+    return repair.put_back(rows.select("path", body.alias("body")), entries)
+
+
+@query
+def q_applied(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bodies with their references applied at the first place."""
+    rows = statutes.line_items(spark, sf_dir).selectExpr("l_orderkey * 10 + l_linenumber AS text_id", "l_partkey AS n", "l_linenumber AS k")
+    name = F.concat(F.lit("第"), "n", F.lit("条"))
+    bodies = rows.select("text_id", F.concat(name, F.lit("と"), name, F.lit("と前条")).alias("body"))
+    refs = rows.select("text_id", F.lit(1).alias("ord"), name.alias("target_id"), name.alias("original"), F.expr("k % 2 = 0").alias("resolved")).union(rows.select("text_id", F.lit(2), F.lit("UNRESOLVED"), F.lit("前条"), F.lit(True)))
+    return repair.applied(bodies, refs)
+
+
+@query
+def q_summaries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Progress of summaries by nation, after a third of the bodies got one."""
+    body = F.concat(F.lit("本文\n"), "c_name")
+    rows = table(spark, sf_dir, "customer").select("c_nationkey", F.when(F.expr("c_custkey % 3 = 0"), repair.summarised(body, F.lit("要約 $1"))).otherwise(body).alias("body"))
+    return repair.summary_progress(rows, "c_nationkey")
+
+
+@query
+def q_amendment_books(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fragments of every amending law."""
+    rows = statutes.articles(spark, sf_dir).selectExpr("law_name", "node_id", "if(pos % 3 = 0, null, concat('H', pos % 11 + 1, '_L1')) AS amendment_key")
+    return repair.amendment_books(rows).select("amendment_key", F.array_join("laws", ",").alias("laws"), "n", F.array_join("node_ids", ",").alias("node_ids"))
+
+
+@query
+def q_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Why links are unresolved, and what kind of pending link they become."""
+    rows = statutes.line_items(spark, sf_dir).selectExpr("l_orderkey * 10 + l_linenumber AS text_id", "concat(if(l_linenumber % 2 = 0, '少年法', '前の規定'), repeat('あ', int(l_partkey % 300)), 'は') AS context", "case l_linenumber % 3 when 0 then '同法' when 1 then '少年法' end AS name", "if(l_linenumber % 2 = 0, 'H1_L1', null) AS amendment")
+    kind = repair.pending_kind(F.col("name"), F.col("amendment"))
+    return rows.select("text_id", integrity.unresolved_reason(F.col("context")).alias("reason"), kind["kind"].alias("kind"), kind["reason"].alias("why"), kind["amendment_key"].alias("amendment_key"))
+
+
+@query
+def q_legacy_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Paths that still carry old names of initial supplements, with the display names of their files."""
+    rows = table(spark, sf_dir, "part").selectExpr("concat('laws/x/', case p_partkey % 4 when 0 then concat('init_', p_partkey, '/第1条.md') when 1 then concat('init_', p_partkey, '.md') when 2 then concat('a_init_', p_partkey, '_第', p_partkey, '条.md') else '第1条.md' end) AS path")
+    return integrity.legacy_names(rows).withColumn("display", N.initial_display(F.substring_index("path", "/", -1)))
+
+
+@query
+def q_canonical_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Identifiers that tell articles of amendments apart, and nodes raised to a tier."""
+    rows = statutes.articles(spark, sf_dir).selectExpr("pos", "law_name", "concat('第', pos, '条') AS article", "concat('H', pos % 9 + 1, '_L1') AS amendment", "if(pos % 4 = 0, null, int(pos % 4)) AS tier")
+    return rewrite.bumped(rows, 2).select("pos", integrity.canonical_id(F.col("law_name"), F.col("article"), F.col("amendment")).alias("canonical_id"), "tier")
