@@ -19,6 +19,8 @@ from __future__ import annotations
 import heapq
 import itertools
 import re
+import sys
+import types
 from collections.abc import Iterator
 
 import numpy as np
@@ -166,50 +168,75 @@ def encoded(model: Model, text: str) -> Iterator[list[int]]:
         yield out
 
 
+class Table:
+    """Numbers by 64-bit keys, many looked up at once: open addressing over arrays of a fixed size."""
+
+    MISSING = -1
+
+    def __init__(self, bits: int) -> None:
+        self.shift, self.mask = np.uint64(64 - bits), (1 << bits) - 1
+        self.keys, self.values = np.zeros(1 << bits, np.uint64), np.full(1 << bits, self.MISSING, np.int32)
+        self.used = 0
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).astype(np.int64)
+
+    def get(self, keys: np.ndarray) -> np.ndarray:
+        at = self._slot(keys)
+        out = self.values[at]
+        other = np.flatnonzero((self.keys[at] != keys) & (out != self.MISSING))
+        while len(other):
+            at[other] = (at[other] + 1) & self.mask
+            out[other] = self.values[at[other]]
+            other = other[(self.keys[at[other]] != keys[other]) & (out[other] != self.MISSING)]
+        return out
+
+    def put(self, keys: np.ndarray, values: np.ndarray) -> None:
+        """``keys`` are distinct and not in the table, ``values`` 0 or more."""
+        for key, slot, value in zip(keys, self._slot(keys).tolist(), values.tolist(), strict=True):
+            while self.values[slot] != self.MISSING:
+                slot = (slot + 1) & self.mask
+            self.keys[slot], self.values[slot] = key, value
+        self.used += len(keys)
+
+
 class Lattice:
     """The same walk over many short cuts of a BPE model at once, a boundary at a time.
 
-    Substrings become pieces by their hashes. Which pairs of pieces may be neighbours is kept as a sorted table of
-    numbers; pairs that it lacks are decided by ``Model.neighbours`` once.
+    Substrings become pieces by their hashes. Which pairs of pieces may be neighbours is kept in a table; pairs that
+    it lacks are decided by ``Model.judged`` once.
     """
 
     BASE = np.uint64(0x9E3779B97F4A7C15)
+    PAIR_BITS = 21
 
     def __init__(self, model: Model) -> None:
         self.model = model
         self.start = len(model.pieces)
         self.size = np.array([len(p) for p in model.pieces])
-        order = sorted(model.ids.values())
-        self.tables = []
+        self.names = [*model.pieces, ""]
+        self.pieces = Table(max(10, len(model.ids).bit_length() + 2))
         for n in range(1, model.longest + 1):
-            own = np.array([i for i in order if len(model.pieces[i]) == n], np.int64)
-            h = self._hash(np.array([list(map(ord, model.pieces[i])) for i in own], np.uint64).reshape(-1, n))
-            by = np.argsort(h)
-            self.tables.append((h[by], own[by]))
-        self.keys, self.valid = np.zeros(0, np.int64), np.zeros(0, bool)
-
-    def _hash(self, points: np.ndarray) -> np.ndarray:
-        h = np.zeros(len(points), np.uint64)
-        for j in range(points.shape[1]):
-            h = h * self.BASE + points[:, j] + np.uint64(1)
-        return h
+            own = [i for i in model.ids.values() if len(model.pieces[i]) == n]
+            points = np.array([list(map(ord, model.pieces[i])) for i in own], np.uint64).reshape(-1, n)
+            h = np.zeros(len(own), np.uint64)
+            for j in range(n):
+                h = h * self.BASE + points[:, j] + np.uint64(1)
+            self.pieces.put(h, np.array(own, np.int64))
+        self.pairs = Table(self.PAIR_BITS)
 
     def neighbours(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        key = a * (self.start + 1) + b
-        at = np.searchsorted(self.keys, key)
-        known = at < len(self.keys)
-        known[known] = self.keys[at[known]] == key[known]
-        if not known.all():
-            name = [*self.model.pieces, ""]
-            new = np.unique(key[~known])
-            valid = np.array([self.model.judged(name[k // (self.start + 1)], name[k % (self.start + 1)]) for k in new.tolist()])
-            if len(self.keys) > REMEMBERED:
-                self.keys, self.valid = np.zeros(0, np.int64), np.zeros(0, bool)
+        key = (a * (self.start + 1) + b).astype(np.uint64)
+        found = self.pairs.get(key)
+        new = np.unique(key[found < 0])
+        if len(new):
+            if self.pairs.used + len(new) > 1 << (self.PAIR_BITS - 1):
+                self.pairs = Table(self.PAIR_BITS)
                 return self.neighbours(a, b)
-            to = np.searchsorted(self.keys, new)
-            self.keys, self.valid = np.insert(self.keys, to, new), np.insert(self.valid, to, valid)
-            at = np.searchsorted(self.keys, key)
-        return self.valid[at]
+            judged = [self.model.judged(self.names[k // (self.start + 1)], self.names[k % (self.start + 1)]) for k in new.tolist()]
+            self.pairs.put(new, np.array(judged, np.int64))
+            found = self.pairs.get(key)
+        return found > 0
 
     def encode(self, cuts: list[str]) -> list[bytes | None]:
         """Ids of each cut as the bytes of 32-bit numbers; None for a cut with a character outside the vocabulary."""
@@ -219,12 +246,10 @@ class Lattice:
         points[np.arange(width) < n[:, None]] = np.frombuffer("".join(cuts).encode("utf-32-le"), np.uint32)
         pieces = np.full((self.model.longest + 1, len(cuts), width), -1, np.int32)  # by length and end
         h = np.zeros((len(cuts), 0), np.uint64)
-        for size, (keys, own) in enumerate(self.tables[:width], 1):
+        for size in range(1, min(self.model.longest, width) + 1):
             ends = slice(size - 1, width)
             h = (h[:, : width - size + 1] if size > 1 else np.zeros((len(cuts), width), np.uint64)) * self.BASE + points[:, ends] + np.uint64(1)
-            if len(keys):
-                at = np.minimum(np.searchsorted(keys, h.ravel()), len(keys) - 1)
-                pieces[size, :, ends] = np.where(keys[at] == h.ravel(), own[at], -1).reshape(h.shape)
+            pieces[size, :, ends] = self.pieces.get(h.ravel()).reshape(h.shape)
         last = np.full((len(cuts), width + 1), -1, np.int64)
         last[:, 0] = self.start
         for to in range(1, width + 1):
@@ -249,10 +274,14 @@ class Lattice:
 
 
 class Encoder(dict):
-    """Remembers the ids of short cuts, as the bytes of 32-bit numbers."""
+    """Remembers the ids of short cuts, as the bytes of 32-bit numbers.
+
+    Once half of ``REMEMBERED`` cuts are held they become the old half, from which those that come again are taken back.
+    """
 
     def __init__(self, proto: bytes) -> None:
         super().__init__()
+        self.old: dict[str, bytes] = {}
         self.model = Model(proto)
         self.lattice = Lattice(self.model) if self.model.kind == BPE else None
 
@@ -265,9 +294,12 @@ class Encoder(dict):
 
     def learn(self, cuts: set[str]) -> None:
         """Encode the short ones of ``cuts`` that are not remembered yet, many at a time, like lengths together."""
-        new = sorted((c for c in cuts if c not in self and 0 < len(c) <= REMEMBERED_CHARS), key=len)
-        if len(self) + len(new) > REMEMBERED:
+        if len(self) > REMEMBERED // 2:
+            self.old = dict(self)
             self.clear()
+        lacking = [c for c in cuts if c not in self]
+        self.update((c, self.old[c]) for c in lacking if c in self.old)
+        new = sorted((c for c in lacking if c not in self.old and 0 < len(c) <= REMEMBERED_CHARS), key=len)
         for at in range(0, len(new), MANY):
             some = new[at : at + MANY]
             found = self.lattice.encode(some) if self.lattice else [None] * len(some)
@@ -284,15 +316,15 @@ class Encoder(dict):
         return text[1:] if self.model.prefix and text[:1] == b" " else text
 
 
-_encoders: dict[bytes, Encoder] = {}
-
-
 def encoder(proto: bytes) -> Encoder:
-    """One encoder for a model in each Python worker; it outlives the tasks."""
-    if proto not in _encoders:
-        _encoders.clear()
-        _encoders[proto] = Encoder(proto)
-    return _encoders[proto]
+    """One encoder for a model in each Python worker, which outlives the tasks.
+
+    Functions of this package travel by value, so their globals are new in every task; an entry among the loaded modules is not.
+    """
+    kept = sys.modules.setdefault("_kasane_worker", types.ModuleType("_kasane_worker")).__dict__
+    if kept.get("proto") != proto:
+        kept.update(proto=proto, encoder=Encoder(proto))
+    return kept["encoder"]
 
 
 def encode(docs: DataFrame, model_file: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
