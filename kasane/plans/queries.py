@@ -73,7 +73,7 @@ def q_article_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     rows = statutes.articles(spark, sf_dir)
     key = N.sort_key(N.article_name(F.col("article_num")))
-    return rows.select("pos", "law_name", F.row_number().over(Window.partitionBy("law_name").orderBy(key, "pos")).alias("rank"), key["main"].alias("main"), key["sub"].alias("sub"))
+    return rows.select("pos", "law_name", F.row_number().over(Window.partitionBy("law_name").orderBy(key, "pos")).cast("long").alias("rank"), key["main"].alias("main"), key["sub"].alias("sub"))
 
 
 @query
