@@ -35,6 +35,9 @@ CLOSED_BY_PARENT = {"p": BLOCK, "li": frozenset({"li"}), "dt": frozenset({"dt",
 ROLES = frozenset(
     "ad ads advert adverts advertisement adsense banner breadcrumb breadcrumbs byline-share comment comments commentlist complementary contentinfo cookie cookies consent disqus footer gdpr header masthead menu modal nav navbar navigation newsletter notice notices overlay pagination pager popup popular promo promoted recommended related reply replies respond search share sharing sidebar sidebars signup skip social sponsor sponsored subscribe subscription toolbar widget widgets".split()
 )
+#: Words beside them that say the thing is around or absent, and the words of a header that is the site's, not the article's.
+ABSENT = frozenset({"has", "with", "no", "without", "free"})
+SITE_HEADER = frozenset({"header", "site", "page", "main", "global", "top"})
 CONTENT = frozenset({"article", "main"})
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
@@ -42,6 +45,14 @@ _ATTRIBUTE = re.compile(r"([^\s=\"'<>/]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^
 _PART = re.compile(r"[A-Za-z]+")
 
 
+def _marks_aside(label: str, in_content: bool) -> bool:
+    """Whether one class, id or role names something that is not the article: comment-list does, has-sidebar does not, entry-header neither."""
+    parts = set(_PART.findall(label))
+    if parts & ABSENT or not parts & ROLES:
+        return False
+    return not parts & ROLES <= {"header"} or not in_content and parts <= SITE_HEADER
+
+
 def _is_aside(name: str, attributes: str, depth_in_content: bool) -> bool:
     """Whether an element is not content by its name or by what it says of itself."""
     if name in SKIPPED:
@@ -55,8 +66,7 @@ def _is_aside(name: str, attributes: str, depth_in_content: bool) -> bool:
         if key == "hidden" or key == "aria-hidden" and (m[2] or m[3] or m[4] or "").lower() == "true":
             return True
         if key in ("class", "id", "role"):
-            value = (m[2] or m[3] or m[4] or "").lower()
-            if any(p in ROLES for p in value.split()) or any(p in ROLES for p in _PART.findall(value)):
+            if any(_marks_aside(x, depth_in_content) for x in (m[2] or m[3] or m[4] or "").lower().split()):
                 return True
     return False
 

@@ -192,6 +192,11 @@ def test_html(wrap):
     assert mainhtml.main_text(PAGE.replace("{0}", wrap.replace("{0}", BODY))) == TEXT
 
 
+def test_html_labels():
+    page = PAGE.replace("{0}", "<div class='layout has-sidebar'><div class='entry-header'><h1>Big  &amp; title</h1></div><div id=story>" + BODY.partition("</h1>")[2] + "</div></div>")
+    assert mainhtml.main_text(page.replace("<header>", "<div class='site-header'>").replace("</header>", "</div>")) == TEXT
+
+
 def test_html_of_odd_pages(spark):
     odd = [(1, None), (2, ""), (3, "plain text"), (4, "<p>a<p>b"), (5, "<script>x"), (6, "<"), (7, "a &amp b &#x41; &bogus;"), (8, "<article></article>"), (9, "<p>" + "word " * 50_000)]
     got = {r.page_id: r.text for r in mainhtml.extract(spark.createDataFrame([(i, "u", h) for i, h in odd], "page_id long, url string, html string")).collect()}
