@@ -16,7 +16,6 @@ bounded size).
 
 from __future__ import annotations
 
-import heapq
 import itertools
 import re
 import sys
@@ -57,6 +56,7 @@ class Model:
         self.scores = [own.get_score(i) for i in ids]
         plain = [i for i in ids if not (own.is_control(i) or own.is_unknown(i) or own.is_byte(i) or own.is_unused(i))]
         self.ids = {self.pieces[i]: i for i in plain}
+        self.costs = {p: -self.scores[i] for p, i in self.ids.items()}
         self.bytes = {int(self.pieces[i][3:5], 16): i for i in ids if own.is_byte(i)}
         self.longest = max(map(len, self.ids), default=1)
         self.prefix = spec.normalizer_spec.add_dummy_prefix
@@ -76,27 +76,17 @@ class Model:
 
     def merged(self, text: str) -> list[str]:
         """The pieces that merging makes of a short text: the best-scored neighbours first, the leftmost of equals."""
-        part: list[str | None] = list(text)
-        after, before = list(range(1, len(part) + 1)), list(range(-1, len(part) - 1))
-        heap: list[tuple[float, int, int, str]] = []
-
-        def offer(i: int, j: int) -> None:
-            if 0 <= i and j < len(part) and (k := self.ids.get(part[i] + part[j])) is not None:
-                heapq.heappush(heap, (-self.scores[k], i, j, part[i] + part[j]))
-
-        for i in range(len(part) - 1):
-            offer(i, i + 1)
-        while heap:
-            _, i, j, both = heapq.heappop(heap)
-            if part[i] is None or after[i] != j or part[j] is None or part[i] + part[j] != both:
-                continue
-            part[i], part[j] = both, None
-            after[i] = after[j]
-            if after[i] < len(part):
-                before[after[i]] = i
-            offer(before[i], i)
-            offer(i, after[i])
-        return [p for p in part if p is not None]
+        part, cost = list(text), self.costs.get
+        waiting = [cost(a + b, np.inf) for a, b in itertools.pairwise(part)]
+        while waiting and (least := min(waiting)) < np.inf:
+            i = waiting.index(least)
+            part[i : i + 2] = [part[i] + part[i + 1]]
+            del waiting[i]
+            if i:
+                waiting[i - 1] = cost(part[i - 1] + part[i], np.inf)
+            if i < len(waiting):
+                waiting[i] = cost(part[i] + part[i + 1], np.inf)
+        return part
 
     def neighbours(self, a: str, b: str) -> bool:
         """Whether merging leaves the two pieces as they are when they stand side by side; an empty ``a`` is the start of the text."""
