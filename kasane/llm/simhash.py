@@ -15,7 +15,7 @@ if and only if they differ in at most two bits), and at most 65 fingerprints can
 from __future__ import annotations
 
 import functools
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -110,15 +110,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return marked.join(moved, "fp").select("doc_id", hexed, "component_id", "fp", "text_hash")
 
 
-def one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", grouped: Callable[[DataFrame], DataFrame] = near_duplicates) -> DataFrame:
     """One row of ``docs`` for each group of near duplicates: that of the smallest id, all columns kept.
 
     Rows that share this id are told apart by their text (the smallest hash stays); repeated rows count once.
-    Rows of null id are a group for each fingerprint that no row with an id is linked to.
+    Rows of null id are a group for each fingerprint that no row with an id is linked to. ``grouped`` gives the
+    groups of (doc_id, text) as near_duplicates does.
     """
     text = F.col(text_col).cast("string")
     marked = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"))
-    groups = near_duplicates(marked).where("doc_id <=> component_id").groupBy("component_id", F.expr("if(component_id is null, fp, null)").alias("own"))
+    groups = grouped(marked).where("doc_id <=> component_id").groupBy("component_id", F.expr("if(component_id is null, fp, null)").alias("own"))
     first = groups.agg(F.min("text_hash").alias("__kept_hash")).select(F.col("component_id").alias("__kept_id"), "__kept_hash")
     same = docs[id_col].cast("long").eqNullSafe(first["__kept_id"]) & F.xxhash64(text).eqNullSafe(first["__kept_hash"])
     return docs.join(first, same, "left_semi").dropDuplicates([id_col, text_col])
