@@ -226,12 +226,12 @@ def q_tree_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def q_frontmatter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Fields read back from Markdown documents, and which required ones they lack."""
+    """Fields read back from Markdown documents, and which required ones they lack; a null text is an empty body."""
     from kasane.sources.landing import document_text
 
-    docs = table(spark, sf_dir, "documents").where("text is not null and instr(text, '---') = 0")
+    docs = table(spark, sf_dir, "documents")
     fields = F.map_filter(F.create_map(F.lit("doc_id"), F.col("doc_id").cast("string"), F.lit("lang"), F.col("lang"), F.lit("source"), F.col("source")), lambda k, v: v.isNotNull())
-    parts = L.front_matter(document_text(fields, F.col("text")))
+    parts = L.front_matter(document_text(fields, F.coalesce("text", F.lit(""))))
     rows = docs.select("doc_id", parts.alias("x")).select("doc_id", L.simple_fields(F.col("x.raw_yaml")).alias("f"), "x.body")
     return rows.select("doc_id", F.try_element_at("f", F.lit("lang")).alias("lang"), F.try_element_at("f", F.lit("source")).alias("source"), F.array_join(L.missing_fields(F.col("f"), ["doc_id", "lang", "tier"]), ",").alias("missing"))
 
