@@ -1,157 +1,184 @@
-"""Deletion of repeated runs of lines, found by winnowing over line hashes.
-
-A window is the shortest run of lines, from or up to a given line, that holds ``MIN_WORDS`` words. The smallest
-line hash of each window is its fingerprint; equal windows have equal fingerprints, so every repeated run of
-``MIN_WORDS`` words or more holds a shared one. Windows whose fingerprint occurs at one place only are dropped.
-The rest are joined with the first place of the same lines, and windows that a disjoint earlier place repeats
-are united: windows that start at a line extend a match to the right, windows that end at it to the left, so
-their union is the whole repeated run. No pair of places is ever formed, only (place, first place).
+"""Deletion of repeated passages by winnowing.
+
+Hashes of whole lines cannot see a passage that begins or ends in the middle of a line, so the items are parts of
+lines: the stretches of ``PART`` words that begin at each word, over line ends too. A window is ``MIN_WORDS`` consecutive
+words; of the parts within it the one of the smallest hash is its fingerprint. Equal windows have equal fingerprints
+at equal places, so every passage that stands in two places holds a fingerprint that both share.
+
+Fingerprints are joined over the whole corpus, and those of one place only are gone. From every other one the match is
+extended to both sides: each window that it is the fingerprint of, from the one that reaches furthest to the left
+to the one that reaches furthest to the right, is joined with the first place of its words. What an earlier place
+holds as well is deleted. Overlapping windows run together, so that a deleted passage is the longest possible
+match to the word, while no pair of places is ever formed but (place, first place).
 """
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
-from kasane.llm.textbytes import NOT_BLANK, mix, span_hashes, spans, steps, utf8
+from kasane.llm.textbytes import NOT_BLANK, grams, mix, span_hashes, spans, steps, utf8
 from kasane.plans.staging import stage
 
-MIN_WORDS = 50
-_LINE = np.ones(256, dtype=bool)
-_LINE[0x0A] = False
+#: Words of the shortest passage that is deleted: over 50.
+MIN_WORDS = 51
+#: Words of a part, the item that is hashed.
+PART = 8
+#: Low bits of a key that hold a place, so that the smallest key tells where it stands.
+_PLACE = (1 << 28) - 1
 
 
-def lines(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Starts and ends of all lines, blank ones too, and the first line of each text (n + 1); an empty text has one line."""
-    ends = np.flatnonzero(data == 0x0A)
-    s = np.sort(np.concatenate([offs[:-1], ends + 1]), kind="stable")
-    e = np.sort(np.concatenate([ends, offs[1:]]), kind="stable")
-    return s, e, np.searchsorted(ends, offs) + np.arange(len(offs))
+def fingerprint_places(hashes: np.ndarray, first: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(parts, windows, places): hash of the part from each word; first word of every window within one text; where its fingerprint begins.
 
-
-def line_hashes(data: np.ndarray, s: np.ndarray, e: np.ndarray) -> np.ndarray:
-    """64-bit hashes of the lines; lines of blanks alone share one."""
-    full = np.flatnonzero(e > s)
-    out = np.full(len(s), 0x5851F42D4C957F2D, np.uint64)
-    out[full] = span_hashes(data, s[full], e[full])
-    return out
-
-
-def line_words(data: np.ndarray, offs: np.ndarray, s: np.ndarray, e: np.ndarray) -> np.ndarray:
-    """Number of words of each line."""
-    ws, _, _ = spans(data, offs, NOT_BLANK)
-    return np.searchsorted(ws, e) - np.searchsorted(ws, s)
+    Of equal hashes in a window the rightmost counts.
+    """
+    size = min(PART, least)
+    part, width, n = grams(hashes, size), least - size + 1, len(hashes) - least + 1
+    if n <= 0:
+        return part, np.zeros(0, np.int64), np.zeros(0, np.int64)
+    key = (part & np.uint64(~_PLACE & (1 << 64) - 1)) | (_PLACE - np.arange(len(part))).astype(np.uint64)
+    reach = 1
+    while 2 * reach <= width:  # the smallest of 2, 4, ... keys
+        key = np.minimum(key[: len(key) - reach], key[reach:])
+        reach *= 2
+    key = np.minimum(key[:n], key[width - reach : width - reach + n])
+    owner = np.repeat(np.arange(len(first) - 1), np.diff(first))
+    whole = np.flatnonzero(owner[:n] == owner[least - 1 :])
+    return part, whole, _PLACE - (key[whole] & np.uint64(_PLACE)).astype(np.int64)
 
 
-def windows(n_words: np.ndarray, first: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
-    """First and last line of every window, each once: the shortest from a line and the shortest up to a line, within one text."""
-    sums = np.concatenate([[0], np.cumsum(n_words)])
-    n = len(n_words)
-    owner = np.repeat(np.arange(len(first) - 1), np.diff(first))
-    lo = np.arange(n)
-    to = np.searchsorted(sums, sums[:-1] + least)  # sums[to] - sums[lo] >= least
-    ok = to <= first[owner + 1]
-    fro = np.searchsorted(sums, sums[1:] - least, "right") - 1
-    back = (sums[1:] >= least) & (fro >= first[owner])
-    both = np.concatenate([np.stack([lo[ok], to[ok] - 1], 1), np.stack([fro[back], lo[back]], 1)])
-    both = np.unique(both, axis=0) if len(both) else both.astype(np.int64)
-    return both[:, 0], both[:, 1]
-
-
-def _range_min(values: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """min(values[a[i]:b[i] + 1]) by tables of powers of two, built up to the widest window."""
-    out = np.zeros(len(a), np.uint64)
-    width = b - a + 1
-    table, size = values, 1
-    while len(a):
-        now = np.flatnonzero((width >= size) & (width < 2 * size))
-        out[now] = np.minimum(table[a[now]], table[b[now] - size + 1])
-        if width.max() < 2 * size:
-            break
-        table = np.minimum(table[:-size], table[size:])
-        size *= 2
-    return out
-
-
-def _window_hashes(h: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """A hash of the line hashes from a to b, in order."""
+def window_hashes(hashes: np.ndarray, starts: np.ndarray, least: int) -> np.ndarray:
+    """A hash of the ``least`` words from each start, in order."""
     base = 0x9E3779B97F4A7C15 | 1
-    mask = (1 << 64) - 1
-    n = len(h)
-    power = np.full(n, base, np.uint64)
-    back = np.full(n, pow(base, -1, 1 << 64), np.uint64)
+    power, back = np.full(len(hashes), base, np.uint64), np.full(len(hashes), pow(base, -1, 1 << 64), np.uint64)
     power[:1] = back[:1] = 1
     power, back = np.multiply.accumulate(power), np.multiply.accumulate(back)
-    sums = np.zeros(n + 1, np.uint64)
-    np.cumsum(h * power, out=sums[1:])
-    return mix(((sums[b + 1] - sums[a]) * back[a]) ^ (b - a + 1).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93 & mask))
+    sums = np.zeros(len(hashes) + 1, np.uint64)
+    np.cumsum(hashes * power, out=sums[1:])
+    return mix((sums[starts + least] - sums[starts]) * back[starts])
 
 
-_WINDOW = pa.struct([("fp", pa.int64()), ("run", pa.int64()), ("start", pa.int32()), ("end", pa.int32())])
-_WINDOW_SQL = "array<struct<fp: bigint, run: bigint, start: int, end: int>>"
+def _words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    data, offs = utf8(texts)
+    s, e, first = spans(data, offs, NOT_BLANK)
+    return span_hashes(data, s, e), first
 
 
-def _windows_of(least: int):
+def _rows(batch: pa.RecordBatch, first: np.ndarray, place: np.ndarray, name: str, values: np.ndarray) -> pa.RecordBatch:
+    """A row for each place: whose text it stands in, the value, and the word it begins at."""
+    own = np.searchsorted(first, place, "right") - 1
+    at = pa.array((place - first[own]).astype(np.int32))
+    return pa.RecordBatch.from_arrays([batch.column("doc_id").take(pa.array(own)), batch.column("text_hash").take(pa.array(own)), pa.array(values.view(np.int64)), at], ["doc_id", "text_hash", name, "start"])
+
+
+def _selected(least: int):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in steps(batches, "text"):
-            data, offs = utf8(batch.column("text"))
-            s, e, first = lines(data, offs)
-            n_words = line_words(data, offs, s, e)
-            h = line_hashes(data, s, e)
-            a, b = windows(n_words, first, least)
-            owner = np.searchsorted(first, a, "right") - 1
-            fp, run = _range_min(h, a, b), _window_hashes(h, a, b)
-            flat = pa.StructArray.from_arrays(
-                [pa.array(fp.view(np.int64)), pa.array(run.view(np.int64)), pa.array((a - first[owner]).astype(np.int32)), pa.array((b - first[owner]).astype(np.int32))],
-                fields=list(_WINDOW),
-            )
-            ends = np.searchsorted(owner, np.arange(len(first))).astype(np.int32)
-            found = pa.ListArray.from_arrays(pa.array(ends), flat)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text_hash"), found], ["doc_id", "text_hash", "windows"])
+            hashes, first = _words(batch.column("text"))
+            part, _, at = fingerprint_places(hashes, first, least)
+            at = np.unique(at)
+            yield _rows(batch, first, at, "fp", part[at])
 
     return work
 
 
-def repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
-    """(doc_id, text_hash, runs): for each document with later copies in it, the merged line ranges (start, end inclusive) to delete.
+def _extended(least: int):
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in steps(batches, "text"):
+            hashes, first = _words(batch.column("text"))
+            _, window, at = fingerprint_places(hashes, first, least)
+            met = batch.column("met")
+            own = np.repeat(np.arange(len(met)), np.diff(np.asarray(met.offsets)))
+            shared = np.zeros(len(hashes) + 1, bool)
+            shared[first[own] + np.asarray(met.flatten())] = True
+            window = window[shared[at]]
+            yield _rows(batch, first, window, "run", window_hashes(hashes, window, least))
 
-    Documents are ordered by id (null first), then text hash; the first place of a run stays. Within a document a
-    run counts as repeated only where it does not overlap its first place. Rows equal in id and text are one document.
-    """
-    text = F.col(text_col).cast("string")
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("text_hash")).where("text is not null")
-    found = rows.mapInArrow(_windows_of(min_words), f"doc_id long, text_hash long, windows {_WINDOW_SQL}")
-    found = stage(found.select("doc_id", "text_hash", F.inline("windows")).withColumn("at", F.struct("doc_id", "text_hash", "start", "end")), "windows")
-    common = found.groupBy("fp").agg(F.min("at").alias("lo"), F.max("at").alias("hi")).where("lo <> hi").select("fp")
-    met = found.join(common, "fp", "left_semi")
-    firsts = stage(met.groupBy("run").agg(F.min("at").alias("first"), F.max("at").alias("last")).where("first <> last").drop("last"), "firsts")
-    later = found.join(firsts, "run").where("not (doc_id <=> first.doc_id and text_hash = first.text_hash and start <= first.end)")
-    runs = later.groupBy("doc_id", "text_hash").agg(F.sort_array(F.collect_set(F.struct("start", "end"))).alias("runs"))
-    return runs.withColumn("runs", F.expr(_MERGED))
+    return work
 
 
+_DOC = "doc_id long, text_hash long"
+
 _MERGED = """
-aggregate(runs, cast(array() AS array<struct<start: int, end: int>>), (done, x) ->
-  if(size(done) > 0 and x.start <= element_at(done, -1).end + 1,
-     concat(slice(done, 1, size(done) - 1), array(struct(element_at(done, -1).start AS start, greatest(element_at(done, -1).end, x.end) AS end))),
-     concat(done, array(struct(x.start AS start, x.end AS end)))))
+aggregate(starts, cast(array() AS array<struct<start: int, end: int>>), (done, x) ->
+  if(size(done) > 0 and x <= element_at(done, -1).end,
+     concat(slice(done, 1, size(done) - 1), array(struct(element_at(done, -1).start AS start, x + {n} AS end))),
+     concat(done, array(struct(x AS start, x + {n} AS end)))))
 """
 
 
+def repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
+    """(doc_id, text_hash, runs): for each document that repeats an earlier place, the ranges of words (start, end exclusive) to delete.
+
+    Words are cut at ASCII blanks and compared by 64-bit hashes of their bytes. A word is in a range if it stands in ``min_words``
+    consecutive words that stand at an earlier place as well. Documents are ordered by id (null first), then text hash; a
+    window of the document itself is earlier only if it ends before. Rows equal in id and text are one document. Null,
+    blank and short texts repeat nothing; an empty table gives an empty table; other columns are ignored.
+    """
+    text = F.col(text_col).cast("string")
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("text_hash")).where("text is not null")
+    prints = stage(rows.mapInArrow(_selected(min_words), f"{_DOC}, fp long, start int"), "fingerprints")
+    at = F.struct("doc_id", "text_hash", "start")
+    common = stage(prints.groupBy("fp").agg(F.min(at).alias("lo"), F.max(at).alias("hi")).where("lo <> hi").select("fp"), "common")
+    met = prints.join(common, "fp", "left_semi").groupBy("doc_id", "text_hash").agg(F.collect_set("start").alias("met"))
+    met = stage(met, "met").select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"), "met")
+    both = rows.join(met, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("text_hash") == F.col("__hash"))).drop("__id", "__hash")
+    found = stage(both.mapInArrow(_extended(min_words), f"{_DOC}, run long, start int"), "windows")
+    firsts = found.groupBy("run").agg(F.min(at).alias("first"), F.max(at).alias("last")).where("first <> last").drop("last")
+    firsts = stage(firsts, "firsts")
+    later = found.join(firsts, "run").where(f"not (doc_id <=> first.doc_id and text_hash = first.text_hash and start < first.start + {min_words})")
+    runs = later.groupBy("doc_id", "text_hash").agg(F.sort_array(F.collect_set("start")).alias("starts"))
+    return runs.select("doc_id", "text_hash", F.expr(_MERGED.format(n=min_words)).alias("runs"))
+
+
+def without(text: str, runs: list[tuple[int, int]]) -> str:
+    """``text`` less the words of ``runs``, and the blanks on one side of each run.
+
+    A run that begins a line takes the blanks behind it along, another that ends a line (or the text) those before it.
+    """
+    data = np.frombuffer(text.encode(), np.uint8)
+    s, e, _ = spans(data, np.array([0, len(data)]), NOT_BLANK)
+    out, at = [], 0
+    for lo, hi in runs:
+        before, behind = int(e[lo - 1]) if lo else 0, int(s[hi]) if hi < len(s) else len(data)
+        leads = not lo or b"\n" in data[before : s[lo]].tobytes()
+        ends = hi == len(s) or b"\n" in data[e[hi - 1] : behind].tobytes()
+        begin, end = (int(s[lo]), behind) if (leads and hi < len(s)) or not ends else (before, behind if hi == len(s) else int(e[hi - 1]))
+        out.append(data[at : max(at, begin)].tobytes())
+        at = max(at, end)
+    out.append(data[at:].tobytes())
+    return b"".join(out).decode()
+
+
+@F.pandas_udf(StringType())
+def _without(texts: pd.Series, runs: pd.Series) -> pd.Series:
+    """New texts of documents with runs, given as start, end, start, ...; null for all others, whose text is not sent."""
+    return pd.Series([None if t is None or r is None else without(t, [*itertools.batched(map(int, r), 2)]) for t, r in zip(texts, runs, strict=True)], dtype=object)
+
+
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
-    """``docs`` with later repeated runs of lines deleted from the text, and a column ``deleted_lines`` (line ranges, null if none).
+    """``docs`` with later repeats of passages deleted from the text, and a column ``deleted_runs`` (ranges of words, null if none).
 
     All columns and rows are kept, in their order of columns; a text that repeats earlier ones whole becomes empty.
-    A null text stays null; an empty table gives an empty table. A column named deleted_lines is replaced.
+    A null text stays null; an empty table gives an empty table; repeated rows are treated alike. A column named
+    deleted_runs is replaced. Which words count as repeated is told at ``repeated_runs``.
     """
     runs = repeated_runs(docs, id_col, text_col, min_words).select(F.col("doc_id").alias("__run_id"), F.col("text_hash").alias("__run_hash"), F.col("runs").alias("__runs"))
     same = docs[id_col].cast("long").eqNullSafe(runs["__run_id"]) & F.xxhash64(docs[text_col].cast("string")).eqNullSafe(runs["__run_hash"])
-    joined = docs.drop("deleted_lines").join(runs, same, "left") if "deleted_lines" not in docs.columns else docs.join(runs, same, "left").drop("deleted_lines")
-    parts = F.split(F.col(text_col).cast("string"), "\n", -1)
-    kept = F.array_join(F.filter(parts, lambda x, i: ~F.exists(F.col("__runs"), lambda r: (r["start"] <= i) & (i <= r["end"]))), "\n")
-    new = F.when(F.col("__runs").isNull(), F.col(text_col)).otherwise(kept)
-    return joined.withColumn(text_col, new).withColumn("deleted_lines", F.col("__runs")).drop("__run_id", "__run_hash", "__runs")
+    joined = docs.join(runs, same, "left").drop("__run_id", "__run_hash")
+    if "deleted_runs" in docs.columns:
+        joined = joined.drop("deleted_runs")
+    whole = F.col(text_col)
+    cut = _without(F.when(F.col("__runs").isNotNull(), whole.cast("string")), F.expr("flatten(transform(__runs, r -> array(r.start, r.end)))"))
+    kept = [c for c in docs.columns if c != "deleted_runs"]
+    joined = joined.withColumn("__new", cut)
+    new = F.when(F.col("__runs").isNull(), whole).otherwise(F.col("__new").cast(docs.schema[text_col].dataType))
+    return joined.select(*(new.alias(c) if c == text_col else F.col(c) for c in kept), F.col("__runs").alias("deleted_runs"))

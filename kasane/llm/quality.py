@@ -16,9 +16,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kasane.llm.linededup import line_hashes, line_words, lines
 from kasane.llm.ngrams import bucketed, histogram, table
-from kasane.llm.textbytes import NOT_BLANK, grams, mix, per_text, span_hashes, spans, steps, utf8
+from kasane.llm.textbytes import NOT_BLANK, grams, line_hashes, line_words, lines, mix, per_text, span_hashes, spans, steps, utf8
 
 WIDTH = 4
 BITS = 16

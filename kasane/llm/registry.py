@@ -90,11 +90,11 @@ def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """doc_id, text without later repeated runs of lines, n_lines and n_deleted of the text as it was."""
+    """doc_id, text without later repeats of passages, n_words of the text as it was, n_deleted of them."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    lines = docs.withColumn("n_lines", F.coalesce(F.size(F.split("text", "\n", -1)), F.lit(0)).cast("long"))
-    found = linededup.dedup_lines(lines)
-    return found.selectExpr("doc_id", "text", "n_lines", "aggregate(coalesce(deleted_lines, array()), 0L, (n, r) -> n + r.end - r.start + 1) AS n_deleted")
+    words = docs.withColumn("n_words", F.expr("bigint(regexp_count(coalesce(text, ''), '[^\\\\x20\\\\x09-\\\\x0D]+'))"))
+    found = linededup.dedup_lines(words)
+    return found.selectExpr("doc_id", "text", "n_words", "aggregate(coalesce(deleted_runs, array()), 0L, (n, r) -> n + r.end - r.start) AS n_deleted")
 
 
 QUERIES = {

@@ -289,41 +289,60 @@ def test_pieces_by_score():
         assert len(text) < 100 or len(parts) > 1  # parts are committed before the end
 
 
-def test_line_dedup(docs, rows, empty):
-    def windows(lines):
-        n, out = [len(x.encode().split()) for x in lines], set()
-        for order in (1, -1):
-            for i in range(len(lines)):
-                total, j = 0, i
-                while 0 <= j < len(lines):
-                    total += n[j]
-                    if total >= linededup.MIN_WORDS:
-                        out.add((min(i, j), max(i, j)))
-                        break
-                    j += order
-        return out
-
-    def spark_hash(t):
-        return hashes[t]
-
-    hashes = {r.text: r.h for r in docs.where("text is not null").select("text", F.xxhash64("text").alias("h")).collect()}
-    unique = sorted({(d, t) for d, t in rows if t is not None}, key=lambda x: (x[0] is not None, x[0] or 0, spark_hash(x[1])))
-    first, places = {}, []
+BLANK = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def deduplicated(rows, least):
+    """(id, text) -> text without repeats, by comparing every window of ``least`` words with all earlier ones."""
+    unique = sorted({(d, t) for d, t in rows if t is not None}, key=lambda x: (x[0] is not None, x[0] or 0))
+    assert len({d for d, _ in unique}) == len(unique)  # the order of texts of one id is that of a hash
+    seen, out = {}, {}
     for k, (d, t) in enumerate(unique):
-        lines = t.split("\n")
-        for a, b in sorted(windows(lines)):
-            own = tuple(lines[a : b + 1])
-            places.append((own, k, a, b))
-            first.setdefault(own, (k, a, b))
-    gone = collections.defaultdict(set)
-    for own, k, a, b in places:
-        f = first[own]
-        if f != (k, a, b) and not (f[0] == k and a <= f[2]):
-            gone[k].update(range(a, b + 1))
-    want = {x: "\n".join(line for i, line in enumerate(x[1].split("\n")) if i not in gone[k]) for k, x in enumerate(unique)}
-    assert sum(map(bool, gone.values())) >= 4
-    got = linededup.dedup_lines(docs.withColumn("was", F.col("text"))).collect()
-    assert len(got) == len(rows)
+        spots = [m.span() for m in BLANK.finditer(t)]
+        w, gone = [t[a:b] for a, b in spots], set()
+        for i in range(len(w) - least + 1):
+            k0, i0 = seen.setdefault(tuple(w[i : i + least]), (k, i))
+            if k0 < k or i0 + least <= i:
+                gone.update(range(i, i + least))
+        text, at, i = "", 0, 0
+        while i < len(w):
+            if i not in gone:
+                i += 1
+                continue
+            j = next((x for x in range(i, len(w)) if x not in gone), len(w))
+            before, after = t[spots[i - 1][1] if i else 0 : spots[i][0]], t[spots[j - 1][1] : spots[j][0] if j < len(w) else len(t)]
+            begins, ends = i == 0 or "\n" in before, j == len(w) or "\n" in after
+            if begins and j < len(w) or not ends:
+                text += t[at : spots[i][0]]
+                at = spots[j - 1][1] + len(after)
+            else:
+                text += t[at : spots[i][0] - len(before)]
+                at = len(t) if j == len(w) else spots[j - 1][1]
+            i = j
+        out[d, t] = (text + t[at:], len(gone))
+    return out
+
+
+@pytest.mark.parametrize("least", [51, 12, 3])
+def test_line_dedup(spark, docs, rows, empty, least):
+    middle = " ".join(f"m{i}" for i in range(70))
+    more = [(500, f"before one two {middle} after that\nlast line"), (501, f"another\nbegins {middle}"), (502, f"{middle}\nrest"), (503, f"x {middle[:280]} y {middle[100:]} z"), (504, "a " * 300), (505, f" {middle} \n\n{middle}\n")]
+    every = [(d, t) for d, t in rows if d is not None] + more
+    want = deduplicated(every, least)
+    table = spark.createDataFrame([(d, t, t, 1, "x") for d, t in every], "doc_id long, text string, was string, start int, runs string").repartition(3)
+    got = linededup.dedup_lines(table, min_words=least).collect()
+    assert len(got) == len(every)
+    assert sum(n > 0 for _, n in want.values()) >= 8
     for r in got:
-        assert r.text == (None if r.was is None else want[r.doc_id, r.was])
+        text, n = (None, 0) if r.was is None else want[r.doc_id, r.was]
+        assert (r.text, sum(x.end - x.start for x in r.deleted_runs or [])) == (text, n), r.doc_id
     assert linededup.dedup_lines(empty).count() == 0
+
+
+def test_line_dedup_of_null_ids_and_texts(docs, rows):
+    got = linededup.dedup_lines(docs.withColumn("was", F.col("text")).withColumn("deleted_runs", F.lit(1)))
+    assert got.columns == [*docs.columns, "was", "deleted_runs"]
+    found = got.collect()
+    assert len(found) == len(rows) and all(r.text is None for r in found if r.was is None)
+    first = next(r for r in found if r.doc_id is None and r.was is not None)  # null ids come first, so their text stays
+    assert first.text == first.was
