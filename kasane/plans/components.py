@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kasane.plans.staging import stage
+from kasane.plans.staging import release, stage
 
 
 def _mark(edges: DataFrame) -> tuple:
@@ -13,10 +13,17 @@ def _mark(edges: DataFrame) -> tuple:
     return row["n"], row["x"]
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+def _both(edges: DataFrame) -> DataFrame:
+    return edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+
+
+def _least(both: DataFrame) -> DataFrame:
+    """The smallest neighbour of each node, itself included."""
+    return both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+
+
+def _large_star(both: DataFrame, least: DataFrame) -> DataFrame:
     """Every larger neighbour of a node is linked to the node's smallest neighbour (itself included)."""
-    both = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
     return both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
 
 
@@ -31,14 +38,19 @@ def _small_star(edges: DataFrame) -> DataFrame:
 def connected_components(edges: DataFrame) -> DataFrame:
     """(node, component) for every node of ``edges`` (u, v); the component is its smallest node.
 
-    Each round is written to the shared folder, so a lost executor costs at most one round. Rounds grow with
-    the logarithm of a component's size; nothing is gathered on the driver but a count and a checksum.
+    Each round is written to the shared folder, so a lost executor costs at most one round, and the round before is
+    deleted. Rounds grow with the logarithm of a component's size; nothing is gathered on the driver but a count and a
+    checksum. The smallest neighbours are staged, so the join that moves the edges of a node with very many neighbours
+    has two plain shuffled sides, which adaptive execution splits.
     An empty edge table gives an empty result; self-links and null ends are ignored.
     """
     edges = stage(edges.where("u is not null and v is not null and u <> v").select("u", "v").distinct(), "edges")
     mark = _mark(edges)
     while mark[0]:
-        edges = stage(_small_star(_large_star(edges)), "edges")
+        both = _both(edges)
+        least = stage(_least(both), "least")
+        before, edges = edges, stage(_small_star(_large_star(both, least)), "edges")
+        release(before, least)
         after = _mark(edges)
         if after == mark:
             break
