@@ -24,8 +24,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from kasane.llm.keyed import same_row
 from kasane.llm.textbytes import NOT_BLANK, grams, mix, span_hashes, spans, steps, utf8
-from kasane.plans.staging import stage
+from kasane.plans.staging import release, sized, stage
 
 #: Words of the shortest passage that is deleted: over 50.
 MIN_WORDS = 51
@@ -129,11 +130,14 @@ def repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     at = F.struct("doc_id", "text_hash", "start")
     common = stage(prints.groupBy("fp").agg(F.min(at).alias("lo"), F.max(at).alias("hi")).where("lo <> hi").select("fp"), "common")
     met = prints.join(common, "fp", "left_semi").groupBy("doc_id", "text_hash").agg(F.collect_set("start").alias("met"))
-    met = stage(met, "met").select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"), "met")
-    both = rows.join(met, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("text_hash") == F.col("__hash"))).drop("__id", "__hash")
+    met = stage(met, "met")
+    release(prints, common)
+    named = met.select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"), "met")
+    both = rows.join(sized(named), F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("text_hash") == F.col("__hash"))).drop("__id", "__hash")
     found = stage(both.mapInArrow(_extended(min_words), f"{_DOC}, run long, start int"), "windows")
     firsts = found.groupBy("run").agg(F.min(at).alias("first"), F.max(at).alias("last")).where("first <> last").drop("last")
     firsts = stage(firsts, "firsts")
+    release(met)
     later = found.join(firsts, "run").where(f"not (doc_id <=> first.doc_id and text_hash = first.text_hash and start < first.start + {min_words})")
     runs = later.groupBy("doc_id", "text_hash").agg(F.sort_array(F.collect_set("start")).alias("starts"))
     return runs.select("doc_id", "text_hash", F.expr(_MERGED.format(n=min_words)).alias("runs"))
@@ -171,9 +175,9 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     A null text stays null; an empty table gives an empty table; repeated rows are treated alike. A column named
     deleted_runs is replaced. Which words count as repeated is told at ``repeated_runs``.
     """
-    runs = repeated_runs(docs, id_col, text_col, min_words).select(F.col("doc_id").alias("__run_id"), F.col("text_hash").alias("__run_hash"), F.col("runs").alias("__runs"))
-    same = docs[id_col].cast("long").eqNullSafe(runs["__run_id"]) & F.xxhash64(docs[text_col].cast("string")).eqNullSafe(runs["__run_hash"])
-    joined = docs.join(runs, same, "left").drop("__run_id", "__run_hash")
+    runs = sized(stage(repeated_runs(docs, id_col, text_col, min_words), "runs"))
+    runs = runs.select(F.col("doc_id").alias("__key_id"), F.col("text_hash").alias("__key_hash"), F.col("runs").alias("__runs"))
+    joined = docs.join(runs, same_row(docs, runs, id_col, text_col), "left").drop("__key_id", "__key_hash")
     if "deleted_runs" in docs.columns:
         joined = joined.drop("deleted_runs")
     whole = F.col(text_col)

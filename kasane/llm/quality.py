@@ -94,38 +94,57 @@ def fit(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: s
     return np.log((target + PRIOR * p_raw) / (target.sum() + PRIOR)) - np.log(p_raw)
 
 
+def _measured(texts: pa.Array, ratio: np.ndarray) -> list[np.ndarray]:
+    """The surface counts and the score of each text."""
+    data, offs = utf8(texts)
+    return [*surface(data, offs), per_text(ratio[bucketed(data, offs, WIDTH, BITS)], offs) / np.maximum(1, np.diff(offs))]
+
+
+def _failed(n_words, n_repeat_words):
+    """Whether the counts fail: of columns or arrays."""
+    return (n_words < MIN_WORDS) | (100 * n_repeat_words > MAX_REPEAT_PERCENT * n_words)
+
+
 _OUT = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, score double"
 
 
 def scored(docs: DataFrame, ratio: np.ndarray, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, text_hash, the surface counts, score): one row per row of ``docs``; a text without bytes scores 0."""
+    """(doc_id, the surface counts, score): one row per row of ``docs``, repeated rows each for itself; a null or empty text scores 0.
+
+    An empty table gives an empty table; other columns are ignored.
+    """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in steps(batches, "text"):
-            data, offs = utf8(batch.column("text"))
-            score = per_text(ratio[bucketed(data, offs, WIDTH, BITS)], offs) / np.maximum(1, np.diff(offs))
-            names = ["doc_id", "text_hash", *(x.split()[0] for x in _OUT.split(", "))]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text_hash"), *(pa.array(x) for x in [*surface(data, offs), score])], names)
+            names = ["doc_id", *(x.split()[0] for x in _OUT.split(", "))]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *map(pa.array, _measured(batch.column("text"), ratio))], names)
 
-    text = F.col(text_col).cast("string")
-    rows = docs.select(F.col(id_col).alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("text_hash"))
-    return rows.mapInArrow(work, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, text_hash long, {_OUT}")
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    return rows.mapInArrow(work, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, {_OUT}")
 
 
 def judged(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """``scored`` with base_failed and kept: one row per row of ``docs``.
 
     base_failed: fewer than ``MIN_WORDS`` words, or over ``MAX_REPEAT_PERCENT`` per cent of the words in repeated windows. kept: not
-    base_failed, and a score of ``threshold`` or more. A null text has no words and fails. Other columns are ignored.
+    base_failed, and a score of ``threshold`` or more. A null text has no words and fails. Repeated rows are judged each
+    for itself; an empty table gives an empty table; other columns are ignored.
     """
-    failed = F.expr(f"n_words < {MIN_WORDS} or 100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words")
+    failed = _failed(F.col("n_words"), F.col("n_repeat_words"))
     rows = scored(docs, fit(docs, trusted, id_col, text_col), id_col, text_col).withColumn("base_failed", failed)
     return rows.withColumn("kept", ~F.col("base_failed") & (F.col("score") >= threshold))
 
 
 def kept(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of ``docs`` that ``judged`` keeps, all columns kept; rows are told by id and text together."""
-    bad = judged(docs, trusted, id_col, text_col, threshold).where("not kept")
-    bad = bad.select(F.col("doc_id").alias("__bad_id"), F.col("text_hash").alias("__bad_hash")).distinct()
-    same = docs[id_col].eqNullSafe(bad["__bad_id"]) & F.xxhash64(docs[text_col].cast("string")).eqNullSafe(bad["__bad_hash"])
-    return docs.join(bad, same, "left_anti")
+    """The rows of ``docs`` that ``judged`` keeps, all columns kept: a filter in place, without a shuffle.
+
+    Repeated rows are judged alike; a null text goes; an empty table gives an empty table.
+    """
+    ratio = fit(docs, trusted, id_col, text_col)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in steps(batches, text_col):
+            n_words, _, _, _, repeat, score = _measured(batch.column(text_col), ratio)
+            yield batch.filter(pa.array(~_failed(n_words, repeat) & (score >= threshold)))
+
+    return docs.mapInArrow(work, docs.schema)

@@ -23,6 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from kasane.llm.keyed import with_rows, without_rows
 from kasane.llm.textbytes import steps
 from kasane.plans.components import connected_components
 from kasane.plans.staging import stage
@@ -115,11 +116,23 @@ def one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     Rows that share this id are told apart by their text (the smallest hash stays); repeated rows count once.
     Rows of null id are a group for each fingerprint that no row with an id is linked to. ``grouped`` gives the
-    groups of (doc_id, text) as near_duplicates does.
+    groups of (doc_id, text) as near_duplicates does. An empty table gives an empty table. Texts are not shuffled
+    while the rows that go are few enough to be broadcast.
     """
     text = F.col(text_col).cast("string")
-    marked = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"))
-    groups = grouped(marked).where("doc_id <=> component_id").groupBy("component_id", F.expr("if(component_id is null, fp, null)").alias("own"))
-    first = groups.agg(F.min("text_hash").alias("__kept_hash")).select(F.col("component_id").alias("__kept_id"), "__kept_hash")
-    same = docs[id_col].cast("long").eqNullSafe(first["__kept_id"]) & F.xxhash64(text).eqNullSafe(first["__kept_hash"])
-    return docs.join(first, same, "left_semi").dropDuplicates([id_col, text_col])
+    light = stage(grouped(docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"))).select("doc_id", "text_hash", "component_id", "fp"), "groups")
+    heads = light.where("doc_id <=> component_id").withColumn("own", F.expr("if(component_id is null, fp, null)"))
+    several = heads.groupBy("component_id", "own").agg(F.min("text_hash").alias("kept"), F.max("text_hash").alias("last")).where("kept <> last").drop("last")
+    several = several.withColumnsRenamed({"component_id": "c", "own": "o"})
+    beside = heads.join(several, F.expr("component_id <=> c and own <=> o")).where("text_hash <> kept")
+    gone = stage(light.where("not (doc_id <=> component_id)").select("doc_id", "text_hash").union(beside.select("doc_id", "text_hash")).distinct(), "gone")
+    more = stage(light.groupBy("doc_id", "text_hash").count().where("count > 1").select("doc_id", "text_hash"), "repeated")
+    return _once(without_rows(docs, gone, id_col, text_col), more, id_col, text_col)
+
+
+def _once(docs: DataFrame, repeated: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``docs`` with one row for each id and text of ``repeated``."""
+    if repeated.isEmpty():
+        return docs
+    again = with_rows(docs, repeated, id_col, text_col).dropDuplicates([id_col, text_col])
+    return without_rows(docs, repeated, id_col, text_col).unionByName(again)

@@ -50,6 +50,8 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(bytes, n + 1 offsets) of a string column; null is empty."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
+    if not (pa.types.is_string(column.type) or pa.types.is_large_string(column.type)):
+        column = column.cast(pa.string())
     if column.null_count:
         column = column.fill_null("")
     if not len(column):

@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from kasane.llm.keyed import without_rows
 from kasane.llm.textbytes import ALNUM, LOWER, grams, mix, per_text, span_hashes, spans, steps, utf8, window_minima
 from kasane.plans.staging import stage
 
@@ -201,8 +202,9 @@ def contaminated_spans(docs: DataFrame, items: DataFrame, id_col: str = "doc_id"
 
 
 def decontaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` in which no benchmark window occurs, all columns kept. Rows are told by id and text together."""
-    hit = contaminated_spans(docs, items, id_col, text_col).where("n_hit > 0")
-    hit = hit.select(F.col("doc_id").alias("__hit_id"), F.col("text_hash").alias("__hit_hash")).distinct()
-    same = docs[id_col].eqNullSafe(hit["__hit_id"]) & F.xxhash64(F.col(text_col).cast("string")).eqNullSafe(hit["__hit_hash"])
-    return docs.join(hit, same, "left_anti")
+    """The rows of ``docs`` in which no benchmark window occurs, all columns kept. Rows are told by id and text together.
+
+    Null, blank and repeated rows stay as they are; an empty table on either side drops nothing.
+    """
+    hit = contaminated_spans(docs, items, id_col, text_col).where("n_hit > 0").select(F.col("doc_id").cast("long").alias("doc_id"), "text_hash")
+    return without_rows(docs, stage(hit.distinct(), "hit"), id_col, text_col)
