@@ -1,20 +1,21 @@
 """SimHash near-duplicates: fingerprints, a byte-position inverted index with count filtering, and groups.
 
-Two fingerprints that differ in at most two bits agree in at least six of their eight positional bytes. The
-index posts every fingerprint under the six ways to fix four positional bytes (two of the four byte pairs);
-two wrong bytes leave at least two byte pairs whole, so every linked pair meets in at least one posting list.
-For the pairs that meet, the shared positional bytes are tallied, pairs under the guaranteed six are dropped,
-and the rest is verified bit by bit. Posting single bytes would hold a 256th of all fingerprints in each list;
-four bytes keep a list short at any corpus size.
-
-A list of near copies may still be long. Its pairs are never written out: fingerprints in lists over ``LIST``
-entries are linked exactly through the 65 values within one bit of each (two fingerprints share such a value
-if and only if they differ in at most two bits), and at most 65 fingerprints can share one.
+Two fingerprints that differ in at most ``MAX_BITS`` = 2 bits agree in at least ``MIN_BYTES`` = 6 of their eight positional
+bytes. Postings of single bytes would each hold a 256th of all fingerprints, and most of the pairs that meet there
+would fail the count. So a posting names the guaranteed minimum at once: six positions and the six bytes that
+stand there, for each of the 28 choices of six positions. Two fingerprints that meet in a posting are known to share
+six positional bytes; a pair that shares fewer never meets, and one that may be linked always does.
+
+In a posting only the two bytes at the other positions tell its entries apart, so it holds 65,536 entries at the most,
+however many texts are near copies. There the tally of shared bytes is finished and pairs are verified: every entry is
+looked up under the 136 values that differ from its own in one or two bits, so the work grows with the entries
+and not with their pairs.
 """
 
 from __future__ import annotations
 
 import functools
+import itertools
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -31,8 +32,6 @@ from kasane.plans.staging import stage
 SHINGLE = 3
 MAX_BITS = 2
 MIN_BYTES = 8 - MAX_BITS
-#: Entries of a posting list up to which its pairs are tallied one by one.
-LIST = 64
 #: Shingles whose bits are counted at once.
 PIECE = 1 << 15
 
@@ -67,32 +66,67 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return rows.mapInArrow(_fingerprints, "doc_id long, fp long, text_hash long")
 
 
-def _post(fps: DataFrame) -> DataFrame:
-    """Posting entries: each fingerprint under the six choices of two byte pairs."""
-    pair = [f"(shiftrightunsigned(fp, {16 * i}) & 65535)" for i in range(4)]
-    keys = [f"(({6 * a + b}L << 32) | ({pair[a]} << 16) | {pair[b]})" for a in range(4) for b in range(a + 1, 4)]
-    return fps.selectExpr("fp", "node", f"explode(array({', '.join(keys)})) AS post")
+#: The choices of six positions, as (fixed positions, the two others), and the differences of one or two bits in the others.
+_FIXED = [[i for i in range(8) if i not in two] for two in itertools.combinations(range(8), MAX_BITS)]
+_FREE = [list(two) for two in itertools.combinations(range(8), MAX_BITS)]
+_NEAR = np.array([1 << i for i in range(16)] + [1 << i | 1 << j for i, j in itertools.combinations(range(16), 2)], np.int64)
 
 
-def shared_bytes(a: str, b: str) -> str:
-    """SQL for the number of positional bytes that two fingerprints share."""
-    return " + ".join(f"int(shiftrightunsigned({a} ^ {b}, {8 * i}) & 255 = 0)" for i in range(8))
+def _byte(position: int) -> str:
+    return f"(shiftrightunsigned(fp, {8 * position}) & 255)"
+
+
+def _packed(positions: list[int]) -> str:
+    return " | ".join(f"({_byte(p)} << {8 * k})" for k, p in enumerate(positions))
+
+
+def postings(fps: DataFrame) -> DataFrame:
+    """(choice, six, rest): every fingerprint under each choice of six positions; six: the bytes there, rest: the two other bytes."""
+    entries = [f"struct({k} AS choice, {_packed(fixed)} AS six, int({_packed(free)}) AS rest)" for k, (fixed, free) in enumerate(zip(_FIXED, _FREE, strict=True))]
+    return fps.selectExpr(f"inline(array({', '.join(entries)}))")
+
+
+def _unpacked(choice: np.ndarray, six: np.ndarray, rest: np.ndarray) -> np.ndarray:
+    """The fingerprints of posting entries."""
+    out = np.zeros(len(choice), np.uint64)
+    fixed, free = np.array(_FIXED, np.uint64), np.array(_FREE, np.uint64)
+    for table, packed in ((fixed, six), (free, rest)):
+        for k in range(table.shape[1]):
+            byte = (packed.astype(np.uint64) >> np.uint64(8 * k)) & np.uint64(255)
+            out |= byte << (np.uint64(8) * table[choice, k])
+    return out
+
+
+def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs of each posting within ``MAX_BITS`` bits, with the tally of shared bytes; every pair once over all postings."""
+    for batch in batches:
+        lists = batch.column("entries")
+        n = np.diff(np.asarray(lists.offsets))
+        own = np.repeat(np.arange(len(n)), n)
+        key = np.sort(own << 16 | np.asarray(lists.flatten()).astype(np.int64))
+        pairs = []
+        for mask in _NEAR.tolist():
+            other = key ^ mask
+            at = np.minimum(np.searchsorted(key, other), max(len(key) - 1, 0))
+            found = np.flatnonzero((key < other) & (key[at] == other)) if len(key) else np.zeros(0, np.int64)
+            pairs.append(np.stack([key[found], other[found]], 1))
+        a, b = np.concatenate(pairs).T
+        lists_of = a >> 16
+        choice, six = batch.column("choice").to_numpy(zero_copy_only=False)[lists_of], batch.column("six").to_numpy(zero_copy_only=False)[lists_of]
+        u, v = _unpacked(choice, six, a & 0xFFFF), _unpacked(choice, six, b & 0xFFFF)
+        equal = ((u ^ v)[:, None] >> (np.arange(8, dtype=np.uint64) * np.uint64(8))) & np.uint64(255) == 0
+        tally = equal.sum(1)
+        # of the postings in which a pair meets, that of the first choice answers for it: the choice whose six positions come first among the shared ones
+        first = np.array([[i in fixed for i in range(8)] for fixed in _FIXED])
+        able = (first[None, :, :] <= equal[:, None, :]).all(2)
+        once = (tally >= MIN_BYTES) & (able.argmax(1) == choice)
+        yield pa.RecordBatch.from_arrays([pa.array(u[once].view(np.int64)), pa.array(v[once].view(np.int64)), pa.array(tally[once])], ["u", "v", "shared"])
 
 
 def links(fps: DataFrame) -> DataFrame:
-    """(u, v): nodes of fingerprints at most two bits apart, enough of them to keep every group whole. ``fps``: (fp, node), fp unique."""
-    posts = _post(fps)
-    lists = posts.groupBy("post").agg(F.count("*").alias("n")).where("n > 1")
-    met = stage(posts.join(lists, "post"), "postings")
-    short = met.where(F.col("n") <= LIST).groupBy("post").agg(F.collect_list(F.struct("fp", "node")).alias("entries"))
-    pairs = short.select(F.explode("entries").alias("a"), "entries").select("a", F.explode("entries").alias("b")).where("a.fp < b.fp")
-    tallied = pairs.where(f"{shared_bytes('a.fp', 'b.fp')} >= {MIN_BYTES}")
-    near = tallied.where(f"bit_count(a.fp ^ b.fp) <= {MAX_BITS}").selectExpr("a.node AS u", "b.node AS v")
-    crowd = met.where(F.col("n") > LIST).select("fp", "node").distinct()
-    within = crowd.selectExpr("node", "explode(concat(array(fp), transform(sequence(0, 63), i -> fp ^ shiftleft(1L, i)))) AS value")
-    shared = within.groupBy("value").agg(F.collect_set("node").alias("nodes")).where("size(nodes) > 1")
-    stars = shared.selectExpr("array_min(nodes) AS u", "explode(nodes) AS v").where("u <> v")
-    return near.union(stars).distinct()
+    """(u, v, shared): every pair of fingerprints at most two bits apart, once, and how many positional bytes they share. ``fps``: fp, without repeats."""
+    lists = postings(fps).groupBy("choice", "six").agg(F.collect_list("rest").alias("entries")).where("size(entries) > 1")
+    return lists.mapInArrow(_verified, "u long, v long, shared long")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -104,9 +138,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     has a null component_id. Repeated rows are returned as often as given. Other columns are ignored.
     """
     marked = stage(fingerprints(docs, id_col, text_col), "fingerprints")
-    nodes = stage(marked.groupBy("fp").agg(F.min("doc_id").alias("node")), "nodes")
-    groups = connected_components(links(nodes.where("node is not null")))
-    moved = nodes.join(groups, "node", "left").selectExpr("fp", "coalesce(component, node) AS component_id")
+    nodes = stage(marked.groupBy("fp").agg(F.min("doc_id").alias("least")), "nodes")
+    groups = stage(connected_components(links(nodes.select("fp"))), "groups")
+    named = nodes.join(groups.withColumnRenamed("node", "fp"), "fp", "left").withColumn("group", F.coalesce("component", "fp"))
+    least = named.groupBy("group").agg(F.min("least").alias("component_id"))
+    moved = stage(named.select("fp", "group").join(least, "group").select("fp", "component_id"), "components")
     hexed = F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint")
     return marked.join(moved, "fp").select("doc_id", hexed, "component_id", "fp", "text_hash")
 

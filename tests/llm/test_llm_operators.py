@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import random
 import re
 
 import pytest
@@ -19,8 +20,20 @@ def words(t):
     return WORD.findall((t or "").encode().lower())
 
 
-def groups_of(rows):
-    fps = [simhash.fingerprint((t or "").encode()) for _, t in rows]
+def spark_fingerprints(spark, rows):
+    """Fingerprint of each text by words, shingles and Spark's own hash, bit by bit."""
+    every = []
+    for i, (_, t) in enumerate(rows):
+        w = re.findall(r"[^\x20\x09-\x0D]+", "".join(c.lower() if c.isascii() else c for c in t or ""))
+        every += [(i, " ".join(w[j : j + 3])) for j in range(max(1, len(w) - 2))] if w else []
+    hashes = collections.defaultdict(list)
+    for r in spark.createDataFrame(every, "i int, s string").select("i", F.xxhash64("s").alias("h")).collect():
+        hashes[r.i].append(r.h & (2**64 - 1))
+    return [sum(1 << b for b in range(64) if sum(h >> b & 1 for h in hashes[i]) * 2 > len(hashes[i])) if hashes[i] else 0 for i in range(len(rows))]
+
+
+def groups_of(spark, rows):
+    fps = spark_fingerprints(spark, rows)
     root = list(range(len(rows)))
 
     def find(x):
@@ -38,16 +51,32 @@ def groups_of(rows):
     return [(d, f"{fps[i]:016x}", min((x for x in least[find(i)] if x is not None), default=None)) for i, (d, _) in enumerate(rows)]
 
 
-@pytest.mark.parametrize("cut", [64, 1])
-def test_simhash(docs, rows, cut, monkeypatch):
-    monkeypatch.setattr(simhash, "LIST", cut)  # 1: every list takes the way of long ones
+def test_simhash(spark, docs, rows):
     got = sorted(((r.doc_id, r.fingerprint, r.component_id) for r in simhash.near_duplicates(docs).collect()), key=str)
-    assert got == sorted(groups_of(rows), key=str)
-
-
-def test_simhash_keeps_one_of_each_group(docs, rows, empty):
+    assert got == sorted(groups_of(spark, rows), key=str)
+
+
+def test_simhash_links_are_all_pairs_within_two_bits(spark):
+    rng = random.Random(3)
+    fps = {rng.getrandbits(64) for _ in range(50)}
+    for f in list(fps)[:12]:  # crowds of near fingerprints, chains among them
+        for _ in range(40):
+            f ^= 1 << rng.randrange(64) if rng.random() < 0.7 else 1 << rng.randrange(16)
+            fps.add(f)
+    fps |= {0, 1, 3, 7, 2**64 - 1, 2**63}
+    signed = [(f - 2**64 if f >> 63 else f,) for f in fps]
+    want = {frozenset((a, b)) for a in fps for b in fps if a != b and bin(a ^ b).count("1") <= 2}
+    found = simhash.links(spark.createDataFrame(signed, "fp long")).collect()
+    pairs = [frozenset((r.u & (2**64 - 1), r.v & (2**64 - 1))) for r in found]
+    assert len(pairs) == len(set(pairs)) and set(pairs) == want
+    for r in found:
+        x = (r.u ^ r.v) & (2**64 - 1)
+        assert r.shared == sum(x >> 8 * i & 255 == 0 for i in range(8)) >= 6
+
+
+def test_simhash_keeps_one_of_each_group(spark, docs, rows, empty):
     got = sorted((r.doc_id for r in simhash.one_per_group(docs).collect()), key=str)
-    assert got == sorted({g for _, _, g in groups_of(rows)}, key=str)
+    assert got == sorted({g for _, _, g in groups_of(spark, rows)}, key=str)
     assert simhash.one_per_group(docs).columns == docs.columns
     assert simhash.near_duplicates(empty).count() == 0 == simhash.one_per_group(empty).count()
 
