@@ -64,6 +64,7 @@ def clear(spark: SparkSession) -> None:
     _delete(spark, shared_root(spark))
 
 
-def sized(staged: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
-    """A staged side of a join, to be broadcast if it has been counted to hold ``most`` rows or fewer, else joined by a shuffle."""
-    return F.broadcast(staged) if staged.count() <= most else staged
+def sized(staged: DataFrame, most: int = BROADCAST_ROWS, weight: str = "1") -> DataFrame:
+    """A staged side of a join, to be broadcast if its rows (each of ``weight``) add up to ``most`` or less, else joined by a shuffle."""
+    total = staged.agg(F.sum(F.expr(weight))).first()[0] or 0
+    return F.broadcast(staged) if total <= most else staged
