@@ -1,12 +1,44 @@
-"""Rows of a table told by id and text together: kept or dropped without a shuffle of the texts where few are named."""
+"""Rows told by keys: documents named by id and text, kept or dropped without a shuffle of the texts where few are named; sets of 64-bit keys as bit fields."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from kasane.llm.textbytes import mix
 from kasane.plans.staging import sized
 
+#: Bits of a field that goes to every task; fixed, whatever the number of keys.
+FIELD_BITS = 1 << 23
+
+
+def slots(keys: np.ndarray, bits: int = FIELD_BITS) -> np.ndarray:
+    """Which bit stands for each key."""
+    return (mix(keys) & np.uint64(bits - 1)).astype(np.int64)
+
+
+def bit_field(entries: DataFrame, key: str = "key", bits: int = FIELD_BITS) -> bytes:
+    """The keys of ``entries`` as a field of ``bits`` bits (a power of two), gathered as at most bits / 64 words: it has no false negatives."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array(slots(batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64), bits))], ["slot"])
+
+    field = np.zeros(bits // 64, np.int64)
+    packed = entries.select(key).mapInArrow(work, "slot long").selectExpr("slot >> 6 AS word", "shiftleft(1L, int(slot & 63)) AS bit")
+    for row in packed.groupBy("word").agg(F.expr("bit_or(bit)").alias("bits")).toLocalIterator():
+        field[row["word"]] = row["bits"]
+    return field.tobytes()
+
+
+def bits_of(field: bytes) -> np.ndarray:
+    """A bit field as truth values."""
+    return np.unpackbits(np.frombuffer(field, np.uint8), bitorder="little").astype(bool)
+
 
 def _joined(docs: DataFrame, keys: DataFrame, id_col: str, text_col: str, how: str) -> DataFrame:
     named = sized(keys).select(F.col("doc_id").alias("__key_id"), F.col("text_hash").alias("__key_hash"))

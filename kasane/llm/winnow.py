@@ -17,15 +17,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kasane.llm.keyed import without_rows
-from kasane.llm.textbytes import ALNUM, LOWER, grams, mix, per_text, span_hashes, spans, steps, utf8, window_minima
+from kasane.llm.keyed import bit_field, bits_of, slots, without_rows
+from kasane.llm.textbytes import ALNUM, LOWER, grams, per_text, span_hashes, spans, steps, utf8, window_minima
 from kasane.plans.staging import stage
 
 SPAN = 10
 GRAM = 5
 WINDOW = SPAN - GRAM + 1
-#: Bits of the filter of item fingerprints that goes to every task; fixed, whatever the size of the benchmark.
-FILTER_BITS = 1 << 23
 
 
 def words(batch: pa.RecordBatch, column: str = "text") -> tuple[np.ndarray, np.ndarray]:
@@ -51,10 +49,6 @@ def picked(hashes: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return at, gram[at]
 
 
-def _slots(keys: np.ndarray) -> np.ndarray:
-    return (mix(keys) & np.uint64(FILTER_BITS - 1)).astype(np.int64)
-
-
 def _around(hashes: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> pa.Array:
     """hashes[lo[i]:hi[i]] as a list column."""
     n = hi - lo
@@ -83,7 +77,7 @@ def _hits(batch: pa.RecordBatch, hashes: np.ndarray, first: np.ndarray, lengths:
         parts.append((one, gram[one], one, one + n))
     at, key, lo, hi = (np.concatenate(x) for x in zip(*parts, strict=True))
     if wanted is not None:
-        kept = np.flatnonzero(wanted[_slots(key)])
+        kept = np.flatnonzero(wanted[slots(key)])
         at, key, lo, hi = at[kept], key[kept], lo[kept], hi[kept]
     order = np.argsort(owner[at], kind="stable") if len(at) else np.zeros(0, np.int64)
     at, key, lo, hi = at[order], key[order], lo[order], hi[order]
@@ -95,7 +89,7 @@ def _hits(batch: pa.RecordBatch, hashes: np.ndarray, first: np.ndarray, lengths:
 
 def _of_texts(lengths: list[int], wanted: bytes):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.unpackbits(np.frombuffer(wanted, np.uint8)).astype(bool)
+        bits = bits_of(wanted)
         for batch in steps(batches, "text"):
             hashes, first = words(batch)
             hits = _hits(batch, hashes, first, lengths, bits)
@@ -116,22 +110,6 @@ def _of_items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("item_id"), pa.array(n), pa.array(hits, pa.list_(_HIT))], ["item_id", "n_words", "hits"])
 
 
-def _filter(entries: DataFrame) -> bytes:
-    """The keys of ``entries`` as a bit field of ``FILTER_BITS``, gathered as at most FILTER_BITS / 64 words."""
-
-    def slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            slot = _slots(batch.column("key").to_numpy(zero_copy_only=False).view(np.uint64))
-            yield pa.RecordBatch.from_arrays([pa.array(slot)], ["slot"])
-
-    field = np.zeros(FILTER_BITS, bool)
-    packed = entries.select("key").mapInArrow(slots, "slot long").selectExpr("slot >> 6 AS word", "shiftleft(1L, int(slot & 63)) AS bit")
-    for row in packed.groupBy("word").agg(F.expr("bit_or(bit)").alias("bits")).toLocalIterator():
-        on = np.unpackbits(np.array([row["bits"]], np.int64).view(np.uint8), bitorder="little").astype(bool)
-        field[row["word"] * 64 : row["word"] * 64 + 64] |= on
-    return np.packbits(field).tobytes()
-
-
 _RUN = """
 aggregate(sequence(1, {n}), 0, (run, i) -> if(run = i - 1 and {a} = {b}, i, run))
 """
@@ -157,7 +135,7 @@ def contaminated_spans(docs: DataFrame, items: DataFrame, id_col: str = "doc_id"
     shaped = stage(bench.mapInArrow(_of_items, f"item_id string, n_words long, hits {_HIT_SQL}"), "items")
     entries = shaped.select("item_id", "n_words", F.inline("hits"))
     lengths = [r[0] for r in shaped.where(f"n_words between 1 and {SPAN - 1}").select("n_words").distinct().collect()]
-    wanted = spark.sparkContext.broadcast(_filter(entries))
+    wanted = spark.sparkContext.broadcast(bit_field(entries))
 
     def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return _of_texts(sorted(lengths), wanted.value)(batches)

@@ -352,8 +352,11 @@ def deduplicated(rows, least):
     return out
 
 
-@pytest.mark.parametrize("least", [51, 12, 3])
-def test_line_dedup(spark, docs, rows, empty, least):
+@pytest.mark.parametrize(("least", "small"), [(51, True), (51, False), (12, True), (3, True)])
+def test_line_dedup(spark, docs, rows, empty, least, small, monkeypatch):
+    if not small:  # as in a large corpus: places are joined to texts, copies are searched as well
+        monkeypatch.setattr(linededup, "MOST_BITS", 0)
+        monkeypatch.setattr(linededup, "BROADCAST_ROWS", 0)
     middle = " ".join(f"m{i}" for i in range(70))
     more = [(500, f"before one two {middle} after that\nlast line"), (501, f"another\nbegins {middle}"), (502, f"{middle}\nrest"), (503, f"x {middle[:280]} y {middle[100:]} z"), (504, "a " * 300), (505, f" {middle} \n\n{middle}\n")]
     every = [(d, t) for d, t in rows if d is not None] + more
