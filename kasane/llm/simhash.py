@@ -125,7 +125,8 @@ def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def links(fps: DataFrame) -> DataFrame:
     """(u, v, shared): every pair of fingerprints at most two bits apart, once, and how many positional bytes they share. ``fps``: fp, without repeats."""
-    lists = postings(fps).groupBy("choice", "six").agg(F.collect_list("rest").alias("entries")).where("size(entries) > 1")
+    spread = fps.repartition(int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions")), "fp")  # a small table makes 28 times its rows
+    lists = postings(spread).groupBy("choice", "six").agg(F.collect_list("rest").alias("entries")).where("size(entries) > 1")
     return lists.mapInArrow(_verified, "u long, v long, shared long")
 
 
