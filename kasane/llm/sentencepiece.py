@@ -9,9 +9,13 @@ scores are merge ranks) a path survives if every two neighbouring pieces are wha
 characters, which leaves exactly one path to each boundary. Both give the ids that the model's own library
 gives. Characters outside the vocabulary become byte pieces, or the unknown piece where a model has none.
 
-A piece never holds a space mark after another character, so all paths meet before every space mark that
-follows one, and around line feeds where no piece has one. A text is therefore cut there first, and equal cuts within a task are encoded once (a memory of
-bounded size).
+Some boundaries are known beforehand to be where all paths meet: no piece holds a space mark after another
+character, so all meet before every space mark that follows one, and around line feeds where no piece has one. These
+are the first commits. A text is read in parts of ``PART`` characters that end at such a boundary, and the ids of a part
+are committed before the next one is normalised, so what is held beside the ids does not grow with the text. Within
+a part the stretches between such boundaries are walked side by side, a boundary at a time (``Lattice``), if they are short,
+and one by one with a window and commits of its own (``paths``) if they are long. Equal short stretches are walked once
+for as long as they are remembered.
 """
 
 from __future__ import annotations
@@ -32,11 +36,15 @@ from kasane.llm.textbytes import steps
 
 MARK = "▁"
 #: Distinct cuts whose ids are remembered in one task, and the longest of them in characters.
-REMEMBERED = 600_000
+REMEMBERED = 200_000
 REMEMBERED_CHARS = 32
 #: Cuts that are encoded together.
 MANY = 4096
+#: Characters of a text that are normalised and cut at once.
+PART = 1 << 18
 UNIGRAM, BPE = 1, 2
+#: Ends before a space mark (a blank becomes one) that follows another character.
+_MEET = re.compile(f"[^ {MARK}](?=[ {MARK}])")
 
 
 class Model:
@@ -69,9 +77,9 @@ class Model:
         self.text = [b"" if own.is_control(i) else bytes([int(p[3:5], 16)]) if own.is_byte(i) else b" \xe2\x81\x87 " if own.is_unknown(i) else p.replace(MARK, " ").encode() for i, p in zip(ids, self.pieces, strict=True)]
         self.pairs: dict[tuple[str, str], bool] = {}
 
-    def normalized(self, text: str) -> str:
+    def normalized(self, text: str, first: bool = True) -> str:
         if self.identity:
-            return (MARK if self.prefix and text else "") + text.replace(" ", MARK)
+            return (MARK if self.prefix and text and first else "") + text.replace(" ", MARK)
         return self.library.normalize(text)
 
     def merged(self, text: str) -> list[str]:
@@ -278,8 +286,8 @@ class Encoder(dict):
     def __missing__(self, cut: str) -> bytes:
         return b"".join(np.array(part, np.int32).tobytes() for part in encoded(self.model, cut))
 
-    def cut(self, text: str) -> list[str]:
-        whole = self.model.normalized(text)
+    def cut(self, text: str, first: bool = True) -> list[str]:
+        whole = self.model.normalized(text, first)
         return self.model.cuts.findall(whole) if self.model.cuts else [whole]
 
     def learn(self, cuts: set[str]) -> None:
@@ -295,15 +303,46 @@ class Encoder(dict):
             found = self.lattice.encode(some) if self.lattice else [None] * len(some)
             self.update((c, self.__missing__(c) if x is None else x) for c, x in zip(some, found, strict=True))
 
-    def ids(self, texts: list[str]) -> list[np.ndarray]:
-        cuts = [self.cut(t) for t in texts]
+    def parts(self, text: str) -> Iterator[str]:
+        """A text in parts of about ``PART`` characters that end where all paths meet; whole if the model gives no such places."""
+        at, n = 0, len(text)
+        if not (self.model.identity and self.model.cuts):
+            at = n
+            yield text
+        while at < n:
+            to = min(n, at + PART)
+            if to < n:
+                *_, near = (None, *(m.end() for m in _MEET.finditer(text, max(at, to - 4096), to)))
+                beyond = None if near else _MEET.search(text, to - 1)
+                to = near or (beyond.end() if beyond else n)
+            yield text[at:to]
+            at = to
+
+    def committed(self, texts: list[str], first: bool = True) -> list[np.ndarray]:
+        """Ids of each text; ``first``: they are the beginnings of texts, not further parts."""
+        cuts = [self.cut(t, first) for t in texts]
         self.learn(set(itertools.chain.from_iterable(cuts)))
         return [np.frombuffer(b"".join(map(self.__getitem__, c)), np.int32) for c in cuts]
 
-    def decoded(self, ids: np.ndarray) -> bytes:
-        """UTF-8 of ids; the space that encoding puts before a text is taken away."""
+    def long(self, text: str) -> tuple[np.ndarray, bool]:
+        """Ids of a long text, committed part by part, and whether they give it back."""
+        done, exact = [], True
+        for k, part in enumerate(self.parts(text)):
+            (ids,) = self.committed([part], k == 0)
+            exact = exact and self.decoded(ids, k == 0) == part.encode()
+            done.append(ids)
+        return np.concatenate(done), exact
+
+    def encoded(self, texts: list[str]) -> list[tuple[np.ndarray, bool]]:
+        """(ids, whether they give the text back) of each text: short ones side by side."""
+        short = [t for t in texts if len(t) <= PART]
+        ids = iter(self.committed(short))
+        return [(own := next(ids), self.decoded(own) == t.encode()) if len(t) <= PART else self.long(t) for t in texts]
+
+    def decoded(self, ids: np.ndarray, first: bool = True) -> bytes:
+        """UTF-8 of ids; the space that encoding puts before a text is taken away from its ``first`` ones."""
         text = b"".join(map(self.model.text.__getitem__, ids.tolist()))
-        return text[1:] if self.model.prefix and text[:1] == b" " else text
+        return text[1:] if first and self.model.prefix and text[:1] == b" " else text
 
 
 def encoder(proto: bytes) -> Encoder:
@@ -321,7 +360,7 @@ def encode(docs: DataFrame, model_file: str, id_col: str = "doc_id", text_col: s
     """(doc_id, ids, n_tokens, exact): one row per row of ``docs``; exact: whether decoding the ids gives the text back.
 
     ``model_file`` is read by the driver; tasks get its bytes, which the vocabulary bounds. A null text is empty
-    and has no ids. Repeated rows are encoded each for itself; other columns are ignored.
+    and has no ids. Repeated rows are encoded each for itself; an empty table gives an empty table; other columns are ignored.
     """
     with open(model_file, "rb") as f:
         proto = docs.sparkSession.sparkContext.broadcast(f.read())
@@ -330,18 +369,20 @@ def encode(docs: DataFrame, model_file: str, id_col: str = "doc_id", text_col: s
         own = encoder(proto.value)
         for batch in steps(batches, "text"):
             texts = [t or "" for t in batch.column("text").to_pylist()]
-            ids = own.ids(texts)
-            exact = [own.decoded(x) == t.encode() for x, t in zip(ids, texts, strict=True)]
+            ids, exact = zip(*own.encoded(texts), strict=True)
             ends = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(ids) if ids else np.zeros(0, np.int32)))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), lists, pa.array(np.diff(ends).astype(np.int64)), pa.array(exact)], ["doc_id", "ids", "n_tokens", "exact"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), lists, pa.array(np.diff(ends).astype(np.int64)), pa.array(list(exact))], ["doc_id", "ids", "n_tokens", "exact"])
 
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     return rows.mapInArrow(work, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, ids array<int>, n_tokens long, exact boolean")
 
 
 def decode(tokens: DataFrame, model_file: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
-    """(doc_id, text): the text of each row's ids; null ids give an empty text, bytes that are not UTF-8 the replacement character."""
+    """(doc_id, text): the text of each row's ids; null ids give an empty text, bytes that are not UTF-8 the replacement character.
+
+    Repeated rows are decoded each for itself; an empty table gives an empty table; other columns are ignored.
+    """
     with open(model_file, "rb") as f:
         proto = tokens.sparkSession.sparkContext.broadcast(f.read())
 

@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text that one numpy step works on; a longer single text is one step.
-STEP_BYTES = 2 << 20
+STEP_BYTES = 1 << 20
 
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
@@ -75,6 +75,7 @@ def steps(batches: Iterator[pa.RecordBatch], column: str, step_bytes: int = STEP
             to = max(at + 1, int(np.searchsorted(ends, before + step_bytes, "right")))
             yield batch.slice(at, to - at)
             at = to
+    pa.default_memory_pool().release_unused()  # a worker outlives its tasks
 
 
 def spans(data: np.ndarray, offs: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -292,6 +292,30 @@ def test_pieces_are_the_librarys(docs, rows, library, spark):
     assert {r.doc_id for r in tokens.where("not exact").collect()} == {901}
 
 
+def test_long_texts_are_committed_part_by_part(library, monkeypatch):
+    import tracemalloc
+
+    with open(MODEL_FILE, "rb") as f:
+        own = pieces.Encoder(f.read())
+    rng = random.Random(1)
+    some = " ".join(rng.choice(["river", "stone", "▁", "漢字かな", "  ", "\n", "light of", "𝔘", "x" * 90]) for _ in range(4000)) + "y" * 700
+    monkeypatch.setattr(pieces, "PART", 256)
+    assert "".join(own.parts(some)) == some
+    ids, exact = own.long(some)
+    assert ids.tolist() == library.encode(some) and not exact
+    monkeypatch.undo()
+    grown = []
+    for n in (300_000, 1_500_000):  # some 1.5 and 7.5 MB
+        text = "stone " * n
+        own.long("warm up " * pieces.PART)
+        tracemalloc.start()
+        ids, exact = own.long(text)
+        grown.append(tracemalloc.get_traced_memory()[1] - 8 * len(ids))  # ids, and their copy at the end
+        tracemalloc.stop()
+        assert exact and len(ids) >= n
+    assert grown[1] < grown[0] + (4 << 20)
+
+
 def test_pieces_by_score():
     """A unigram model: the best path of a walk over the whole text, committed early or not."""
     from sentencepiece import sentencepiece_model_pb2
