@@ -5,6 +5,7 @@ import hashlib
 import random
 import re
 
+import numpy as np
 import pytest
 import sentencepiece
 from pyspark.sql import functions as F
@@ -226,6 +227,60 @@ def test_html_labels():
     assert mainhtml.main_text(page.replace("<header>", "<div class='site-header'>").replace("</header>", "</div>")) == TEXT
 
 
+LONG, OTHER = "The first paragraph of the story goes on for a good while, so that it is text. " * 3, "Later another paragraph tells what came of it, at some length as well, to the end. " * 3
+LINKS = "<ul><li><a href=1>one link</a><li><a href=2>two link</a><li><a href=3>three link</a><li><a href=4>four</a></ul>"
+
+
+@pytest.mark.parametrize(
+    ("body", "text"),
+    [
+        (f"<div><h1>Head</h1><p>{LONG}</p>{LINKS}<p>{OTHER}</p></div>", ["Head", LONG, "one link", "two link", "three link", "four", OTHER]),
+        (f"<div class='topic social-science'><p>{LONG}</p><p class='share-price'>Up by 3</p><p>{OTHER}</p></div>", [LONG, "Up by 3", OTHER]),
+        (f"<div><p>{LONG}</p><section id='related-work'><h2 id='social-history'>Related</h2><p>{OTHER}</p></section><div id='search-methods'>{LONG}</div></div>", [LONG, "Related", OTHER, LONG]),
+        (f"<div class='post popular'><p>{LONG}</p></div><div class='comment-list'><p>{LONG}</p></div>", [LONG]),
+        (f"<article class=card><a href=x>Teaser</a> of a story</article><article class=card><a href=y>Teaser</a> of more</article><div id=body><p>{LONG}</p><p>{OTHER}</p></div>", [LONG, OTHER]),
+        (f"<div><p>{LONG}</p><p>{OTHER}</p></div><article class='comment'><p>{LONG}{LONG}{LONG}</p></article>", [LONG, OTHER]),
+        (f"<form action=x><input type=hidden><nav>{LINKS}</nav><div><p>{LONG}</p><p>{OTHER}</p></div></form>", [LONG, OTHER]),
+        (f"<article><p>{LONG}</p><form><p>Your name please</p></form><p>The end.</p></article>", [LONG, "The end."]),
+        (f"<article><header><h1>Title</h1></header><section><p>{LONG}</p></section>{LINKS}<section><p>{OTHER}</p></section><footer>x</footer></article>", ["Title", LONG, "one link", "two link", "three link", "four", OTHER]),
+        (f'<div class="a><p>{LONG}</p><p title="a > b">{OTHER}</p>', [LONG, OTHER]),
+        (f"<div><div><p>{LONG}</p>{LINKS}</div><div><p>{OTHER}</p></div></div><div class=sitefoot>Imprint</div>", [LONG, "one link", "two link", "three link", "four", OTHER]),
+    ],
+)
+def test_html_keeps_the_article_and_nothing_else(body, text):
+    page = f"<html><body class='has-sidebar'><header>Site</header><nav>{LINKS}</nav>{body}<footer>Imprint of the site</footer></body></html>"
+    assert mainhtml.main_text(page) == "\n".join(" ".join(x.split()) for x in text)
+
+
+@pytest.mark.parametrize("bad", ["<" + "a" * 1_000_000, "<a " * 300_000, "<div>" * 50_000 + "</span>" * 50_000, "<p title='" * 50_000 + ">", "<article>" * 50_000, "<b><article>" + "<i>" * 50_000 + "</b>" * 50_000, "<ul><li>" * 30_000 + "x"])
+def test_html_takes_time_in_proportion(bad):
+    import time
+
+    began = time.process_time()
+    mainhtml.main_text(bad)
+    assert time.process_time() - began < 5
+
+
+def test_stretches_are_those_of_plain_sums():
+    rng = random.Random(2)
+    for _ in range(300):
+        size = [rng.choice([0, 0, 0, 5, 30, 90]) for _ in range(rng.randint(1, 40))]
+        sums = [sum(size[max(0, i - 1) : i + 2]) for i in range(len(size))]
+        want, i = [], 0
+        while i < len(size):
+            if not sums[i]:
+                i += 1
+                continue
+            j = i
+            while j < len(size) and sums[j]:
+                j += 1
+            if max(sums[i:j]) >= mainhtml.SURGE:
+                own = [k for k in range(i, j) if size[k]]
+                want.append((own[0], own[-1] + 1))
+            i = j
+        assert mainhtml.stretches(np.array(size)) == want
+
+
 def test_html_of_odd_pages(spark):
     odd = [(1, None), (2, ""), (3, "plain text"), (4, "<p>a<p>b"), (5, "<script>x"), (6, "<"), (7, "a &amp b &#x41; &bogus;"), (8, "<article></article>"), (9, "<p>" + "word " * 50_000)]
     got = {r.page_id: r.text for r in mainhtml.extract(spark.createDataFrame([(i, "u", h) for i, h in odd], "page_id long, url string, html string")).collect()}
