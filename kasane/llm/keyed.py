@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kasane.llm.textbytes import mix
@@ -16,6 +16,17 @@ from kasane.plans.staging import sized
 FIELD_BITS = 1 << 23
 
 
+#: Rows that go to Python at once where each holds a whole text.
+BATCH_ROWS = 1_000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Have texts sent to Python ``BATCH_ROWS`` at a time, unless the session asks for fewer; default batches of long texts fill the memory beside the heap."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
+        spark.conf.set(key, BATCH_ROWS)
+
+
 def slots(keys: np.ndarray, bits: int = FIELD_BITS) -> np.ndarray:
     """Which bit stands for each key."""
     return (mix(keys) & np.uint64(bits - 1)).astype(np.int64)

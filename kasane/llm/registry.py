@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kasane.llm import langid, licenses, linededup, mainhtml, quality, secrets, sentencepiece, simhash, warc, winnow
+from kasane.llm.keyed import small_batches
 from kasane.plans.staging import fresh_path
 
 #: The vocabulary file of op9 and of the pipeline; another is chosen by the environment.
@@ -15,6 +16,7 @@ MODEL_FILE = os.environ.get("KASANE_PIECE_MODEL", "/opt/tokenizers/piece_bpe_32k
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

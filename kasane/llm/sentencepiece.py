@@ -36,7 +36,7 @@ from kasane.llm.textbytes import steps
 
 MARK = "▁"
 #: Distinct cuts whose ids are remembered in one task, and the longest of them in characters.
-REMEMBERED = 200_000
+REMEMBERED = 100_000
 REMEMBERED_CHARS = 32
 #: Cuts that are encoded together.
 MANY = 4096

@@ -6,6 +6,7 @@ can be cut without decoding them.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -63,6 +64,14 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw, offs - offs[0]
 
 
+def give_back() -> None:
+    """Return freed memory to the system: a Python worker outlives its tasks, and what it keeps is missing to the others of its executor."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def steps(batches: Iterator[pa.RecordBatch], column: str, step_bytes: int = STEP_BYTES) -> Iterator[pa.RecordBatch]:
     """The batches in slices of about ``step_bytes`` of the named text column."""
     for batch in batches:
@@ -75,7 +84,7 @@ def steps(batches: Iterator[pa.RecordBatch], column: str, step_bytes: int = STEP
             to = max(at + 1, int(np.searchsorted(ends, before + step_bytes, "right")))
             yield batch.slice(at, to - at)
             at = to
-    pa.default_memory_pool().release_unused()  # a worker outlives its tasks
+    give_back()
 
 
 def spans(data: np.ndarray, offs: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
