@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kasane.functions import dictionaries as D
@@ -30,10 +30,18 @@ def broken(links: DataFrame, files: DataFrame, top_folders: list[str]) -> DataFr
     folder = F.regexp_replace("path", "[^/]*$", "")
     near = F.concat(folder, t)
     tried = F.when(rooted, F.array(t)).otherwise(F.array(near, t))
-    keyed = links.withColumn("__row", F.monotonically_increasing_id()).withColumns({"shown": F.when(rooted, t).otherwise(near), "__tried": tried})
     known = files.select(F.col("path").alias("__file")).distinct()
-    found = keyed.select("__row", F.explode("__tried").alias("__file")).join(known, "__file").select("__row").distinct()
-    return keyed.join(found, "__row", "left_anti").drop("__row", "__tried")
+    keyed = links.withColumns({"shown": F.when(rooted, t).otherwise(near), "__tried": tried})
+    for i in (0, 1):  # a link that leads to no file fails at every path that is tried, so no row needs a name
+        keyed = keyed.join(known, F.get("__tried", F.lit(i)) == known["__file"], "left_anti")
+    return keyed.drop("__tried")
+
+
+def visible(files: DataFrame, prefix: str | None = None) -> DataFrame:
+    """``files`` (path, ...) without those in hidden folders or with hidden names; under ``prefix`` only, if any file is there, else all."""
+    shown = files.where(~F.exists(F.split("path", "/"), lambda part: part.startswith(".")))
+    inside = shown.where(F.col("path").startswith(f"{(prefix or '').rstrip('/')}/"))
+    return shown if not prefix or inside.isEmpty() else inside
 
 
 def not_ignored(links: DataFrame, patterns: DataFrame) -> DataFrame:
@@ -44,8 +52,11 @@ def not_ignored(links: DataFrame, patterns: DataFrame) -> DataFrame:
 
 def report(links: DataFrame, limit: int = 100, samples: int = 5) -> DataFrame:
     """(shown, n, sources): the most frequent broken targets with up to ``samples`` sources, ties by target."""
-    rows = links.groupBy("shown").agg(F.count("*").alias("n"), F.slice(F.array_sort(F.collect_set(F.concat_ws(":", "path", "line_no"))), 1, samples).alias("sources"))
-    return rows.orderBy(F.desc("n"), "shown").limit(limit)
+    top = links.groupBy("shown").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "shown").limit(limit)
+    places = links.join(F.broadcast(top.select("shown")), "shown", "left_semi").select("shown", F.concat_ws(":", "path", "line_no").alias("source")).distinct()
+    ranked = places.withColumn("k", F.row_number().over(Window.partitionBy("shown").orderBy("source"))).where(F.col("k") <= samples)
+    sources = ranked.groupBy("shown").agg(F.array_sort(F.collect_list("source")).alias("sources"))
+    return top.join(F.broadcast(sources), "shown").select("shown", "n", "sources").orderBy(F.desc("n"), "shown")
 
 
 def article_ranges(files: DataFrame) -> DataFrame:
@@ -56,6 +67,12 @@ def article_ranges(files: DataFrame) -> DataFrame:
     return rows.groupBy("law_name", "start", "end").agg(F.max_by("name", F.col("name").rlike(new)).alias("name"))
 
 
+def redirect_sources(files: DataFrame) -> DataFrame:
+    """``files`` (law_name, name, suppl_kind, ...) whose links may lead to ranges: not the law's own file, not a range, not an amendment."""
+    stem = F.regexp_replace("name", r"\.md$", "")
+    return files.where((stem != F.col("law_name")) & ~stem.contains(":") & ~F.col("suppl_kind").eqNullSafe("amendment"))
+
+
 def redirected(links: DataFrame, ranges: DataFrame) -> DataFrame:
     """``links`` (link_id, law_name, num) with the range that holds the number: the shortest, then the latest start; links in no range are left out.
 
@@ -86,8 +103,10 @@ def unresolved_reason(context: Column) -> Column:
     return F.when(F.right(context, F.lit(200)).rlike(names), "external_law").otherwise("missing_article")
 
 
-def pending_kind(reason: Column, amendment_key: Column) -> Column:
-    return F.when(reason == "external_law", "external_law").when(amendment_key.isNotNull(), "amendment_self").otherwise("unknown")
+def pending_of(pending: DataFrame, law: str | None = None, kind: str | None = None) -> DataFrame:
+    """Pending links of one law and of one kind, where they are given."""
+    rows = pending if law is None else pending.where(F.col("src_law_name") == law)
+    return rows if kind is None else rows.where(F.col("kind") == kind)
 
 
 def pending_open(log: DataFrame, resolved: DataFrame) -> DataFrame:
@@ -107,9 +126,12 @@ def pending_target(pending: DataFrame, files: DataFrame, laws: DataFrame) -> Dat
     external = F.when(F.col("kind") == "external_law", F.array(F.concat(F.lit("laws/"), "external_law_name", F.lit("/本文/"), file)))
     ordered = pending.select("id", "kind", "external_law_name", file.alias("file"), F.posexplode_outer(F.coalesce(external, amended)).alias("ord", "path"))
     names = laws.select("law_name").distinct()
-    # names that contain another: a small catalogue against the few names that pending links mention
     asked = pending.where("kind = 'external_law' and external_law_name is not null").select("external_law_name").distinct()
-    wider = asked.join(F.broadcast(names), F.col("law_name").contains(F.col("external_law_name")) & (F.col("law_name") != F.col("external_law_name")))
+    # names meet by the pairs of characters that they hold, so that the containment is tested within an equi join
+    pairs = lambda name: F.expr(f"array_distinct(transform(sequence(1, greatest(1, length({name}) - 1)), i -> substring({name}, i, 2)))")
+    grams = names.select("law_name", F.explode(F.when(F.length("law_name") > 1, F.concat(pairs("law_name"), F.split("law_name", ""))).otherwise(F.array("law_name"))).alias("gram"))
+    wider = asked.withColumn("gram", F.substring("external_law_name", 1, 2)).join(grams.distinct(), "gram")
+    wider = wider.where(F.col("law_name").contains(F.col("external_law_name")) & (F.col("law_name") != F.col("external_law_name"))).select("external_law_name", "law_name")
     more = pending.where("kind = 'external_law'").select("id", "external_law_name", file.alias("file")).join(wider, "external_law_name")
     more = more.select("id", F.lit(1).alias("ord"), F.concat(F.lit("laws/"), "law_name", F.lit("/本文/"), "file").alias("path"))
     tried = ordered.select("id", "ord", "path").union(more)

@@ -5,18 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from kasane.functions import links as L
+
 #: Metadata fields whose change does not matter.
 IGNORED = ["generated_at", "updated_at", "as_of", "tags", "parent"]
 
 
 def file_diff(before: DataFrame, after: DataFrame) -> DataFrame:
-    """(path, status): missing, new, changed or same, from one full join on the path. New files under 章 and 節 are ``structure``.
+    """(path, status): missing, new, changed or same, from one full join on the path. New files in the folders 章 and 節 are ``structure``.
 
-    ``before`` and ``after``: path and body; bodies are compared by their digests.
+    ``before`` and ``after``: path (from the folder of the law) and body; bodies are compared by their digests, without blanks at
+    the ends of lines and empty lines at the end.
     """
-    one = before.select("path", F.sha2("body", 256).alias("b"), F.lit(True).alias("in_before"))
-    two = after.select("path", F.sha2("body", 256).alias("a"), F.lit(True).alias("in_after"))
-    built = F.exists(F.split("path", "/"), lambda p: p.isin("章", "節"))
+    digest = F.sha2(L.trimmed_lines(F.col("body")), 256)
+    one = before.select("path", digest.alias("b"), F.lit(True).alias("in_before"))
+    two = after.select("path", digest.alias("a"), F.lit(True).alias("in_after"))
+    built = F.substring_index("path", "/", 1).isin("章", "節")
     status = (
         F.when(F.col("in_after").isNull(), "missing")
         .when(F.col("in_before").isNull() & built, "structure")

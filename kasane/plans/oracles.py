@@ -59,8 +59,8 @@ best AS (SELECT link_id, law_name, num, start, "end" FROM alinks JOIN ranges USI
   QUALIFY row_number() OVER (PARTITION BY link_id ORDER BY "end" - start, start DESC) = 1)"""
 _PENDING = "SELECT substr(sha1(concat_ws('|', 'law' || (user_id % 40), 'p/' || event_type || '.md', '[[x' || (event_id % 50) || ']]', event_type)), 1, 16) AS id, ts, 'law' || (user_id % 40) AS law, event_id FROM events"
 _SNAPSHOTS = """
-b AS (SELECT 'laws/x/' || CASE WHEN o_orderkey % 9 = 0 THEN '章/' ELSE '' END || o_orderkey || '.md' AS path, o_orderkey, o_orderpriority AS body FROM orders WHERE o_orderkey % 10 <> 0),
-a AS (SELECT 'laws/x/' || CASE WHEN o_orderkey % 9 = 0 THEN '章/' ELSE '' END || o_orderkey || '.md' AS path, o_orderkey, CASE WHEN o_orderkey % 13 = 0 THEN 'x' ELSE o_orderpriority END AS body FROM orders WHERE o_orderkey % 11 <> 0),
+b AS (SELECT CASE o_orderkey % 9 WHEN 0 THEN '章/' WHEN 1 THEN '本文/章/' ELSE '本文/' END || o_orderkey || '.md' AS path, o_orderkey, o_orderpriority AS body FROM orders WHERE o_orderkey % 10 <> 0),
+a AS (SELECT CASE o_orderkey % 9 WHEN 0 THEN '章/' WHEN 1 THEN '本文/章/' ELSE '本文/' END || o_orderkey || '.md' AS path, o_orderkey, CASE WHEN o_orderkey % 13 = 0 THEN 'x' WHEN o_orderkey % 4 = 1 THEN ' ' || o_orderpriority ELSE o_orderpriority END AS body FROM orders WHERE o_orderkey % 11 <> 0),
 files AS (SELECT coalesce(b.path, a.path) AS path, CASE WHEN a.path IS NULL THEN 'missing' WHEN b.path IS NULL AND a.o_orderkey % 9 = 0 THEN 'structure' WHEN b.path IS NULL THEN 'new' WHEN a.body = b.body THEN 'same' ELSE 'changed' END AS status FROM b FULL JOIN a ON a.path = b.path)"""
 _DIFF = """
 x AS (SELECT l_linenumber % 2 AS half, 'a' || (l_partkey % 500) AS source, 'b' || (l_suppkey % 50) AS target FROM lineitem),
@@ -93,6 +93,31 @@ SELECT p_partkey, CASE WHEN titled OR (num >= 100 AND num % 10 <> 0) THEN {_BRAN
     "q_containment": f"WITH {_ARTICLES}, {_CONTAINS} SELECT * FROM contained",
     "q_chapter_rollup": f"""WITH {_ARTICLES} SELECT law_id, chapter_num, arg_min(chapter_title, pos) AS chapter_title, string_agg(article_num, ',' ORDER BY pos) AS article_nums, count(*) AS n_articles, count(DISTINCT section_num) AS section_count FROM articles GROUP BY law_id, chapter_num""",
     "q_section_rollup": f"""WITH {_ARTICLES} SELECT law_id, chapter_num, section_num, arg_min(section_title, pos) FILTER (WHERE section_title IS NOT NULL) AS section_title, string_agg(node_id, ',' ORDER BY pos) AS node_ids FROM articles WHERE section_num IS NOT NULL GROUP BY ALL""",
+    "q_structure_nodes": f"""WITH {_ARTICLES}, ct AS (SELECT law_id, law_name, chapter_num, arg_min(chapter_title, pos) AS title, string_agg(node_id, ',' ORDER BY pos) AS ids,
+    string_agg('- [[laws/' || law_name || '/本文/' || {_NAME} || '.md|' || {_NAME} || ' ' || heading || ']]' || chr(10), '' ORDER BY pos) AS items FROM articles GROUP BY ALL),
+c AS (SELECT *, CASE WHEN contains(title, '章の') THEN '第' || (chapter_num // 10) || '章の' || (chapter_num % 10) ELSE '第' || chapter_num || '章' END AS name FROM ct),
+st AS (SELECT law_id, law_name, chapter_num, section_num, arg_min(section_title, pos) FILTER (WHERE section_title IS NOT NULL) AS title, string_agg(node_id, ',' ORDER BY pos) AS ids,
+    string_agg('- [[laws/' || law_name || '/本文/' || {_NAME} || '.md|' || {_NAME} || ']]' || chr(10), '' ORDER BY pos) AS items FROM articles WHERE section_num IS NOT NULL GROUP BY ALL),
+s AS (SELECT st.*, c.name AS chapter, c.title AS chapter_title, CASE WHEN st.title IS NOT NULL THEN '第' || (section_num // 10) || '節の' || (section_num % 10) ELSE '第' || section_num || '節' END AS name FROM st JOIN c USING (law_id, chapter_num)),
+l AS (SELECT law_id, chapter_num, count(*) AS n, string_agg('- [[laws/' || law_name || '/節/' || chapter || name || '.md|' || name || coalesce(' ' || title, '') || ']]' || chr(10), '' ORDER BY section_num) AS items FROM s GROUP BY ALL)
+SELECT 'JPLAW:' || c.law_id || '#chapter#' || c.chapter_num AS id, 'chapter' AS type, '[[laws/' || law_name || '/' || law_name || ']]' AS parent, 'laws/' || law_name || '/章/' || name || '.md' AS path,
+  '# ' || name || ' ' || title || chr(10) || chr(10) || coalesce('## この章の節' || chr(10) || chr(10) || l.items || chr(10), '') || '## この章の条文' || chr(10) || chr(10) || c.items AS body, CAST(coalesce(n, 0) AS INT) AS section_count, ids AS article_ids, law_name || ',kind/chapter' AS tags
+FROM c LEFT JOIN l ON l.law_id = c.law_id AND l.chapter_num = c.chapter_num
+UNION ALL SELECT 'JPLAW:' || law_id || '#chapter#' || chapter_num || '#section#' || section_num, 'section', '[[laws/' || law_name || '/章/' || chapter || ']]', 'laws/' || law_name || '/節/' || chapter || name || '.md',
+  '# ' || chapter || ' ' || chapter_title || ' ' || name || coalesce(' ' || title, '') || chr(10) || chr(10) || '## この節の条文' || chr(10) || chr(10) || items, 0, ids, law_name || ',kind/section' FROM s""",
+    "q_article_front": f"""WITH {_ARTICLES}, x AS (SELECT *, pos % 13 = 0 AS su, pos % 26 = 0 AS fr, pos % 26 = 0 AND pos % 52 <> 0 AS am, '平成' || (pos % 9 + 1) || '年六月法律第' || (pos % 90 + 1) || '号' AS t,
+  CASE WHEN pos % 5 = 0 THEN '第' || (chapter_num // 10) || '章の' || (chapter_num % 10) ELSE '第' || chapter_num || '章' END AS c, CASE WHEN pos % 4 = 0 THEN '第' || (section_num // 10) || '節の' || (section_num % 10) ELSE '第' || section_num || '節' END AS s,
+  CASE WHEN pos % 26 = 0 THEN 'amendment_fragment' WHEN pos % 13 = 0 THEN 'supplement' ELSE 'article' END AS kind FROM articles)
+SELECT node_id AS id, kind AS type, '[[laws/' || law_name || '/' || CASE WHEN su THEN law_name WHEN section_num IS NOT NULL THEN '節/' || c || s ELSE '章/' || c END || ']]' AS parent, law_name || ',kind/' || kind AS tags,
+  CASE WHEN pos % 3 = 0 THEN TRUE END AS has_proviso, CASE WHEN am THEN 'amendment' END AS suppl_kind, CASE WHEN am THEN 'H' || (pos % 9 + 1) || '_L' || (pos % 90 + 1) END AS amendment_law_id, CASE WHEN am THEN t END AS amendment_law_title,
+  CASE WHEN am THEN 'partial' END AS scope, CASE WHEN am THEN law_name END AS parent_law_name FROM x""",
+    "q_visible_files": """WITH f AS (SELECT c_custkey, c_nationkey, 'laws/x' || c_nationkey || '/' || c_custkey || '.md' AS path FROM customer WHERE c_custkey % 7 <> 0 AND c_custkey % 5 <> 0)
+SELECT path, 'prefix' AS scan FROM f WHERE c_nationkey = 3 UNION ALL SELECT path, 'all' FROM f""",
+    "q_pending_filters": f"SELECT event_id AS id, 'external_law' AS kind, {_law('user_id % 8')} AS src_law_name FROM events WHERE event_id % 2 = 0 AND user_id % 8 = 1",
+    "q_redirect_sources": "SELECT p_partkey AS file_id, '第' || p_partkey || '条.md' AS name FROM part WHERE p_partkey % 4 IN (2, 3) AND p_partkey % 6 <> 0",
+    "q_amend_law": """SELECT o_orderkey AS id, o_orderkey % 3 = 0 AND o_orderkey % 12 <> 0 AND o_orderkey % 9 <> 0 AS changed,
+  CASE WHEN o_orderkey % 12 = 0 THEN 'k' WHEN o_orderkey % 3 = 0 AND o_orderkey % 9 <> 0 THEN 'H' || (o_orderkey % 9 + 1) || '_L' || o_custkey END AS normalized_id,
+  CASE WHEN o_orderkey % 12 = 0 THEN 'full' WHEN o_orderkey % 3 = 0 AND o_orderkey % 9 <> 0 THEN 'partial' END AS scope, CASE WHEN o_orderkey % 12 = 0 THEN 'y' WHEN o_orderkey % 3 = 0 AND o_orderkey % 9 <> 0 THEN o_orderstatus END AS parent_law_name FROM orders""",
     "q_parent": f"""WITH {_ARTICLES}, named AS (SELECT *, CASE WHEN pos % 5 = 0 THEN '第' || (chapter_num // 10) || '章の' || (chapter_num % 10) ELSE '第' || chapter_num || '章' END AS c, CASE WHEN pos % 4 = 0 THEN '第' || (section_num // 10) || '節の' || (section_num % 10) ELSE '第' || section_num || '節' END AS s FROM articles)
 SELECT pos, '[[laws/' || law_name || '/' || CASE WHEN pos % 13 = 0 THEN law_name WHEN section_num IS NOT NULL THEN '節/' || c || s ELSE '章/' || c END || ']]' AS parent FROM named""",
     "q_resolved_parent": f"""WITH {_ARTICLES}, f AS (SELECT {_law('s_suppkey % 8')} AS law_name, '第' || (s_suppkey % 12 + 1) || '章' AS c, '第' || (s_suppkey % 2 + 1) || '節' AS s, s_suppkey FROM supplier),
@@ -127,7 +152,7 @@ has AS (SELECT e.*, EXISTS (SELECT 1 FROM part WHERE p_partkey % 3 <> 0 AND p_pa
 SELECT CAST(event_id AS VARCHAR) AS id, CASE WHEN event_id % 2 = 0 THEN CASE WHEN m THEN 'laws/' || ext || '/本文/第' || n || '条.md' END WHEN a THEN 'laws/' || src || '/附則/改正法/' || key || '/附則第' || n || '条.md' WHEN o THEN 'laws/' || src || '/附則/改正法/' || key || '/第' || n || '条.md' END AS target FROM has""",
     "q_multiset_diff": f"WITH {_DIFF} SELECT * FROM d",
     "q_file_diff": f"WITH {_SNAPSHOTS} SELECT path, status FROM files",
-    "q_meta_diff": f"WITH {_SNAPSHOTS} SELECT b.path, 'priority' AS field, b.body AS before, a.body AS after FROM b JOIN a ON a.path = b.path WHERE a.body <> b.body",
+    "q_meta_diff": f"WITH {_SNAPSHOTS} SELECT b.path, 'priority' AS field, b.body AS before, 'x' AS after FROM b JOIN a ON a.path = b.path WHERE a.body = 'x' AND b.body <> 'x'",
     "q_verdict": f"""WITH {_SNAPSHOTS}, {_DIFF}, v AS (SELECT count(*) FILTER (WHERE status = 'missing') AS n_missing, count(*) FILTER (WHERE status = 'changed') AS n_changed, count(*) FILTER (WHERE status IN ('new', 'structure')) AS n_new,
   (SELECT CAST(coalesce(sum(n), 0) AS BIGINT) FROM d WHERE side = 'missing') AS n_edges_missing, (SELECT CAST(coalesce(sum(n), 0) AS BIGINT) FROM d WHERE side = 'new') AS n_edges_new FROM files)
 SELECT *, n_missing + n_changed + n_edges_missing + n_edges_new = 0 AS compatible FROM v""",
@@ -144,7 +169,7 @@ r AS (SELECT text_id, n AS num, '第' || n || '条#第2項' AS target_id, 'absol
   UNION ALL SELECT text_id, a - i, '第' || (a - i) || '条', 'relative', '前三条' FROM l, unnest([1, 2, 3]) AS u(i) WHERE k = 1 AND a - i > 0
   UNION ALL SELECT text_id, a + 1, '第' || (a + 1) || '条#第1項', 'relative', '次条第一項' FROM l WHERE k = 2
   UNION ALL SELECT text_id, n, '第' || n || '条', 'absolute', '第' || n || '条' FROM l WHERE k = 2)
-SELECT text_id, target_id, type, original, num < 1000 AND EXISTS (SELECT 1 FROM part WHERE p_partkey = num) AS resolved FROM r""",
+SELECT text_id, target_id, type, original, EXISTS (SELECT 1 FROM part WHERE p_partkey = num) AS resolved FROM r""",
     "q_unlink": """SELECT l_orderkey * 10 + l_linenumber AS text_id, CASE WHEN l_linenumber % 2 = 0 THEN '旧民法[[laws/民法/本文/第' || l_partkey || '条.md|第' || l_partkey || '条]]の' ELSE 'この第' || l_partkey || '条の' END AS body,
   CAST(l_linenumber % 2 AS INT) AS n_unlinked, CAST(1 - l_linenumber % 2 AS INT) AS n_kept FROM lineitem""",
     "q_relink": """SELECT l_orderkey * 10 + l_linenumber AS text_id, '民法の一部。' || CASE WHEN l_linenumber % 2 = 0 THEN '新民法の例による[[laws/民法/本文/第' || l_partkey || '条.md|第' || l_partkey || '条]]' ELSE '附則第' || l_partkey || '条' END AS body,

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from kasane.functions import links as L
 from kasane.functions import names as N
 from kasane.functions import numerals as K
-from kasane.operators import catalogue, citations, explicit, integrity, repair, rewrite, snapshots, structure, tree
+from kasane.operators import catalogue, citations, explicit, integrity, nodes, repair, rewrite, snapshots, structure, tree
 from kasane.plans import statutes
 from kasane.plans.statutes import table
 
@@ -130,6 +130,53 @@ def q_section_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("law_id", "chapter_num", "section_num", "section_title", F.array_join("node_ids", ",").alias("node_ids"))
 
 
+@query
+def q_structure_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Chapter and section nodes with their bodies."""
+    rows = nodes.structure_nodes(statutes.articles(spark, sf_dir))
+    return rows.select("id", "type", "parent", "path", "body", F.coalesce("section_count", F.lit(0)).alias("section_count"), F.array_join("article_ids", ",").alias("article_ids"), F.array_join("tags", ",").alias("tags"))
+
+
+@query
+def q_article_front(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Front matter of articles, supplements and fragments of amendments."""
+    rows = statutes.articles(spark, sf_dir).selectExpr("*", "if(pos % 13 = 0, 'suppl', 'main') AS part", "pos % 26 = 0 AS fragment", "if(pos % 52 = 0, null, concat('平成', pos % 9 + 1, '年六月法律第', pos % 90 + 1, '号')) AS amend_law_num", "pos % 3 = 0 AS has_proviso")
+    made = nodes.article_front(rows)
+    return made.select("id", "type", "parent", F.array_join("tags", ",").alias("tags"), "has_proviso", "suppl_kind", "amendment_law_id", "amendment_law_title", F.col("amend_law.scope").alias("scope"), F.col("amend_law.parent_law_name").alias("parent_law_name"))
+
+
+@query
+def q_visible_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files that a scan sees: hidden ones left out, under a prefix that exists, and under one that does not."""
+    files = table(spark, sf_dir, "customer").selectExpr("concat('laws/', if(c_custkey % 7 = 0, '.git/', ''), 'x', c_nationkey, '/', if(c_custkey % 5 = 0, '.', ''), c_custkey, '.md') AS path")
+    some = integrity.visible(files, "laws/x3").select("path", F.lit("prefix").alias("scan"))
+    return some.union(integrity.visible(files, "none").select("path", F.lit("all").alias("scan")))
+
+
+@query
+def q_pending_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pending links of one law and one kind."""
+    rows = table(spark, sf_dir, "events").selectExpr("event_id AS id", "if(event_id % 2 = 0, 'external_law', 'amendment_self') AS kind", f"{statutes._pick('user_id % 8', 0)} AS src_law_name")
+    return integrity.pending_of(rows, statutes.LAWS[1][0], "external_law")
+
+
+@query
+def q_redirect_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files whose links may be led to ranges."""
+    files = table(spark, sf_dir, "part").selectExpr("p_partkey AS file_id", "p_brand AS law_name", "case p_partkey % 4 when 0 then concat(p_brand, '.md') when 1 then concat('第', p_partkey, ':9条.md') else concat('第', p_partkey, '条.md') end AS name", "if(p_partkey % 6 = 0, 'amendment', nullif('', '')) AS suppl_kind")
+    return integrity.redirect_sources(files).select("file_id", "name")
+
+
+@query
+def q_amend_law(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nested records of amending laws where they are missing."""
+    rows = table(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey AS id", "case o_orderkey % 3 when 0 then 'amendment' when 1 then 'initial' end AS suppl_kind", "if(o_orderkey % 9 = 0, null, concat('平成', o_orderkey % 9 + 1, '年五月法律第', o_custkey, '号')) AS amendment_law_title", "'L1' AS law_id", "o_orderstatus AS law_name",
+        "if(o_orderkey % 12 = 0, named_struct('num', 'kept', 'normalized_id', 'k', 'scope', 'full', 'parent_law_id', 'x', 'parent_law_name', 'y'), null) AS amend_law",
+    )
+    return nodes.with_amend_law(rows).select("id", "changed", F.col("amend_law.normalized_id").alias("normalized_id"), F.col("amend_law.scope").alias("scope"), F.col("amend_law.parent_law_name").alias("parent_law_name"))
+
+
 @query
 def q_parent(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links from articles to what they stand in."""
@@ -327,10 +374,10 @@ def q_multiset_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _snapshots(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     o = table(spark, sf_dir, "orders")
-    path = "concat('laws/x/', if(o_orderkey % 9 = 0, '章/', ''), o_orderkey, '.md') AS path"
+    path = "concat(case o_orderkey % 9 when 0 then '章/' when 1 then '本文/章/' else '本文/' end, o_orderkey, '.md') AS path"
     fields = "map('status', o_orderstatus, 'priority', {}, 'tags', string(o_orderkey % {})) AS fields"
     before = o.where("o_orderkey % 10 <> 0").selectExpr(path, "o_orderpriority AS body", fields.format("o_orderpriority", 3))
-    after = o.where("o_orderkey % 11 <> 0").selectExpr(path, "if(o_orderkey % 13 = 0, 'x', o_orderpriority) AS body", fields.format("if(o_orderkey % 13 = 0, 'x', o_orderpriority)", 4))
+    after = o.where("o_orderkey % 11 <> 0").selectExpr(path, "case when o_orderkey % 13 = 0 then 'x' when o_orderkey % 4 = 0 then concat(o_orderpriority, ' \\t\\n\\n') when o_orderkey % 4 = 1 then concat(' ', o_orderpriority) else o_orderpriority end AS body", fields.format("if(o_orderkey % 13 = 0, 'x', o_orderpriority)", 4))
     return before, after
 
 
@@ -394,7 +441,7 @@ def q_explicit_refs(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.concat(F.lit("次条第一項、第"), n.cast("string"), F.lit("条")))
     )
     texts = rows.select(F.expr("l_orderkey * 10 + l_linenumber").alias("text_id"), text.alias("text"), F.expr("int(l_suppkey % 5 + 1)").alias("article"))
-    available = statutes.articles(spark, sf_dir).selectExpr("concat('第', pos, '条') AS article_name").where("length(article_name) < 6")
+    available = statutes.articles(spark, sf_dir).selectExpr("concat('第', pos, '条') AS article_name")
     return explicit.references(texts, available).select("text_id", "target_id", "type", "original", "resolved")
 
 
