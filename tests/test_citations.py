@@ -1,58 +1,69 @@
-"""Citation cases: each text with the articles it links and the edges it makes."""
+"""Citation cases: each text with the articles it links and the edges it makes.
+
+The texts are made from sentence patterns, one for each rule, with laws and numbers put in.
+"""
+
+import itertools
+import re
 
 import pytest
 
 from kasane.operators import citations
 
-CORPUS = [("刑法", "140AC0000000045"), ("民法", "129AC0000000089"), ("日本国憲法", "321CONSTITUTION"), ("会社法", "417AC0000000086")]
-LONG = "民法" + "あ" * 60 + "第二十七条"
-NOGYO, BENGO, SHIHO = "農業協同組合法（昭和二十二年法律第百三十二号）", "弁護士法（昭和二十四年法律第二百五号）", "司法書士法（昭和二十五年法律第百九十七号）"
-# law, fragment, text, laws held, links (law:article), external targets, edges to laws
-CASES = [
-    ("民法", False, "民事執行法第二十条の規定により、", "刑法 民法", "", "", 0),
-    ("民法", False, "土地収用法第八十四条、第八十五条の規定を準用する。", "刑法 民法", "", "", 0),
-    ("民法", False, "刑法第百九十九条の規定は、", "刑法 民法", "刑法:第199条", "", 1),
-    ("民法", False, "刑法第百九十九条の規定は、", "", "刑法:第199条", "", 0),
-    ("民法", False, "刑法第百九十九条及び第二百条の規定は、", "刑法 民法", "刑法:第199条 刑法:第200条", "", 2),
-    ("民法", False, "刑法第五条及び同法第六条の規定は、", "刑法 民法", "刑法:第5条", "", 1),
-    ("民法", False, "前条の規定は、第七条に準用する。", "", "民法:第7条", "", 1),
-    ("民法", False, "第十九条の二の規定により、", "", "民法:第19条の2", "", 1),
-    ("民法", True, "第十条を次のように改める。", "", "", "", 0),
-    ("民法", True, "民法第十条を次のように改める。", "", "民法:第10条", "", 1),
-    ("民法", True, "第二十七条に規定する場合", "", "", "", 0),
-    ("民法", True, "住民基本台帳法第三十条の規定", "", "", "", 0),
-    ("民法", True, "第一条及び民法第二条の規定により第三条を改正", "", "民法:第2条", "", 1),
-    ("民法", True, "民法第三条の二を改正する", "", "民法:第3条の2", "", 1),
-    ("民法", True, "民法の第二十七条に規定する", "", "民法:第27条", "", 1),
-    ("民法", True, "民法（改正前）第二十七条の規定", "", "民法:第27条", "", 1),
-    ("民法", True, "民法、第二十七条を参照", "", "民法:第27条", "", 1),
-    ("民法", True, "民法\n第二十七条の規定", "", "民法:第27条", "", 1),
-    ("民法", True, LONG, "", "", "", 0),
-    ("民法", False, "民法第二条の規定により、第三条を適用する", "", "民法:第2条 民法:第3条", "", 2),
-    ("会社法", False, NOGYO + "第九十七条において", "会社法", "", "external:農業協同組合法#main#97", 0),
-    ("会社法", False, "この節の規定若しくは" + NOGYO + "第九十七条の四第五項において", "会社法", "", "external:農業協同組合法#main#97_4", 0),
-    ("会社法", False, BENGO + "第三十条の二十八第六項、" + SHIHO + "第四十五条の二第六項において", "会社法", "", "external:弁護士法#main#30_28 external:司法書士法#main#45_2", 0),
-    ("会社法", False, "民法（明治二十九年法律第八十九号）第九十三条の規定を準用する", "民法 会社法", "民法:第93条", "", 1),
-    ("会社法", False, "民法第九十三条の規定は、第七百七十四条の四において適用する", "民法", "民法:第93条 会社法:第774条の4", "", 2),
-    ("会社法", False, "民法第九十三条第一項及び第九十四条第一項の規定", "民法", "民法:第93条 民法:第94条", "", 2),
-    ("会社法", False, "第九百五十五条第一項の規定に違反し", "", "会社法:第955条", "", 1),
-    ("会社法", False, "民法の規定にかかわらず、第七百七十四条の四を適用", "", "会社法:第774条の4", "", 1),
-    ("会社法", False, "会社法（平成十七年法律第八十六号）第九百五十五条の規定", "", "会社法:第955条", "", 1),
-    ("テスト法", False, "本法第十条の規定による", "", "テスト法:第10条", "", 1),
-    ("テスト法", False, "当該法律第三条の規定", "", "テスト法:第3条", "", 1),
-    ("テスト法", False, "本法第一条、第二条、第三条に定める", "", "テスト法:第1条 テスト法:第2条 テスト法:第3条", "", 2),  # the first is the source itself
-    ("テスト法", False, "商法第五百条の規定", "", "", "", 0),
-    ("テスト法", True, "第十条の規定による", "", "", "", 0),
-    ("テスト法", True, "本法第十条の規定による", "", "テスト法:第10条", "", 1),
-    ("テスト法", False, "会社法第一条、第二条、第三条を準用する", "会社法", "会社法:第1条 会社法:第2条 会社法:第3条", "", 3),
-    ("テスト法", False, "少年法第一条の規定", "会社法", "", "", 0),
-    ("テスト法", False, "旧刑法第百九十九条の規定", "刑法", "刑法:第199条", "", 1),
-    ("テスト法", False, "憲法第九条の規定", "日本国憲法", "日本国憲法:第9条", "", 1),
-    ("テスト法", False, "新民法第七百九条の規定", "民法", "民法:第709条", "", 1),
-    ("テスト法", False, "刑法第百九十九条及び会社法第一条の規定", "刑法 会社法", "刑法:第199条 会社法:第1条", "", 2),
-    ("テスト法", False, "会社法第一条及び少年法第二条の規定", "会社法", "会社法:第1条", "", 1),
-    ("民法", False, "", "民法", "", "", 0),
-]
+CORPUS = [("民事訴訟法", "408AC0000000109"), ("刑事訴訟法", "323AC0000000131"), ("刑法", "140AC0000000045")]
+HELD = "民事訴訟法 刑事訴訟法"
+DIGITS = "〇一二三四五六七八九"
+
+
+def kanji(n):
+    """A number up to 999."""
+    out = ""
+    for unit, sign in ((100, "百"), (10, "十"), (1, "")):
+        d = n // unit % 10
+        out += "" if not d else sign if d == 1 and sign else DIGITS[d] + sign
+    return out
+
+
+def art(n, branch=0):
+    return f"第{kanji(n)}条" + (f"の{kanji(branch)}" if branch else "")
+
+
+def to(law, n, branch=0):
+    return f"{law}:第{n}条" + (f"の{branch}" if branch else "")
+
+
+def cases():
+    """(law, fragment, text, laws held, links (law:article), external targets, edges to laws)."""
+    for own, n, m in itertools.product(("民事訴訟法", "刑事訴訟法"), (12, 340), (58, 207)):
+        other = next(x for x in HELD.split() if x != own)
+        # articles of the law itself, one or more, with a branch
+        yield own, False, f"裁判所は、{art(n)}に定めるところにより、{art(m, 3)}の期間を延ばす。", HELD, f"{to(own, n)} {to(own, m, 3)}", "", 2
+        # a law of the corpus before the number, and its range to further numbers
+        yield own, False, f"その手続には{other}{art(n)}及び{art(m)}の例による。", HELD, f"{to(other, n)} {to(other, m)}", "", 2
+        # old and new laws are read as the law
+        yield own, False, f"なお旧{other}{art(n)}による。", HELD, to(other, n), "", 1
+        # a reset word ends the range of another law
+        yield own, False, f"{other}{art(n)}に従う。前条の申立ては、{art(m)}による。", HELD, f"{to(other, n)} {to(own, m)}", "", 2
+        # a law outside, known by name, takes its numbers along without a link
+        yield own, False, f"登録は特許法{art(n)}、{art(m)}の例による。", HELD, "", "", 0
+        # a law outside with its number in brackets is an external edge
+        yield own, False, f"港湾荷役法（昭和三十年法律第七十号）{art(n)}に定める者", HELD, "", f"external:港湾荷役法#main#{n}", 0
+        yield own, False, f"又は港湾荷役法（昭和三十年法律第七十号）{art(n, 2)}に定める者", HELD, "", f"external:港湾荷役法#main#{n}_2", 0
+        # the law names itself
+        yield own, False, f"この法律{art(n)}を守る。", HELD, to(own, n), "", 1
+        # fragments of amendments link only what a law's name stands before
+        yield own, True, f"{art(n)}を削る。", HELD, "", "", 0
+        yield own, True, f"{art(m)}を加え、{own}{art(n)}を削る。", HELD, to(own, n), "", 1
+        yield own, True, f"{own}の{art(n)}を削る。", HELD, to(own, n), "", 1
+        yield own, True, f"{own}（施行前のもの）{art(n)}を削る。", HELD, to(own, n), "", 1
+        yield own, True, f"{own}" + "い" * 70 + art(n), HELD, "", "", 0
+        yield own, True, f"著作権法{art(n)}を削る。", HELD, "", "", 0
+    # a linked law that the corpus lacks has a link and no edge
+    yield "民事訴訟法", False, f"刑法{art(41)}の者", HELD, to("刑法", 41), "", 0
+    yield "民事訴訟法", False, "", HELD, "", "", 0
+
+
+CASES = list(cases())
 
 
 @pytest.mark.parametrize("held", sorted({c[3] for c in CASES}))
@@ -66,8 +77,6 @@ def test_cases(spark, held):
     edges = citations.edges(decided).orderBy("text_id", "ord").collect()
     shown = {r.text_id: r.text for r in citations.linked_text(texts, decided).collect()}
     for i, (_, _, text, _, links, external, n_edges) in own:
-        import re
-
         found = [f"{m[1]}:{m[2]}" for m in re.finditer(r"\[\[laws/([^/]+)/本文/([^.]+)\.md\|", shown[i])]
         assert found == links.split(), text
         assert re.sub(r"\[\[[^|\]]+\|([^\]]+)\]\]", r"\1", shown[i]) == text
