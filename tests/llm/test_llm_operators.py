@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import math
 import random
 import re
 
@@ -177,6 +178,51 @@ def test_licenses(spark, docs, rows, empty):
     assert licenses.licenses(empty).count() == 0
 
 
+def brute_licenses(rows, least, shift):
+    """Every template at every place of every text, by the definition of a find."""
+    texts = [words(t) for _, t in rows]
+    vocabulary = {w for t in licenses.TEMPLATES for w in words(t.text)}
+    df = {w: sum(w in set(x) for x in texts) for w in vocabulary}
+    idf = {w: math.log1p(len(texts) / (1 + df[w])) + 1e-9 for w in vocabulary}
+    want = collections.Counter()
+    for (d, _), x in zip(rows, texts, strict=True):
+        found = []
+        for t in licenses.TEMPLATES:
+            ws, key = words(t.text), words(t.key or t.text)
+            k = next(i for i in range(len(ws)) if ws[i : i + len(key)] == key)
+            for p in range(len(x) - len(key) + 1):
+                if x[p : p + len(key)] == key:
+                    b = p - k
+                    near = [range(b + j, b + j + 1) if k <= j < k + len(key) else range(max(0, b + j - shift), b + j + shift + 1) for j in range(len(ws))]
+                    share = sum(idf[w] for w, r in zip(ws, near, strict=True) if w in x[r.start : max(0, r.stop)]) / sum(idf[w] for w in ws)
+                    if not t.key or share >= least:
+                        found.append((t.label, t.base, max(0, b), min(b + len(ws), len(x)), round(min(share, 1), 9)))
+        want[d, len(x), tuple(sorted(found))] += 1
+    return want
+
+
+def test_licenses_of_moved_and_broken_notices(spark, rows):
+    mit, gpl, mpl = (next(t.text for t in licenses.TEMPLATES if t.label == k and len(t.text) > 100) for k in ("mit", "gpl-3", "mpl-2"))
+    w = gpl.split()
+    own = [
+        (910, "a b c " + mit),
+        (911, " ".join(w[:4] + ["really", "indeed"] + w[4:])),  # inserted far from the key phrase
+        (912, " ".join(w[:2] + w[5:])),  # left out
+        (913, " ".join(w[:-8] + ["or"] + w[-8:])),  # the key phrase is broken
+        (914, mpl.replace("mozilla public", "Mozilla-Public")),
+        (915, "you may not use this file, except in compliance with the License"),
+        (916, "x except in compliance with the license"),  # the key phrase alone
+        (917, "license license the mit under " * 50 + "under the mit license"),
+        (918, gpl + " " + gpl),
+    ]
+    every = [*rows, *own]
+    docs = spark.createDataFrame([(d, t, 1) for d, t in every], "doc_id long, text string, places int").repartition(3)
+    got = collections.Counter((r.doc_id, r.n_words, tuple(sorted((x.label, x.base, x.start, x.end, round(x.score, 9)) for x in r.places))) for r in licenses.licenses(docs).collect())
+    assert got == brute_licenses(every, licenses.LEAST, licenses.SHIFT)
+    labels = {d: {x[0] for x in found} for d, _, found in got}
+    assert [sorted(labels[d]) for d in range(910, 919)] == [["mit"], ["gpl-3"], ["gpl-3"], [], ["mpl-2"], ["apache-2"], [], ["mit"], ["gpl-3"]]
+
+
 @pytest.fixture(scope="module")
 def pages(spark):
     html = [(1, "u 1", "<p>é</p>" * 20), (2, "u2", "<p>é</p>" * 20), (2, "u2", "<p>é</p>" * 20), (3, None, "short"), (4, "u4", "short"), (5, "u5", None), (6, "u6", ""), (None, "u7", "<p>é</p>" * 20), (8, "u8", "x" * 600_000), (9, "u9", "a\r\n\r\nb")]
