@@ -3,17 +3,19 @@
 Every version of every path is addressed by the SHA-256 of its content. The ledger holds, for each content, the
 rules (name and version) it was scanned with and the spans found. A scan takes only the contents for which the
 ledger lacks a rule version, each once however many paths hold it, and only with the rules that are missing;
-findings are then joined back to all paths.
+findings are then joined back to all paths. A ledger is a folder of Parquet tables to which each run appends:
+``blobs`` (blob, rules, spans) and, for the history of files, ``paths`` (path, version, blob).
 """
 
 from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kasane.plans.staging import stage
+from kasane.plans.staging import fresh_path, sized, stage
 
 
 class Rule(NamedTuple):
@@ -45,6 +47,8 @@ RULES = (
 )
 BASE = ("assign", "access", "hex")
 _SPANS = "array<struct<kind: string, start: int, end: int>>"
+BLOBS = f"blob string, rules array<string>, spans {_SPANS}"
+PATHS = "path string, version string, blob string"
 
 
 def spans_of(text: Column, rule: Rule) -> Column:
@@ -79,8 +83,7 @@ def scan(versions: DataFrame, ledger: DataFrame | None = None, text_col: str = "
 
     ``versions``: rows with a text, any path and version columns are ignored. A null text is the empty content.
     """
-    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    blobs = versions.select(F.sha2(text.cast("binary"), 256).alias("blob"), text.alias("content"))
+    blobs = versions.select(_blob(text_col), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("content"))
     every = F.array(*(F.lit(r.key) for r in rules))
     if ledger is None:
         todo = blobs.groupBy("blob").agg(F.first("content").alias("content")).withColumn("missing", every)
@@ -92,27 +95,67 @@ def scan(versions: DataFrame, ledger: DataFrame | None = None, text_col: str = "
     return todo.select("blob", F.col("missing").alias("rules"), _scanned(F.col("content"), F.col("missing"), rules).alias("spans"))
 
 
+def _blob(text_col: str) -> Column:
+    return F.sha2(F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary"), 256).alias("blob")
+
+
+def read_table(spark: SparkSession, path: str, schema: str) -> DataFrame | None:
+    """A table of a ledger as it is now; None if no run has written it yet."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
+def update(versions: DataFrame, ledger_path: str, text_col: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """Append to the ledger what it lacks for ``versions``, and return its table of blobs. A run that was broken off is repeated without harm."""
+    spark, path = versions.sparkSession, f"{ledger_path}/blobs"
+    scan(versions, read_table(spark, path, BLOBS), text_col, rules).write.mode("append").parquet(path)
+    return read_table(spark, path, BLOBS)
+
+
 def findings(paths: DataFrame, ledger: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """``paths``, which has a column blob, with the column spans: what the ledger holds for each content under the current ``rules``, by start, then rule order."""
+    """``paths``, which has a column blob, with the column spans: what the ledger holds for each content under the current ``rules``, by start, then rule order.
+
+    Contents with findings are few; they are staged, and go to every task if they weigh little, so that a content with many paths gathers nowhere.
+    """
     kinds = F.array(*(F.lit(r.kind) for r in rules))
     current = F.array(*(F.lit(r.key) for r in rules))
     ran = F.transform(F.array_intersect("rules", current), lambda r: F.substring_index(r, "@", 1))
     live = F.filter("spans", lambda s: F.array_contains(ran, s["kind"]))
-    known = ledger.select("blob", live.alias("spans")).where("size(spans) > 0").groupBy("blob").agg(F.flatten(F.collect_list("spans")).alias("spans"))
+    known = ledger.select("blob", live.alias("spans")).where("size(spans) > 0").groupBy("blob").agg(F.array_distinct(F.flatten(F.collect_list("spans"))).alias("spans"))
     keyed = F.transform("spans", lambda s: F.struct(s["start"].alias("start"), F.array_position(kinds, s["kind"]).alias("rank"), s["end"].alias("end"), s["kind"].alias("kind")))
     in_order = F.transform(F.array_sort(keyed), lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
-    joined = paths.join(known, "blob", "left")
+    joined = paths.join(sized(stage(known, "findings"), weight="1 + size(spans)"), "blob", "left")
     return joined.withColumn("spans", F.coalesce(in_order, F.array().cast(_SPANS)))
 
 
-def scan_documents(docs: DataFrame, ledger: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
+def scan_documents(docs: DataFrame, ledger_path: str | None = None, id_col: str = "doc_id", text_col: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """(doc_id, blob, spans): all findings of every row of ``docs``, one row each, repeated rows included.
 
-    New ledger rows are written to the shared folder first, so findings and later scans read them from there.
+    What the ledger at ``ledger_path`` holds is not scanned again, and what it lacks is appended to it; without a path
+    the ledger is a new one in the session's shared folder. An empty table gives an empty table.
     Nulls: a null text is empty and has no spans; a null id is returned as null. Other columns are ignored.
     """
-    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    new = stage(scan(docs, ledger, text_col, rules), "ledger")
-    whole = new if ledger is None else ledger.select("blob", "rules", "spans").unionByName(new)
-    paths = docs.select(F.col(id_col).alias("doc_id"), F.sha2(text.cast("binary"), 256).alias("blob"))
-    return findings(paths, whole, rules).select("doc_id", "blob", "spans")
+    ledger = update(docs, ledger_path or fresh_path(docs.sparkSession, "ledger"), text_col, rules)
+    return findings(docs.select(F.col(id_col).alias("doc_id"), _blob(text_col)), ledger, rules).select("doc_id", "blob", "spans")
+
+
+def scan_history(versions: DataFrame, ledger_path: str, path_col: str = "path", version_col: str = "version", text_col: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """(path, version, blob, spans): all findings of every version that this run or an earlier one has recorded in the ledger, one row each.
+
+    ``versions`` may be the new ones only: a raised rule version is applied to the contents given, and findings of a
+    rule that did not see a content in its current version are left out. Repeated rows are one version; null paths and versions are
+    values like others; a null text is the empty content; an empty table records nothing. Other columns are ignored.
+    """
+    spark, place = versions.sparkSession, f"{ledger_path}/paths"
+    given = versions.select(F.col(path_col).cast("string").alias("path"), F.col(version_col).cast("string").alias("version"), _blob(text_col)).distinct()
+    ledger = update(versions, ledger_path, text_col, rules)
+    recorded = read_table(spark, place, PATHS)
+    if recorded is not None:
+        old = recorded.withColumnsRenamed({"path": "old_path", "version": "old_version", "blob": "old_blob"})
+        given = given.join(old, (given["blob"] == old["old_blob"]) & given["path"].eqNullSafe(old["old_path"]) & given["version"].eqNullSafe(old["old_version"]), "left_anti")
+    given.write.mode("append").parquet(place)
+    return findings(read_table(spark, place, PATHS), ledger, rules).select("path", "version", "blob", "spans")
