@@ -1,8 +1,9 @@
 """Law trees: nested JSON ({tag, attr, children}) flattened once into rows, and what is read from the rows.
 
 Flattening a recursive document is the one imperative step: a law is walked once in a Python task, fed by Arrow,
-and every row carries the chapter and section that it stands in. All else is relational: a subtree is the
-interval of positions from a node to its end.
+and every row carries the chapter and section that it stands in and the line of its ancestors. All else is
+relational: what lies within a node names it in its line, so a subtree is read by one grouping, in proportion to the
+nodes and their depth.
 """
 
 from __future__ import annotations
@@ -11,28 +12,36 @@ import json
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kasane.functions.numerals import loose_int
 
-NODES = "law_id string, pos int, parent_pos int, end_pos int, depth int, part int, tag string, attr map<string,string>, text string, chapter_pos int, section_pos int, article_pos int"
+NODES = "law_id string, pos int, parent_pos int, end_pos int, depth int, part int, tag string, attr map<string,string>, text string, chapter_pos int, section_pos int, article_pos int, line array<struct<tag: string, pos: int>>"
 _ARROW = pa.schema(
-    [("law_id", pa.string()), *((k, pa.int32()) for k in ("pos", "parent_pos", "end_pos", "depth", "part")), ("tag", pa.string()), ("attr", pa.map_(pa.string(), pa.string())), ("text", pa.string()), *((k, pa.int32()) for k in ("chapter_pos", "section_pos", "article_pos"))]
+    [
+        ("law_id", pa.string()),
+        *((k, pa.int32()) for k in ("pos", "parent_pos", "end_pos", "depth", "part")),
+        ("tag", pa.string()),
+        ("attr", pa.map_(pa.string(), pa.string())),
+        ("text", pa.string()),
+        *((k, pa.int32()) for k in ("chapter_pos", "section_pos", "article_pos")),
+        ("line", pa.list_(pa.struct([("tag", pa.string()), ("pos", pa.int32())]))),
+    ]
 )
 
 
 def _walk(law_id: str | None, tree: dict) -> list[dict]:
-    """Rows in preorder; text children are rows of tag #text. A chapter clears the section, a subsection stands for a section."""
+    """Rows in preorder; text children are rows of tag #text. A chapter clears the section, a subsection stands for a section. The line ends with the node itself."""
     rows: list[dict] = []
-    todo: list[tuple] = [(tree, None, 0, None, None, None, None)]
+    todo: list[tuple] = [(tree, None, 0, None, None, None, None, ())]
     while todo:
-        node, up, depth, part, chapter, section, article = todo.pop()
+        node, up, depth, part, chapter, section, article, line = todo.pop()
         if node is None:  # all within the node ``up`` has been seen
             rows[up]["end_pos"] = len(rows) - 1
             continue
         pos = len(rows)
-        row = {"law_id": law_id, "pos": pos, "parent_pos": up, "end_pos": pos, "depth": depth, "part": part, "attr": None, "text": None, "chapter_pos": chapter, "section_pos": section, "article_pos": article}
+        row = {"law_id": law_id, "pos": pos, "parent_pos": up, "end_pos": pos, "depth": depth, "part": part, "attr": None, "text": None, "chapter_pos": chapter, "section_pos": section, "article_pos": article, "line": line}
         rows.append(row)
         if not isinstance(node, dict):
             row |= {"tag": "#text", "text": str(node)}
@@ -47,9 +56,10 @@ def _walk(law_id: str | None, tree: dict) -> list[dict]:
             section = pos
         elif tag == "Article":
             article = pos
-        row |= {"part": part, "chapter_pos": chapter, "section_pos": section, "article_pos": article}
-        todo.append((None, pos, 0, None, None, None, None))
-        todo += [(c, pos, depth + 1, part, chapter, section, article) for c in reversed(node.get("children") or [])]
+        line = (*line, {"tag": tag, "pos": pos})
+        row |= {"part": part, "chapter_pos": chapter, "section_pos": section, "article_pos": article, "line": line}
+        todo.append((None, pos, 0, None, None, None, None, ()))
+        todo += [(c, pos, depth + 1, part, chapter, section, article, line) for c in reversed(node.get("children") or [])]
     return rows
 
 
@@ -69,16 +79,19 @@ def flatten(laws: DataFrame) -> DataFrame:
     return laws.select(F.col("law_id").cast("string"), F.col("tree").cast("string").alias("tree")).mapInArrow(work, NODES)
 
 
-def subtree_text(nodes: DataFrame, tag: str) -> DataFrame:
-    """(law_id, pos, text): the whole text within each node of ``tag``, in document order.
+def _tops(tag: str) -> Column:
+    """The nodes of ``tag`` that a row stands in, itself included."""
+    return F.explode(F.filter("line", lambda x: x["tag"] == tag)["pos"]).alias("top")
 
-    The text rows of a law meet its nodes of ``tag`` on the law and the interval of positions.
-    """
-    tops = nodes.where(F.col("tag") == tag).select("law_id", F.col("pos").alias("top"), "end_pos")
-    texts = nodes.where("tag = '#text'").select("law_id", "pos", "text")
-    inside = tops.join(texts, (tops["law_id"] == texts["law_id"]) & F.col("pos").between(F.col("top"), F.col("end_pos")), "left").select(tops["law_id"], "top", "pos", "text")
-    joined = F.array_join(F.array_sort(F.collect_list(F.struct("pos", "text"))).getField("text"), "")
-    return inside.groupBy("law_id", "top").agg(joined.alias("text")).withColumnRenamed("top", "pos")
+
+def _in_order() -> Column:
+    return F.array_join(F.array_sort(F.collect_list(F.struct("pos", "text"))).getField("text"), "").alias("text")
+
+
+def subtree_text(nodes: DataFrame, tag: str) -> DataFrame:
+    """(law_id, pos, text): the whole text within each node of ``tag``, in document order; empty where there is none."""
+    rows = nodes.where((F.col("tag") == tag) | (F.col("tag") == "#text"))
+    return rows.select("law_id", _tops(tag), "pos", "text").groupBy("law_id", "top").agg(_in_order()).withColumnRenamed("top", "pos")
 
 
 def first_child(nodes: DataFrame, parent_tag: str, child_tag: str) -> DataFrame:
@@ -90,9 +103,7 @@ def first_child(nodes: DataFrame, parent_tag: str, child_tag: str) -> DataFrame:
 
 def descendants(nodes: DataFrame, tag: str, within: str) -> DataFrame:
     """(law_id, top, pos): nodes of ``tag`` within each node of ``within``, itself included."""
-    tops = nodes.where(F.col("tag") == within).select("law_id", F.col("pos").alias("top"), "end_pos")
-    found = nodes.where(F.col("tag") == tag).select("law_id", "pos")
-    return tops.join(found, "law_id").where("pos between top and end_pos").select("law_id", "top", "pos")
+    return nodes.where(F.col("tag") == tag).select("law_id", _tops(within), "pos")
 
 
 def _title(nodes: DataFrame, tag: str, name: str) -> DataFrame:
@@ -129,13 +140,15 @@ def passages(nodes: DataFrame) -> DataFrame:
 
     Each paragraph gives the text of all its sentences, and each item its own once more, so a citation in an item counts twice.
     """
-    sentence = subtree_text(nodes, "Sentence")
+    texts = nodes.where("tag = '#text'").select("law_id", "line", "pos", "text", _tops("Sentence").alias("sentence"))
+    blank = nodes.where("tag = 'Sentence'").select("law_id", "line", "pos", F.lit("").alias("text"), F.col("pos").alias("sentence"))
     out = []
     for kind in ("Paragraph", "Item"):
-        inside = descendants(nodes, "Sentence", kind).join(sentence, ["law_id", "pos"])
-        text = F.array_join(F.array_sort(F.collect_list(F.struct("pos", "text"))).getField("text"), "")
-        rows = inside.groupBy("law_id", F.col("top").alias("pos")).agg(text.alias("text"))
-        out.append(rows.join(nodes.where(F.col("tag") == kind).select("law_id", "pos", "article_pos"), ["law_id", "pos"]).select("law_id", "article_pos", "pos", F.lit(kind.lower()).alias("kind"), "text"))
+        tops = nodes.where(F.col("tag") == kind).select("law_id", "pos", "article_pos")
+        said = texts.union(blank).select("law_id", "sentence", "pos", "text", _tops(kind)).where("top < sentence")
+        whole = F.array_join(F.array_sort(F.collect_list(F.struct("sentence", "pos", "text"))).getField("text"), "").alias("text")
+        text = said.groupBy("law_id", F.col("top").alias("pos")).agg(whole)
+        out.append(text.join(tops, ["law_id", "pos"]).select("law_id", "article_pos", "pos", F.lit(kind.lower()).alias("kind"), "text"))
     return out[0].union(out[1])
 
 

@@ -10,6 +10,7 @@ from kasane.functions import names as N
 from kasane.functions import numerals as K
 from kasane.operators import catalogue, citations, explicit, integrity, nodes, repair, rewrite, snapshots, structure, tree
 from kasane.plans import statutes
+from kasane.plans.staging import stage
 from kasane.plans.statutes import table
 
 QUERIES: dict = {}
@@ -261,13 +262,13 @@ def q_tree_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def q_tree_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Articles with chapter, heading and proviso."""
-    return tree.articles(tree.flatten(_trees(spark, sf_dir))).select("law_id", "article_num", "node_id", "heading", "chapter_num", "chapter_title", "has_proviso")
+    return tree.articles(stage(tree.flatten(_trees(spark, sf_dir)), "nodes")).select("law_id", "article_num", "node_id", "heading", "chapter_num", "chapter_title", "has_proviso")
 
 
 @query
 def q_tree_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Text of the paragraphs of every article."""
-    rows = tree.passages(tree.flatten(_trees(spark, sf_dir)))
+    rows = tree.passages(stage(tree.flatten(_trees(spark, sf_dir)), "nodes"))
     return rows.groupBy("law_id").agg(F.sha2(F.array_join(F.array_sort(F.collect_list(F.struct("pos", "text"))).getField("text"), "|"), 256).alias("digest"), F.count("*").alias("n"))
 
 
