@@ -1,7 +1,7 @@
 """Citations in statutory text: 第N条 and 第N条のM, resolved to the law they mean.
 
 Every decision reads the original text alone, so the citations of a text are generated as rows, each with the
-text before it, and decided independently by column expressions; edges are a filter over the decisions, the
+window of text before it that decides, and decided independently by column expressions; edges are a filter over the decisions, the
 rewritten text is the gaps between citations zipped with their links. The corpus (laws with their identifiers)
 is one broadcast row of small maps; texts themselves are never joined or shuffled.
 """
@@ -54,9 +54,8 @@ def _last(text: Column, word: Column) -> Column:
     return F.when(at > 0, F.length(text) - at + 1).otherwise(0)
 
 
-def _sentence(before: Column) -> Column:
-    """The sentence so far: after the last 。, then after the last blank line; without links, then without brackets."""
-    now = F.regexp_replace(before, r"(?s)^.*。", "")
+def _sentence(now: Column) -> Column:
+    """The sentence so far, what stands since the last 。: after the last blank line; without links, then without brackets."""
     return F.regexp_replace(without_links(F.regexp_replace(now, r"(?s)^.*\n\n", "")), "（[^）]*）", "")
 
 
@@ -95,23 +94,34 @@ def _unbroken(sentence: Column, scope: Column) -> Column:
 
 
 def citations(texts: DataFrame) -> DataFrame:
-    """One row per citation: text_id, law_name, law_id, node_id, fragment, ord, raw, before, after, number.
+    """One row per citation: text_id, law_name, law_id, node_id, fragment, ord, raw, far, now, after, number.
 
     ``texts``: text_id, text, law_name, law_id, node_id, fragment (whether it is a piece of an amending law).
+    far: the ``FAR`` characters before it. now: what stands before it since the last 。. after: what follows, up to the next citation.
+    One fold over the gaps of a text cuts these windows, so a row does not grow with its text and a text takes time in proportion to its length.
     """
     p = F.lit(CITATION)
     rows = texts.select(
-        "text_id", "law_name", "law_id", "node_id", "fragment", "text",
+        "text_id", "law_name", "law_id", "node_id", "fragment",
         F.regexp_extract_all("text", p, F.lit(0)).alias("raws"), F.regexp_extract_all("text", p, F.lit(1)).alias("mains"), F.regexp_extract_all("text", p, F.lit(2)).alias("subs"), F.split("text", CITATION, -1).alias("gaps"),
     )
-    each = rows.where("size(raws) > 0").select(
-        "text_id", "law_name", "law_id", "node_id", "fragment", "text", "gaps", "raws", F.posexplode(F.arrays_zip("raws", "mains", "subs")).alias("ord", "one")
-    )
-    at = F.expr("aggregate(slice(gaps, 1, ord + 1), 0, (n, x) -> n + length(x)) + aggregate(slice(raws, 1, ord), 0, (n, x) -> n + length(x))")
+    rows = rows.where("size(raws) > 0")
+    start = F.expr("named_struct('far', '', 'now', '', 'seen', cast(array() AS array<struct<far: string, now: string>>))")
+
+    def step(acc: Column, x: Column) -> Column:
+        far = F.right(F.concat(acc["far"], x["gap"]), F.lit(FAR))
+        now = F.when(x["gap"].contains("。"), F.substring_index(x["gap"], "。", -1)).otherwise(F.concat(acc["now"], x["gap"]))
+        seen = F.array_append(acc["seen"], F.struct(far.alias("far"), now.alias("now")))
+        return F.struct(F.concat(far, x["raw"]).alias("far"), F.concat(now, x["raw"]).alias("now"), seen.alias("seen"))
+
+    pairs = F.zip_with(F.slice("gaps", F.lit(1), F.size("raws")), "raws", lambda gap, raw: F.struct(gap.alias("gap"), raw.alias("raw")))
+    seen = F.aggregate(pairs, start, step, lambda acc: acc["seen"])
+    follows = F.slice("gaps", F.lit(2), F.size("raws"))
+    each = rows.select("text_id", "law_name", "law_id", "node_id", "fragment", F.posexplode(F.arrays_zip("raws", "mains", "subs", seen.alias("seen"), follows.alias("follows"))).alias("ord", "one"))
     sub = F.when(F.col("one.subs") != "", F.concat(F.lit("_"), kanji_number(F.col("one.subs")).cast("string"))).otherwise("")
     return each.select(
         "text_id", "law_name", "law_id", "node_id", "fragment", "ord", F.col("one.raws").alias("raw"),
-        F.substr("text", F.lit(1), at).alias("before"), F.substr("text", at + F.length("one.raws") + 1, F.lit(10)).alias("after"),
+        F.col("one.seen.far").alias("far"), F.col("one.seen.now").alias("now"), F.left("one.follows", F.lit(10)).alias("after"),
         F.concat(kanji_number(F.col("one.mains")).cast("string"), sub).alias("number"),
     )
 
@@ -125,8 +135,8 @@ def resolved(texts: DataFrame, corpus: DataFrame) -> DataFrame:
     """
     rows = citations(texts).crossJoin(F.broadcast(corpus_row(corpus)))  # one small row
     c = F.col
-    near = F.right("before", F.lit(NEAR))
-    rows = rows.select("*", near.alias("near"), F.regexp_replace(near, "（[^）]*）", "").alias("context"), _sentence(c("before")).alias("sentence"), without_links(F.right("before", F.lit(FAR))).alias("far"))
+    near = F.right("far", F.lit(NEAR))
+    rows = rows.withColumns({"near": near, "context": F.regexp_replace(near, "（[^）]*）", ""), "sentence": _sentence(c("now")), "far": without_links(c("far"))})
     rows = rows.withColumn("numbered", numbered_law(c("near"))["law_name"])
     listed = rf"(?U)(?:{_SELF})第[一-龯〇-九0-9]+条(?:の[一-龯〇-九0-9]+)?[、，,]\s*$"
     rows = rows.withColumns(

@@ -83,3 +83,15 @@ def test_cases(spark, held):
         assert [e.to for e in edges if e.text_id == i and e.kind] == external.split(), text
         assert sum(e.text_id == i and not e.kind for e in edges) == n_edges, text
     assert shown[-1] is None
+
+
+def test_a_long_text_is_read_sentence_by_sentence(spark):
+    own, other = "民事訴訟法", "刑事訴訟法"
+    one = f"裁判所は、{art(12)}によるほか、{other}{art(58)}及び{art(7, 2)}の例による。" + "あ" * 310 + f"{art(9)}に従う。"
+    times = 1500
+    corpus = spark.createDataFrame([(n, i, True) for n, i in CORPUS[:2]], "law_name string, law_id string, has_main boolean")
+    texts = spark.createDataFrame([(i, one * n, own, "X", "n", False) for i, n in ((1, 1), (2, times))], "text_id long, text string, law_name string, law_id string, node_id string, fragment boolean")
+    decided = citations.resolved(texts, corpus).groupBy("text_id", "action", "target_law", "number").count().collect()
+    got = {(r.text_id, r.action, r.target_law, r.number): r["count"] for r in decided}
+    want = [("link", own, "12"), ("link", other, "58"), ("link", other, "7_2"), ("link", own, "9")]
+    assert got == {(i, *w): n for i, n in ((1, 1), (2, times)) for w in want}
