@@ -1,4 +1,8 @@
-"""The second reading of references: absolute with paragraph and item, relative (前条, 次二条), and 同条."""
+"""The second reading of references: absolute with paragraph and item, relative (前条, 次二条), and 同条.
+
+The three patterns are read from each text in its own row, as arrays: 同条 looks at the references of its text, so nothing
+is joined or shuffled before the references of a text are reduced to the first of each.
+"""
 
 from __future__ import annotations
 
@@ -14,19 +18,25 @@ SAME = f"同条(?:第({_N})項)?"
 SNIPPET = 20
 
 
-def _matches(rows: DataFrame, pattern: str, groups: int) -> DataFrame:
-    """Rows with ord, raw, at (code points before the match) and g1..gn for each match of ``pattern`` in ``text``."""
-    lists = [F.regexp_extract_all("text", F.lit(pattern), F.lit(i)).alias(f"g{i}") for i in range(groups + 1)]
-    all_ = rows.select("*", *lists, F.split("text", pattern, -1).alias("gaps")).where("size(g0) > 0")
-    each = all_.select("*", F.posexplode(F.arrays_zip(*(f"g{i}" for i in range(groups + 1)))).alias("ord", "m"))
-    at = F.expr("aggregate(slice(gaps, 1, ord + 1), 0, (n, x) -> n + length(x)) + aggregate(slice(g0, 1, ord), 0, (n, x) -> n + length(x))")
-    out = each.withColumns({"raw": F.col("m.g0"), "at": at, **{f"p{i}": F.col(f"m.g{i}") for i in range(1, groups + 1)}})
-    return out.drop("gaps", "m", *(f"g{i}" for i in range(groups + 1)))
+def _matches(text: Column, pattern: str, groups: int) -> Column:
+    """Structs (ord, raw, at, p1..pn) of the matches of ``pattern``; at: code points before the match. Null of a null text."""
+    lists = [F.regexp_extract_all(text, F.lit(pattern), F.lit(i)).alias(f"p{i}") for i in range(groups + 1)]
+    parts = F.arrays_zip(F.split(text, pattern, -1).alias("gap"), *lists)
+    kind = ", ".join(["ord: int", "raw: string", "at: int", *(f"p{i}: string" for i in range(1, groups + 1))])
+    start = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<struct<{kind}>>").alias("found"))
+
+    def step(acc: Column, x: Column) -> Column:
+        at = acc["at"] + F.length(x["gap"])
+        one = F.struct(F.size(acc["found"]).alias("ord"), x["p0"].alias("raw"), at.alias("at"), *(x[f"p{i}"].alias(f"p{i}") for i in range(1, groups + 1)))
+        found = F.when(x["p0"].isNull(), acc["found"]).otherwise(F.array_append(acc["found"], one))
+        return F.struct((at + F.coalesce(F.length(x["p0"]), F.lit(0))).alias("at"), found.alias("found"))
 
+    return F.aggregate(parts, start, step, lambda acc: acc["found"])
 
-def _snippet() -> Column:
-    lo = F.greatest(F.lit(0), F.col("at") - SNIPPET)
-    return F.translate(F.substr("text", lo + 1, F.col("at") + F.length("raw") + SNIPPET - lo), "\n", " ")
+
+def _snippet(m: Column) -> Column:
+    lo = F.greatest(F.lit(0), m["at"] - SNIPPET)
+    return F.translate(F.substr("text", lo + 1, m["at"] + F.length(m["raw"]) + SNIPPET - lo), "\n", " ")
 
 
 def _paragraph(part: Column) -> Column:
@@ -38,32 +48,44 @@ def _article(main: Column, sub: Column | None = None) -> Column:
     return name if sub is None else F.concat(name, F.when(sub != "", F.concat(F.lit("の"), kanji_number(sub).cast("string"))).otherwise(""))
 
 
-def absolute(texts: DataFrame) -> DataFrame:
-    """``texts``: text_id, text, article (the current number). A branch is read only before 条 (第三の二条), as this reader always did."""
-    rows = _matches(texts, ABSOLUTE, 3)
-    main, sub = F.substring_index("p1", "の", 1), F.when(F.col("p1").contains("の"), F.substring_index("p1", "の", -1)).otherwise("")
-    return rows.select("text_id", "text", "raw", "at", F.lit("absolute").alias("type"), F.lit(0).alias("list"), "ord", F.lit(0).alias("step"), _article(kanji_number(main), sub).alias("article_name"), _paragraph(F.col("p2")).alias("anchor"), _snippet().alias("snippet"))
+def _reference(m: Column, type_: str, list_: Column, step: Column, article_name: Column, anchor: Column) -> Column:
+    """A reference; they are ordered by list, ord, step. first: where its words first stand in the text."""
+    return F.struct(
+        list_.alias("list"), m["ord"].alias("ord"), step.alias("step"), F.lit(type_).alias("type"), m["raw"].alias("raw"),
+        (F.instr("text", m["raw"]) - 1).alias("first"), article_name.alias("article_name"), anchor.alias("anchor"), _snippet(m).alias("snippet"),
+    )
+
+
+def _absolute(m: Column) -> Column:
+    """A branch is read only before 条 (第三の二条), as this reader always did."""
+    branch = m["p1"].contains("の")
+    main, sub = F.substring_index(m["p1"], "の", 1), F.when(branch, F.substring_index(m["p1"], "の", -1)).otherwise("")
+    return _reference(m, "absolute", F.lit(0), F.lit(0), _article(kanji_number(main), sub), _paragraph(m["p2"]))
+
+
+def _relative(m: Column) -> Column:
+    """前条 and 次条, or N of them (前二条), each a reference of its own; numbers below 1 are dropped."""
+    n = F.when(m["p2"] == "", F.lit(1)).otherwise(kanji_number(m["p2"])).cast("int")
+    back = m["p1"] == "前"
+    item = F.when((m["p3"] != "") & (m["p4"] != ""), F.concat(F.lit("第"), kanji_number(m["p4"]).cast("string"), F.lit("号"))).otherwise("")
+    number = lambda i: F.col("article") + F.when(back, -i).otherwise(i)
+    steps = F.filter(F.sequence(F.lit(1), n), lambda i: number(i) > 0)
+    return F.transform(steps, lambda i: _reference(m, "relative", F.when(back, 1).otherwise(2), i, _article(number(i)), F.concat(_paragraph(m["p3"]), item)))
 
 
-def relative(texts: DataFrame) -> DataFrame:
-    """前条 and 次条, or N of them (前二条), each as its own row; numbers below 1 are dropped."""
-    rows = _matches(texts, RELATIVE, 4)
-    n = F.when(F.col("p2") == "", F.lit(1)).otherwise(kanji_number(F.col("p2"))).cast("int")
-    back = F.col("p1") == "前"
-    item = F.when((F.col("p3") != "") & (F.col("p4") != ""), F.concat(F.lit("第"), kanji_number(F.col("p4")).cast("string"), F.lit("号"))).otherwise("")
-    each = rows.withColumn("step", F.explode(F.sequence(F.lit(1), n)))
-    number = F.col("article") + F.when(back, -F.col("step")).otherwise(F.col("step"))
-    return each.where(number > 0).select("text_id", "text", "raw", "at", F.lit("relative").alias("type"), F.when(back, 1).otherwise(2).alias("list"), "ord", "step", _article(number).alias("article_name"), F.concat(_paragraph(F.col("p3")), item).alias("anchor"), _snippet().alias("snippet"))
+def _same(m: Column) -> Column:
+    """同条: the last reference in list order (absolute, then back, then forward) whose words first occur before it; else UNRESOLVED."""
+    name = F.try_element_at(F.filter("earlier", lambda k: k["first"] < m["at"]), F.lit(-1))["article_name"]
+    return _reference(m, "relative", F.lit(3), F.lit(0), F.coalesce(name, F.lit("UNRESOLVED")), F.when(name.isNull(), "").otherwise(_paragraph(m["p1"])))
 
 
-def same_article(texts: DataFrame, earlier: DataFrame) -> DataFrame:
-    """同条: the last reference in list order (absolute, then back, then forward) whose words first occur before it; without one, what the 同条 before it meant; else UNRESOLVED."""
-    rows = _matches(texts, SAME, 1).select("text_id", "text", "raw", "at", "ord", "p1")
-    known = earlier.select("text_id", F.struct("list", "ord", "step").alias("place"), (F.instr("text", F.col("raw")) - 1).alias("first"), "article_name")
-    known = known.groupBy("text_id").agg(F.array_sort(F.collect_list(F.struct("place", "first", "article_name"))).alias("known"))
-    hit = F.try_element_at(F.filter(F.coalesce("known", F.array().cast("array<struct<place:struct<list:int,ord:int,step:int>,first:int,article_name:string>>")), lambda k: k["first"] < F.col("at")), F.lit(-1))["article_name"]
-    joined = rows.join(known, "text_id", "left").withColumn("article_name", hit)
-    return joined.select("text_id", "text", "raw", "at", F.lit("relative").alias("type"), F.lit(3).alias("list"), "ord", F.lit(0).alias("step"), F.coalesce("article_name", F.lit("UNRESOLVED")).alias("article_name"), F.when(F.col("article_name").isNull(), "").otherwise(_paragraph(F.col("p1"))).alias("anchor"), _snippet().alias("snippet"))
+def found(texts: DataFrame) -> DataFrame:
+    """All references of ``texts`` (text_id, text, article: the current number), as rows. A null text has none."""
+    text = F.col("text")
+    rows = texts.select("text_id", "text", "article", _matches(text, ABSOLUTE, 3).alias("absolute"), _matches(text, RELATIVE, 4).alias("relative"), _matches(text, SAME, 1).alias("same"))
+    earlier = F.array_sort(F.concat(F.transform("absolute", _absolute), F.flatten(F.transform("relative", _relative))))
+    rows = rows.select("text_id", "text", "same", earlier.alias("earlier"))
+    return rows.select("text_id", F.inline(F.concat("earlier", F.transform("same", _same))))
 
 
 def references(texts: DataFrame, available: DataFrame) -> DataFrame:
@@ -71,8 +93,7 @@ def references(texts: DataFrame, available: DataFrame) -> DataFrame:
 
     ``available``: article_name of the articles that exist, the current law's.
     """
-    earlier = absolute(texts).unionByName(relative(texts))
-    every = earlier.unionByName(same_article(texts, earlier))
+    every = found(texts)
     first = every.groupBy("text_id", F.concat("article_name", "anchor").alias("target_id"), F.col("raw").alias("original")).agg(F.min_by(F.struct("type", "snippet", "article_name"), F.struct("list", "ord", "step")).alias("x"))
     flags = available.select("article_name", F.lit(True).alias("found")).distinct()
     rows = first.select("text_id", "target_id", "original", "x.type", "x.snippet", "x.article_name").join(flags, "article_name", "left")
