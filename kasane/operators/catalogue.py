@@ -40,3 +40,25 @@ def best_hit(laws: DataFrame, hits: DataFrame) -> DataFrame:
 def targeted(laws: DataFrame, targets: DataFrame) -> DataFrame:
     """Laws that the target list names."""
     return laws.join(targets.select("law_id"), "law_id", "left_semi")
+
+
+def law_folders(files: DataFrame) -> DataFrame:
+    """(law_name, n_files, law_file): the laws that a corpus holds, by the folders under laws/ that are not hidden.
+
+    ``files``: path. law_file: the first visible Markdown file that lies in the folder itself; null if there is none. A folder without files is not seen.
+    """
+    law = F.regexp_extract("path", r"(?:^|/)laws/([^/.][^/]*)/", 1)
+    own = F.when(F.col("path").rlike(r"(?:^|/)laws/[^/]+/[^/.][^/]*\.md$"), F.col("path"))
+    return files.select(law.alias("law_name"), own.alias("own")).where("law_name <> ''").groupBy("law_name").agg(F.count("*").alias("n_files"), F.min("own").alias("law_file"))
+
+
+def law_places(ids: DataFrame, laws: DataFrame, folders: DataFrame) -> DataFrame:
+    """``ids`` (law_id) with the folder and file of each law; null where ``laws`` (law_id, folder) or ``folders`` (see ``law_folders``) lack it."""
+    placed = folders.select(F.col("law_name").alias("folder"), "law_file")
+    return ids.join(laws.select("law_id", "folder"), "law_id", "left").join(placed, "folder", "left").select("law_id", "folder", "law_file")
+
+
+def run_report(runs: DataFrame) -> DataFrame:
+    """(status, error, n, first_target) of ``runs`` (target, error: null where it went well); one failure does not hide the others."""
+    status = F.when(F.col("error").isNull(), "success").otherwise("failed")
+    return runs.groupBy(status.alias("status"), "error").agg(F.count("*").alias("n"), F.min("target").alias("first_target"))

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kasane.functions import names as N
+from kasane.functions.numerals import amendment_key, amendment_title
 
 
 def chapter_id(law_id: Column, chapter: Column) -> Column:
@@ -125,12 +126,39 @@ def contents(files: DataFrame) -> DataFrame:
     return grouped.select("law_name", "folder", "n_files", F.element_at("names", 1).alias("first_file"), F.when(amended, single).otherwise(F.array_join(line, "\n")).alias("body"))
 
 
+def law_pages(files: DataFrame) -> DataFrame:
+    """(law_name, page): the whole table of contents of each law, from the same ``files`` as ``contents``.
+
+    In order: the main part with its count, amendments with theirs (each by the number of its law), supplements in force, initial
+    supplements by number, folders that still have their old names (init_N) last. Other folders are not shown.
+    """
+    c = F.col
+    label = F.substring_index("folder", "/", -1)
+    amended = c("folder").startswith("附則/改正法/")
+    old = F.regexp_extract("folder", "^附則/init_([0-9]+)$", 1).try_cast("int")
+    named = F.regexp_extract("folder", "^附則/制定時附則([0-9]*)$", 1)
+    initial = c("folder").rlike("^附則/制定時附則[0-9]*$")
+    rank = F.when(c("folder") == "本文", 0).when(amended, 1).when(c("folder") == "附則", 2).when(initial, 3).when(old.isNotNull(), 4)
+    number = F.when(initial, F.coalesce(named.try_cast("int"), F.lit(0))).when(old.isNotNull(), old).otherwise(0)
+    title = amendment_title(label)
+    body = F.when(amended, F.regexp_replace("body", r"\|[^\]|]*\]\]", F.concat(F.lit("|"), title, F.lit("]]")))).otherwise(c("body"))
+    rows = contents(files).select("law_name", "folder", "n_files", rank.alias("rank"), number.alias("number"), F.when(initial, label).when(old > 0, F.concat(F.lit("制定時附則"), (old + 1).cast("string"))).otherwise("制定時附則").alias("named"), body.alias("body")).where("rank is not null")
+    lines = F.array_join(F.array_sort(F.collect_list(F.struct("folder", "body"))).getField("body"), "\n")
+    parts = rows.groupBy("law_name", "rank", "number", "named").agg(F.sum("n_files").alias("n"), F.count("*").alias("n_folders"), lines.alias("body"))
+    heading = (
+        F.when(c("rank") == 0, F.concat(F.lit("## 本則（全"), c("n").cast("string"), F.lit("条）")))
+        .when(c("rank") == 1, F.concat(F.lit("## 附則（改正法: "), c("n_folders").cast("string"), F.lit("件）")))
+        .when(c("rank") == 2, F.lit("### 現行附則"))
+        .otherwise(F.concat(F.lit("### "), c("named"), F.lit("（全"), c("n").cast("string"), F.lit("条）")))
+    )
+    whole = F.array_sort(F.collect_list(F.struct("rank", "number", F.concat(heading, F.lit("\n\n"), "body").alias("part")))).getField("part")
+    return parts.groupBy("law_name").agg(F.array_join(whole, "\n\n").alias("page"))
+
+
 def supplement_names(supplements: DataFrame) -> DataFrame:
     """Supplements with ``name``: an amendment by its key, the others 制定時附則 and then numbered from 2 by position within the law."""
     from pyspark.sql import Window
 
-    from kasane.functions.numerals import amendment_key
-
     own = F.coalesce(F.col("amend_law_num"), F.lit("")) == ""
     n = F.row_number().over(Window.partitionBy("law_id", own).orderBy("pos"))
     initial = F.concat(F.lit("制定時附則"), F.when(n > 1, n.cast("string")).otherwise(""))

@@ -78,6 +78,23 @@ ORACLES = {
   WHEN 2 THEN '{OUTSIDE}' || {_K} || 'において'
   WHEN 3 THEN '本法' || {_LINK(_OWN_LAW, _N, '', _K)} || '、' || {_LINK(_OWN_LAW, '(' + _N + ' + 1)', '', _K1)} || 'の規定'
   ELSE {_K} || 'を次のように改める。' END AS text FROM li""",
+    "q_scope_edges": f"""WITH x AS (SELECT o_orderkey AS text_id, o_orderkey % 11 AS t, o_orderkey % 900 + 1 AS n, o_custkey % 900 + 1 AS m, o_custkey % 6 >= 4 AS far FROM orders),
+e AS (SELECT text_id, 0 AS ord, '323AC0000000131' AS law, n AS num FROM x WHERE t IN (0, 5, 6)
+  UNION ALL SELECT text_id, 1, '323AC0000000131', m FROM x WHERE t = 6
+  UNION ALL SELECT text_id, 1, '408AC0000000109', m FROM x WHERE t IN (2, 5, 10)
+  UNION ALL SELECT text_id, 0, '408AC0000000109', m FROM x WHERE t = 3 AND far
+  UNION ALL SELECT text_id, 0, '408AC0000000109', n FROM x WHERE t IN (7, 10))
+SELECT text_id, ord, 'JPLAW:' || law || '#main#' || num AS "to", '第' || {_kanji('num')} || '条' AS evidence FROM e""",
+    "q_law_pages": """WITH f AS (SELECT c_nationkey AS nat, '法' || c_nationkey AS law_name, c_custkey AS k, c_custkey % 5 AS p, CASE WHEN c_custkey % 2 = 0 THEN 'H' ELSE 'S' END AS era, c_custkey % 4 + 1 AS y FROM customer),
+plain AS (SELECT law_name, p, count(*) AS n, string_agg('- [[' || CASE p WHEN 0 THEN '本文' WHEN 2 THEN '附則' WHEN 3 THEN '附則/制定時附則' ELSE '附則/init_1' END || '/第' || k || '条.md|第' || k || '条]]', chr(10) ORDER BY k) AS body FROM f WHERE p <> 1 GROUP BY ALL),
+one AS (SELECT law_name, era, y, min(k) AS k, count(*) AS n, any_value(nat) AS nat FROM f WHERE p = 1 GROUP BY law_name, era, y),
+amended AS (SELECT law_name, count(*) AS n, string_agg('- [[附則/改正法/' || era || y || '_L' || (nat + 1) || '/第' || k || '条.md|' || CASE era WHEN 'H' THEN '平成' ELSE '昭和' END || y || '年法律第' || (nat + 1) || '号]]' || CASE WHEN n > 1 THEN ' (' || n || '条)' ELSE '' END, chr(10) ORDER BY era, y) AS body FROM one GROUP BY law_name),
+parts AS (SELECT law_name, p, CASE p WHEN 0 THEN '## 本則（全' || n || '条）' WHEN 2 THEN '### 現行附則' WHEN 3 THEN '### 制定時附則（全' || n || '条）' ELSE '### 制定時附則2（全' || n || '条）' END || chr(10) || chr(10) || body AS part FROM plain
+  UNION ALL SELECT law_name, 1, '## 附則（改正法: ' || n || '件）' || chr(10) || chr(10) || body FROM amended)
+SELECT law_name, string_agg(part, chr(10) || chr(10) ORDER BY p) AS page FROM parts GROUP BY law_name""",
+    "q_corpus_folders": """SELECT '法' || (p_partkey % 90) AS law_name, count(*) AS n_files, min(CASE WHEN p_partkey % 4 = 0 THEN '/vault/laws/法' || (p_partkey % 90) || '/n' || (p_partkey % 7) || '.md' END) AS law_file
+FROM part WHERE p_partkey % 9 <> 0 GROUP BY ALL""",
+    "q_run_report": """SELECT CASE WHEN o_orderstatus = 'F' THEN 'failed' ELSE 'success' END AS status, CASE WHEN o_orderstatus = 'F' THEN o_orderpriority END AS error, count(*) AS n, min(o_orderkey) AS first_target FROM orders GROUP BY ALL""",
     "q_edge_v2": f"""WITH {_EDGES} SELECT 'refs' AS type, CASE WHEN kind IS NULL THEN 'internal' ELSE 'external' END AS relation, split_part("from", '#', 1) AS law, count(*) AS n, count(DISTINCT "to") AS targets FROM edges GROUP BY ALL""",
     "q_kanji_roundtrip": "SELECT l_orderkey, l_linenumber, l_orderkey % 9999 + 1 AS parsed FROM lineitem",
     "q_kanji_concat": "SELECT o_orderkey, o_orderkey % 1000 AS number, CAST(o_orderkey % 1000 AS VARCHAR) AS digits FROM orders",

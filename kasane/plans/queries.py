@@ -38,6 +38,34 @@ def q_edges_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return citations.linked_text(texts, citations.resolved(texts, statutes.corpus(spark)))
 
 
+@query
+def q_scope_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Edges of texts whose laws are named further before: boundaries, scopes and their ends, 300 characters of look-back, quotations, fragments."""
+    n, m = F.expr("o_orderkey % 900 + 1"), F.expr("o_custkey % 900 + 1")
+    at = lambda x: F.concat(F.lit("第"), K.to_kanji(x), F.lit("条"))
+    pad = F.expr("repeat('あ', element_at(array(0, 100, 200, 293, 294, 400), int(o_custkey % 6) + 1))")
+    own, other = F.lit("民事訴訟法"), F.lit("刑事訴訟法")
+    parts = (
+        (F.lit("これは旧"), other, at(n), F.lit("による。")),
+        (F.lit("登録は特許法"), at(n), F.lit("、"), at(m), F.lit("の例による。")),
+        (F.lit("登録は特許法"), at(n), F.lit("による。"), pad, at(m), F.lit("に従う。")),
+        (F.lit("特許法の登録者"), pad, at(m), F.lit("に従う。")),
+        (F.lit("特許法の「登録。」者"), at(m), F.lit("に従う。")),
+        (other, at(n), F.lit("に従い、当該"), at(m), F.lit("を読む。")),
+        (other, at(n), F.lit("及び"), pad, at(m), F.lit("の例による。")),
+        (own, F.expr("element_at(array('', 'の', '、'), int(o_custkey % 3) + 1)"), at(n), F.lit("を削る。")),
+        (pad, at(n), F.lit("を削る。")),
+        (own, F.lit("い" * 70), at(n), F.lit("を削る。")),
+        (F.lit("この法律"), at(n), F.lit("及び"), at(m), F.lit("を守る。")),
+    )
+    text = F.coalesce(*(F.when(F.expr(f"o_orderkey % {len(parts)} = {i}"), F.concat(*p)) for i, p in enumerate(parts)))
+    law_id = dict(statutes.LAWS)["民事訴訟法"]
+    texts = table(spark, sf_dir, "orders").repartition(3 * spark.sparkContext.defaultParallelism, "o_orderkey").select(
+        F.col("o_orderkey").alias("text_id"), text.alias("text"), own.alias("law_name"), F.lit(law_id).alias("law_id"), F.lit(f"JPLAW:{law_id}#main#0").alias("node_id"), F.expr("o_orderkey % 11 between 7 and 9").alias("fragment")
+    )
+    return citations.edges(citations.resolved(texts, statutes.corpus(spark))).select("text_id", "ord", "to", "evidence")
+
+
 @query
 def q_edge_v2(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Reference edges of the unified schema, counted by their kind and source law."""
@@ -233,6 +261,29 @@ def q_toc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return structure.contents(files)
 
 
+@query
+def q_law_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole table of contents of every nation's law: main part, amendments, supplements in force and initial ones."""
+    folders = "array('本文', concat('附則/改正法/', if(c_custkey % 2 = 0, 'H', 'S'), c_custkey % 4 + 1, '_L', c_nationkey + 1), '附則', '附則/制定時附則', '附則/init_1')"
+    files = table(spark, sf_dir, "customer").selectExpr("concat('法', c_nationkey) AS law_name", f"element_at({folders}, int(c_custkey % 5) + 1) AS folder", "concat('第', c_custkey, '条.md') AS name")
+    return structure.law_pages(files)
+
+
+@query
+def q_corpus_folders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Laws found by their folders, with the file that stands for each."""
+    rows = table(spark, sf_dir, "part").selectExpr("p_partkey AS k", "concat(if(p_partkey % 9 = 0, '.', ''), '法', p_partkey % 90) AS law")
+    paths = rows.selectExpr("concat('/vault/laws/', law, '/', if(k % 4 = 0, concat('n', k % 7, '.md'), if(k % 4 = 1, concat('.h', k, '.md'), concat('本文/第', k, '条.md')))) AS path")
+    return catalogue.law_folders(paths)
+
+
+@query
+def q_run_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How a run over targets ended, by its status."""
+    runs = table(spark, sf_dir, "orders").selectExpr("o_orderkey AS target", "if(o_orderstatus = 'F', o_orderpriority, null) AS error")
+    return catalogue.run_report(runs)
+
+
 @query
 def q_graph_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """References and containment as one table, counted."""

@@ -5,6 +5,7 @@ Fetching stays outside Spark; what was fetched is landed as files, which these r
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,18 +26,32 @@ def law_list(spark: SparkSession, path: str) -> DataFrame:
     return rows.select(*(F.coalesce(v, F.lit("")).alias(k) for k, v in fields.items()))
 
 
-def law_trees(spark: SparkSession, path: str) -> DataFrame:
-    """(law_id, tree): the law_full_text of each landed response, one file a law, named by its identifier. Responses without one are left out."""
+def law_trees(spark: SparkSession, path: str, strict: bool = False) -> DataFrame:
+    """(law_id, tree): the law_full_text of each landed response, one file a law, named by its identifier. Responses without one are left out, or fail where ``strict``."""
     rows = spark.read.text(path, wholetext=True).select(F.col("value"), F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)\.json$", 1).alias("law_id"))
     tree = F.get_json_object("value", "$.law_full_text")
+    if strict:
+        tree = F.coalesce(tree, F.raise_error(F.concat(F.lit("no law_full_text for "), "law_id")))
     return rows.select("law_id", tree.alias("tree")).where("tree is not null")
 
 
+_ITEM = ("title", "link", "guid", "description", "dc:creator", "dc:date", "dc:publisher", "dc:description")
+
+
 def search_hits(spark: SparkSession, path: str) -> DataFrame:
-    """(ord, title, link, guid, description) of the items of landed RSS results."""
-    item = "title string, link string, guid string, description string"
-    rows = spark.read.format("xml").option("rowTag", "item").schema(item).load(path)
-    return rows.select(F.monotonically_increasing_id().alias("ord"), "title", "link", "guid", "description")
+    """(source, ord, title, link, guid, description, creator, date, publisher) of the items of landed RSS results, one file a search; ord is the place in the file."""
+    schema = "channel struct<item: array<struct<" + ", ".join(f"`{k}`: string" for k in _ITEM) + ">>>"
+    rows = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("source"), F.from_xml("value", schema).alias("x"))
+    items = rows.select("source", F.posexplode("x.channel.item").alias("ord", "item"))
+    return items.select(
+        "source", "ord", "item.title", "item.link", "item.guid", F.coalesce("item.description", "item.`dc:description`").alias("description"),
+        F.col("item.`dc:creator`").alias("creator"), F.col("item.`dc:date`").alias("date"), F.col("item.`dc:publisher`").alias("publisher"),
+    )
+
+
+def file_paths(spark: SparkSession, root: str) -> DataFrame:
+    """(path) of all files under a folder; their contents are not read."""
+    return spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root).select("path")
 
 
 def cache_name(key):
@@ -66,8 +81,14 @@ def markdown(spark: SparkSession, path: str) -> DataFrame:
 
 
 def target_list(spark: SparkSession, path: str) -> DataFrame:
-    """(law_id): identifiers of a list in YAML, one ``- id`` a line, plain or under ``targets:``; an empty file names none."""
-    rows = spark.read.text(path).select(F.regexp_extract("value", r"""^\s*-\s*["']?([^"'#\s]+)""", 1).alias("law_id"))
+    """(law_id): identifiers of a list in YAML, one ``- id`` a line, plain or under ``targets:``; an empty or missing file names none."""
+    try:
+        lines = spark.read.text(path)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        lines = spark.createDataFrame([], "value string")
+    rows = lines.select(F.regexp_extract("value", r"""^\s*-\s*["']?([^"'#\s]+)""", 1).alias("law_id"))
     return rows.where("law_id <> ''").distinct()
 
 

@@ -2,6 +2,7 @@
 
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from kasane.operators import catalogue, explicit, integrity, rewrite, snapshots, structure, tree
@@ -154,6 +155,20 @@ def test_sources(spark, tmp_path):
     assert row.fields == {"id": "1"} and row.body == "body" and row.path.endswith("md/x/n.md")
     (tmp_path / "rss.xml").write_text("<rss><channel><item><title>t</title><link>l</link></item></channel></rss>")
     assert [r.title for r in landing.search_hits(spark, f"{root}/rss.xml").collect()] == ["t"]
+    (tmp_path / "dc.xml").write_text('<rss xmlns:dc="http://purl.org/dc/elements/1.1/"><channel><item><title>a</title><dc:creator>c</dc:creator><dc:date>1896</dc:date></item><item><title>b</title><dc:publisher>p</dc:publisher></item></channel></rss>')
+    assert [(r.ord, r.title, r.creator, r.date, r.publisher) for r in landing.search_hits(spark, f"{root}/dc.xml").orderBy("ord").collect()] == [(0, "a", "c", "1896", None), (1, "b", None, None, "p")]
+    with pytest.raises(Exception, match="no law_full_text for B"):
+        landing.law_trees(spark, f"{root}/trees", strict=True).collect()
+    assert landing.target_list(spark, f"{root}/none.yaml").count() == 0
+    (tmp_path / "laws/民法/本文").mkdir(parents=True)
+    (tmp_path / "laws/.git").mkdir()
+    for name in ("民法/b.md", "民法/a.md", "民法/本文/第1条.md", ".git/x.md"):
+        (tmp_path / "laws" / name).write_text("x")
+    folders = catalogue.law_folders(landing.file_paths(spark, f"{root}/laws"))
+    assert [(r.law_name, r.n_files, r.law_file.rsplit("/", 1)[1]) for r in folders.collect()] == [("民法", 3, "a.md")]
+    laws = spark.createDataFrame([("1", "民法"), ("2", "刑法")], "law_id string, folder string")
+    placed = catalogue.law_places(spark.createDataFrame([("1",), ("2",), ("3",), (None,)], "law_id string"), laws, folders)
+    assert sorted((str(r.law_id), r.folder, r.law_file is not None) for r in placed.collect()) == [("1", "民法", True), ("2", "刑法", False), ("3", None, False), ("None", None, False)]
     landing.write_edges(landing.edge_log(spark, f"{root}/edges.jsonl").where("`from` is not null"), f"{root}/out")
     assert spark.read.text(f"{root}/out").first()[0] == '{"from":"a","to":"b"}'
 
