@@ -28,11 +28,18 @@ PENALTY = 2.0
 SMOOTH = 0.5
 #: Most that one unit can tell for a language against the others, in nats: a stray name or number does not make a language.
 CLIP = 30.0
+#: Shares up to this are what rounding leaves of a language outside the set; they are not named.
+LEAST_SHARE = 0.005
 UNDETERMINED = "und"
 
 
 def learn(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> tuple[list[str], np.ndarray]:
-    """(languages in order, log p of every bucket and language), over all rows of ``docs`` with a language and a text."""
+    """(languages in order, log p of every bucket and language), over all rows of ``docs`` with a language and a text.
+
+    The model holds ``BUCKETS`` numbers a language, so over ``ngrams.NAMES`` different values of the language raise a ValueError instead of
+    filling the driver: such a column holds something else and has to be cleaned first. Repeated rows count as often as given; an
+    empty table has no languages; other columns are ignored.
+    """
 
     def add(batch: pa.RecordBatch, sums: dict[str, np.ndarray]) -> None:
         for part in steps(iter([batch]), "text"):
@@ -125,8 +132,9 @@ def _letters(batch: pa.RecordBatch, data: np.ndarray, offs: np.ndarray) -> np.nd
 def identify(docs: DataFrame, langs: list[str], model: np.ndarray, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, lang_pred, score, languages): one row per row of ``docs``.
 
-    languages: the chosen set as (lang, share), strongest first; lang_pred and score are its first. A null text, a
-    text without a letter, and any text where no language was learned is ``und`` with score 0 and an empty set.
+    languages: the chosen set as (lang, share), strongest first, without shares of ``LEAST_SHARE`` or less; lang_pred and score are its
+    first. A null text, a text without a letter, and any text where no language was learned is ``und`` with score 0 and an empty set.
+    Repeated rows are answered each for itself; an empty table gives an empty table; other columns are ignored.
     """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -135,7 +143,7 @@ def identify(docs: DataFrame, langs: list[str], model: np.ndarray, id_col: str =
             known = _letters(batch, data, offs) if langs else np.zeros(batch.num_rows, bool)
             share = mixtures(*unit_likelihoods(data, offs, model)) if langs else np.zeros((batch.num_rows, 0))
             order = np.argsort(-share, axis=1, kind="stable")
-            sets = [[{"lang": langs[k], "share": float(row[k])} for k in o if row[k] > 0.005] if ok else [] for row, o, ok in zip(share, order, known, strict=True)]
+            sets = [[{"lang": langs[k], "share": float(row[k])} for k in o if row[k] > LEAST_SHARE] if ok else [] for row, o, ok in zip(share, order, known, strict=True)]
             top = [x[0] if x else {"lang": UNDETERMINED, "share": 0.0} for x in sets]
             kind = pa.list_(pa.struct([("lang", pa.string()), ("share", pa.float64())]))
             yield pa.RecordBatch.from_arrays(

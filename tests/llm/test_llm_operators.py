@@ -409,6 +409,94 @@ def test_language(spark, empty):
     assert none == [] and {r.lang_pred for r in langid.identify(docs, none, flat).collect()} == {"und"}
 
 
+def plain_buckets(data, width, bits):
+    """Bucket of the n-gram that ends at each byte of one text, before which stand blanks."""
+    padded = b" " * (width - 1) + data
+    return [(int.from_bytes(padded[i : i + width], "big") * 0x9E3779B97F4A7C15 % 2**64) >> (64 - bits) for i in range(len(data))]
+
+
+def test_quality_scores_are_plain_log_ratios(docs, rows, spark):
+    ids = set(range(0, 60, 3)) | {64, 71}
+    raw, target = collections.Counter(), collections.Counter()
+    for d, t in rows:
+        found = plain_buckets((t or "").encode(), quality.WIDTH, quality.BITS)
+        raw.update(found)
+        if d in ids:
+            target.update(found)
+    n, m = sum(raw.values()), sum(target.values())
+    p_raw = lambda b: (raw[b] + 1) / (n + quality.BUCKETS)
+    ratio = lambda b: math.log((target[b] + quality.PRIOR * p_raw(b)) / (m + quality.PRIOR)) - math.log(p_raw(b))
+    want = collections.defaultdict(list)
+    for d, t in rows:
+        found = plain_buckets((t or "").encode(), quality.WIDTH, quality.BITS)
+        want[d].append(sum(map(ratio, found)) / max(1, len(found)))
+    got = collections.defaultdict(list)
+    trusted = spark.createDataFrame([(i,) for i in [*ids, *ids, None]], "doc_id long")
+    for r in quality.judged(docs.withColumns({"score": F.lit("x"), "kept": F.lit(1)}), trusted).collect():
+        got[r.doc_id].append(r.score)
+    assert set(got) == set(want)
+    assert all(sorted(got[d]) == pytest.approx(sorted(want[d]), abs=1e-9) for d in want)
+
+
+def plain_mixture(model, langs, text):
+    """Language set of a text: EM and penalised choice, unit by unit."""
+    data = bytes(b + 32 if 65 <= b <= 90 else b for b in text.encode())
+    at = plain_buckets(data, langid.WIDTH, langid.BITS)
+    spots = [m.span() for m in re.finditer(rb"[^\x20\x09-\x0D]+", data)]
+    units = []
+    for i in range(0, len(spots), langid.UNIT):
+        lo, hi = spots[i][0], spots[min(i + langid.UNIT, len(spots)) - 1][1]
+        ll = [sum(model[k][b] for b in at[lo:hi]) for k in langs]
+        units.append([math.exp(max(x - max(ll), -langid.CLIP)) for x in ll])
+
+    def fitted(allowed):
+        share = [1 / len(allowed) if k in allowed else 0.0 for k in range(len(langs))]
+        for _ in range(langid.ROUNDS):
+            parts = [[p * s for p, s in zip(u, share, strict=True)] for u in units]
+            share = [sum(r[k] / max(sum(r), 1e-300) for r in parts) / len(units) for k in range(len(langs))]
+        return share, sum(math.log(max(1e-300, sum(p * s for p, s in zip(u, share, strict=True)))) for u in units)
+
+    first, _ = fitted(range(len(langs)))
+    rank = sorted(range(len(langs)), key=lambda k: (-first[k], k))
+    tried = [(fitted(rank[:size]), size) for size in range(1, len(langs) + 1)]
+    cost = langid.PENALTY * math.log(max(2, len(units)))
+    (share, _), _ = max(tried, key=lambda x: (x[0][1] - cost * (x[1] - 1), -x[1]))
+    return share
+
+
+def test_languages_are_those_of_plain_em(spark):
+    rng = random.Random(5)
+    pools = {"a": "river stone light over the water and under it", "b": "fleuve pierre lumière sur les eaux et dessous", "c": "река камень свет над водой и под ней"}
+    say = lambda k, n: " ".join(rng.choice(pools[k].split()) for _ in range(n))
+    learned = [(i, say(k, 60), k) for i, k in enumerate("abc" * 5)]
+    mixed = [(100 + i, " ".join(say(rng.choice("abc"), rng.randint(1, 40)) for _ in range(rng.randint(1, 5))), None) for i in range(40)]
+    docs = spark.createDataFrame(learned + mixed, "doc_id long, text string, lang string")
+    langs, model = langid.learn(docs)
+    counts = {k: collections.Counter() for k in langs}
+    for _, t, k in learned:
+        counts[k].update(plain_buckets(t.lower().encode() if t.isascii() else t.encode(), langid.WIDTH, langid.BITS))
+    plain = {k: [math.log((counts[k][b] + langid.SMOOTH) / (sum(counts[k].values()) + langid.SMOOTH * langid.BUCKETS)) for b in range(langid.BUCKETS)] for k in langs}
+    assert np.allclose(model, np.array([plain[k] for k in langs]).T)
+    sizes = set()
+    got = {r.doc_id: r for r in langid.identify(docs.withColumns({"lang_pred": F.lit(1), "score": F.lit("x")}), langs, model).collect()}
+    for d, t, _ in learned + mixed:
+        share = plain_mixture(plain, langs, t)
+        want = sorted(((k, s) for k, s in zip(langs, share, strict=True) if s > langid.LEAST_SHARE), key=lambda x: -x[1])
+        assert {x.lang: x.share for x in got[d].languages} == pytest.approx(dict(want), abs=1e-6), d
+        assert got[d].score == pytest.approx(max(share), abs=1e-6)
+        sizes.add(len(want))
+    assert sizes == {1, 2, 3}
+
+
+def test_a_language_column_of_other_things_is_refused(spark):
+    from kasane.llm import ngrams
+
+    docs = spark.createDataFrame([(i, f"text {i}", f"user-{i}") for i in range(ngrams.NAMES + 1)], "doc_id long, text string, lang string")
+    with pytest.raises(ValueError, match="more than 256 names"):
+        langid.learn(docs)
+    assert len(langid.learn(docs.where(f"doc_id < {ngrams.NAMES}"))[0]) == ngrams.NAMES
+
+
 @pytest.fixture(scope="module")
 def library():
     return sentencepiece.SentencePieceProcessor(model_file=MODEL_FILE)
