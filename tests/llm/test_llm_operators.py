@@ -623,3 +623,34 @@ def test_line_dedup_of_null_ids_and_texts(docs, rows):
     assert len(found) == len(rows) and all(r.text is None for r in found if r.was is None)
     first = next(r for r in found if r.doc_id is None and r.was is not None)  # null ids come first, so their text stays
     assert first.text == first.was
+
+
+CLASHING = "n_words n_hit items contaminated places spans blob rules ids n_tokens exact languages lang_pred score kept fingerprint component_id key fp owner hits text_hash __key_id html title".split()
+
+
+@pytest.mark.parametrize(
+    "name", ["contaminated_spans", "licenses", "scan_documents", "encode", "judged", "near_duplicates", "identify", "extract"]
+)
+def test_columns_of_the_same_names_change_nothing(spark, docs, empty, rows, name):
+    plain = docs.select("doc_id", "text")
+    bench = spark.createDataFrame([(1, rows[0][1], 0, 0), (1, rows[0][1], 0, 0)], "item_id long, text string, fp int, key int")
+    trusted = spark.createDataFrame([(i, 1) for i in range(20)], "doc_id long, score int")
+    langs, model = langid.learn(docs.select("doc_id", "text", F.lit("en").alias("lang")))
+    apply = {
+        "contaminated_spans": lambda x: winnow.contaminated_spans(x, bench),
+        "licenses": licenses.licenses,
+        "scan_documents": secrets.scan_documents,
+        "encode": lambda x: pieces.encode(x, MODEL_FILE),
+        "judged": lambda x: quality.judged(x, trusted),
+        "near_duplicates": simhash.near_duplicates,
+        "identify": lambda x: langid.identify(x, langs, model),
+        "extract": lambda x: mainhtml.extract(x.selectExpr("doc_id AS page_id", "'u' AS url", "text AS html", *[f"`{c}`" for c in x.columns if c not in ("doc_id", "text", "html")])),
+    }[name]
+    extra = [F.lit(i).alias(c) for i, c in enumerate(CLASHING)]
+    show = lambda df: sorted(map(str, df.collect()))
+    alone = apply(plain)
+    clashing = apply(plain.select("*", *extra))
+    assert clashing.columns == alone.columns
+    assert show(clashing) == show(alone)
+    assert len(alone.collect()) == len(rows)  # nulls and repeated rows included
+    assert apply(empty.select("doc_id", "text", *extra)).count() == 0
