@@ -37,6 +37,14 @@ def best_hit(laws: DataFrame, hits: DataFrame) -> DataFrame:
     return own.withColumn("priority", priority).groupBy("law_id").agg(F.min_by(F.struct("hit_id", "priority"), F.struct("priority", "ord")).alias("x")).select("law_id", "x.hit_id", "x.priority")
 
 
+def enriched(laws: DataFrame, hits: DataFrame) -> DataFrame:
+    """``laws`` with legislative_origin, the whole best hit of each as a record, and enriched; laws without a number or a hit have null and stay as they are."""
+    best = best_hit(laws, hits).select("law_id", "hit_id").join(hits, ["law_id", "hit_id"])
+    record = F.struct(*(c for c in best.columns if c not in ("law_id", "ord")))
+    origin = best.groupBy("law_id").agg(F.min_by(record, "ord").alias("legislative_origin"))
+    return laws.join(origin, "law_id", "left").withColumn("enriched", F.col("legislative_origin").isNotNull())
+
+
 def targeted(laws: DataFrame, targets: DataFrame) -> DataFrame:
     """Laws that the target list names."""
     return laws.join(targets.select("law_id"), "law_id", "left_semi")

@@ -106,5 +106,15 @@ def bumped(nodes: DataFrame, tier: int) -> DataFrame:
     return nodes.withColumn("tier", F.greatest(F.coalesce("tier", F.lit(0)), F.lit(tier)))
 
 
+def parent_changes(files: DataFrame) -> DataFrame:
+    """The change log of a run that sets parents: (path, old_parent, new_parent, status), one row a file.
+
+    ``files``: path, parent (what the file holds), new_parent (see ``structure.resolved_parent``). status: error where no parent was found,
+    unchanged where the file holds it already, added where it held none, else changed. ``landing.append_log`` writes the rows.
+    """
+    status = F.when(F.col("new_parent").isNull(), "error").when(F.col("parent") == F.col("new_parent"), "unchanged").when(F.col("parent").isNull(), "added").otherwise("changed")
+    return files.select("path", F.col("parent").alias("old_parent"), "new_parent", status.alias("status"))
+
+
 def status_counts(rows: DataFrame, *by: str) -> DataFrame:
     return rows.groupBy(*by).agg(F.count("*").alias("n"))

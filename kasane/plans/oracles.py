@@ -179,6 +179,13 @@ SELECT 'JPLAW:' || p_partkey AS node_id, CASE WHEN p_partkey % 9 = 0 THEN '' ELS
   CASE WHEN p_partkey % 50 = 0 THEN '特別' WHEN p_partkey % 6 = 0 THEN '' WHEN i = j THEN d[i] ELSE least(d[i], d[j]) || ',' || greatest(d[i], d[j]) END AS domain FROM x""",
     "q_best_hit": """WITH h AS (SELECT CAST(o_custkey % 100 AS VARCHAR) AS law_id, o_orderkey, CASE WHEN o_orderkey % 29 = 0 THEN 1 WHEN o_orderkey % 7 = 0 THEN 2 ELSE 3 END AS priority FROM orders)
 SELECT law_id, o_orderkey AS hit_id, priority FROM h QUALIFY row_number() OVER (PARTITION BY law_id ORDER BY priority, o_orderkey) = 1""",
+    "q_enriched": """WITH h AS (SELECT o_custkey % 100 AS law, o_orderkey, CASE WHEN o_orderkey % 29 = 0 THEN 1 WHEN o_orderkey % 7 = 0 THEN 2 ELSE 3 END AS priority FROM orders),
+b AS (SELECT *, law % 4 <> 0 AS enriched FROM h QUALIFY row_number() OVER (PARTITION BY law ORDER BY priority, o_orderkey) = 1)
+SELECT CAST(law AS VARCHAR) AS law_id, CASE WHEN enriched THEN '第' || law || '号' ELSE '' END AS law_num, enriched, CASE WHEN enriched THEN CAST(o_orderkey AS VARCHAR) END AS hit_id,
+  CASE WHEN enriched THEN CASE priority WHEN 1 THEN 'x 第' || law || '号' WHEN 2 THEN '法' || law || ' 改正' ELSE 'other' END END AS title FROM b""",
+    "q_parent_changes": """WITH p AS (SELECT p_partkey AS k, CASE WHEN p_partkey % 11 <> 0 THEN '[[laws/法/章/第' || p_size || '章]]' END AS new_parent FROM part)
+SELECT 'laws/法/' || k || '.md' AS path, CASE k % 3 WHEN 0 THEN new_parent WHEN 1 THEN '[[laws/法/法]]' END AS old_parent, new_parent,
+  CASE WHEN new_parent IS NULL THEN 'error' WHEN k % 3 = 0 THEN 'unchanged' WHEN k % 3 = 1 THEN 'changed' ELSE 'added' END AS status FROM p""",
     "q_status_counts": "SELECT o_orderstatus, o_orderpriority, count(*) AS n FROM orders GROUP BY ALL",
     "q_explicit_refs": f"""WITH {_LINES}, l AS (SELECT l_orderkey * 10 + l_linenumber AS text_id, l_linenumber % 3 AS k, l_partkey % 900 + 1 AS n, l_suppkey % 5 + 1 AS a FROM li),
 r AS (SELECT text_id, n AS num, '第' || n || '条#第2項' AS target_id, 'absolute' AS type, '第' || {_kanji('n')} || '条第二項' AS original FROM l WHERE k = 0

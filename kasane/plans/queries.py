@@ -467,13 +467,34 @@ def q_domains(spark: SparkSession, sf_dir: str) -> DataFrame:
     return catalogue.entries(laws, overrides).select("node_id", "law_num", "folder", F.array_join("domain", ",").alias("domain"))
 
 
+def _searched(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Laws and the hits of their searches."""
+    laws = table(spark, sf_dir, "orders").selectExpr("string(o_custkey % 100) AS law_id").distinct().selectExpr("law_id", "concat('第', law_id, '号') AS law_num", "concat('法', law_id) AS law_name")
+    title = "case when o_orderkey % 29 = 0 then concat('x 第', o_custkey % 100, '号') when o_orderkey % 7 = 0 then concat('法', o_custkey % 100, ' 改正') else 'other' end AS title"
+    return laws, table(spark, sf_dir, "orders").selectExpr("string(o_custkey % 100) AS law_id", "o_orderkey AS hit_id", "o_orderkey AS ord", title)
+
+
 @query
 def q_best_hit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The best search hit of each law."""
-    laws = table(spark, sf_dir, "orders").selectExpr("string(o_custkey % 100) AS law_id").distinct().selectExpr("law_id", "concat('第', law_id, '号') AS law_num", "concat('法', law_id) AS law_name")
-    title = "case when o_orderkey % 29 = 0 then concat('x 第', o_custkey % 100, '号') when o_orderkey % 7 = 0 then concat('法', o_custkey % 100, ' 改正') else 'other' end AS title"
-    hits = table(spark, sf_dir, "orders").selectExpr("string(o_custkey % 100) AS law_id", "o_orderkey AS hit_id", "o_orderkey AS ord", title)
-    return catalogue.best_hit(laws, hits)
+    return catalogue.best_hit(*_searched(spark, sf_dir))
+
+
+@query
+def q_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Laws with the record of their best hit; every fourth has no number and stays without."""
+    laws, hits = _searched(spark, sf_dir)
+    some = laws.withColumn("law_num", F.expr("if(int(law_id) % 4 = 0, '', law_num)"))
+    rows = catalogue.enriched(some, hits)
+    return rows.select("law_id", "law_num", "enriched", F.col("legislative_origin.hit_id").cast("string").alias("hit_id"), F.col("legislative_origin.title").alias("title"))
+
+
+@query
+def q_parent_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The change log of new parents."""
+    new = "if(p_partkey % 11 = 0, null, concat('[[laws/法/章/第', p_size, '章]]'))"
+    files = table(spark, sf_dir, "part").selectExpr("concat('laws/法/', p_partkey, '.md') AS path", f"{new} AS new_parent", f"case p_partkey % 3 when 0 then {new} when 1 then '[[laws/法/法]]' end AS parent")
+    return rewrite.parent_changes(files)
 
 
 @query
