@@ -1,4 +1,4 @@
-"""Queries of the ten operators over the tables of a folder, and DuckDB SQL for those that SQL can express."""
+"""Queries of the corpus operators over the tables of a folder, and DuckDB SQL for those that SQL can express."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kasane.llm import langid, licenses, linededup, mainhtml, quality, secrets, sentencepiece, simhash, warc, winnow
+from kasane.llm import centroids, langid, licenses, linededup, mainhtml, quality, secrets, sentencepiece, simhash, warc, winnow
 from kasane.llm.keyed import small_batches
 from kasane.plans.staging import fresh_path
 
@@ -99,6 +99,11 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.selectExpr("doc_id", "text", "n_words", "aggregate(coalesce(deleted_runs, array()), 0L, (n, r) -> n + r.end - r.start) AS n_deleted")
 
 
+def op11_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """vec_id, cluster, distance, cluster_inertia, inertia, centroid_sha256."""
+    return centroids.kmeans(_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -112,6 +117,7 @@ QUERIES = {
         op8_language_id,
         op9_sentencepiece,
         op10_line_dedup,
+        op11_centroid_clustering,
     )
 }
 
@@ -141,9 +147,32 @@ SELECT any_value(t.doc_id) AS doc_id, {counts},
 FROM t LEFT JOIN found USING (r) GROUP BY t.r"""
 
 
+def _clusters_sql() -> str:
+    """Every round spelled out: all distances, the nearest centroid, floored means. Integer division truncates, so the remainder is taken off first."""
+    squared = "list_sum([(p[1] - p[2]) * (p[1] - p[2]) FOR p IN list_zip(v.x, c.x)])"
+    steps = [
+        """v AS (SELECT row_number() OVER () AS r, vec_id, [CAST(floor(64 * CAST(y AS DOUBLE)) AS HUGEINT) FOR y IN embedding] AS x FROM embeddings
+  WHERE len(embedding) = 64 AND len([y FOR y IN embedding IF y IS NULL OR NOT isfinite(y)]) = 0)""",
+        """c0 AS (SELECT row_number() OVER (ORDER BY h NULLS LAST, x) - 1 AS k, x FROM
+  (SELECT x, sha256('1:' || CAST(vec_id AS VARCHAR)) AS h FROM v ORDER BY h NULLS LAST, x LIMIT 16))""",
+    ]
+    for n in range(centroids.ROUNDS + 1):
+        steps.append(f"a{n} AS (SELECT r, vec_id, v.x, arg_min(k, {{'d': {squared}, 'k': k}}) AS k, min({squared}) AS d FROM v, c{n} AS c GROUP BY r, vec_id, v.x)")
+        if n < centroids.ROUNDS:
+            steps.append(f"""m{n} AS (SELECT k, i, sum(x[i]) AS s, count(*) AS n FROM a{n}, unnest(range(1, 65)) AS u(i) GROUP BY k, i),
+c{n + 1} AS (SELECT c.k, coalesce(y.x, c.x) AS x FROM c{n} AS c LEFT JOIN
+  (SELECT k, list(CAST((s - ((s % n) + n) % n) // n AS HUGEINT) ORDER BY i) AS x FROM m{n} GROUP BY k) AS y ON c.k = y.k)""")
+    last = centroids.ROUNDS
+    return f"""WITH {", ".join(steps)}
+SELECT vec_id, CAST(a.k AS INTEGER) AS cluster, CAST(d AS BIGINT) AS distance, CAST(sum(d) OVER (PARTITION BY a.k) AS BIGINT) AS cluster_inertia,
+  CAST(sum(d) OVER () AS BIGINT) AS inertia, sha256(array_to_string(c.x, ',')) AS centroid_sha256
+FROM a{last} AS a JOIN c{last} AS c ON a.k = c.k"""
+
+
 _WORDS = r"regexp_extract_all(translate(coalesce({0}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
 ORACLES = {
+    "op11_centroid_clustering": _clusters_sql(),
     "op2_secret_scan": _secrets_sql(),
     "op3_benchmark_decontamination": f"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS.format('text')} AS w FROM documents),
