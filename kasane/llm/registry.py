@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kasane.llm import centroids, langid, licenses, linededup, mainhtml, quality, secrets, sentencepiece, simhash, warc, winnow
+from kasane.llm import centroids, langid, licenses, linededup, mainhtml, quality, ranked, secrets, sentencepiece, simhash, warc, winnow
 from kasane.llm.keyed import small_batches
 from kasane.plans.staging import fresh_path
 
@@ -104,6 +104,11 @@ def op11_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centroids.kmeans(_table(spark, sf_dir, "embeddings"))
 
 
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """item_id, rank, doc_id, score."""
+    return ranked.search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -118,6 +123,7 @@ QUERIES = {
         op9_sentencepiece,
         op10_line_dedup,
         op11_centroid_clustering,
+        op12_ranked_search,
     )
 }
 
@@ -172,6 +178,17 @@ FROM a{last} AS a JOIN c{last} AS c ON a.k = c.k"""
 _WORDS = r"regexp_extract_all(translate(coalesce({0}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
 ORACLES = {
+    "op12_ranked_search": f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS.format('text')} AS w FROM documents),
+all_of AS (SELECT count(*) AS n, sum(len(w)) AS l FROM d WHERE len(w) > 0),
+tf AS (SELECT r, word, count(*) AS tf FROM (SELECT r, unnest(w) AS word FROM d) GROUP BY r, word),
+i AS (SELECT q, item_id, unnest(list_distinct(w)) AS word FROM (SELECT row_number() OVER () AS q, item_id, {_WORDS.format('text')} AS w FROM benchmark)),
+weight AS (SELECT word, CAST(floor(1000 * ln((2 * n + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM tf, all_of GROUP BY word, n),
+docs AS (SELECT r, doc_id, 50 + (50 * len(w) * n) // l AS m FROM d, all_of WHERE len(w) > 0),
+scores AS (SELECT q, any_value(item_id) AS item_id, r, any_value(doc_id) AS doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m))) AS BIGINT) AS score
+  FROM i JOIN weight USING (word) JOIN tf USING (word) JOIN docs USING (r) GROUP BY q, r)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank, doc_id, score
+FROM scores WHERE score > 0 QUALIFY rank <= 50""",
     "op11_centroid_clustering": _clusters_sql(),
     "op2_secret_scan": _secrets_sql(),
     "op3_benchmark_decontamination": f"""
