@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kasane.llm import centroids, langid, licenses, linededup, mainhtml, quality, ranked, secrets, sentencepiece, simhash, warc, winnow
+from kasane.llm import centroids, langid, licenses, linededup, mainhtml, quality, ranked, secrets, sentencepiece, simhash, syncmers, warc, winnow
 from kasane.llm.keyed import small_batches
 from kasane.plans.staging import fresh_path
 
@@ -109,6 +109,11 @@ def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked.search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op13_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next."""
+    return syncmers.fingerprints(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -124,6 +129,7 @@ QUERIES = {
         op10_line_dedup,
         op11_centroid_clustering,
         op12_ranked_search,
+        op13_document_fingerprints,
     )
 }
 

@@ -20,6 +20,9 @@ COLUMNS = {
     "op8_language_id": "doc_id held_out lang_pred score",
     "op9_sentencepiece": "doc_id ids n_tokens exact",
     "op10_line_dedup": "doc_id text n_words n_deleted",
+    "op11_centroid_clustering": "vec_id cluster distance cluster_inertia inertia centroid_sha256",
+    "op12_ranked_search": "item_id rank doc_id score",
+    "op13_document_fingerprints": "doc_id n_chars edited_sha256 fingerprint edited_fingerprint near_edited near_next",
 }
 NOTICE = "Released under the MIT license, or Apache License; version 2. cc-by-nc CC by NC"
 
@@ -33,6 +36,8 @@ def folder(spark, rows, tmp_path_factory):
     spark.createDataFrame([(1, "u", "<p>a &amp; é</p>"), (2, "v", None)], "page_id long, url string, html string").write.parquet(f"{root}/pages.parquet")
     spark.createDataFrame([(1, rows[0][1])], "item_id long, text string").write.parquet(f"{root}/benchmark.parquet")
     spark.createDataFrame([(i, 1, 0) for i in range(40)], "doc_id long, quality int, toxic int").write.parquet(f"{root}/labels.parquet")
+    vectors = [(i, [float(i % 7 + j) / 9 for j in range(64)], i) for i in range(30)] + [(30, [1.0], 0), (31, None, 0)]
+    spark.createDataFrame(vectors, "vec_id long, embedding array<float>, label int").write.parquet(f"{root}/embeddings.parquet")
     return root, [(d, t) for d, t, *_ in docs]
 
 
@@ -42,7 +47,7 @@ def test_query(spark, folder, name):
     found = registry.QUERIES[name](spark, root)
     got = found.collect()
     assert found.columns[: len(COLUMNS[name].split())] == COLUMNS[name].split()
-    assert len(got) == (2 if "page_id" in found.columns else len(docs))
+    assert len(got) == {"page_id": 2, "vec_id": 30, "item_id": 50}.get(found.columns[0], len(docs))
     if name.startswith("op4"):
         phrases = {"mit": "under the mit license", "apache-2": "apache license version 2", "cc-by-nc": "cc by nc"}
         want = []
