@@ -1,230 +1,286 @@
 """Citations in statutory text: 第N条 and 第N条のM, resolved to the law they mean.
 
-Every decision reads the original text alone, so the citations of a text are generated as rows, each with the
-window of text before it that decides, and decided independently by column expressions; edges are a filter over the decisions, the
-rewritten text is the gaps between citations zipped with their links. The corpus (laws with their identifiers)
-is one broadcast row of small maps; texts themselves are never joined or shuffled.
+A text is read once, in an Arrow step: an automaton over the law names and the words that end a scope notes what stands last before each
+citation. What it notes is a small struct a citation, an array a text; column expressions over these arrays decide where each citation leads, edges
+are a filter over the decisions, and the rewritten text is the gaps between citations zipped with their links. No text is joined or shuffled.
 """
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+from functools import lru_cache
+from typing import NamedTuple
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kasane.functions import dictionaries as D
-from kasane.functions.links import without_links
-from kasane.functions.names import variants
+from kasane.functions.automaton import Dictionary
+from kasane.functions.links import DISPLAY
 from kasane.functions.numerals import kanji_number
 
 _NUMBER = "[0-9一二三四五六七八九十百千]+"
 CITATION = f"第({_NUMBER})条(?:の({_NUMBER}))?"
 NEAR, FAR = 100, 300
 CONFIDENCE, SOURCE = 0.9, "regex_v2"
-_LINKED = D.longest_first(D.LINKED_LAWS)
-_OTHER = D.longest_first(D.OTHER_LAWS)
-_RESET = "|".join(D.RESETS)
-_SELF = "|".join(D.longest_first(D.SELF_NAMES))
-_SUFFIX = r"[の、\n]?$"
-_EDGE_OF_NAME = "(?:^|(?<=[" + "".join("\\n" if c == "\n" else "\\r" if c == "\r" else c for c in D.BEFORE_NAME) + "]))"
-
-
-def corpus_row(corpus: DataFrame) -> DataFrame:
-    """One row of ``held`` (names of laws that the corpus holds in full) and ``law_ids`` (name → identifier).
-
-    ``corpus``: law_name, law_id, has_main. The catalogue of laws bounds the row.
-    """
-    held = F.collect_set(F.when(F.col("has_main"), F.col("law_name"))).alias("held")
-    ids = F.map_from_entries(F.collect_list(F.when(F.col("law_id") != "", F.struct("law_name", "law_id")))).alias("law_ids")
-    return corpus.groupBy().agg(held, ids)
-
-
-def _alternatives(names: list[str]) -> str:
-    return "|".join(names)
-
-
-def _name_at_end(context: Column, names: list[str], edge: bool = True) -> Column:
-    """The longest of ``names`` that stands at the end of a context, save one of の、 or a line feed; null if none. All names end in 法 or 律."""
-    found = F.regexp_extract(context, f"{_EDGE_OF_NAME if edge else ''}({_alternatives(names)}){_SUFFIX}", 1)
-    return F.when(F.right(context, F.lit(2)).rlike("[法律]"), F.nullif(found, F.lit("")))
-
-
-def _last(text: Column, word: Column) -> Column:
-    """Code points before the end of the last occurrence of ``word``; 0 if there is none."""
-    at = F.instr(F.reverse(text), F.reverse(word))
-    return F.when(at > 0, F.length(text) - at + 1).otherwise(0)
-
-
-def _sentence(now: Column) -> Column:
-    """The sentence so far, what stands since the last 。: after the last blank line; without links, then without brackets."""
-    return F.regexp_replace(without_links(F.regexp_replace(now, r"(?s)^.*\n\n", "")), "（[^）]*）", "")
-
-
-def numbered_law(context: Column) -> Column:
-    """(law_name, law_num) where a context ends with 名法（…号）; conjunctions before the name are cut off; else null."""
-    p = r"(?dU)([^\s。、「（）]{1,30}法)（([^）]{5,40}号)）$"
-    name = F.regexp_replace(F.regexp_extract(context, p, 1), f"^.*(?:{_alternatives(D.NAME_BREAKS)})", "")
-    closed = F.right(context, F.lit(2)).contains("）")  # else the pattern is not tried at all
-    return F.when(closed & (F.length(name) >= 2), F.struct(name.alias("law_name"), F.regexp_extract(context, p, 2).alias("law_num")))
-
-
-def names_itself(context: Column) -> Column:
-    """Whether a context ends with a word by which the law names itself."""
-    return context.rlike(rf"(?U)(?:{_SELF})\s*\z")
-
-
-def _scope(sentence: Column, names: Column) -> Column:
-    """(start, folder, size) of the last name followed by 第 in a sentence. ``names``: array of (name, folder)."""
-    found = F.transform(names, lambda n: F.struct((_last(sentence, F.concat(n["name"], F.lit("第"))) - F.length(n["name"]) - 1).alias("start"), n["folder"].alias("folder"), F.length(n["name"]).alias("size")))
-    return F.array_max(F.filter(found, lambda x: x["start"] >= 0))
-
 
-def _pairs(names: dict[str, str] | list[str]) -> Column:
-    pairs = names.items() if isinstance(names, dict) else [(n, n) for n in names]
-    return F.expr("array(" + ", ".join(f"named_struct('name', '{k}', 'folder', '{v}')" for k, v in pairs) + ")")
-
-
-def _words(names: list[str]) -> Column:
-    return F.expr("array(" + ", ".join(f"'{n}'" for n in names) + ")")
-
-
-def _unbroken(sentence: Column, scope: Column) -> Column:
-    """Whether nothing after the scope's name and its 第 ends the scope."""
-    tail = F.substr(sentence, scope["start"] + scope["size"] + F.lit(2))
-    return scope.isNotNull() & ~tail.rlike(_RESET)
-
-
-def citations(texts: DataFrame) -> DataFrame:
-    """One row per citation: text_id, law_name, law_id, node_id, fragment, ord, raw, far, now, after, number.
-
-    ``texts``: text_id, text, law_name, law_id, node_id, fragment (whether it is a piece of an amending law).
-    far: the ``FAR`` characters before it. now: what stands before it since the last 。. after: what follows, up to the next citation.
-    One fold over the gaps of a text cuts these windows, so a row does not grow with its text and a text takes time in proportion to its length.
-    """
-    p = F.lit(CITATION)
-    rows = texts.select(
-        "text_id", "law_name", "law_id", "node_id", "fragment",
-        F.regexp_extract_all("text", p, F.lit(0)).alias("raws"), F.regexp_extract_all("text", p, F.lit(1)).alias("mains"), F.regexp_extract_all("text", p, F.lit(2)).alias("subs"), F.split("text", CITATION, -1).alias("gaps"),
-    )
-    rows = rows.where("size(raws) > 0")
-    start = F.expr("named_struct('far', '', 'now', '', 'seen', cast(array() AS array<struct<far: string, now: string>>))")
-
-    def step(acc: Column, x: Column) -> Column:
-        far = F.right(F.concat(acc["far"], x["gap"]), F.lit(FAR))
-        now = F.when(x["gap"].contains("。"), F.substring_index(x["gap"], "。", -1)).otherwise(F.concat(acc["now"], x["gap"]))
-        seen = F.array_append(acc["seen"], F.struct(far.alias("far"), now.alias("now")))
-        return F.struct(F.concat(far, x["raw"]).alias("far"), F.concat(now, x["raw"]).alias("now"), seen.alias("seen"))
-
-    pairs = F.zip_with(F.slice("gaps", F.lit(1), F.size("raws")), "raws", lambda gap, raw: F.struct(gap.alias("gap"), raw.alias("raw")))
-    seen = F.aggregate(pairs, start, step, lambda acc: acc["seen"])
-    follows = F.slice("gaps", F.lit(2), F.size("raws"))
-    each = rows.select("text_id", "law_name", "law_id", "node_id", "fragment", F.posexplode(F.arrays_zip("raws", "mains", "subs", seen.alias("seen"), follows.alias("follows"))).alias("ord", "one"))
-    sub = F.when(F.col("one.subs") != "", F.concat(F.lit("_"), kanji_number(F.col("one.subs")).cast("string"))).otherwise("")
-    return each.select(
-        "text_id", "law_name", "law_id", "node_id", "fragment", "ord", F.col("one.raws").alias("raw"),
-        F.col("one.seen.far").alias("far"), F.col("one.seen.now").alias("now"), F.left("one.follows", F.lit(10)).alias("after"),
-        F.concat(kanji_number(F.col("one.mains")).cast("string"), sub).alias("number"),
-    )
+_CITED, _SHOWN, _BRACKETS, _QUOTES = re.compile(CITATION), re.compile(DISPLAY), re.compile("（[^）]*）"), re.compile("「[^」]*」")
+_BORDER = re.compile("。|\n{2,}")
+_SELF = "|".join(D.longest_first(D.SELF_NAMES))
+_LISTED = re.compile(rf"(?:{_SELF})第[一-龯〇-九0-9]+条(?:の[一-龯〇-九0-9]+)?[、，,]\s*$")
+_NUMBERED = re.compile(r"([^\s。、「（）]{1,30}法)（([^）]{5,40}号)）$")
+_BREAK = re.compile(f"^.*(?:{'|'.join(D.NAME_BREAKS)})")
+_JOINTS = ("", "の", "、", "\n")
+
+
+class Seen(NamedTuple):
+    """What stands last in a sentence so far; places count from its beginning."""
+
+    tail: str = ""
+    length: int = 0
+    #: (start, folder) of the last law name before 第 that may open a scope, and the place of the 第.
+    scope: tuple[int, str, int] | None = None
+    #: The place of the 第 behind the last name of another law.
+    other: int = -1
+    #: Start of the last word that ends a scope.
+    reset: int = -1
+    #: End of the last own name with its 第.
+    own: int = -1
+
+
+class Laws(NamedTuple):
+    """The dictionaries of a run: names that always link, with their folders, names of other laws, and the laws that the corpus holds."""
+
+    linked: Dictionary
+    others: Dictionary
+    words: Dictionary
+    held: frozenset[str]
+    longest: int
+
+
+def laws(held: frozenset[str], linked: dict[str, str] = D.LINKED_LAWS, others: frozenset[str] = frozenset(D.OTHER_LAWS), resets: frozenset[str] = frozenset(D.RESETS)) -> Laws:
+    """``linked``: name and folder; ``others``: names of other laws; ``resets``: words that end a scope. All may hold any number of words, and share some."""
+    words = {w: (linked.get(w), w if w in others else None, w in resets) for w in {*linked, *others, *resets}}
+    return Laws(Dictionary(linked), Dictionary(dict.fromkeys(others)), Dictionary(words), held, max(map(len, words)) + 2)
+
+
+def variants(law: str | None) -> tuple[str, ...]:
+    """The five ways a law's name is written."""
+    return tuple(x + law for x in ("", "新", "旧", "改正前の", "改正後の")) if law else ()
+
+
+@lru_cache(1000)
+def _own(law: str | None) -> re.Pattern | None:
+    return re.compile(f"(?:{'|'.join(map(re.escape, variants(law)))})[の、\n]?第") if law else None
+
+
+def _further(seen: Seen, piece: str, law: str | None, fragment: bool, known: Laws) -> Seen:
+    """The sentence read on by ``piece``. Only as much of it as a name can be long is kept."""
+    if not piece:
+        return seen
+    text, old = seen.tail + piece, len(seen.tail)
+    base, scope, other, reset, own = seen.length - old, seen.scope, seen.other, seen.reset, seen.own
+    for start, end, (folder, name, resets) in known.words.found(text):
+        if resets and end > old:
+            reset = max(reset, base + start)
+        if (folder or name) and old <= end < len(text) and text[end] == "第":
+            other = base + end if name else other
+            opened = [f for f in (folder, name if name in known.held else None) if f and law and f != law]
+            if opened and (scope is None or base + start >= scope[0]):
+                scope = (base + start, max(opened), base + end)
+    if fragment and law:
+        keep = max(known.longest, len(law) + 8)
+        for m in _own(law).finditer(text):
+            own = max(own, base + m.end()) if m.end() > old else own
+    else:
+        keep = known.longest
+    return Seen(text[-keep:], seen.length + len(piece), scope, other, reset, own)
+
+
+def _sentence(text: str, places: list[int], law: str | None, fragment: bool, known: Laws) -> Iterator[Seen]:
+    """What is seen at each of ``places`` in a sentence, in order. Links are read as their labels; brackets closed before a place are passed over."""
+    shown, at, cites = [], 0, []  # the sentence with labels for links; each place as (place there, what of an open link stands before it)
+    where = size = 0
+    for m in [*_SHOWN.finditer(text), None]:
+        lo, hi = m.span() if m else (len(text), len(text))
+        while where < len(places) and places[where] < hi or m is None and where < len(places):
+            p = places[where]
+            cites.append((size + min(p, lo) - at, text[lo:p] if p > lo else ""))
+            where += 1
+        shown.append(text[at:lo])
+        size += lo - at
+        if m:
+            shown.append(m[1])
+            size += len(m[1])
+        at = hi
+    whole = "".join(shown)
+    closed = [m.span() for m in _BRACKETS.finditer(whole)]
+    open_at = whole.find("（", closed[-1][1] if closed else 0)
+    seen, done, k, before, inner = Seen(), 0, 0, None, None
+
+    def read(to: int) -> None:
+        nonlocal seen, done, k, before
+        pieces = []
+        while k < len(closed) and closed[k][1] <= to:
+            pieces.append(whole[done : closed[k][0]])
+            done, k = closed[k][1], k + 1
+        if done <= open_at < to:
+            before = _further(seen, "".join([*pieces, whole[done:open_at]]), law, fragment, known)
+            seen, pieces, done = before, [], open_at
+        pieces.append(whole[done:to])
+        seen, done = _further(seen, "".join(pieces), law, fragment, known), to
+
+    for p, extra in cites:
+        while k < len(closed) and closed[k][1] <= p:
+            read(closed[k][1])
+        lo = closed[k][0] if k < len(closed) and closed[k][0] < p else None
+        if lo is None:
+            read(p)
+            now, outside = seen, before if 0 <= open_at < p else None
+        else:
+            if done < lo:
+                read(lo)
+            if inner is None or inner[0] != lo:
+                inner = (lo, lo, seen)
+            inner = (lo, p, _further(inner[2], whole[inner[1] : p], law, fragment, known))
+            now, outside = inner[2], seen
+        if extra and outside is not None and "）" in extra:
+            now, extra = outside, extra[extra.index("）") + 1 :]
+        yield _further(now, _BRACKETS.sub("", extra), law, fragment, known) if extra else now
+
+
+def _at_end(context: str, names: Dictionary, edge: bool = True) -> str | None:
+    """Of ``names`` the first to begin that stands at the end of a context, save one of の、 or a line end: its value."""
+    if not ("法" in context[-2:] or "律" in context[-2:]):
+        return None
+    ends = [len(context)] + ([len(context) - 1] if context[-1:] in tuple("の、\n\r\x85\u2028\u2029") else [])
+    found = [(start, -size, value) for size in ends for start, value in names.at_end(context, size) if not edge or not start or context[start - 1] in D.BEFORE_NAME]
+    return min(found, key=lambda x: x[:2], default=None)
+
+
+def _number_before(near: str) -> str | None:
+    """The law's name where the text before ends with 名法（…号）; conjunctions before the name are cut off."""
+    m = _NUMBERED.search(near) if "）" in near[-2:] else None
+    name = _BREAK.sub("", m[1]) if m else ""
+    return name if len(name) >= 2 else None
+
+
+def _names_other(far: str, known: Laws) -> bool:
+    """Whether another law is named before, in a sentence that still goes on (full stops in brackets and quotations do not end it)."""
+    last = {far[s:e]: s for s, e, _ in known.others.found(far)}
+    return any("。" not in far[s:] or "。" not in _QUOTES.sub("", _BRACKETS.sub("", far[s:])) for s in last.values())
+
+
+_NOTE = pa.struct(
+    [("raw", pa.string()), ("main", pa.string()), ("sub", pa.string()), ("numbered", pa.string()), ("numbered_held", pa.bool_()), ("own_word", pa.bool_()), ("linked_end", pa.string()),
+     ("other_end", pa.string()), ("other_end_held", pa.bool_()), ("last", pa.string()), ("scope", pa.string()), ("other_scope", pa.bool_()), ("in_parent", pa.bool_()), ("other_near", pa.bool_()), ("bare", pa.bool_())]
+)
+_NOTE_SQL = ", ".join(f"{f.name}: {'boolean' if pa.types.is_boolean(f.type) else 'string'}" for f in _NOTE)
+
+
+def notes(text: str, law: str | None, fragment: bool, known: Laws) -> list[dict]:
+    """Of each citation what the rules ask of the text before it; a text takes time in proportion to its length."""
+    cites, out = list(_CITED.finditer(text)), []
+    borders = [m.end() for m in _BORDER.finditer(text)] if cites else []
+    sentences: dict[int, list[re.Match]] = {}
+    k = 0
+    for m in cites:
+        while k < len(borders) and borders[k] <= m.start():
+            k += 1
+        sentences.setdefault(borders[k - 1] if k else 0, []).append(m)
+    for begin, mine in sentences.items():
+        seen = _sentence(text[begin : mine[-1].start()], [m.start() - begin for m in mine], law, fragment, known)
+        for m, s in zip(mine, seen, strict=True):
+            far = text[max(0, m.start() - FAR) : m.start()]
+            near = far[-NEAR:]
+            context = _BRACKETS.sub("", near) if "（" in near else near
+            bare = context.rstrip()
+            own_word = bare.endswith(tuple(D.SELF_NAMES))
+            listed = bare.endswith(("、", "，", ",")) and _LISTED.search(_SHOWN.sub(r"\1", context)) is not None
+            numbered, linked, other = _number_before(near), _at_end(context, known.linked), _at_end(context, known.others)
+            other_name = context[other[0] : -other[1]] if other else None
+            last = next((f for _, f in known.linked.at_end(s.tail)), None) or next((n for start, _ in known.others.at_end(s.tail) if (n := s.tail[start:]) == law or n in known.held), None)
+            own_end = fragment and bool(law) and s.tail.endswith(tuple(v + j for v in variants(law) for j in _JOINTS))
+            named = _at_end(context, known.linked, edge=False) is not None or bool(law) and context.endswith(tuple(v + j for v in variants(law) for j in _JOINTS)) or own_word
+            out.append(
+                {
+                    "raw": m[0], "main": m[1], "sub": m[2], "numbered": numbered, "numbered_held": numbered in known.held, "own_word": own_word or listed, "linked_end": linked and linked[2],
+                    "other_end": other_name, "other_end_held": other_name in known.held, "last": last, "scope": s.scope[1] if s.scope and s.reset <= s.scope[2] else None,
+                    "other_scope": 0 <= s.other and s.reset <= s.other, "in_parent": own_end or 0 <= s.own and s.reset < s.own, "other_near": _names_other(_SHOWN.sub(r"\1", far) if "[[" in far else far, known),
+                    "bare": fragment and text.startswith("の規定に", m.end()) and not named,
+                }
+            )
+    return out
 
 
 def resolved(texts: DataFrame, corpus: DataFrame) -> DataFrame:
-    """The citations with ``action`` (link, plain or external) and ``target_law``; see ``edges`` and ``linked_text``.
+    """``texts`` (text_id, text, law_name, law_id, node_id, fragment) with ``cited``: for each citation in order raw, number, action
+    (link, plain or external), target_law and own (whether it leads to the text's own law for want of another).
 
     In order: a law cited with its number; a self-reference; in fragments, a bare citation before の規定に; a linked
     name right before; another law's name right before; the sentence's scope; another law anywhere before in the
-    sentence; in fragments, a citation outside the parent law's scope. Null texts have no citations.
+    sentence; in fragments, a citation outside the parent law's scope. Null texts have no citations. ``corpus``: law_name, law_id,
+    has_main; the names of the laws that it holds in full, one each, are gathered when the plan is made and sent to the tasks.
     """
-    rows = citations(texts).crossJoin(F.broadcast(corpus_row(corpus)))  # one small row
-    c = F.col
-    near = F.right("far", F.lit(NEAR))
-    rows = rows.withColumns({"near": near, "context": F.regexp_replace(near, "（[^）]*）", ""), "sentence": _sentence(c("now")), "far": without_links(c("far"))})
-    rows = rows.withColumn("numbered", numbered_law(c("near"))["law_name"])
-    listed = rf"(?U)(?:{_SELF})第[一-龯〇-九0-9]+条(?:の[一-龯〇-九0-9]+)?[、，,]\s*$"
-    rows = rows.withColumns(
-        {
-            "own_number": F.coalesce(c("numbered") == c("law_name"), F.lit(False)),
-            "own_word": names_itself(c("context")) | without_links(c("context")).rlike(listed),
-            "linked_end": _name_at_end(c("context"), _LINKED),
-            "other_end": _name_at_end(c("context"), _OTHER),
-        }
-    )
-    held = lambda name: F.array_contains(c("held"), name)
-    folder = F.expr("map(" + ", ".join(f"'{k}', '{v}'" for k, v in D.LINKED_LAWS.items()) + ")")
-    names = variants(c("law_name"))
-
-    # the few names that a sentence or its surroundings hold; everything below looks at these alone
-    no_pairs, no_names = F.array().cast("array<struct<name:string,folder:string>>"), F.array().cast("array<string>")
-    within = lambda text, pairs: F.when(text.rlike("[法律]"), F.filter(pairs, lambda n: text.contains(n["name"]))).otherwise(no_pairs)
-    rows = rows.withColumns(
-        {
-            "linked_in": within(c("sentence"), _pairs({n: D.LINKED_LAWS[n] for n in _LINKED})),
-            "other_in": within(c("sentence"), _pairs(_OTHER)),
-            "far_in": F.when(c("far").rlike("[法律]"), F.filter(_words(_OTHER), lambda n: c("far").contains(n))).otherwise(no_names),
-        }
-    )
-
-    # the name at the end of the sentence, then the last name before 第
-    linked_last = F.try_element_at(F.filter("linked_in", lambda n: c("sentence").endswith(n["name"])), F.lit(1))["folder"]
-    other_last = F.filter("other_in", lambda n: c("sentence").endswith(n["name"]) & ((n["name"] == c("law_name")) | held(n["name"])))
-    open_names = F.filter(F.concat("linked_in", F.filter("other_in", lambda n: held(n["name"]))), lambda n: n["folder"] != c("law_name"))
-    rows = rows.withColumns({"scope": _scope(c("sentence"), open_names), "other_scope": _scope(c("sentence"), c("other_in")), "linked_last": linked_last, "other_last": other_last})
-    not_own = lambda law: F.when(law != c("law_name"), law)
-    crossed = (
-        F.when(c("linked_last").isNotNull(), not_own(c("linked_last")))
-        .when(F.size("other_last") > 0, not_own(F.try_element_at("other_last", F.lit(1))["name"]))
-        .when(_unbroken(c("sentence"), c("scope")), c("scope.folder"))
-    )
-    parent_scope = F.array_max(
-        F.flatten(
-            F.transform(
-                names,
-                lambda v: F.filter(
-                    F.concat(
-                        F.array(*(F.struct((_last(c("sentence"), F.concat(v, F.lit(s + "第"))) - F.length(v) - len(s) - 1).alias("start"), (F.length(v) + len(s) + 1).alias("size")) for s in ("", "の", "、", "\n"))),
-                        F.array(*(F.struct(F.when(c("sentence").endswith(F.concat(v, F.lit(s))), F.length("sentence") - F.length(v) - len(s)).otherwise(-1).alias("start"), (F.length(v) + len(s)).alias("size")) for s in ("の", "、", "\n", ""))),
-                    ),
-                    lambda x: x["start"] >= 0,
-                ),
-            )
-        )
-    )
-    rows = rows.withColumns({"crossed": crossed, "parent": F.when(c("fragment"), parent_scope)})
-    parent_tail = F.substr("sentence", c("parent.start") + c("parent.size") + F.lit(1))
-    in_parent = c("parent").isNotNull() & ~parent_tail.rlike(_RESET)
-
-    def unbroken_from(name: Column) -> Column:
-        end = _last(c("far"), name)
-        rest = F.substr(c("far"), end - F.length(name) + 1)
-        return (end > 0) & ~F.regexp_replace(F.regexp_replace(rest, "（[^）]*）", ""), "「[^」]*」", "").contains("。")
-
-    other_near = F.exists("far_in", unbroken_from)
-    any_name = _name_at_end(c("context"), _LINKED, edge=False).isNotNull() | F.exists(names, lambda v: F.exists(F.array(*(F.concat(v, F.lit(s)) for s in ("", "の", "、", "\n"))), lambda w: c("context").endswith(w))) | names_itself(c("context"))
-    bare = c("fragment") & c("after").startswith("の規定に") & ~any_name
-    free = ~(c("own_number") | c("own_word"))
-    by_number = c("numbered").isNotNull() & ~c("own_number")
-    linked = F.element_at(folder, F.coalesce("linked_end", F.lit("刑法")))
-    explicit = F.when(by_number & held(c("numbered")), c("numbered")).when(~by_number & c("linked_end").isNotNull() & (linked != c("law_name")), linked)
-    rows = rows.withColumn("explicit", explicit).withColumn("reached", F.coalesce("explicit", F.when(free & c("other_end").isNotNull() & held(c("other_end")), c("other_end")), "crossed"))
-    none = c("reached").isNull()
+    held = frozenset(r[0] for r in corpus.where("has_main and law_name is not null").select("law_name").distinct().toLocalIterator())
+    sent = texts.sparkSession.sparkContext.broadcast(laws(held))
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            given = zip(batch.column("text").to_pylist(), batch.column("law_name").to_pylist(), batch.column("fragment").to_pylist(), strict=True)
+            found = [notes(t, law, bool(f), sent.value) if t else [] for t, law, f in given]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.list_(_NOTE))], [*batch.schema.names, "notes"])
+
+    rows = texts.select("text_id", F.col("text").cast("string").alias("text"), "law_name", "law_id", "node_id", "fragment")
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema)
+    noted = rows.mapInArrow(read, f"{kinds}, notes array<struct<{_NOTE_SQL}>>")
+    reached = F.transform("notes", _reached)
+    return noted.select(*rows.columns, F.transform(reached, _decided).alias("cited"))
+
+
+def _reached(x: Column) -> Column:
+    """A citation's notes with the law that a name right before it, or the scope of its sentence, leads to."""
+    law = F.col("law_name")
+    own_number = F.coalesce(x["numbered"] == law, F.lit(False))
+    free, by_number = ~(own_number | x["own_word"]), x["numbered"].isNotNull() & ~own_number
+    linked = F.coalesce(x["linked_end"], F.lit("刑法"))
+    explicit = F.when(by_number & x["numbered_held"], x["numbered"]).when(~by_number & x["linked_end"].isNotNull() & (linked != law), linked)
+    crossed = F.when(x["last"].isNotNull(), F.when(x["last"] != law, x["last"])).otherwise(x["scope"])
+    other = F.when(free & x["other_end_held"], x["other_end"])
+    return F.struct(x.alias("x"), free.alias("free"), by_number.alias("by_number"), explicit.alias("explicit"), F.coalesce(explicit, other, crossed).alias("law"))
+
+
+def _decided(r: Column) -> Column:
+    x, none = r["x"], r["law"].isNull()
     action = (
-        F.when(by_number & ~held(c("numbered")), "external")
-        .when(bare, "plain")
-        .when(c("explicit").isNull() & free & c("other_end").isNotNull() & ~held(c("other_end")), "plain")
-        .when(none & free & (_unbroken(c("sentence"), c("other_scope")) | other_near), "plain")
-        .when(none & c("fragment") & ~c("own_word") & ~in_parent, "plain")
+        F.when(r["by_number"] & ~x["numbered_held"], "external")
+        .when(x["bare"], "plain")
+        .when(r["explicit"].isNull() & r["free"] & x["other_end"].isNotNull() & ~x["other_end_held"], "plain")
+        .when(none & r["free"] & (x["other_scope"] | x["other_near"]), "plain")
+        .when(none & F.col("fragment") & ~x["own_word"] & ~x["in_parent"], "plain")
         .otherwise("link")
     )
-    law = F.when(c("action") == "external", c("numbered")).when(c("action") == "link", F.coalesce("reached", "law_name"))
-    target_id = F.when(c("reached").isNull(), c("law_id")).otherwise(F.try_element_at("law_ids", c("target_law")))
-    decided = rows.withColumn("action", action).withColumn("target_law", law).withColumn("target_law_id", target_id)
-    # a generator of one row: filters over the decision stay above it and do not repeat its expressions
-    kept = ("text_id", "law_name", "law_id", "node_id", "fragment", "ord", "raw", "number")
-    return decided.select(*kept, F.inline(F.array(F.struct("action", "target_law", "target_law_id"))))
-
-
-def edges(decided: DataFrame) -> DataFrame:
-    """Edges (from, to, type, evidence, confidence, source, kind) of resolved citations; self-edges and laws without identifier have none. Repeats stay."""
-    to = F.when(F.col("action") == "external", F.concat(F.lit("external:"), "target_law", F.lit("#main#"), "number")).when(F.col("action") == "link", F.concat(F.lit("JPLAW:"), "target_law_id", F.lit("#main#"), "number"))
-    return decided.withColumn("to", to).where("`to` is not null and (action = 'external' or `to` <> node_id)").select(
+    sub = F.when(x["sub"].isNotNull(), F.concat(F.lit("_"), kanji_number(x["sub"]).cast("string"))).otherwise("")
+    number = F.concat(kanji_number(x["main"]).cast("string"), sub)
+    return F.struct(
+        x["raw"].alias("raw"), number.alias("number"), action.alias("action"), none.alias("own"),
+        F.when(action == "external", x["numbered"]).when(action == "link", F.coalesce(r["law"], F.col("law_name"))).alias("target_law"),
+    )
+
+
+def edges(decided: DataFrame, corpus: DataFrame) -> DataFrame:
+    """Edges (text_id, ord, from, to, type, evidence, confidence, source, kind) of ``resolved`` citations; self-edges and laws without identifier have none. Repeats stay.
+
+    ``corpus``: law_name, law_id; of several identifiers of a name the smallest counts.
+    """
+    rows = decided.select("text_id", "law_id", "node_id", F.posexplode("cited").alias("ord", "c")).select("text_id", "law_id", "node_id", "ord", "c.*").where("action <> 'plain'")
+    ids = corpus.where("law_id <> ''").groupBy(F.col("law_name").alias("target_law")).agg(F.min("law_id").alias("target_law_id"))
+    found = rows.join(ids, "target_law", "left")
+    law = F.when(F.col("own"), F.col("law_id")).otherwise(F.col("target_law_id"))
+    to = F.when(F.col("action") == "external", F.concat(F.lit("external:"), "target_law", F.lit("#main#"), "number")).otherwise(F.concat(F.lit("JPLAW:"), law, F.lit("#main#"), "number"))
+    return found.withColumn("to", to).where("`to` is not null and (action = 'external' or `to` <> node_id)").select(
         "text_id", "ord", F.col("node_id").alias("from"), "to", F.lit("refers_to").alias("type"), F.col("raw").alias("evidence"), F.lit(CONFIDENCE).alias("confidence"), F.lit(SOURCE).alias("source"),
         F.when(F.col("action") == "external", "external_ref").alias("kind"),
     )
@@ -235,9 +291,8 @@ def link_of(law: Column, number: Column, raw: Column) -> Column:
     return F.concat(F.lit("[[laws/"), law, F.lit("/本文/"), name, F.lit(".md|"), raw, F.lit("]]"))
 
 
-def linked_text(texts: DataFrame, decided: DataFrame) -> DataFrame:
-    """(text_id, text): each text with its links. One shuffle by text_id puts the citations of a text together."""
-    shown = F.when(F.col("action") == "link", link_of(F.col("target_law"), F.col("number"), F.col("raw"))).otherwise(F.col("raw"))
-    parts = decided.groupBy("text_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("ord", shown.alias("shown")))), lambda x: x["shown"]).alias("shown"))
-    whole = F.array_join(F.zip_with(F.split("text", CITATION, -1), F.col("shown"), lambda gap, x: F.concat(gap, F.coalesce(x, F.lit("")))), "")
-    return texts.select("text_id", "text").join(parts, "text_id", "left").select("text_id", F.when(F.col("shown").isNull(), F.col("text")).otherwise(whole).alias("text"))
+def linked_text(decided: DataFrame) -> DataFrame:
+    """(text_id, text): each text of ``resolved`` with its links, put together in its row."""
+    shown = F.transform("cited", lambda c: F.when(c["action"] == "link", link_of(c["target_law"], c["number"], c["raw"])).otherwise(c["raw"]))
+    whole = F.array_join(F.zip_with(F.split("text", CITATION, -1), shown, lambda gap, x: F.concat(gap, F.coalesce(x, F.lit("")))), "")
+    return decided.select("text_id", whole.alias("text"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from kasane.functions import dictionaries as D
 from kasane.functions import links as L
+from kasane.functions.automaton import contains_any
 
 #: Width of the number buckets of the range join.
 BUCKET = 64
@@ -45,9 +46,12 @@ def visible(files: DataFrame, prefix: str | None = None) -> DataFrame:
 
 
 def not_ignored(links: DataFrame, patterns: DataFrame) -> DataFrame:
-    """Links whose ``shown`` contains none of the ``patterns`` (pattern), a short hand-kept list; it is joined as one row."""
-    one = patterns.where("pattern <> ''").groupBy().agg(F.collect_set("pattern").alias("__patterns"))
-    return links.crossJoin(F.broadcast(one)).where(~F.exists("__patterns", lambda p: F.col("shown").contains(p))).drop("__patterns")
+    """Links whose ``shown`` contains none of the ``patterns`` (pattern); null and empty ones count for nothing.
+
+    The patterns are gathered when the plan is made and go to every task as automata, which read a path once however many they are.
+    """
+    words = [r[0] for r in patterns.select(F.col("pattern").cast("string")).distinct().toLocalIterator()]
+    return links.where(~contains_any(links.sparkSession, F.col("shown"), [w for w in words if w]))
 
 
 def report(links: DataFrame, limit: int = 100, samples: int = 5) -> DataFrame:

@@ -78,12 +78,14 @@ ORACLES = {
   WHEN 2 THEN '{OUTSIDE}' || {_K} || 'において'
   WHEN 3 THEN '本法' || {_LINK(_OWN_LAW, _N, '', _K)} || '、' || {_LINK(_OWN_LAW, '(' + _N + ' + 1)', '', _K1)} || 'の規定'
   ELSE {_K} || 'を次のように改める。' END AS text FROM li""",
-    "q_scope_edges": f"""WITH x AS (SELECT o_orderkey AS text_id, o_orderkey % 11 AS t, o_orderkey % 900 + 1 AS n, o_custkey % 900 + 1 AS m, o_custkey % 6 >= 4 AS far FROM orders),
+    "q_scope_edges": f"""WITH x AS (SELECT o_orderkey AS text_id, o_orderkey % 15 AS t, o_orderkey % 900 + 1 AS n, o_custkey % 900 + 1 AS m, o_custkey % 6 >= 4 AS far FROM orders),
 e AS (SELECT text_id, 0 AS ord, '323AC0000000131' AS law, n AS num FROM x WHERE t IN (0, 5, 6)
   UNION ALL SELECT text_id, 1, '323AC0000000131', m FROM x WHERE t = 6
   UNION ALL SELECT text_id, 1, '408AC0000000109', m FROM x WHERE t IN (2, 5, 10)
   UNION ALL SELECT text_id, 0, '408AC0000000109', m FROM x WHERE t = 3 AND far
-  UNION ALL SELECT text_id, 0, '408AC0000000109', n FROM x WHERE t IN (7, 10))
+  UNION ALL SELECT text_id, 0, '408AC0000000109', n FROM x WHERE t IN (7, 10, 11, 12, 13, 14)
+  UNION ALL SELECT text_id, 1, '408AC0000000109', m FROM x WHERE t = 14
+  UNION ALL SELECT text_id, 2, '323AC0000000131', n FROM x WHERE t = 12)
 SELECT text_id, ord, 'JPLAW:' || law || '#main#' || num AS "to", '第' || {_kanji('num')} || '条' AS evidence FROM e""",
     "q_law_pages": """WITH f AS (SELECT c_nationkey AS nat, '法' || c_nationkey AS law_name, c_custkey AS k, c_custkey % 5 AS p, CASE WHEN c_custkey % 2 = 0 THEN 'H' ELSE 'S' END AS era, c_custkey % 4 + 1 AS y FROM customer),
 plain AS (SELECT law_name, p, count(*) AS n, string_agg('- [[' || CASE p WHEN 0 THEN '本文' WHEN 2 THEN '附則' WHEN 3 THEN '附則/制定時附則' ELSE '附則/init_1' END || '/第' || k || '条.md|第' || k || '条]]', chr(10) ORDER BY k) AS body FROM f WHERE p <> 1 GROUP BY ALL),

@@ -25,24 +25,29 @@ def _decided(spark: SparkSession, sf_dir: str) -> DataFrame:
     return citations.resolved(statutes.sentences(spark, sf_dir), statutes.corpus(spark))
 
 
+def _edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return citations.edges(_decided(spark, sf_dir), statutes.corpus(spark))
+
+
 @query
 def q_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Reference edges of all sentences."""
-    return citations.edges(_decided(spark, sf_dir)).select("text_id", "ord", "from", "to", "evidence", "kind")
+    return _edges(spark, sf_dir).select("text_id", "ord", "from", "to", "evidence", "kind")
 
 
 @query
 def q_edges_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sentences with their links."""
-    texts = statutes.sentences(spark, sf_dir)
-    return citations.linked_text(texts, citations.resolved(texts, statutes.corpus(spark)))
+    return citations.linked_text(_decided(spark, sf_dir))
 
 
 @query
 def q_scope_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Edges of texts whose laws are named further before: boundaries, scopes and their ends, 300 characters of look-back, quotations, fragments."""
+    """Edges of texts whose laws are named further before: boundaries, scopes and their ends, 300 characters of look-back, quotations, fragments, and bare citations before の規定に in them."""
     n, m = F.expr("o_orderkey % 900 + 1"), F.expr("o_custkey % 900 + 1")
-    at = lambda x: F.concat(F.lit("第"), K.to_kanji(x), F.lit("条"))
+    at = lambda x: F.concat(F.lit("第"), x, F.lit("条"))
+    orders = table(spark, sf_dir, "orders").repartition(3 * spark.sparkContext.defaultParallelism, "o_orderkey").select("o_orderkey", "o_custkey", K.to_kanji(n).alias("n"), K.to_kanji(m).alias("m"))
+    n, m = F.col("n"), F.col("m")
     pad = F.expr("repeat('あ', element_at(array(0, 100, 200, 293, 294, 400), int(o_custkey % 6) + 1))")
     own, other = F.lit("民事訴訟法"), F.lit("刑事訴訟法")
     parts = (
@@ -57,19 +62,24 @@ def q_scope_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
         (pad, at(n), F.lit("を削る。")),
         (own, F.lit("い" * 70), at(n), F.lit("を削る。")),
         (F.lit("この法律"), at(n), F.lit("及び"), at(m), F.lit("を守る。")),
+        (F.lit("改める前の"), own, at(n), F.lit("及び"), at(m), F.lit("の規定により定め、"), at(n), F.lit("の規定に従う。")),
+        (own, at(n), F.lit("及び"), at(m), F.lit("の規定に従い、"), other, at(n), F.lit("の規定に従う。")),
+        (own, F.expr("element_at(array('', 'の', '、'), int(o_custkey % 3) + 1)"), at(n), F.lit("の規定に従う。")),
+        (own, at(n), F.lit("及び"), at(m), F.lit("の規定に従う。")),
     )
     text = F.coalesce(*(F.when(F.expr(f"o_orderkey % {len(parts)} = {i}"), F.concat(*p)) for i, p in enumerate(parts)))
     law_id = dict(statutes.LAWS)["民事訴訟法"]
-    texts = table(spark, sf_dir, "orders").repartition(3 * spark.sparkContext.defaultParallelism, "o_orderkey").select(
-        F.col("o_orderkey").alias("text_id"), text.alias("text"), own.alias("law_name"), F.lit(law_id).alias("law_id"), F.lit(f"JPLAW:{law_id}#main#0").alias("node_id"), F.expr("o_orderkey % 11 between 7 and 9").alias("fragment")
+    texts = orders.select(
+        F.col("o_orderkey").alias("text_id"), text.alias("text"), own.alias("law_name"), F.lit(law_id).alias("law_id"), F.lit(f"JPLAW:{law_id}#main#0").alias("node_id"), F.expr("o_orderkey % 15 in (7, 8, 9, 11, 12, 13)").alias("fragment")
     )
-    return citations.edges(citations.resolved(texts, statutes.corpus(spark))).select("text_id", "ord", "to", "evidence")
+    corpus = statutes.corpus(spark)
+    return citations.edges(citations.resolved(texts, corpus), corpus).select("text_id", "ord", "to", "evidence")
 
 
 @query
 def q_edge_v2(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Reference edges of the unified schema, counted by their kind and source law."""
-    rows = structure.edges_v2(citations.edges(_decided(spark, sf_dir)))
+    rows = structure.edges_v2(_edges(spark, sf_dir))
     return rows.groupBy("type", "relation", F.substring_index("source", "#", 1).alias("law")).agg(F.count("*").alias("n"), F.count_distinct("target").alias("targets"))
 
 
@@ -287,7 +297,7 @@ def q_run_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def q_graph_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """References and containment as one table, counted."""
-    rows = structure.graph(citations.edges(_decided(spark, sf_dir)), statutes.articles(spark, sf_dir))
+    rows = structure.graph(_edges(spark, sf_dir), statutes.articles(spark, sf_dir))
     return rows.groupBy("type", "relation").agg(F.count("*").alias("n"), F.count("evidence").alias("with_evidence"))
 
 

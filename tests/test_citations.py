@@ -4,7 +4,9 @@ The texts are made from sentence patterns, one for each rule, with laws and numb
 """
 
 import itertools
+import pickle
 import re
+import time
 
 import pytest
 
@@ -74,8 +76,8 @@ def test_cases(spark, held):
     rows = [(i, c[2], c[0], "X", "JPLAW:X#main#1", c[1]) for i, c in own] + [(-1, None, "民法", "X", "n", False)]
     texts = spark.createDataFrame(rows, "text_id long, text string, law_name string, law_id string, node_id string, fragment boolean")
     decided = citations.resolved(texts, corpus).cache()
-    edges = citations.edges(decided).orderBy("text_id", "ord").collect()
-    shown = {r.text_id: r.text for r in citations.linked_text(texts, decided).collect()}
+    edges = citations.edges(decided, corpus).orderBy("text_id", "ord").collect()
+    shown = {r.text_id: r.text for r in citations.linked_text(decided).collect()}
     for i, (_, _, text, _, links, external, n_edges) in own:
         found = [f"{m[1]}:{m[2]}" for m in re.finditer(r"\[\[laws/([^/]+)/本文/([^.]+)\.md\|", shown[i])]
         assert found == links.split(), text
@@ -85,13 +87,46 @@ def test_cases(spark, held):
     assert shown[-1] is None
 
 
+def test_a_sentence_without_end_takes_time_in_proportion():
+    """Tables and lists have no full stop: what stands before a citation is not read again for each of them."""
+    known = citations.laws(frozenset(["民事訴訟法"]))
+    one = f"{art(12)}、特許法{art(7)}（刑事訴訟法{art(9)}）[[a|{art(3)}]]及び民事訴訟法{art(5, 2)}と"
+    took = {}
+    for times in (500, 4000):
+        at = time.process_time()
+        found = citations.notes(one * times, "刑事訴訟法", True, known)
+        took[times] = time.process_time() - at
+        assert len(found) == 5 * times
+        assert [x["scope"] for x in found[-5:]] == ["民事訴訟法"] * 5 and [x["linked_end"] for x in found[-5:]] == [None, None, "刑事訴訟法", None, "民事訴訟法"]
+    assert took[4000] < 24 * took[500]
+
+
+def test_a_dictionary_of_any_size(spark):
+    """100,000 laws' names: the texts name some of them, right before a citation and as the scope of a sentence."""
+    names = {f"第{i}号事業法": f"folder{i}" for i in range(100_000)}
+    known = citations.laws(frozenset(), names, frozenset(f"他{i}法" for i in range(1000)))
+    found = citations.notes(f"第77777号事業法{art(3)}及び{art(4)}。第5号事業法による。他999法の{art(5)}、{art(6)}", "民法", False, known)
+    assert [(x["linked_end"], x["scope"], x["other_end"]) for x in found] == [("folder77777", None, None), (None, "folder77777", None), (None, None, "他999法"), (None, None, None)]
+    assert len(pickle.dumps(known)) < 100_000_000
+
+
+def test_a_bare_citation_in_a_fragment_before_its_provision(spark):
+    """Before の規定に a fragment's citation needs a name right before it: the law's own, a linked one, or a word for itself."""
+    texts = [f"民事訴訟法{art(3)}及び{art(4)}の規定により", f"民事訴訟法の{art(3)}の規定により", f"x刑法{art(3)}の規定に", f"この法律{art(3)}の規定に", f"特許法{art(3)}の規定に"]
+    rows = [(10 * f + i, t, "民事訴訟法", "X", "n", bool(f)) for i, t in enumerate(texts) for f in (0, 1)]
+    table = spark.createDataFrame(rows, "text_id long, text string, law_name string, law_id string, node_id string, fragment boolean")
+    corpus = spark.createDataFrame([(n, i, True) for n, i in CORPUS[:1]], "law_name string, law_id string, has_main boolean")
+    got = {r.text_id: r.a for r in citations.resolved(table, corpus).selectExpr("text_id", "transform(cited, c -> c.action) AS a").collect()}
+    assert got == {0: ["link", "link"], 10: ["link", "plain"], 1: ["link"], 11: ["link"], 2: ["link"], 12: ["link"], 3: ["link"], 13: ["link"], 4: ["plain"], 14: ["plain"]}
+
+
 def test_a_long_text_is_read_sentence_by_sentence(spark):
     own, other = "民事訴訟法", "刑事訴訟法"
     one = f"裁判所は、{art(12)}によるほか、{other}{art(58)}及び{art(7, 2)}の例による。" + "あ" * 310 + f"{art(9)}に従う。"
     times = 1500
     corpus = spark.createDataFrame([(n, i, True) for n, i in CORPUS[:2]], "law_name string, law_id string, has_main boolean")
     texts = spark.createDataFrame([(i, one * n, own, "X", "n", False) for i, n in ((1, 1), (2, times))], "text_id long, text string, law_name string, law_id string, node_id string, fragment boolean")
-    decided = citations.resolved(texts, corpus).groupBy("text_id", "action", "target_law", "number").count().collect()
+    decided = citations.resolved(texts, corpus).selectExpr("text_id", "inline(cited)").groupBy("text_id", "action", "target_law", "number").count().collect()
     got = {(r.text_id, r.action, r.target_law, r.number): r["count"] for r in decided}
     want = [("link", own, "12"), ("link", other, "58"), ("link", other, "7_2"), ("link", own, "9")]
     assert got == {(i, *w): n for i, n in ((1, 1), (2, times)) for w in want}
