@@ -70,6 +70,16 @@ d AS (SELECT source, target, 'missing' AS side, count(*) AS n FROM m GROUP BY AL
 _ERA_KANJI = "translate({}, '0123456789', '〇一二三四五六七八九')"
 _BRANCH = lambda sign: f"'第' || (num // 10) || '{sign}の' || (num % 10)"
 
+_RENAMES = """p AS (SELECT DISTINCT p_partkey // 6 AS g, p_partkey % 6 AS v FROM part),
+m AS (SELECT g, v, max(v) OVER (PARTITION BY g) AS most FROM p),
+ends AS (SELECT 'laws/' || g || '/v' || v || '.md' AS old, 'laws/' || g || '/v' || CASE WHEN g % 10 = 7 AND most = 5 THEN v ELSE least(most + 1, 5) END || '.md' AS new,
+  CASE WHEN g % 10 = 7 AND most = 5 THEN 0 ELSE least(most + 1, 5) - v END AS steps, CASE WHEN g % 10 = 7 AND most = 5 THEN 'cycle' ELSE 'renamed' END AS status
+  FROM m WHERE v < 5 OR g % 10 = 7),
+moved AS (SELECT old, new FROM ends WHERE status = 'renamed'),
+links AS (SELECT c_custkey, c_name, 'laws/' || (c_custkey % 40) || '/v' || (c_custkey % 6) || '.md' AS a, 'laws/' || (c_custkey % 30) || '/v' || (c_custkey % 4) || '.md' AS b,
+  'laws/' || (c_custkey % 20) || '/v' || (c_custkey % 3) || '.md' AS c FROM customer),
+l AS (SELECT links.*, x.new AS na, y.new AS nb, z.new AS nc FROM links LEFT JOIN moved x ON a = x.old LEFT JOIN moved y ON b = y.old LEFT JOIN moved z ON c = z.old)"""
+
 ORACLES = {
     "q_edges": f"WITH {_EDGES} SELECT * FROM edges",
     "q_edges_text": f"""WITH {_LINES} SELECT l_orderkey * 10 + l_linenumber AS text_id, CASE l_linenumber % 5
@@ -94,6 +104,15 @@ amended AS (SELECT law_name, count(*) AS n, string_agg('- [[附則/改正法/' |
 parts AS (SELECT law_name, p, CASE p WHEN 0 THEN '## 本則（全' || n || '条）' WHEN 2 THEN '### 現行附則' WHEN 3 THEN '### 制定時附則（全' || n || '条）' ELSE '### 制定時附則2（全' || n || '条）' END || chr(10) || chr(10) || body AS part FROM plain
   UNION ALL SELECT law_name, 1, '## 附則（改正法: ' || n || '件）' || chr(10) || chr(10) || body FROM amended)
 SELECT law_name, string_agg(part, chr(10) || chr(10) ORDER BY p) AS page FROM parts GROUP BY law_name""",
+    "q_rename_chains": f"WITH {_RENAMES} SELECT * FROM ends",
+    "q_rename_aliases": f"WITH {_RENAMES} SELECT new AS name, string_agg(old, ',' ORDER BY old) AS aliases FROM moved GROUP BY new",
+    "q_renamed_links": f"""WITH {_RENAMES} SELECT c_custkey, 'laws/' || (c_custkey % 20) || '/c' || c_custkey || '.md' AS path,
+  'a [[' || replace(coalesce(na, a), '.md', '') || '|' || c_name || ']] b [[' || coalesce(nb, b) || '#x|y]]' || chr(10) || 'c [[' || coalesce(replace(nc, '.md', ''), 'v' || (c_custkey % 3)) || ']] d [[https://e.f]]' AS body,
+  CAST((na IS NOT NULL) AS INT) + CAST((nb IS NOT NULL) AS INT) + CAST((nc IS NOT NULL) AS INT) AS n_changed FROM l WHERE c_custkey > 0""",
+    "q_rename_check": f"""WITH {_RENAMES}, t AS (SELECT unnest([a, b, c]) AS was, unnest([coalesce(na, a), coalesce(nb, b), coalesce(nc, c)]) AS is_now FROM l),
+f AS (SELECT 'laws/' || g || '/v5.md' AS path FROM p WHERE v = 5)
+SELECT 'before' AS run, count(*) AS n_links, count(*) FILTER (WHERE was NOT IN (SELECT path FROM f)) AS n_broken FROM t
+UNION ALL SELECT 'after', count(*), count(*) FILTER (WHERE is_now NOT IN (SELECT path FROM f)) FROM t""",
     "q_corpus_folders": """SELECT '法' || (p_partkey % 90) AS law_name, count(*) AS n_files, min(CASE WHEN p_partkey % 4 = 0 THEN '/vault/laws/法' || (p_partkey % 90) || '/n' || (p_partkey % 7) || '.md' END) AS law_file
 FROM part WHERE p_partkey % 9 <> 0 GROUP BY ALL""",
     "q_run_report": """SELECT CASE WHEN o_orderstatus = 'F' THEN 'failed' ELSE 'success' END AS status, CASE WHEN o_orderstatus = 'F' THEN o_orderpriority END AS error, count(*) AS n, min(o_orderkey) AS first_target FROM orders GROUP BY ALL""",

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from kasane.functions import links as L
 from kasane.functions import names as N
 from kasane.functions import numerals as K
-from kasane.operators import catalogue, citations, explicit, integrity, nodes, repair, rewrite, snapshots, structure, tree
+from kasane.operators import catalogue, citations, explicit, integrity, nodes, renames, repair, rewrite, snapshots, structure, tree
 from kasane.plans import statutes
 from kasane.plans.staging import stage
 from kasane.plans.statutes import table
@@ -507,6 +507,43 @@ def q_parent_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rewrite.parent_changes(files)
 
 
+def _renamed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Chains of five renames a family of files, every tenth a circle; and a file a customer with three links into them."""
+    parts = table(spark, sf_dir, "part").selectExpr("p_partkey div 6 AS g", "p_partkey % 6 AS v").distinct()
+    chains = parts.where("v < 5 or g % 10 = 7").selectExpr("concat('laws/', g, '/v', v, '.md') AS old", "concat('laws/', g, '/v', (v + 1) % 6, '.md') AS new")
+    link = "concat('laws/', c_custkey % 40, '/v', c_custkey % 6)"
+    body = f"concat('a [[', {link}, '|', c_name, ']] b [[laws/', c_custkey % 30, '/v', c_custkey % 4, '.md#x|y]]\nc [[v', c_custkey % 3, ']] d [[https://e.f]]')"
+    files = table(spark, sf_dir, "customer").selectExpr("c_custkey", "concat('laws/', c_custkey % 20, '/c', c_custkey, '.md') AS path", f"{body} AS body")
+    own = parts.where("v = 5").selectExpr("-1L AS c_custkey", "concat('laws/', g, '/v', v, '.md') AS path", "'' AS body")
+    return renames.followed(chains), files.unionByName(own)
+
+
+@query
+def q_rename_chains(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where each old name leads in the end."""
+    return _renamed(spark, sf_dir)[0]
+
+
+@query
+def q_rename_aliases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The earlier names of each file."""
+    return renames.aliases(_renamed(spark, sf_dir)[0]).select("name", F.array_join("aliases", ",").alias("aliases"))
+
+
+@query
+def q_renamed_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bodies with their links under the last names."""
+    ends, files = _renamed(spark, sf_dir)
+    return renames.relocated(files, ends).where("c_custkey > 0").select("c_custkey", "path", "body", "n_changed")
+
+
+@query
+def q_rename_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links that lead nowhere before and after the renames."""
+    ends, files = _renamed(spark, sf_dir)
+    return renames.verified(files, stage(renames.relocated(files, ends), "relocated"), ["laws"])
+
+
 @query
 def q_status_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders by status and priority."""
