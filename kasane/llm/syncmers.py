@@ -5,8 +5,10 @@ one follows from its own bytes, so a passage has the same anchors wherever it st
 ``K`` - 1 zero bytes in front, so that a text of one character has k-mers too.
 
 A fingerprint is the ``ANCHORS`` anchors of smallest hash, each with its first place, as a sorted array of numbers: the hash in the
-high 40 bits, the place in bytes, modulo 2^24, in the low ones. Two fingerprints are compared by place: an anchor of both counts
+high 32 bits, the place in bytes in the low ones. Two fingerprints are compared by place: an anchor of both counts
 if its shift from one text to the other is none, or is that of another anchor too.
+
+An edited text keeps the anchors of the parts that it is made of; only the k-mers across the seam are read for it.
 """
 
 from __future__ import annotations
@@ -23,7 +25,8 @@ S = 5
 ANCHORS = 64
 #: Bytes of text whose s-mers are held at once.
 PIECE = 4096
-PLACE_BITS = 24
+PLACE_BITS = 32
+_PLACE = (1 << PLACE_BITS) - 1
 
 #: Bytes of texts of neighbouring ids that one task orders, and how many such ranges there may be.
 RANGE_BYTES = 1 << 22
@@ -42,32 +45,47 @@ def _anchors(piece: Column, at: Column) -> Column:
 
     def closed(h: Column) -> Column:
         edge = lambda i: F.least(F.element_at(h, i), F.element_at(h, i + (inner - 1)))
-        starts = F.filter(F.sequence(F.lit(1), F.size(h) - (inner - 1)), lambda i: _let(edge(i), lambda e: (e <= F.element_at(h, i + inner // 2)) & (e <= F.array_min(F.slice(h, i, F.lit(inner))))))
+        starts = F.filter(F.sequence(F.lit(1), F.size(h) - (inner - 1)), lambda i: (edge(i) <= F.element_at(h, i + inner // 2)) & (edge(i) <= F.array_min(F.slice(h, i, F.lit(inner)))))
         return F.transform(starts, lambda i: _packed(F.xxhash64(F.substring(piece, i, F.lit(K))), at + i - 1))
 
     return _let(hashes, closed)
 
 
 def _packed(kmer: Column, place: Column) -> Column:
-    mask = (1 << PLACE_BITS) - 1
-    return kmer.bitwiseAND(F.lit(~mask)).bitwiseOR(place.cast("long").bitwiseAND(F.lit(mask)))
+    return kmer.bitwiseAND(F.lit(~_PLACE)).bitwiseOR(place.cast("long"))
 
 
-def _smallest(packed: Column, anchors: int) -> Column:
-    """The first place of each of the ``anchors`` smallest hashes."""
+def sketch(packed: Column, anchors: int = ANCHORS) -> Column:
+    """The fingerprint of a text with these anchors: the first place of each of the ``anchors`` smallest hashes."""
     new = lambda x: F.filter(x, lambda a, i: (i == 0) | (F.shiftright(a, PLACE_BITS) != F.shiftright(F.get(x, i - 1), PLACE_BITS)))
     return F.slice(_let(F.sort_array(packed), new), 1, anchors)
 
 
-def sketch(text: Column, anchors: int = ANCHORS) -> Column:
-    """The fingerprint of a text as an array of numbers; a null or empty text has none. Long texts are read piece by piece."""
+def all_anchors(text: Column) -> Column:
+    """All anchors of a text in order of place, as packed numbers; a null or empty text has none. Long texts are read piece by piece."""
 
     def pieces(padded: Column) -> Column:
         starts = F.sequence(F.lit(0), F.length(padded) - K, F.lit(PIECE))
-        return F.transform(starts, lambda lo: _let(F.substring(padded, lo + 1, F.lit(PIECE + K - 1)), lambda piece: _smallest(_anchors(piece, lo), anchors)))
+        return F.transform(starts, lambda lo: _let(F.substring(padded, lo + 1, F.lit(PIECE + K - 1)), lambda piece: _anchors(piece, lo)))
 
     padded = F.concat(F.unhex(F.lit("00" * (K - 1))), text.cast("binary"))
-    return F.when(F.length(text) > 0, _smallest(F.flatten(_let(padded, pieces)), anchors)).otherwise(F.array().cast("array<bigint>"))
+    return F.when(F.length(text) > 0, F.flatten(_let(padded, pieces))).otherwise(F.array().cast("array<bigint>"))
+
+
+def joined_anchors(head: Column, head_anchors: Column, tail: Column, tail_anchors: Column) -> Column:
+    """All anchors of ``head`` followed by ``tail``, in no order, from those of texts that begin so: only the k-mers across the seam are read.
+
+    A k-mer of the padded head lies before the seam if it begins before the last byte of the head; of the tail those with no padding count.
+    """
+    at, size = F.octet_length(head), F.octet_length(tail)
+    place = lambda a: a.bitwiseAND(F.lit(_PLACE))
+    before = F.filter(head_anchors, lambda a: place(a) < at)
+    after = F.transform(F.filter(tail_anchors, lambda a: (place(a) >= K - 1) & (place(a) < size)), lambda a: a + at)
+    # the last K - 1 bytes before the seam, padding included, and the first K - 1 behind it
+    left = F.concat(F.unhex(F.lit("00" * (K - 1))), head.cast("binary"))
+    seam = F.concat(F.substring(left, at + 1, F.lit(K - 1)), F.substring(tail.cast("binary"), F.lit(1), F.lit(K - 1)))
+    across = F.when(size > 0, _let(seam, lambda x: _anchors(x, at))).otherwise(F.array().cast("array<bigint>"))
+    return F.concat(before, across, after)
 
 
 def written(found: Column) -> Column:
@@ -80,12 +98,11 @@ def likeness(a: Column, b: Column, anchors: int = ANCHORS) -> Column:
 
     The smallest hashes of both texts together are a fair sample of all their anchors, so the share estimates that of the texts.
     """
-    mask = F.lit((1 << PLACE_BITS) - 1)
     hashes = lambda x: F.transform(x, lambda y: F.shiftright(y, PLACE_BITS))
 
     def shift(ha: Column, hb: Column, h: Column) -> Column:
         place = lambda x, names: F.element_at(x, F.array_position(names, h).cast("int"))
-        return (place(b, hb) - place(a, ha)).bitwiseAND(mask)
+        return place(b, hb).bitwiseAND(F.lit(_PLACE)) - place(a, ha).bitwiseAND(F.lit(_PLACE))
 
     fitting = lambda s: F.size(F.filter(s, lambda x: (x == 0) | (F.size(F.filter(s, lambda y: y == x)) > 1)))
 
@@ -120,7 +137,7 @@ def _constant(values: list, kind: str) -> Column:
 
 
 def _with_next(docs: DataFrame, anchors: int) -> DataFrame:
-    """(doc_id, text, own, next_text, following): each row with its fingerprint, and the next row's text and fingerprint.
+    """(doc_id, text, found, own, next_text, next_found, following): each row with its anchors and fingerprint, and those of the next row with its text.
 
     The next row is that of the next doc_id in descending order, null ids last, equal ids by text; after the last comes the first.
     Ids are cut into ranges of about ``RANGE_BYTES`` of texts, which are ordered side by side. The first row of a range is also sent to
@@ -143,9 +160,9 @@ def _with_next(docs: DataFrame, anchors: int) -> DataFrame:
     guest = F.struct(F.get(_constant([before.get(r, 0) for r in every], "int"), at).alias("range"), F.lit(1).alias("guest"))
     own = F.struct(F.col("range").alias("range"), F.lit(0).alias("guest"))
     sent = ranged.select("doc_id", "text", F.inline(F.when(is_head, F.array(own, guest)).otherwise(F.array(own))))
-    dealt = sent.repartitionByRange(n, "range").withColumn("own", sketch(F.col("text"), anchors))
+    dealt = sent.repartitionByRange(n, "range").withColumn("found", all_anchors(F.col("text"))).withColumn("own", sketch(F.col("found"), anchors))
     window = Window.partitionBy("range").orderBy("guest", F.col("doc_id").desc_nulls_last(), "text")
-    ordered = dealt.select("*", F.lead("text").over(window).alias("next_text"), F.lead("own").over(window).alias("following"))
+    ordered = dealt.select("*", *(F.lead(name).over(window).alias(new) for name, new in (("text", "next_text"), ("found", "next_found"), ("own", "following"))))
     return ordered.where("guest = 0").drop("guest", "range")
 
 
@@ -160,9 +177,9 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     n = F.length("text")
     half = F.floor(n / 2).cast("int")
-    edited = F.concat(F.substring("text", F.lit(1), n - half), F.substring("next_text", F.lit(1), half))
-    found = _with_next(rows, anchors).select("doc_id", n.cast("long").alias("n_chars"), edited.alias("edited"), "own", "following")
-    made = found.withColumn("other", sketch(F.col("edited"), anchors))
+    parts = _with_next(rows, anchors).withColumns({"head": F.substring("text", F.lit(1), n - half), "tail": F.substring("next_text", F.lit(1), half)})
+    other = sketch(joined_anchors(F.col("head"), F.col("found"), F.col("tail"), F.col("next_found")), anchors)
+    made = parts.select("doc_id", n.cast("long").alias("n_chars"), F.concat("head", "tail").alias("edited"), "own", "following", other.alias("other"))
     return made.select(
         "doc_id",
         "n_chars",
