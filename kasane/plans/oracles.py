@@ -175,7 +175,11 @@ UNION ALL SELECT type, relation, count(*), 0 FROM contained GROUP BY ALL""",
 SELECT law_id, tag, CAST(CASE WHEN tag = '#text' THEN 2 * k + 1 WHEN tag IN ('Law', 'MainProvision', 'Chapter', 'ChapterTitle') THEN 1 ELSE k END AS BIGINT) AS n FROM t, unnest(['Law', 'MainProvision', 'Chapter', 'ChapterTitle', 'Article', 'ArticleCaption', 'Paragraph', 'Sentence', '#text']) AS u(tag)""",
     "q_tree_articles": """SELECT CAST(conv_id AS VARCHAR) AS law_id, CAST(turn AS VARCHAR) AS article_num, 'JPLAW:' || conv_id || '#main#' || turn AS node_id, role AS heading, CAST(22 AS BIGINT) AS chapter_num, '第二章の二' AS chapter_title, role = 'assistant' AS has_proviso FROM conversations""",
     "q_tree_text": """SELECT CAST(conv_id AS VARCHAR) AS law_id, sha256(string_agg(coalesce(text, ''), '|' ORDER BY turn)) AS digest, count(*) AS n FROM conversations GROUP BY conv_id""",
-    "q_frontmatter": "SELECT doc_id, lang, source, CASE WHEN lang IS NULL THEN 'lang,tier' ELSE 'tier' END AS missing FROM documents WHERE text IS NOT NULL AND NOT contains(text, '---')",
+    "q_frontmatter": "SELECT doc_id, lang, source, CASE WHEN lang IS NULL THEN 'lang,tier' ELSE 'tier' END AS missing FROM documents",
+    "q_nested_front": """SELECT doc_id, true AS same, sha256(coalesce(text, '')) AS note, source AS tag, CASE WHEN doc_id % 3 <> 0 THEN '法: ' || source || ' #' || doc_id END AS title,
+  CASE WHEN doc_id % 3 <> 0 THEN n_chars END AS n_chars, CASE WHEN doc_id % 3 <> 0 THEN '- ' || lang END AS law, CASE WHEN doc_id % 3 <> 0 THEN 'yes' END AS name, '# ' || lang || chr(10) || '---' || chr(10) || source AS body FROM documents""",
+    "q_amend_front": """SELECT doc_id, CASE WHEN doc_id % 3 <> 0 THEN '法: ' || source || ' #' || doc_id WHEN doc_id % 2 = 0 THEN lang END AS title,
+  CASE WHEN doc_id % 3 = 0 AND doc_id % 2 = 0 THEN source END AS law FROM documents""",
     "q_html_links": f"WITH {_HREFS} SELECT * FROM links",
     "q_broken_links": f"WITH {_HREFS} SELECT * FROM broken WHERE NOT EXISTS (SELECT 1 FROM region WHERE contains(shown, lower(r_name[1:2])))",
     "q_broken_report": f"WITH {_HREFS} SELECT shown, count(*) AS n, least(count(DISTINCT path || ':' || line_no), 5) AS n_samples FROM broken GROUP BY shown ORDER BY n DESC, shown LIMIT 100",

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from kasane.functions import frontmatter as Y
 from kasane.functions import links as L
 from kasane.functions import names as N
 from kasane.functions import numerals as K
@@ -345,6 +346,35 @@ def q_frontmatter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", F.try_element_at("f", F.lit("lang")).alias("lang"), F.try_element_at("f", F.lit("source")).alias("source"), F.array_join(L.missing_fields(F.col("f"), ["doc_id", "lang", "tier"]), ",").alias("missing"))
 
 
+def _nested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with nested fields: the whole text as a value of any number of lines, a list, and for two in three an amending law with its laws."""
+    law = "named_struct('title', concat('法: ', source, ' #', doc_id), 'n_chars', n_chars, 'laws', array(named_struct('id', lang, 'name', string(doc_id % 7)), named_struct('id', concat('- ', lang), 'name', 'yes')))"
+    fields = f"named_struct('doc_id', doc_id, 'note', coalesce(text, ''), 'tags', array(lang, source, '1'), 'amend_law', if(doc_id % 3 = 0, null, {law}), 'empty', cast(array() AS array<string>))"
+    return table(spark, sf_dir, "documents").select("doc_id", "lang", "source", F.expr(f"to_json({fields})").alias("fields"), F.concat(F.lit("# "), "lang", F.lit("\n---\n"), "source").alias("body"))
+
+
+@query
+def q_nested_front(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nested fields written as YAML, read back and taken from VARIANT; the whole is the same as before."""
+    rows = _nested(spark, sf_dir).withColumn("x", Y.parsed(Y.document(F.col("fields"), F.col("body"))))
+    one = lambda path, kind="string": F.try_variant_get("x.front", path, kind)
+    return rows.select(
+        "doc_id", (F.parse_json("fields").cast("string") == F.col("x.front").cast("string")).alias("same"), F.sha2(one("$.note"), 256).alias("note"), one("$.tags[1]").alias("tag"),
+        one("$.amend_law.title").alias("title"), one("$.amend_law.n_chars", "bigint").alias("n_chars"), one("$.amend_law.laws[1].id").alias("law"), one("$.amend_law.laws[1].name").alias("name"), "x.body",
+    )
+
+
+@query
+def q_amend_front(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that lack an amending law get one; others stay as they are."""
+    rows = _nested(spark, sf_dir)
+    made = F.when(F.expr("doc_id % 2 = 0"), F.to_json(F.struct(F.col("lang").alias("title"), F.array("source").alias("laws"))))
+    fields = F.to_json(F.from_json("fields", "doc_id bigint, amend_law struct<title: string>"))
+    front = Y.parsed(Y.document(Y.added(fields, "amend_law", made), F.lit("")))
+    one = lambda path: F.try_variant_get("x.front", path, "string")
+    return rows.select("doc_id", front.alias("x")).select("doc_id", one("$.amend_law.title").alias("title"), one("$.amend_law.laws[0]").alias("law"))
+
+
 def _page_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Wikilinks of pages: the addresses of their menus, kept as links to notes."""
     hrefs = F.regexp_extract_all("html", F.lit('href="/([^"]+)"'), F.lit(1))

@@ -9,6 +9,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from kasane.functions import frontmatter as Y
 from kasane.functions import links as L
 
 LAW_LIST = "laws array<struct<law_info: struct<law_id: string, law_num: string, promulgation_date: string>, revision_info: struct<law_title: string>>>"
@@ -80,6 +81,12 @@ def markdown(spark: SparkSession, path: str) -> DataFrame:
     return rows.select(F.col("_metadata.file_path").alias("path"), parts.alias("x")).select("path", L.simple_fields(F.col("x.raw_yaml")).alias("fields"), "x.body")
 
 
+def nested_markdown(spark: SparkSession, path: str) -> DataFrame:
+    """(path, front, json, body) of the Markdown files under a folder: nested fields as VARIANT and as JSON text in their order, null where there are none or they cannot be read."""
+    rows = spark.read.text(path, wholetext=True, recursiveFileLookup=True, pathGlobFilter="*.md")
+    return rows.select(F.col("_metadata.file_path").alias("path"), Y.parsed(F.col("value")).alias("x")).select("path", "x.*")
+
+
 def target_list(spark: SparkSession, path: str) -> DataFrame:
     """(law_id): identifiers of a list in YAML, one ``- id`` a line, plain or under ``targets:``; an empty or missing file names none."""
     try:
