@@ -1,7 +1,7 @@
 """Law trees: nested JSON ({tag, attr, children}) flattened once into rows, and what is read from the rows.
 
-Flattening a recursive document is the one imperative step: a law is walked once in a Python task, fed by Arrow,
-and every row carries the chapter and section that it stands in and the line of its ancestors. All else is
+There are two walks with the same rows. ``flatten`` walks a law once in a Python task, fed by Arrow; ``walked`` is a recursive query over
+VARIANT, a round for each level of depth, without Python. Every row carries the chapter and section that it stands in and the line of its ancestors. All else is
 relational: what lies within a node names it in its line, so a subtree is read by one grouping, in proportion to the
 nodes and their depth.
 """
@@ -12,10 +12,11 @@ import json
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kasane.functions.numerals import loose_int
+from kasane.plans.staging import stage
 
 NODES = "law_id string, pos int, parent_pos int, end_pos int, depth int, part int, tag string, attr map<string,string>, text string, chapter_pos int, section_pos int, article_pos int, line array<struct<tag: string, pos: int>>"
 _ARROW = pa.schema(
@@ -79,6 +80,61 @@ def flatten(laws: DataFrame) -> DataFrame:
     return laws.select(F.col("law_id").cast("string"), F.col("tree").cast("string").alias("tree")).mapInArrow(work, NODES)
 
 
+#: One level of a walk: a child knows its path, its tags from the root, and at which depth the context stands that it is in.
+_RECURSIVE = """
+WITH RECURSIVE walk AS (
+  SELECT law_id, node, cast(array() AS array<int>) AS path, array(tag) AS tags, if(tag IN ('MainProvision', 'SupplProvision'), 0, null) AS part,
+    if(tag = 'Chapter', 0, null) AS chapter, if(tag IN ('Section', 'Subsection'), 0, null) AS section, if(tag = 'Article', 0, null) AS article
+  FROM (SELECT law_id, node, coalesce(try_variant_get(node, '$.tag', 'string'), '') AS tag FROM {laws} WHERE schema_of_variant(node) LIKE 'OBJECT%')
+  UNION ALL
+  SELECT law_id, node, path, array_append(tags, tag), if(is_part, depth, part),
+    CASE WHEN is_part THEN null WHEN tag = 'Chapter' THEN depth ELSE chapter END,
+    CASE WHEN is_part OR tag = 'Chapter' THEN null WHEN tag IN ('Section', 'Subsection') THEN depth ELSE section END,
+    CASE WHEN is_part THEN null WHEN tag = 'Article' THEN depth ELSE article END
+  FROM (SELECT *, tag IN ('MainProvision', 'SupplProvision') AS is_part, size(path) AS depth FROM (
+    SELECT w.law_id, c.value AS node, array_append(w.path, c.pos) AS path, w.tags, w.part, w.chapter, w.section, w.article,
+      if(schema_of_variant(c.value) LIKE 'OBJECT%', coalesce(try_variant_get(c.value, '$.tag', 'string'), ''), '#text') AS tag
+    FROM walk AS w, LATERAL variant_explode(try_variant_get(w.node, '$.children', 'variant')) AS c))
+)
+SELECT law_id, path, size(path) AS depth, element_at(tags, -1) AS tag, tags, part, chapter, section, article,
+  if(element_at(tags, -1) = '#text', null, coalesce(try_variant_get(node, '$.attr', 'map<string,string>'), map())) AS attr, if(element_at(tags, -1) = '#text', cast(node AS string), null) AS text
+FROM walk"""
+
+
+def walked(laws: DataFrame, most_depth: int = 1000) -> DataFrame:
+    """The rows of ``flatten`` by a recursive query, staged; deeper trees than ``most_depth`` fail. ``laws``: law_id (each once), tree (JSON text).
+
+    The recursion carries paths; places in preorder are their ranks within a law, and every ancestor's place is looked up by its path, a beginning of
+    the row's own. A null or unreadable tree has no rows.
+    """
+    spark = laws.sparkSession
+    given = laws.select(F.col("law_id").cast("string"), F.try_parse_json(F.col("tree").cast("string")).alias("node"))
+    limits = {"spark.sql.cteRecursionRowLimit": "-1", "spark.sql.cteRecursionLevelLimit": str(most_depth)}
+    before = {k: spark.conf.get(k) for k in limits}
+    try:
+        for k, v in limits.items():
+            spark.conf.set(k, v)
+        found = stage(spark.sql(_RECURSIVE, laws=given), "walk")
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    placed = found.withColumn("pos", F.row_number().over(Window.partitionBy("law_id").orderBy("path")) - 1)
+    placed = stage(placed, "places")
+    names = placed.select("law_id", F.col("path").alias("up"), F.col("pos").alias("up_pos"))
+    ups = placed.select("law_id", "path", F.col("pos").alias("of"), F.posexplode(F.transform(F.sequence(F.lit(0), "depth"), lambda k: F.slice("path", F.lit(1), k))).alias("k", "up"))
+    ups = stage(ups.join(names, ["law_id", "up"]).select("law_id", "of", "k", "up_pos"), "ancestors")
+    lines = ups.groupBy("law_id", F.col("of").alias("pos")).agg(F.array_sort(F.collect_list(F.struct("k", "up_pos"))).getField("up_pos").alias("ups"))
+    ends = ups.groupBy("law_id", F.col("up_pos").alias("pos")).agg(F.max("of").alias("end_pos"))
+    rows = placed.join(lines, ["law_id", "pos"]).join(ends, ["law_id", "pos"])
+    at = lambda depth: F.get("ups", depth)
+    is_text = F.col("tag") == "#text"
+    line = F.zip_with("tags", "ups", lambda tag, pos: F.struct(tag.alias("tag"), pos.alias("pos")))
+    return rows.select(
+        "law_id", "pos", at(F.col("depth") - 1).alias("parent_pos"), "end_pos", "depth", at(F.col("part")).alias("part"), "tag", "attr", "text", at(F.col("chapter")).alias("chapter_pos"),
+        at(F.col("section")).alias("section_pos"), at(F.col("article")).alias("article_pos"), F.when(is_text, F.slice(line, F.lit(1), F.col("depth"))).otherwise(line).alias("line"),
+    )
+
+
 def _tops(tag: str) -> Column:
     """The nodes of ``tag`` that a row stands in, itself included."""
     return F.explode(F.filter("line", lambda x: x["tag"] == tag)["pos"]).alias("top")

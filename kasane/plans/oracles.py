@@ -70,6 +70,12 @@ d AS (SELECT source, target, 'missing' AS side, count(*) AS n FROM m GROUP BY AL
 _ERA_KANJI = "translate({}, '0123456789', '〇一二三四五六七八九')"
 _BRANCH = lambda sign: f"'第' || (num // 10) || '{sign}の' || (num % 10)"
 
+_TREES = """
+t AS (SELECT CAST(conv_id AS VARCHAR) AS law_id, count(*) AS k, count(*) FILTER (WHERE turn % 2 = 1) AS odd, count(*) FILTER (WHERE turn % 3 = 0) AS k3, count(*) FILTER (WHERE turn % 6 = 3) AS odd3 FROM conversations GROUP BY ALL),
+counts AS (SELECT t.*, tag, CASE tag WHEN 'SupplProvision' THEN 2 WHEN 'Section' THEN least(k3, 1) WHEN 'SectionTitle' THEN least(k3, 1) WHEN 'Article' THEN k + 1 WHEN 'ArticleCaption' THEN k WHEN 'Paragraph' THEN k + 3
+    WHEN 'Item' THEN odd WHEN 'Sentence' THEN k + odd + 3 WHEN '#text' THEN 1 + least(k3, 1) + 2 * k + odd + 3 ELSE 1 END AS n
+  FROM t, unnest(['Law', 'MainProvision', 'SupplProvision', 'Chapter', 'ChapterTitle', 'Section', 'SectionTitle', 'Article', 'ArticleCaption', 'Paragraph', 'Item', 'Sentence', '#text']) AS u(tag))"""
+
 _RENAMES = """p AS (SELECT DISTINCT p_partkey // 6 AS g, p_partkey % 6 AS v FROM part),
 m AS (SELECT g, v, max(v) OVER (PARTITION BY g) AS most FROM p),
 ends AS (SELECT 'laws/' || g || '/v' || v || '.md' AS old, 'laws/' || g || '/v' || CASE WHEN g % 10 = 7 AND most = 5 THEN v ELSE least(most + 1, 5) END || '.md' AS new,
@@ -171,10 +177,27 @@ SELECT law_name, folder, count(*) AS n_files, '第' || min(k) || '条.md' AS fir
   ELSE '- [[' || folder || '/第' || min(k) || '条.md|' || split_part(folder, '/', 3) || ']]' || CASE WHEN count(*) > 1 THEN ' (' || count(*) || '条)' ELSE '' END END AS body FROM f GROUP BY law_name, folder""",
     "q_graph_counts": f"""WITH {_EDGES}, {_ARTICLES}, {_CONTAINS} SELECT 'refs' AS type, CASE WHEN kind IS NULL THEN 'internal' ELSE 'external' END AS relation, count(*) AS n, count(*) AS with_evidence FROM edges GROUP BY ALL
 UNION ALL SELECT type, relation, count(*), 0 FROM contained GROUP BY ALL""",
-    "q_tree_flatten": """WITH t AS (SELECT CAST(conv_id AS VARCHAR) AS law_id, count(*) AS k FROM conversations GROUP BY ALL)
-SELECT law_id, tag, CAST(CASE WHEN tag = '#text' THEN 2 * k + 1 WHEN tag IN ('Law', 'MainProvision', 'Chapter', 'ChapterTitle') THEN 1 ELSE k END AS BIGINT) AS n FROM t, unnest(['Law', 'MainProvision', 'Chapter', 'ChapterTitle', 'Article', 'ArticleCaption', 'Paragraph', 'Sentence', '#text']) AS u(tag)""",
-    "q_tree_articles": """SELECT CAST(conv_id AS VARCHAR) AS law_id, CAST(turn AS VARCHAR) AS article_num, 'JPLAW:' || conv_id || '#main#' || turn AS node_id, role AS heading, CAST(22 AS BIGINT) AS chapter_num, '第二章の二' AS chapter_title, role = 'assistant' AS has_proviso FROM conversations""",
-    "q_tree_text": """SELECT CAST(conv_id AS VARCHAR) AS law_id, sha256(string_agg(coalesce(text, ''), '|' ORDER BY turn)) AS digest, count(*) AS n FROM conversations GROUP BY conv_id""",
+    "q_tree_flatten": f"""WITH {_TREES} SELECT law_id, tag, CAST(n AS BIGINT) AS n FROM counts WHERE n > 0""",
+    "q_tree_articles": """SELECT CAST(conv_id AS VARCHAR) AS law_id, 'main' AS part, CAST(turn AS VARCHAR) AS article_num, 'JPLAW:' || conv_id || '#main#' || turn AS node_id, role AS heading, CAST(22 AS BIGINT) AS chapter_num, '第二章の二' AS chapter_title,
+  CASE WHEN turn % 3 = 0 THEN CAST(3 AS BIGINT) END AS section_num, CASE WHEN turn % 3 = 0 THEN '第三節' END AS section_title, role = 'assistant' AS has_proviso FROM conversations WHERE turn % 5 <> 4
+UNION ALL SELECT DISTINCT CAST(conv_id AS VARCHAR), 'suppl', '1', 'JPLAW:' || conv_id || '#suppl#1', NULL, NULL, NULL, NULL, NULL, false FROM conversations""",
+    "q_tree_walk": """WITH c AS (SELECT CAST(conv_id AS VARCHAR) AS law_id, turn % 2 AS o, CASE WHEN turn % 3 = 0 THEN 1 ELSE 0 END AS s FROM conversations),
+l AS (SELECT law_id, sum(6 + 3 * o) AS every, sum(s * (6 + 3 * o)) AS inner_rows, max(s) AS sectioned FROM c GROUP BY law_id),
+n AS (SELECT law_id, x.tag, x.depth + s AS depth, x.below, s AS sec, 1 AS art FROM c, unnest([{'tag': 'Article', 'depth': 3, 'below': 5 + 3 * o}, {'tag': 'ArticleCaption', 'depth': 4, 'below': 1}, {'tag': '#text', 'depth': 5, 'below': 0},
+    {'tag': 'Paragraph', 'depth': 4, 'below': 2 + 3 * o}, {'tag': 'Sentence', 'depth': 5, 'below': 1}, {'tag': '#text', 'depth': 6, 'below': 0}]) AS u(x)
+  UNION ALL SELECT law_id, tag, depth + s, below, s, 1 FROM c, (VALUES ('Item', 5, 2), ('Sentence', 6, 1), ('#text', 7, 0)) AS v(tag, depth, below) WHERE o = 1
+  UNION ALL SELECT law_id, x.tag, x.depth, x.below, 0, 0 FROM l, unnest([{'tag': 'Law', 'depth': 0, 'below': every + 3 * sectioned + 16}, {'tag': 'MainProvision', 'depth': 1, 'below': every + 3 * sectioned + 3}, {'tag': 'Chapter', 'depth': 2, 'below': every + 3 * sectioned + 2}]) AS u(x)
+  UNION ALL SELECT law_id, 'Section', 3, inner_rows + 2, 1, 0 FROM l WHERE sectioned = 1
+  UNION ALL SELECT law_id, tag, depth, below, 1, 0 FROM l, (VALUES ('SectionTitle', 4, 1), ('#text', 5, 0)) AS v(tag, depth, below) WHERE sectioned = 1
+  UNION ALL SELECT law_id, tag, depth, below, 0, art FROM l, (VALUES ('ChapterTitle', 3, 1, 0), ('#text', 4, 0, 0), ('SupplProvision', 1, 4, 0), ('Article', 2, 3, 1), ('Paragraph', 3, 2, 1), ('Sentence', 4, 1, 1), ('#text', 5, 0, 1),
+    ('SupplProvision', 1, 6, 0), ('Paragraph', 2, 2, 0), ('Sentence', 3, 1, 0), ('#text', 4, 0, 0), ('Paragraph', 2, 2, 0), ('Sentence', 3, 1, 0), ('#text', 4, 0, 0)) AS v(tag, depth, below, art))
+SELECT law_id, tag, count(*) AS n, CAST(max(depth) AS INT) AS depth, CAST(sum(below) AS BIGINT) AS below, CAST(sum(sec) AS BIGINT) AS in_section, CAST(sum(art) AS BIGINT) AS in_article FROM n GROUP BY law_id, tag""",
+    "q_tree_provisions": """SELECT DISTINCT CAST(conv_id AS VARCHAR) AS law_id, 'JPLAW:' || conv_id || '#suppl#Provision' AS node_id, CAST(2 AS BIGINT) AS n_paragraphs FROM conversations""",
+    "q_tree_text": """WITH c AS (SELECT CAST(conv_id AS VARCHAR) AS law_id, turn, coalesce(text, '') AS text, '項目' || turn AS item FROM conversations),
+p AS (SELECT law_id, CASE WHEN turn % 3 = 0 THEN 1 ELSE 0 END AS a, turn AS b, 0 AS c, text || CASE WHEN turn % 2 = 1 THEN item ELSE '' END AS text FROM c
+  UNION ALL SELECT law_id, CASE WHEN turn % 3 = 0 THEN 1 ELSE 0 END, turn, 1, item FROM c WHERE turn % 2 = 1
+  UNION ALL SELECT law_id, 2, n, 0, x FROM (SELECT DISTINCT law_id FROM c), (VALUES (0, 's1'), (1, 'p1'), (2, 'p2')) AS v(n, x))
+SELECT law_id, sha256(string_agg(text, '|' ORDER BY a, b, c)) AS digest, count(*) AS n FROM p GROUP BY law_id""",
     "q_frontmatter": "SELECT doc_id, lang, source, CASE WHEN lang IS NULL THEN 'lang,tier' ELSE 'tier' END AS missing FROM documents",
     "q_nested_front": """SELECT doc_id, true AS same, sha256(coalesce(text, '')) AS note, source AS tag, CASE WHEN doc_id % 3 <> 0 THEN '法: ' || source || ' #' || doc_id END AS title,
   CASE WHEN doc_id % 3 <> 0 THEN n_chars END AS n_chars, CASE WHEN doc_id % 3 <> 0 THEN '- ' || lang END AS law, CASE WHEN doc_id % 3 <> 0 THEN 'yes' END AS name, '# ' || lang || chr(10) || '---' || chr(10) || source AS body FROM documents""",

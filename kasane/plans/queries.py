@@ -303,16 +303,25 @@ def q_graph_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _trees(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A law tree a conversation: each turn an article, its role the chapter's number, assistant turns with a proviso."""
+    """A law tree a conversation: each turn an article, every fifth without a number, every third in a section, every second with an item, the assistant's with a
+    proviso; a supplement with an article and an amendment's without.
+    """
     turns = table(spark, sf_dir, "conversations").selectExpr("conv_id", "turn", "role", "coalesce(text, '') AS text")
     node = lambda tag, attr, children: F.concat(F.lit('{"tag":"' + tag + '","attr":'), attr, F.lit(',"children":['), children, F.lit("]}"))
-    no = F.lit("{}")
+    no, plain = F.lit("{}"), lambda tag, text: F.lit(f'{{"tag":"{tag}","children":["{text}"]}}')
     quoted = F.regexp_extract(F.to_json(F.struct(F.col("text").alias("t"))), r'(?s)^\{"t":(.*)\}$', 1)
     sentence = node("Sentence", F.when(F.col("role") == "assistant", F.lit('{"Function":"proviso"}')).otherwise(no), quoted)
-    article = node("Article", F.concat(F.lit('{"Num":"'), F.col("turn").cast("string"), F.lit('"}')), F.concat(node("ArticleCaption", no, F.concat(F.lit('"'), "role", F.lit('"'))), F.lit(","), node("Paragraph", no, sentence)))
-    listed = turns.select("conv_id", "turn", article.alias("a")).groupBy("conv_id").agg(F.array_join(F.array_sort(F.collect_list(F.struct("turn", "a"))).getField("a"), ",").alias("list"))
-    chapter = node("Chapter", F.lit('{"Num":"2_2"}'), F.concat(node("ChapterTitle", no, F.lit('"第二章の二"')), F.lit(","), F.col("list")))
-    return listed.select(F.col("conv_id").cast("string").alias("law_id"), node("Law", no, node("MainProvision", no, chapter)).alias("tree"))
+    item = F.when(F.expr("turn % 2 = 1"), F.concat(F.lit(","), node("Item", no, node("Sentence", no, F.concat(F.lit('"項目'), F.col("turn").cast("string"), F.lit('"')))))).otherwise("")
+    number = F.concat(F.lit('{"Num":"'), F.expr("if(turn % 5 = 4, '', string(turn))"), F.lit('"}'))
+    article = node("Article", number, F.concat(node("ArticleCaption", no, F.concat(F.lit('"'), "role", F.lit('"'))), F.lit(","), node("Paragraph", no, F.concat(sentence, item))))
+    listed = turns.select("conv_id", "turn", article.alias("a")).groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "a"))).alias("list"))
+    joined = lambda keep: F.array_join(F.transform(F.filter("list", keep), lambda x: x["a"]), ",")
+    own, inner = joined(lambda x: x["turn"] % 3 != 0), joined(lambda x: x["turn"] % 3 == 0)
+    section = F.when(inner != "", F.concat(F.lit(","), node("Section", F.lit('{"Num":"3"}'), F.concat(plain("SectionTitle", "第三節"), F.lit(","), inner)))).otherwise("")
+    chapter = node("Chapter", F.lit('{"Num":"2_2"}'), F.concat(plain("ChapterTitle", "第二章の二"), F.when(own != "", F.concat(F.lit(","), own)).otherwise(""), section))
+    paragraph = lambda text: node("Paragraph", no, plain("Sentence", text))
+    supplements = F.concat(node("SupplProvision", no, node("Article", F.lit('{"Num":"1"}'), paragraph("s1"))), F.lit(","), node("SupplProvision", F.lit('{"AmendLawNum":"平成二年法律第三号"}'), F.concat(paragraph("p1"), F.lit(","), paragraph("p2"))))
+    return listed.select(F.col("conv_id").cast("string").alias("law_id"), node("Law", no, F.concat(node("MainProvision", no, chapter), F.lit(","), supplements)).alias("tree"))
 
 
 @query
@@ -324,7 +333,21 @@ def q_tree_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def q_tree_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Articles with chapter, heading and proviso."""
-    return tree.articles(stage(tree.flatten(_trees(spark, sf_dir)), "nodes")).select("law_id", "article_num", "node_id", "heading", "chapter_num", "chapter_title", "has_proviso")
+    rows = tree.articles(stage(tree.flatten(_trees(spark, sf_dir)), "nodes"))
+    return rows.select("law_id", "part", "article_num", "node_id", "heading", "chapter_num", "chapter_title", "section_num", "section_title", "has_proviso")
+
+
+@query
+def q_tree_walk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The recursive query over VARIANT: rows, depth and descendants of each tag in every tree, and how many stand in a section or an article."""
+    rows = tree.walked(_trees(spark, sf_dir))
+    return rows.groupBy("law_id", "tag").agg(F.count("*").alias("n"), F.max("depth").alias("depth"), F.sum(F.expr("end_pos - pos")).alias("below"), F.count("section_pos").alias("in_section"), F.count("article_pos").alias("in_article"))
+
+
+@query
+def q_tree_provisions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Supplements without articles."""
+    return tree.provisions(stage(tree.walked(_trees(spark, sf_dir)), "nodes")).select("law_id", "node_id", "n_paragraphs")
 
 
 @query
