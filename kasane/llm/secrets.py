@@ -9,6 +9,7 @@ findings are then joined back to all paths. A ledger is a folder of Parquet tabl
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from typing import NamedTuple
 
 from pyspark.errors import AnalysisException
@@ -51,25 +52,34 @@ BLOBS = f"blob string, rules array<string>, spans {_SPANS}"
 PATHS = "path string, version string, blob string"
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is worked out once, however often the body names it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def _running(sizes: Column) -> Column:
+    """Running sums of an array, by doubling: round d adds to each the sum that ends 2^d places before, so n sums take log2(n) rounds over the array."""
+    rounds = F.sequence(F.lit(0), F.ceil(F.log2(F.greatest(F.size(sizes), F.lit(1)))).cast("int"))
+    return F.aggregate(rounds, sizes, lambda sums, d: F.transform(sums, lambda x, i: x + F.coalesce(F.get(sums, i - F.pow(F.lit(2), d).cast("int")), F.lit(0))))
+
+
 def spans_of(text: Column, rule: Rule) -> Column:
     """Spans of a rule's leftmost, non-overlapping matches, in code points, end exclusive.
 
-    Spark gives the matches and the gaps between them; their running lengths are the places.
+    Spark gives the matches and the gaps between them; their running lengths are the places. Time is in proportion to the text, but for
+    the rounds of the running sums.
     """
     p = F.lit(rule.pattern)
     whole = F.regexp_extract_all(text, p, F.lit(0))
-    part = F.regexp_extract_all(text, p, F.lit(rule.group)) if rule.group else whole
-    step = F.arrays_zip(F.split(text, rule.pattern, -1).alias("gap"), whole.alias("match"), part.alias("part"))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(_SPANS).alias("found"))
+    found = F.struct(F.split(text, rule.pattern, -1).alias("gaps"), whole.alias("all"), *([F.regexp_extract_all(text, p, F.lit(rule.group)).alias("parts")] if rule.group else []))
 
-    def add(acc: Column, x: Column) -> Column:
-        lo = acc["at"] + F.length(x["gap"])
-        hi = lo + F.coalesce(F.length(x["match"]), F.lit(0))
-        span = F.struct(F.lit(rule.kind).alias("kind"), lo.alias("start"), hi.alias("end"))
-        good = F.coalesce(F.length(x["part"]) >= rule.least, F.lit(False))
-        return F.struct(hi.alias("at"), F.when(good, F.array_append(acc["found"], span)).otherwise(acc["found"]).alias("found"))
+    def spans(x: Column) -> Column:
+        sizes = F.zip_with(F.slice(x["gaps"], 1, F.size(x["all"])), x["all"], lambda gap, match: F.length(gap) + F.length(match))
+        each = F.arrays_zip(x["all"].alias("match"), x["parts" if rule.group else "all"].alias("part"), _running(sizes).alias("end"))
+        good = F.filter(each, lambda m: F.length(m["part"]) >= rule.least)
+        return F.transform(good, lambda m: F.struct(F.lit(rule.kind).alias("kind"), (m["end"] - F.length(m["match"])).alias("start"), m["end"].alias("end")))
 
-    return F.aggregate(step, start, add, lambda acc: acc["found"])
+    return _let(found, spans)
 
 
 def _scanned(text: Column, missing: Column, rules: tuple[Rule, ...]) -> Column:
@@ -125,9 +135,10 @@ def findings(paths: DataFrame, ledger: DataFrame, rules: tuple[Rule, ...] = RULE
     current = F.array(*(F.lit(r.key) for r in rules))
     ran = F.transform(F.array_intersect("rules", current), lambda r: F.substring_index(r, "@", 1))
     live = F.filter("spans", lambda s: F.array_contains(ran, s["kind"]))
-    known = ledger.select("blob", live.alias("spans")).where("size(spans) > 0").groupBy("blob").agg(F.array_distinct(F.flatten(F.collect_list("spans"))).alias("spans"))
+    known = ledger.select("blob", live.alias("spans")).where("size(spans) > 0").groupBy("blob").agg(F.flatten(F.collect_list("spans")).alias("spans"))
     keyed = F.transform("spans", lambda s: F.struct(s["start"].alias("start"), F.array_position(kinds, s["kind"]).alias("rank"), s["end"].alias("end"), s["kind"].alias("kind")))
-    in_order = F.transform(F.array_sort(keyed), lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
+    once = _let(F.array_sort(keyed), lambda x: F.filter(x, lambda s, i: (i == 0) | (s != F.get(x, i - 1))))
+    in_order = F.transform(once, lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
     joined = paths.join(sized(stage(known, "findings"), weight="1 + size(spans)"), "blob", "left")
     return joined.withColumn("spans", F.coalesce(in_order, F.array().cast(_SPANS)))
 
