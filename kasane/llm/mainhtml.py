@@ -8,8 +8,9 @@ dive to nothing.
 
 The stretch with the most text tells which element holds the article: the smallest one around its longer lines, or one further
 up where other stretches of some weight stand. Headings right before it are its own. An ``article`` around it is such an element by its markup, and ``main`` where there
-is none. All lines of that element from its first surge to its last dive are the main text, lists of links between them too;
-in an ``article`` any text of its own counts as a surge. Other articles, on the same page or within, are not part of it.
+is none. All lines of that element are the main text, whatever stands before its first surge or behind its last dive. Where no element but the page itself
+holds the stretches, the text goes from the first surge to the last dive, with the headings and paragraphs right beside.
+Other articles, on the same page or within, are not part of it.
 """
 
 from __future__ import annotations
@@ -58,13 +59,14 @@ _PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 
 class Line(NamedTuple):
-    """A block: its text, characters of it in links, the innermost article (or -1), whether it stands in a form, and whether it is a heading."""
+    """A block: its text, characters of it in links, the innermost article (or -1), whether it stands in a form, and whether it is a heading or a paragraph."""
 
     text: str
     linked: int
     article: int
     form: bool
     heading: bool
+    paragraph: bool
 
 
 class Element(NamedTuple):
@@ -142,7 +144,7 @@ class Page:
     def _flush(self) -> None:
         text = " ".join("".join(self._parts).split())
         if text:
-            self.lines.append(Line(text, self._linked, self._articles[-1], self._form > 0, self._block in HEADINGS))
+            self.lines.append(Line(text, self._linked, self._articles[-1], self._form > 0, self._block in HEADINGS, self._block == "p"))
         self._parts.clear()
         self._linked = 0
         self._block = ""
@@ -277,7 +279,7 @@ def main_lines(page: Page, window: int = WINDOW, surge: int = SURGE) -> list[str
     size = size * used
     found = stretches(size, window, surge)
     if not found:
-        return [x.text for x, n in zip(lines, size, strict=True) if n]
+        return [x.text for x, n, ok in zip(lines, size, used, strict=True) if n or ok and x.paragraph]
     ends = np.concatenate([[0], np.cumsum(size)])
     weight = [int(ends[hi] - ends[lo]) for lo, hi in found]
     lo, hi = found[weight.index(max(weight))]
@@ -286,10 +288,7 @@ def main_lines(page: Page, window: int = WINDOW, surge: int = SURGE) -> list[str
     holder = -1
     if article >= 0:
         holder = article
-        size = np.where(np.array([x.article == article for x in lines]), size, 0)
         first, end = elements[article].first, last[article]
-        own = np.flatnonzero(size[first:end])
-        first, end = first + int(own[0]), first + int(own[-1]) + 1
     else:
         around = [k for k in range(len(elements)) if elements[k].first <= heaviest < last[k]]  # from the outside in
         mains = [k for k in around if elements[k].name == "main"]
@@ -303,10 +302,14 @@ def main_lines(page: Page, window: int = WINDOW, surge: int = SURGE) -> list[str
                 if len(inside) > sum(elements[holder].first <= x[0] and x[1] <= last[holder] for x in far):
                     holder = k
         begin, stop = (elements[holder].first, last[holder]) if holder >= 0 else (0, len(lines))
-        mine = [x for x in found if x[0] < stop and x[1] > begin]
-        first, end = max(begin, mine[0][0]), min(stop, mine[-1][1])
-        while first and used[first - 1] and lines[first - 1].heading:
-            first -= 1
+        first, end = begin, stop
+        if holder < 0 or elements[holder].name in ("html", "body"):  # nothing but the page itself holds the article: its stretches tell where it begins and ends
+            mine = [x for x in found if x[0] < stop and x[1] > begin]
+            first, end = max(begin, mine[0][0]), min(stop, mine[-1][1])
+            while first and used[first - 1] and (lines[first - 1].heading or lines[first - 1].paragraph):
+                first -= 1
+            while end < stop and used[end] and lines[end].paragraph:
+                end += 1
     return [x.text for i, x in enumerate(lines[first:end], first) if used[i] and x.article == article]
 
 
