@@ -11,9 +11,6 @@ from pyspark.sql import functions as F
 
 from kasane.llm.textbytes import STEP_BYTES
 
-#: Names whose counts a task or the driver holds at once, at most.
-NAMES = 256
-
 
 def bucketed(data: np.ndarray, offs: np.ndarray, width: int, bits: int) -> np.ndarray:
     """Bucket of the n-gram of ``width`` bytes that ends at each byte; before a text stand blanks."""
@@ -42,31 +39,27 @@ def pieces(n: int, size: int = STEP_BYTES) -> Iterator[tuple[int, int]]:
 
 
 def histogram(texts: DataFrame, add: Callable[[pa.RecordBatch, dict[str, np.ndarray]], None], buckets: int) -> DataFrame:
-    """(name, bucket, n): sums of the counts that ``add`` makes of every batch; a task emits its counts at the end, and before whenever it holds those of over ``NAMES`` names."""
-
-    def rows(sums: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
-        for name, counts in sums.items():
-            at = np.flatnonzero(counts)
-            yield pa.RecordBatch.from_arrays([pa.array([name] * len(at), pa.string()), pa.array(at, pa.int64()), pa.array(counts[at], pa.int64())], ["name", "bucket", "n"])
+    """(name, bucket, n): sums of the counts that ``add`` makes of every batch, for a few names that are known beforehand; a task emits its counts at the end."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
         for batch in batches:
             add(batch, sums)
-            if len(sums) > NAMES:
-                yield from rows(sums)
-                sums.clear()
-        yield from rows(sums)
+        for name, counts in sums.items():
+            at = np.flatnonzero(counts)
+            yield pa.RecordBatch.from_arrays([pa.array([name] * len(at), pa.string()), pa.array(at, pa.int64()), pa.array(counts[at], pa.int64())], ["name", "bucket", "n"])
 
     counted = texts.mapInArrow(work, "name string, bucket long, n long")
     return counted.groupBy("name", "bucket").agg(F.sum("n").alias("n"))
 
 
-def table(counts: DataFrame, buckets: int, most: int = NAMES) -> dict[str, np.ndarray]:
-    """The counts by name as arrays; their size is set by ``buckets`` and the number of names alone. More than ``most`` names raise a ValueError."""
-    out: dict[str, np.ndarray] = {}
-    for part in counts.groupBy("name").agg(F.collect_list("bucket").alias("at"), F.collect_list("n").alias("n")).toLocalIterator():
-        if len(out) == most:
-            raise ValueError(f"more than {most} names are counted, such as {part['name']!r}: a model of them has no bounded size")
-        out[part["name"]] = np.bincount(part["at"], part["n"], buckets).astype(np.int64)
-    return out
+def sparse(counts: DataFrame) -> Iterator[tuple[str, np.ndarray, np.ndarray]]:
+    """(name, buckets, counts) of each name, one name at a time."""
+    pairs = counts.groupBy("name").agg(F.collect_list(F.struct("bucket", "n")).alias("pairs"))
+    for part in pairs.select("name", "pairs.bucket", "pairs.n").toLocalIterator():
+        yield part["name"], np.array(part["bucket"], np.int64), np.array(part["n"], np.int64)
+
+
+def table(counts: DataFrame, buckets: int) -> dict[str, np.ndarray]:
+    """The counts by name as arrays of all buckets."""
+    return {name: np.bincount(at, n, buckets).astype(np.int64) for name, at, n in sparse(counts)}

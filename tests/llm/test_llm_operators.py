@@ -7,6 +7,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import sentencepiece
 from pyspark.sql import functions as F
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 from kasane.llm import langid, licenses, linededup, mainhtml, quality, secrets, simhash, warc, winnow
 from kasane.llm import sentencepiece as pieces
 from kasane.llm.registry import MODEL_FILE
+from kasane.llm.textbytes import utf8
 
 WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
@@ -438,7 +440,7 @@ def test_quality_scores_are_plain_log_ratios(docs, rows, spark):
     assert all(sorted(got[d]) == pytest.approx(sorted(want[d]), abs=1e-9) for d in want)
 
 
-def plain_mixture(model, langs, text):
+def plain_mixture(model, langs, text, most=None):
     """Language set of a text: EM and penalised choice, unit by unit."""
     data = bytes(b + 32 if 65 <= b <= 90 else b for b in text.encode())
     at = plain_buckets(data, langid.WIDTH, langid.BITS)
@@ -458,7 +460,7 @@ def plain_mixture(model, langs, text):
 
     first, _ = fitted(range(len(langs)))
     rank = sorted(range(len(langs)), key=lambda k: (-first[k], k))
-    tried = [(fitted(rank[:size]), size) for size in range(1, len(langs) + 1)]
+    tried = [(fitted(rank[:size]), size) for size in range(1, (most or len(langs)) + 1)]
     cost = langid.PENALTY * math.log(max(2, len(units)))
     (share, _), _ = max(tried, key=lambda x: (x[0][1] - cost * (x[1] - 1), -x[1]))
     return share
@@ -476,7 +478,7 @@ def test_languages_are_those_of_plain_em(spark):
     for _, t, k in learned:
         counts[k].update(plain_buckets(t.lower().encode() if t.isascii() else t.encode(), langid.WIDTH, langid.BITS))
     plain = {k: [math.log((counts[k][b] + langid.SMOOTH) / (sum(counts[k].values()) + langid.SMOOTH * langid.BUCKETS)) for b in range(langid.BUCKETS)] for k in langs}
-    assert np.allclose(model, np.array([plain[k] for k in langs]).T)
+    assert np.allclose([model.row(k) for k in range(len(langs))], [plain[k] for k in langs])
     sizes = set()
     got = {r.doc_id: r for r in langid.identify(docs.withColumns({"lang_pred": F.lit(1), "score": F.lit("x")}), langs, model).collect()}
     for d, t, _ in learned + mixed:
@@ -488,13 +490,34 @@ def test_languages_are_those_of_plain_em(spark):
     assert sizes == {1, 2, 3}
 
 
-def test_a_language_column_of_other_things_is_refused(spark):
-    from kasane.llm import ngrams
+def test_a_thousand_languages(spark):
+    """As many languages as there may be, most of them of one text: the result is that of a plain fit, and the model is as large as what they have."""
+    rng = random.Random(9)
+    pools = {f"l{i:03}": ["".join(rng.choices("abcdefghijklmnop", k=rng.randint(3, 6))) for _ in range(8)] for i in range(1000)}
+    say = lambda k, n: " ".join(rng.choice(pools[k]) for _ in range(n))
+    learned = [(i, say(k, 30), k) for i, k in enumerate(pools)]
+    asked = [(2000 + i, " ".join(say(k, rng.randint(8, 24)) for k in rng.sample(sorted(pools), rng.randint(1, 3))), None) for i in range(6)]
+    docs = spark.createDataFrame(learned + asked, "doc_id long, text string, lang string")
+    langs, model = langid.learn(docs)
+    assert langs == sorted(pools) and sum(x.nbytes + y.nbytes for x, y in zip(model.seen, model.logs, strict=True)) <= 10 * sum(len(t) for _, t, _ in learned)
+    plain = {k: model.row(i) for i, k in enumerate(langs)}
+    got = {r.doc_id: r for r in langid.identify(docs.where("doc_id >= 2000"), langs, model).collect()}
+    for d, t, _ in asked:
+        share = plain_mixture(plain, langs, t, most=6)
+        assert {x.lang: x.share for x in got[d].languages} == pytest.approx({k: s for k, s in zip(langs, share, strict=True) if s > langid.LEAST_SHARE}, abs=1e-6)
+
 
-    docs = spark.createDataFrame([(i, f"text {i}", f"user-{i}") for i in range(ngrams.NAMES + 1)], "doc_id long, text string, lang string")
-    with pytest.raises(ValueError, match="more than 256 names"):
-        langid.learn(docs)
-    assert len(langid.learn(docs.where(f"doc_id < {ngrams.NAMES}"))[0]) == ngrams.NAMES
+def test_blocks_of_units_give_the_same_shares(spark):
+    """Texts fitted one by one, in groups, and block by block of their units."""
+    rng = random.Random(3)
+    words = [["".join(rng.choices("abcdefgh", k=4)) for _ in range(30)] for _ in range(5)]
+    texts = [" ".join(rng.choice(words[rng.choice([i % 5, (i + 1) % 5])]) for _ in range(rng.choice([0, 1, 30, 900]))) for i in range(30)]
+    docs = spark.createDataFrame([(i, " ".join(w), f"k{i}") for i, w in enumerate(words)], "doc_id long, text string, lang string")
+    _, model = langid.learn(docs)
+    data, offs = utf8(pa.array(texts))
+    whole = langid.text_shares(data, offs, model)
+    for cells in (5, 40, 300):
+        assert np.allclose(langid.text_shares(data, offs, model, cells), whole, atol=1e-9)
 
 
 @pytest.fixture(scope="module")
