@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from kasane.functions import arrays as A
 from kasane.functions.numerals import kanji_number
 
 _N = "[〇一二三四五六七八九十百千0-9０-９]+"
@@ -21,17 +22,13 @@ SNIPPET = 20
 def _matches(text: Column, pattern: str, groups: int) -> Column:
     """Structs (ord, raw, at, p1..pn) of the matches of ``pattern``; at: code points before the match. Null of a null text."""
     lists = [F.regexp_extract_all(text, F.lit(pattern), F.lit(i)).alias(f"p{i}") for i in range(groups + 1)]
-    parts = F.arrays_zip(F.split(text, pattern, -1).alias("gap"), *lists)
-    kind = ", ".join(["ord: int", "raw: string", "at: int", *(f"p{i}: string" for i in range(1, groups + 1))])
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<struct<{kind}>>").alias("found"))
 
-    def step(acc: Column, x: Column) -> Column:
-        at = acc["at"] + F.length(x["gap"])
-        one = F.struct(F.size(acc["found"]).alias("ord"), x["p0"].alias("raw"), at.alias("at"), *(x[f"p{i}"].alias(f"p{i}") for i in range(1, groups + 1)))
-        found = F.when(x["p0"].isNull(), acc["found"]).otherwise(F.array_append(acc["found"], one))
-        return F.struct((at + F.coalesce(F.length(x["p0"]), F.lit(0))).alias("at"), found.alias("found"))
+    def each(x: Column) -> Column:
+        parts = F.arrays_zip(A.ends(x["gaps"], x["p0"]).alias("end"), *(x[f"p{i}"].alias(f"p{i}") for i in range(groups + 1)))
+        named = lambda m: (m[f"p{i}"].alias(f"p{i}") for i in range(1, groups + 1))
+        return F.transform(parts, lambda m, i: F.struct(i.alias("ord"), m["p0"].alias("raw"), (m["end"] - F.length(m["p0"])).alias("at"), *named(m)))
 
-    return F.aggregate(parts, start, step, lambda acc: acc["found"])
+    return A.let(F.struct(F.split(text, pattern, -1).alias("gaps"), *lists), each)
 
 
 def _snippet(m: Column) -> Column:
@@ -74,8 +71,20 @@ def _relative(m: Column) -> Column:
 
 
 def _same(m: Column) -> Column:
-    """同条: the last reference in list order (absolute, then back, then forward) whose words first occur before it; else UNRESOLVED."""
-    name = F.try_element_at(F.filter("earlier", lambda k: k["first"] < m["at"]), F.lit(-1))["article_name"]
+    """同条: the last reference in list order (absolute, then back, then forward) whose words first occur before it; else UNRESOLVED.
+
+    ``least``: from the end of that list, the smallest first place so far, so it falls, and the last reference is found by halving.
+    """
+    start = F.struct(F.lit(0).alias("lo"), F.size("least").alias("hi"))
+
+    def half(acc: Column, _: Column) -> Column:
+        mid = F.floor((acc["lo"] + acc["hi"]) / 2).cast("int")
+        before = F.coalesce(F.get("least", mid) < m["at"], F.lit(True))
+        return F.struct(F.when(before, acc["lo"]).otherwise(mid + 1).alias("lo"), F.when(before, mid).otherwise(acc["hi"]).alias("hi"))
+
+    rounds = F.sequence(F.lit(0), F.ceil(F.log2(F.size("least") + 1)).cast("int"))
+    at = F.aggregate(rounds, start, half, lambda acc: acc["lo"])  # places from the end of the list
+    name = F.get("earlier", F.size("earlier") - 1 - at)["article_name"]
     return _reference(m, "relative", F.lit(3), F.lit(0), F.coalesce(name, F.lit("UNRESOLVED")), F.when(name.isNull(), "").otherwise(_paragraph(m["p1"])))
 
 
@@ -85,6 +94,7 @@ def found(texts: DataFrame) -> DataFrame:
     rows = texts.select("text_id", "text", "article", _matches(text, ABSOLUTE, 3).alias("absolute"), _matches(text, RELATIVE, 4).alias("relative"), _matches(text, SAME, 1).alias("same"))
     earlier = F.array_sort(F.concat(F.transform("absolute", _absolute), F.flatten(F.transform("relative", _relative))))
     rows = rows.select("text_id", "text", "same", earlier.alias("earlier"))
+    rows = rows.withColumn("least", A.running(F.reverse(F.col("earlier")["first"]), F.least))
     return rows.select("text_id", F.inline(F.concat("earlier", F.transform("same", _same))))
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from kasane.functions import arrays as A
 from kasane.functions import links as L
 from kasane.functions.names import pending_id
 
@@ -59,14 +60,17 @@ def put_back(bodies: DataFrame, entries: DataFrame) -> DataFrame:
     by_mark = F.replace("body", F.when(F.col("body").contains(with_words), with_words).otherwise(mark), link)
     gaps = F.split("body", F.concat(F.lit("\\Q"), "anchor_text", F.lit("\\E")), -1)
     before, after = F.right("context_before", F.lit(NEAR)), F.left("context_after", F.lit(NEAR))
-    rows = rows.withColumn("__gaps", gaps).withColumn("__heads", F.expr("transform(sequence(1, greatest(size(__gaps) - 1, 1)), i -> array_join(slice(__gaps, 1, i), anchor_text))"))
-    near = lambda h: F.right(h, F.lit(2 * NEAR)).contains(before) & (before != "")
-    tail = lambda h: F.substr("body", F.length(h) + F.length("anchor_text") + 1, F.lit(2 * NEAR))
-    fitting = F.filter("__heads", lambda h: F.coalesce(near(h), F.lit(False)) | F.coalesce(tail(h).contains(after) & (after != ""), F.lit(False)))
-    head = F.when(F.size("__gaps") == 2, F.element_at("__heads", 1)).when(F.size("__gaps") > 2, F.try_element_at(fitting, F.lit(1)))
-    rows = rows.withColumn("__head", head)
-    by_place = F.concat("__head", link, F.substr("body", F.length("__head") + F.length("anchor_text") + 1, F.length("body")))
-    method = F.when(F.col("target").isNull(), None).when(marked, "marker").when(F.col("__head").isNotNull(), "context")
+    words = F.array_repeat("anchor_text", F.greatest(F.size(gaps) - 1, F.lit(0)))
+    rows = rows.withColumns({"__gaps": gaps, "__words": words})
+    rows = rows.withColumns({"__before": A.texts_before(F.col("__gaps"), F.col("__words"), 2 * NEAR), "__after": A.texts_after(F.col("__gaps"), F.col("__words"), 2 * NEAR)})
+    near = lambda x: F.coalesce(x.contains(before) & (before != ""), F.lit(False))
+    behind = lambda x: F.coalesce(x.contains(after) & (after != ""), F.lit(False))
+    fitting = F.array_position(F.zip_with("__before", "__after", lambda b, a: near(b) | behind(a)), True)
+    place = F.when(F.size("__gaps") == 2, 1).when(F.size("__gaps") > 2, F.nullif(fitting.cast("int"), F.lit(0)))
+    rows = rows.withColumn("__place", place)
+    part = lambda lo, n: F.call_function("array_join", F.slice("__gaps", lo, n), F.col("anchor_text"))
+    by_place = F.concat(part(F.lit(1), F.col("__place")), link, part(F.col("__place") + 1, F.size("__gaps")))
+    method = F.when(F.col("target").isNull(), None).when(marked, "marker").when(F.col("__place").isNotNull(), "context")
     return rows.withColumn("method", method).select("path", "id", F.when(F.col("method") == "marker", by_mark).when(F.col("method") == "context", by_place).otherwise(F.col("body")).alias("body"), "method")
 
 
@@ -89,11 +93,6 @@ def applied(bodies: DataFrame, references: DataFrame) -> DataFrame:
     return done.select("text_id", F.col("__done.body").alias("body"), F.col("__done.n").alias("n_applied"), F.coalesce("n_references", F.lit(0).cast("long")).alias("n_references"))
 
 
-def unsummarised(articles: DataFrame, force: bool = False) -> DataFrame:
-    """Articles (body, ...) that lack a summary; all of them where ``force``."""
-    return articles if force else articles.where(~F.col("body").contains(SUMMARY))
-
-
 def summarised(body: Column, summary: Column) -> Column:
     """A body with its summary section: an old one, up to the next heading, is replaced, else it is added at the end."""
     section = F.concat(F.lit(SUMMARY + "\n"), summary)

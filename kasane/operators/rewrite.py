@@ -5,19 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from kasane.functions import arrays as A
 from kasane.functions import links as L
 from kasane.functions import names as N
+from kasane.functions.numerals import kanji_number
+from kasane.operators.citations import CITATION, link_of
 
 CONTEXT = 50
 
 
-def is_amendment(kind: Column, path: Column) -> Column:
-    """Whether a file belongs to an amending law: by its metadata or by a folder of its path."""
-    title = lambda p: p.contains("年") & p.contains("法律") & p.contains("号")
-    return F.coalesce(kind == "amendment", F.lit(False)) | F.exists(F.split(path, "/"), lambda p: title(p) | (p == "改正法"))
-
-
-
 def unlinked(bodies: DataFrame) -> DataFrame:
     """``bodies`` (law_name, body) with bare links to the law's own main part as plain words: (…, body, n_unlinked, n_kept).
 
@@ -27,22 +23,18 @@ def unlinked(bodies: DataFrame) -> DataFrame:
     pattern = F.concat(F.lit(r"\[\[laws/"), "law_name", F.lit(r"/本文/[^\]|]+\.md(?:\|[^\]]+)?\]\]"))
     hits, gaps = F.regexp_extract_all("body", pattern, F.lit(0)), F.split("body", pattern, -1)
     rows = bodies.withColumns({"__hits": hits, "__gaps": gaps})
-    start = F.struct(F.element_at("__gaps", 1).alias("seen"), F.element_at("__gaps", 1).alias("out"), F.lit(0).alias("cut"), F.lit(0).alias("kept"))
+    rows = rows.withColumn("__before", A.texts_before(F.col("__gaps"), F.col("__hits"), CONTEXT))
+    bare = F.transform("__before", lambda x: ~L.without_links(x).contains(F.col("law_name")))
+    rows = rows.withColumn("__bare", bare)
+    words = lambda hit: F.regexp_replace(F.regexp_replace(L.without_links(hit), r"^.*/", ""), r"\.md$", "")
+    shown = F.zip_with("__hits", "__bare", lambda hit, plain: F.when(plain, words(hit)).otherwise(hit))
+    cut = F.size(F.filter("__bare", lambda x: x))
+    return rows.select(*[c for c in bodies.columns if c != "body"], _between(F.col("__gaps"), shown).alias("body"), cut.alias("n_unlinked"), (F.size("__hits") - cut).alias("n_kept"))
 
-    def step(acc: Column, x: Column) -> Column:
-        before = L.without_links(F.right(acc["seen"], F.lit(CONTEXT)))
-        bare = ~before.contains(F.col("law_name"))
-        words = F.regexp_replace(F.regexp_replace(L.without_links(x["hit"]), r"^.*/", ""), r"\.md$", "")
-        return F.struct(
-            F.concat(acc["seen"], x["hit"], x["gap"]).alias("seen"),
-            F.concat(acc["out"], F.when(bare, words).otherwise(x["hit"]), x["gap"]).alias("out"),
-            (acc["cut"] + F.when(bare, 1).otherwise(0)).alias("cut"),
-            (acc["kept"] + F.when(bare, 0).otherwise(1)).alias("kept"),
-        )
 
-    steps = F.zip_with("__hits", F.slice("__gaps", 2, F.greatest(F.size("__gaps") - 1, F.lit(0))), lambda h, g: F.struct(h.alias("hit"), g.alias("gap")))
-    done = rows.withColumn("__done", F.aggregate(steps, start, step))
-    return done.select(*[c for c in bodies.columns if c != "body"], F.col("__done.out").alias("body"), F.col("__done.cut").alias("n_unlinked"), F.col("__done.kept").alias("n_kept"))
+def _between(gaps: Column, matches: Column) -> Column:
+    """The gaps of a text with what stands between them now."""
+    return F.array_join(F.zip_with(gaps, matches, lambda gap, x: F.concat(gap, F.coalesce(x, F.lit("")))), "")
 
 
 def relinked(bodies: DataFrame) -> DataFrame:
@@ -50,24 +42,20 @@ def relinked(bodies: DataFrame) -> DataFrame:
 
     Looser than the builder: any form of the name anywhere before in the sentence opens the scope, whatever follows it.
     """
-    from kasane.operators.citations import CITATION, link_of
-    from kasane.functions.numerals import kanji_number
-
     plain = rf"(?<![\[|/第]){CITATION}(?![^\[\]]*\]\])"
-    parts = [F.regexp_extract_all("body", F.lit(plain), F.lit(i)) for i in range(3)]
-    rows = bodies.withColumns({"__gaps": F.split("body", plain, -1), "__m": F.arrays_zip(*(p.alias(n) for p, n in zip(parts, ("raw", "main", "sub"), strict=True)))})
-    start = F.struct(F.element_at("__gaps", 1).alias("seen"), F.element_at("__gaps", 1).alias("out"), F.lit(0).alias("n"))
-
-    def step(acc: Column, x: Column) -> Column:
-        sentence = L.without_links(F.regexp_replace(acc["seen"], r"(?s)^.*。", ""))
-        number = F.concat(kanji_number(x["m"]["main"]).cast("string"), F.when(x["m"]["sub"] != "", F.concat(F.lit("_"), kanji_number(x["m"]["sub"]).cast("string"))).otherwise(""))
-        scoped = sentence.contains(F.col("law_name"))
-        shown = F.when(scoped, link_of(F.col("law_name"), number, x["m"]["raw"])).otherwise(x["m"]["raw"])
-        return F.struct(F.concat(acc["seen"], x["m"]["raw"], x["gap"]).alias("seen"), F.concat(acc["out"], shown, x["gap"]).alias("out"), (acc["n"] + F.when(scoped, 1).otherwise(0)).alias("n"))
-
-    steps = F.zip_with("__m", F.slice("__gaps", 2, F.greatest(F.size("__gaps") - 1, F.lit(0))), lambda m, g: F.struct(m.alias("m"), g.alias("gap")))
-    done = rows.withColumn("__done", F.aggregate(steps, start, step))
-    return done.select(*[c for c in bodies.columns if c != "body"], F.col("__done.out").alias("body"), F.col("__done.n").alias("n_linked"))
+    parts = [F.regexp_extract_all("body", F.lit(plain), F.lit(i)).alias(n) for i, n in enumerate(("raw", "main", "sub"))]
+    rows = bodies.withColumns({"__gaps": F.split("body", plain, -1), "__m": F.arrays_zip(*parts)}).withColumn("__raw", F.col("__m")["raw"])
+    # the sentence goes on over gaps without 。; the name stands in it if it was seen after the last 。, within a gap or across the citation before it
+    width = F.length("law_name")
+    ahead = lambda i: F.coalesce(F.concat(F.right(F.get("__gaps", i - 1), width), F.get("__raw", i - 1)), F.lit(""))
+    read = lambda gap, i: L.without_links(F.substring_index(F.concat(ahead(i), gap), "。", -1))
+    named = F.transform(F.slice("__gaps", 1, F.size("__raw")), lambda gap, i: F.when(read(gap, i).contains(F.col("law_name")), i).otherwise(-1))
+    fresh = F.transform(F.slice("__gaps", 1, F.size("__raw")), lambda gap, i: F.when(gap.contains("。"), i).otherwise(-1))
+    scoped = F.zip_with(A.running(named, F.greatest), A.running(fresh, F.greatest), lambda a, b: (a >= 0) & (a >= b))
+    number = lambda m: F.concat(kanji_number(m["main"]).cast("string"), F.when(m["sub"] != "", F.concat(F.lit("_"), kanji_number(m["sub"]).cast("string"))).otherwise(""))
+    rows = rows.withColumn("__scoped", scoped)
+    shown = F.zip_with("__m", "__scoped", lambda m, s: F.when(s, link_of(F.col("law_name"), number(m), m["raw"])).otherwise(m["raw"]))
+    return rows.select(*[c for c in bodies.columns if c != "body"], _between(F.col("__gaps"), shown).alias("body"), F.size(F.filter("__scoped", lambda x: x)).alias("n_linked"))
 
 
 def localized_paths(files: DataFrame) -> DataFrame:
