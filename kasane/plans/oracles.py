@@ -32,7 +32,7 @@ _EDGES = f"""{_LINES},
 e AS (SELECT l_orderkey * 10 + l_linenumber AS text_id, 0 AS ord, {_SOURCE} AS "from", {_OWN}{_N}) AS "to", '第' || {_kanji(_N)} || '条' AS evidence, NULL AS kind FROM li WHERE l_linenumber % 5 IN (0, 3)
   UNION ALL SELECT l_orderkey * 10 + l_linenumber, 1, {_SOURCE}, {_OWN}({_N} + 1)), '第' || {_kanji(_N + ' + 1')} || '条', NULL FROM li WHERE l_linenumber % 5 = 3
   UNION ALL SELECT l_orderkey * 10 + l_linenumber, 0, {_SOURCE}, 'JPLAW:' || {_law_id('(l_orderkey + 1) % 8')} || '#main#' || {_N} || '_2', '第' || {_kanji(_N)} || '条の二', NULL FROM li WHERE l_linenumber % 5 = 1
-  UNION ALL SELECT l_orderkey * 10 + l_linenumber, 0, {_SOURCE}, 'external:農業協同組合法#main#' || {_N}, '第' || {_kanji(_N)} || '条', 'external_ref' FROM li WHERE l_linenumber % 5 = 2),
+  UNION ALL SELECT l_orderkey * 10 + l_linenumber, 0, {_SOURCE}, 'external:港湾荷役法#main#' || {_N}, '第' || {_kanji(_N)} || '条', 'external_ref' FROM li WHERE l_linenumber % 5 = 2),
 edges AS (SELECT * FROM e WHERE "from" <> "to")"""
 
 _ARTICLES = f"""
@@ -89,11 +89,11 @@ l AS (SELECT links.*, x.new AS na, y.new AS nb, z.new AS nc FROM links LEFT JOIN
 ORACLES = {
     "q_edges": f"WITH {_EDGES} SELECT * FROM edges",
     "q_edges_text": f"""WITH {_LINES} SELECT l_orderkey * 10 + l_linenumber AS text_id, CASE l_linenumber % 5
-  WHEN 0 THEN '前条の規定は、' || {_LINK(_OWN_LAW, _N, '', _K)} || 'に準用する。'
+  WHEN 0 THEN '係員は、' || {_LINK(_OWN_LAW, _N, '', _K)} || 'により記録を作る。'
   WHEN 1 THEN {_NEXT} || {_LINK(_NEXT, _N, 'の2', _K + " || 'の二'")} || 'の規定は、'
   WHEN 2 THEN '{OUTSIDE}' || {_K} || 'において'
   WHEN 3 THEN '本法' || {_LINK(_OWN_LAW, _N, '', _K)} || '、' || {_LINK(_OWN_LAW, '(' + _N + ' + 1)', '', _K1)} || 'の規定'
-  ELSE {_K} || 'を次のように改める。' END AS text FROM li""",
+  ELSE {_K} || 'に見出しを付ける。' END AS text FROM li""",
     "q_scope_edges": f"""WITH x AS (SELECT o_orderkey AS text_id, o_orderkey % 15 AS t, o_orderkey % 900 + 1 AS n, o_custkey % 900 + 1 AS m, o_custkey % 6 >= 4 AS far FROM orders),
 e AS (SELECT text_id, 0 AS ord, '323AC0000000131' AS law, n AS num FROM x WHERE t IN (0, 5, 6)
   UNION ALL SELECT text_id, 1, '323AC0000000131', m FROM x WHERE t = 6

@@ -18,7 +18,7 @@ LAWS = (
     ("行政事件訴訟法", "337AC0000000139"),
     ("所有者不明土地の利用の円滑化等に関する特別措置法", "430AC0000000049"),
 )
-OUTSIDE = "農業協同組合法（昭和二十二年法律第百三十二号）"
+OUTSIDE = "港湾荷役法（昭和三十年法律第七十号）"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -57,11 +57,11 @@ def sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_orderkey * 10 + l_linenumber AS text_id", "l_linenumber % 5 AS template", "l_orderkey", "l_partkey", "l_linenumber", f"{_pick('l_orderkey % 8', 0)} AS law_name", f"{_pick('l_orderkey % 8', 1)} AS law_id", f"{_pick('(l_orderkey + 1) % 8', 0)} AS next_law",
     )
     text = (
-        F.when(F.col("template") == 0, F.concat(F.lit("前条の規定は、第"), kanji, F.lit("条に準用する。")))
+        F.when(F.col("template") == 0, F.concat(F.lit("係員は、第"), kanji, F.lit("条により記録を作る。")))
         .when(F.col("template") == 1, F.concat("next_law", F.lit("第"), kanji, F.lit("条の二の規定は、")))
         .when(F.col("template") == 2, F.concat(F.lit(OUTSIDE + "第"), kanji, F.lit("条において")))
         .when(F.col("template") == 3, F.concat(F.lit("本法第"), kanji, F.lit("条、第"), after, F.lit("条の規定")))
-        .otherwise(F.concat(F.lit("第"), kanji, F.lit("条を次のように改める。")))
+        .otherwise(F.concat(F.lit("第"), kanji, F.lit("条に見出しを付ける。")))
     )
     source = F.concat(F.lit("JPLAW:"), "law_id", F.lit("#main#"), F.expr("l_orderkey % 9000 + 1").cast("string"))
     return rows.select("text_id", text.alias("text"), "law_name", "law_id", source.alias("node_id"), (F.col("template") == 4).alias("fragment"))
