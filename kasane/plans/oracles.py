@@ -119,6 +119,13 @@ SELECT law_name, string_agg(part, chr(10) || chr(10) ORDER BY p) AS page FROM pa
 f AS (SELECT 'laws/' || g || '/v5.md' AS path FROM p WHERE v = 5)
 SELECT 'before' AS run, count(*) AS n_links, count(*) FILTER (WHERE was NOT IN (SELECT path FROM f)) AS n_broken FROM t
 UNION ALL SELECT 'after', count(*), count(*) FILTER (WHERE is_now NOT IN (SELECT path FROM f)) FROM t""",
+    "q_incremental": """SELECT 'o/' || o_orderkey || '.md' AS path, o_orderpriority || CASE WHEN o_orderkey % 7 = 0 THEN '!' ELSE '' END AS body, CASE WHEN o_orderkey % 7 = 0 THEN 2 ELSE 1 END AS run FROM orders WHERE o_orderkey % 10 <> 0
+UNION ALL SELECT 'n/' || o_orderkey || '.md', o_orderstatus, 2 FROM orders WHERE o_orderkey % 13 = 0""",
+    "q_incremental_counts": """SELECT 1 AS run, count(*) AS new, 0 AS changed, 0 AS same, 0 AS deleted FROM orders
+UNION ALL SELECT 2, count(*) FILTER (WHERE o_orderkey % 13 = 0), count(*) FILTER (WHERE o_orderkey % 10 <> 0 AND o_orderkey % 7 = 0), count(*) FILTER (WHERE o_orderkey % 10 <> 0 AND o_orderkey % 7 <> 0), count(*) FILTER (WHERE o_orderkey % 10 = 0) FROM orders
+UNION ALL SELECT 3, 0, 0, count(*) FILTER (WHERE o_orderkey % 10 <> 0) + count(*) FILTER (WHERE o_orderkey % 13 = 0), 0 FROM orders""",
+    "q_read_through": """SELECT 'laws/' || p_partkey AS request, CASE WHEN p_partkey % 3 = 0 OR p_partkey % 5 > 0 THEN CAST(p_partkey AS VARCHAR) END AS id FROM part""",
+    "q_asked_summaries": """SELECT c_custkey, '本文' || chr(10) || c_name || ':' || c_custkey || CASE WHEN c_custkey % 10 = 7 THEN '' ELSE chr(10) || chr(10) || '## AI要約' || chr(10) || reverse(c_name || ':' || c_custkey) || chr(10) END AS body, CASE WHEN c_custkey % 10 = 7 THEN 2 ELSE 1 END AS n_asked FROM customer""",
     "q_corpus_folders": """SELECT '法' || (p_partkey % 90) AS law_name, count(*) AS n_files, min(CASE WHEN p_partkey % 4 = 0 THEN '/vault/laws/法' || (p_partkey % 90) || '/n' || (p_partkey % 7) || '.md' END) AS law_file
 FROM part WHERE p_partkey % 9 <> 0 GROUP BY ALL""",
     "q_run_report": """SELECT CASE WHEN o_orderstatus = 'F' THEN 'failed' ELSE 'success' END AS status, CASE WHEN o_orderstatus = 'F' THEN o_orderpriority END AS error, count(*) AS n, min(o_orderkey) AS first_target FROM orders GROUP BY ALL""",

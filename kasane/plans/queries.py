@@ -9,10 +9,11 @@ from kasane.functions import frontmatter as Y
 from kasane.functions import links as L
 from kasane.functions import names as N
 from kasane.functions import numerals as K
-from kasane.operators import catalogue, citations, explicit, integrity, nodes, renames, repair, rewrite, snapshots, structure, tree
+from kasane.operators import catalogue, citations, explicit, incremental, integrity, nodes, renames, repair, rewrite, snapshots, structure, tree
 from kasane.plans import statutes
-from kasane.plans.staging import stage
+from kasane.plans.staging import fresh_path, stage
 from kasane.plans.statutes import table
+from kasane.sources import readthrough
 
 QUERIES: dict = {}
 
@@ -597,6 +598,59 @@ def q_rename_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     return renames.verified(files, stage(renames.relocated(files, ends), "relocated"), ["laws"])
 
 
+def _runs(spark: SparkSession, sf_dir: str) -> tuple[str, list[dict[str, int]]]:
+    """Three runs over files of orders: the first, one with files gone, changed and new, and one with nothing to do."""
+    orders, folder = table(spark, sf_dir, "orders"), fresh_path(spark, "repaired")
+    first = orders.selectExpr("concat('o/', o_orderkey, '.md') AS path", "concat(o_orderpriority, '  ') AS body")
+    second = orders.where("o_orderkey % 10 <> 0").selectExpr("concat('o/', o_orderkey, '.md') AS path", "concat(o_orderpriority, if(o_orderkey % 7 = 0, '!', '  ')) AS body")
+    second = second.union(orders.where("o_orderkey % 13 = 0").selectExpr("concat('n/', o_orderkey, '.md')", "o_orderstatus"))
+    trimmed = lambda rows: rows.select("path", F.trim("body").alias("body"))
+    return folder, [incremental.run(files, folder, trimmed) for files in (first, second, second)]
+
+
+@query
+def q_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Repaired bodies after three runs, and the run that wrote each."""
+    return incremental.current(spark, _runs(spark, sf_dir)[0])
+
+
+@query
+def q_incremental_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each run found, counted while it wrote."""
+    counts = _runs(spark, sf_dir)[1]
+    return spark.createDataFrame([(i, *(c[k] for k in incremental.COUNTS)) for i, c in enumerate(counts, 1)], "run int, new long, changed long, same long, deleted long")
+
+
+@query
+def q_read_through(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Requests answered by a log in which a third is missing and a third is broken, after what was fetched since was landed."""
+    parts = table(spark, sf_dir, "part").selectExpr("p_partkey AS k", "concat('laws/', p_partkey) AS request", "concat('{\"id\": ', p_partkey, ', \"name\": \"', p_name, '\"}') AS response")
+    path = fresh_path(spark, "requests")
+    before = parts.where("k % 3 < 2").selectExpr("md5(request) AS key", "request", "if(k % 3 = 0, response, left(response, 9)) AS response", "cast(null AS string) AS error", "1 AS run")
+    before.write.parquet(path)
+    found = readthrough.landed(parts.select("request"), path, parts.where("k % 5 > 0").select("request", "response"))
+    return found.select("request", F.get_json_object("response", "$.id").alias("id"))
+
+
+@query
+def q_asked_summaries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bodies with summaries from a client that fails on some prompts; asked twice, so that the second run finds the answers of the first."""
+    rows = table(spark, sf_dir, "customer").select("c_custkey", F.concat("c_name", F.lit(":"), "c_custkey").alias("request"))
+    path = fresh_path(spark, "answers")
+
+    def client(prompts):
+        if any(p.endswith("7") for p in prompts):
+            raise ValueError("no answer")
+        return [p[::-1] for p in prompts]
+
+    for _ in range(2):
+        found = readthrough.asked(rows, path, client, waves=2)
+    again = readthrough.log(spark, path).groupBy(F.col("request").alias("__request")).agg(F.count("*").alias("n_asked"))
+    body = F.concat(F.lit("本文\n"), "request")
+    both = found.join(again, F.col("request") == F.col("__request"))
+    return both.select("c_custkey", F.when(F.col("response").isNull(), body).otherwise(repair.summarised(body, F.col("response"))).alias("body"), "n_asked")
+
+
 @query
 def q_status_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders by status and priority."""

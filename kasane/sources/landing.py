@@ -105,8 +105,14 @@ def document_text(fields, body):
     return F.concat(F.lit("---\n"), F.array_join(lines, "\n"), F.lit("\n---\n\n"), body)
 
 
-def write_edges(edges: DataFrame, path: str) -> None:
-    """Edges as JSON lines, repeated ones too; absent fields are left out."""
+def write_edges(edges: DataFrame, path: str, order: list[str] | None = None) -> None:
+    """Edges as JSON lines, repeated ones too; absent fields are left out.
+
+    With ``order`` the lines stand in the order of these columns, over all files by their names: ranges of them are sorted side by side, and no task holds all. Such columns
+    that edges do not have themselves (a file and a place in it) are not written.
+    """
+    if order:
+        edges = edges.repartitionByRange(*order).sortWithinPartitions(*order).drop(*(c for c in order if f"`{c}`" not in EDGES_V1 and f" {c} " not in f" {EDGES_V1}"))
     edges.write.json(path, ignoreNullFields=True)
 
 
@@ -119,8 +125,12 @@ def write_nodes(nodes: DataFrame, path: str) -> None:
     nodes.write.partitionBy("law_name").parquet(path)
 
 
-def write_mapping(mapping: DataFrame, path: str) -> None:
-    mapping.orderBy("old_path").write.csv(path, header=True)
+def write_mapping(mapping: DataFrame, path: str, files: DataFrame | None = None) -> None:
+    """``mapping`` (old_path, new_path) as CSV by old path, with the bytes of each old file of ``files`` (path, length), 0 where there is none."""
+    sizes = mapping.sparkSession.createDataFrame([], "path string, length long") if files is None else files.select("path", "length")
+    rows = mapping.join(sizes, mapping["old_path"] == sizes["path"], "left").select("old_path", "new_path", F.coalesce("length", F.lit(0)).alias("bytes"))
+    # The headings.
+    rows.orderBy("old_path").toDF("旧パス", "新パス", "サイズ(bytes)").write.csv(path, header=True)
 
 
 def law_index(laws: DataFrame) -> DataFrame:
