@@ -9,19 +9,19 @@ from kasane.functions import dictionaries as D
 from kasane.functions.names import safe_file_name
 
 
-def domains(classes: Column, override: Column) -> Column:
-    """The override if there is one, else the sorted distinct domains of the classes; unknown classes count as その他."""
-    table = F.create_map(*(F.lit(x) for kv in D.DOMAINS.items() for x in kv))
+def domains(classes: Column, override: Column, of_class: dict[str, str] | None = None) -> Column:
+    """The override if there is one, else the sorted distinct domains of the classes (``of_class``: the map of a hand-kept file, else the known one); unknown classes count as その他."""
+    table = F.create_map(*(F.lit(x) for kv in (of_class or D.DOMAINS).items() for x in kv))
     own = F.array_sort(F.array_distinct(F.transform(classes, lambda c: F.coalesce(F.try_element_at(table, c), F.lit(D.OTHER_DOMAIN)))))
     return F.when(F.size(override) > 0, override).otherwise(own)
 
 
-def entries(laws: DataFrame, overrides: DataFrame) -> DataFrame:
-    """Catalogue rows of ``laws`` (law_id, law_name, law_num, promulgation_date, classes): node_id, folder, title, domain, link."""
+def entries(laws: DataFrame, overrides: DataFrame, of_class: dict[str, str] | None = None) -> DataFrame:
+    """Catalogue rows of ``laws`` (law_id, law_name, law_num, promulgation_date, classes): node_id, folder, title, domain, link. See ``landing.domain_overrides`` and ``class_map``."""
     rows = laws.join(overrides.select("law_id", F.col("domains").alias("__override")), "law_id", "left")
     return rows.select(
         F.concat(F.lit("JPLAW:"), "law_id").alias("node_id"), "law_id", F.coalesce("law_num", F.lit("")).alias("law_num"), F.coalesce("law_name", F.lit("")).alias("title"), safe_file_name(F.coalesce("law_name", F.lit(""))).alias("folder"),
-        F.coalesce("promulgation_date", F.lit("")).alias("promulgation_date"), F.lit(0).alias("tier"), domains(F.coalesce("classes", F.array().cast("array<string>")), F.col("__override")).alias("domain"), F.concat(F.lit("https://laws.e-gov.go.jp/law/"), "law_id").alias("link"),
+        F.coalesce("promulgation_date", F.lit("")).alias("promulgation_date"), F.lit(0).alias("tier"), domains(F.coalesce("classes", F.array().cast("array<string>")), F.col("__override"), of_class).alias("domain"), F.concat(F.lit("https://laws.e-gov.go.jp/law/"), "law_id").alias("link"),
     )
 
 

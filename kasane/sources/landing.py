@@ -87,6 +87,28 @@ def nested_markdown(spark: SparkSession, path: str) -> DataFrame:
     return rows.select(F.col("_metadata.file_path").alias("path"), Y.parsed(F.col("value")).alias("x")).select("path", "x.*")
 
 
+def _yaml_files(spark: SparkSession, path: str, kind: str) -> DataFrame:
+    """(k, v) of the top-level entries of YAML files, read as ``kind``; a missing or empty file has none, and one that cannot be read fails."""
+    try:
+        texts = spark.read.text(path, wholetext=True)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        texts = spark.createDataFrame([], "value string")
+    read = F.coalesce(Y.read(F.col("value")), F.raise_error(F.lit(f"no YAML in {path}")))
+    return texts.select(F.explode(F.from_json(read, f"map<string, {kind}>")).alias("k", "v"))
+
+
+def domain_overrides(spark: SparkSession, path: str) -> DataFrame:
+    """(law_id, domains): hand-kept domains of laws, a YAML mapping of identifiers to lists; entries without any are left out."""
+    return _yaml_files(spark, path, "array<string>").where("size(v) > 0").select(F.col("k").alias("law_id"), F.col("v").alias("domains"))
+
+
+def class_map(spark: SparkSession, path: str) -> dict[str, str]:
+    """The domain of each class, a YAML mapping of a few words; it goes into the plan as a constant."""
+    return {r["k"]: r["v"] for r in _yaml_files(spark, path, "string").where("v is not null").collect()}
+
+
 def target_list(spark: SparkSession, path: str) -> DataFrame:
     """(law_id): identifiers of a list in YAML, one ``- id`` a line, plain or under ``targets:``; an empty or missing file names none."""
     try:

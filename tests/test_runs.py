@@ -6,7 +6,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from kasane.operators import incremental
+from kasane.operators import catalogue, incremental
 from kasane.sources import landing, readthrough
 
 
@@ -86,3 +86,12 @@ def test_edges_and_mapping_in_order(spark, tmp_path):
     mapping = spark.createDataFrame([("b", "B"), ("a", "A")], "old_path string, new_path string")
     landing.write_mapping(mapping, f"file://{tmp_path}/m", spark.createDataFrame([("a", 7)], "path string, length long"))
     assert "".join(p.read_text() for p in sorted((tmp_path / "m").glob("part-*"))).splitlines() == ["旧パス,新パス,サイズ(bytes)", "a,A,7", "b,B,0"]
+
+
+def test_domains_from_files(spark, tmp_path):
+    (tmp_path / "o.yaml").write_text("# kept by hand\nL1: [特別, 海事法]\nL2:\n- 民事法\nL3: []\n")
+    (tmp_path / "c.yaml").write_text("民事: 私法\n税務: 税法 # note\n")
+    laws = spark.createDataFrame([("L1", ["民事"]), ("L2", ["税務"]), ("L3", ["民事", "税務", "刑事"]), ("L4", None)], "law_id string, classes array<string>").selectExpr("*", "'n' AS law_name", "'' AS law_num", "'' AS promulgation_date")
+    rows = catalogue.entries(laws, landing.domain_overrides(spark, f"file://{tmp_path}/o.yaml"), landing.class_map(spark, f"file://{tmp_path}/c.yaml"))
+    assert {r.law_id: r.domain for r in rows.collect()} == {"L1": ["特別", "海事法"], "L2": ["民事法"], "L3": ["その他", "私法", "税法"], "L4": []}
+    assert landing.domain_overrides(spark, f"file://{tmp_path}/none.yaml").count() == 0 and landing.class_map(spark, f"file://{tmp_path}/none.yaml") == {}
