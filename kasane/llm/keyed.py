@@ -62,10 +62,10 @@ def same_row(docs: DataFrame, named: DataFrame, id_col: str, text_col: str) -> C
 
 
 def without_rows(docs: DataFrame, keys: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """The rows of ``docs`` that the staged ``keys`` (doc_id, text_hash) do not name."""
+    """The rows of ``docs`` that the staged ``keys`` (doc_id, text_hash) do not name. Null ids and texts are values like others; repeated rows stay or go together; without keys all stay."""
     return _joined(docs, keys, id_col, text_col, "left_anti")
 
 
 def with_rows(docs: DataFrame, keys: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """The rows of ``docs`` that the staged ``keys`` (doc_id, text_hash) name."""
+    """The rows of ``docs`` that the staged ``keys`` (doc_id, text_hash) name. Null ids and texts are values like others; repeated rows stay or go together; without keys all go."""
     return _joined(docs, keys, id_col, text_col, "left_semi")

@@ -91,7 +91,8 @@ def _scanned(text: Column, missing: Column, rules: tuple[Rule, ...]) -> Column:
 def scan(versions: DataFrame, ledger: DataFrame | None = None, text_col: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """Ledger rows (blob, rules, spans) for what ``ledger`` lacks: one row for each content that was scanned now.
 
-    ``versions``: rows with a text, any path and version columns are ignored. A null text is the empty content.
+    ``versions``: rows with a text, any path and version columns are ignored. A null text is the empty content; repeated rows are one
+    content; an empty table gives no rows.
     """
     blobs = versions.select(_blob(text_col), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("content"))
     every = F.array(*(F.lit(r.key) for r in rules))
@@ -120,7 +121,7 @@ def read_table(spark: SparkSession, path: str, schema: str) -> DataFrame | None:
 
 
 def update(versions: DataFrame, ledger_path: str, text_col: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """Append to the ledger what it lacks for ``versions``, and return its table of blobs. A run that was broken off is repeated without harm."""
+    """Append to the ledger what it lacks for ``versions``, and return its table of blobs. A run that was broken off is repeated without harm; an empty table appends nothing."""
     spark, path = versions.sparkSession, f"{ledger_path}/blobs"
     scan(versions, read_table(spark, path, BLOBS), text_col, rules).write.mode("append").parquet(path)
     return read_table(spark, path, BLOBS)
@@ -129,6 +130,7 @@ def update(versions: DataFrame, ledger_path: str, text_col: str = "text", rules:
 def findings(paths: DataFrame, ledger: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """``paths``, which has a column blob, with the column spans: what the ledger holds for each content under the current ``rules``, by start, then rule order.
 
+    Repeated paths are each answered; a blob that the ledger lacks, or that is null, has no spans; spans that two runs found are one. Other columns stay.
     Contents with findings are few; they are staged, and go to every task if they weigh little, so that a content with many paths gathers nowhere.
     """
     kinds = F.array(*(F.lit(r.kind) for r in rules))
