@@ -63,6 +63,21 @@ def report(links: DataFrame, limit: int = 100, samples: int = 5) -> DataFrame:
     return top.join(F.broadcast(sources), "shown").select("shown", "n", "sources").orderBy(F.desc("n"), "shown")
 
 
+def report_markdown(links: DataFrame, limit: int = 100, samples: int = 5) -> DataFrame:
+    """(text): one row, the report of broken ``links`` (path, line_no, shown) as Markdown; of the targets the ``limit`` most frequent, as ``report`` orders them."""
+    totals = links.agg(F.count("*").alias("n_links"), F.count_distinct("shown").alias("n_targets"))
+    # The words of the report.
+    source = lambda x: F.concat(F.lit("  - `"), F.regexp_replace(x, r":[^:]*$", ""), F.lit("` (L"), F.substring_index(x, ":", -1), F.lit(")\n"))
+    more = F.when(F.col("n") > samples, F.concat(F.lit("  - ... 他 "), F.col("n") - samples, F.lit(" 件\n"))).otherwise("")
+    section = F.concat(F.lit("### `"), "shown", F.lit("`\n\n- 参照数: "), "n", F.lit(f"\n- 参照元（最大{samples}件）:\n"), F.array_join(F.transform("sources", source), ""), more, F.lit("\n"))
+    top = report(links, limit, samples).select((-F.col("n")).alias("rank"), "shown", section.alias("section"))
+    parts = top.agg(F.array_join(F.array_sort(F.collect_list(F.struct("rank", "shown", "section"))).getField("section"), "").alias("sections"))
+    head = F.concat(F.lit("# WikiLink整合性チェックレポート\n\n## サマリー\n\n- **空リンク総数**: "), "n_links", F.lit("\n- **ユニークなターゲット数**: "), "n_targets", F.lit("\n\n"))
+    rest = F.when(F.col("n_targets") > limit, F.concat(F.lit("\n... 他 "), F.col("n_targets") - limit, F.lit(" ターゲット省略\n"))).otherwise("")
+    full = F.concat(F.lit(f"## 空リンク一覧（ターゲット別）\n\n※ 上位{limit}件を表示\n\n"), "sections", rest)
+    return totals.crossJoin(parts).select(F.concat(head, F.when(F.col("n_links") == 0, "空リンクはありません。\n").otherwise(full)).alias("text"))
+
+
 def article_ranges(files: DataFrame) -> DataFrame:
     """(law_name, start, end, name): files of a range of articles, 第1条から第3条まで.md before the older 第1:3条.md."""
     new, old = r"^第([0-9]+)条から第([0-9]+)条まで\.md$", r"^第([0-9]+):([0-9]+)条\.md$"

@@ -213,6 +213,13 @@ SELECT law_id, sha256(string_agg(text, '|' ORDER BY a, b, c)) AS digest, count(*
     "q_html_links": f"WITH {_HREFS} SELECT * FROM links",
     "q_broken_links": f"WITH {_HREFS} SELECT * FROM broken WHERE NOT EXISTS (SELECT 1 FROM region WHERE contains(shown, lower(r_name[1:2])))",
     "q_broken_report": f"WITH {_HREFS} SELECT shown, count(*) AS n, least(count(DISTINCT path || ':' || line_no), 5) AS n_samples FROM broken GROUP BY shown ORDER BY n DESC, shown LIMIT 100",
+    "q_broken_markdown": f"""WITH {_HREFS}, t AS (SELECT shown, count(*) AS n FROM broken GROUP BY shown), top AS (SELECT * FROM t ORDER BY n DESC, shown LIMIT 100),
+s AS (SELECT shown, '  - `' || path || '` (L' || line_no || ')' || chr(10) AS line, path || ':' || line_no AS place FROM (SELECT DISTINCT path, line_no, shown FROM broken) QUALIFY row_number() OVER (PARTITION BY shown ORDER BY path || ':' || line_no) <= 5),
+p AS (SELECT n, shown, '### `' || shown || '`' || chr(10) || chr(10) || '- 参照数: ' || n || chr(10) || '- 参照元（最大5件）:' || chr(10) || string_agg(line, '' ORDER BY place) || CASE WHEN n > 5 THEN '  - ... 他 ' || (n - 5) || ' 件' || chr(10) ELSE '' END || chr(10) AS part
+  FROM top JOIN s USING (shown) GROUP BY n, shown)
+SELECT '# WikiLink整合性チェックレポート' || chr(10) || chr(10) || '## サマリー' || chr(10) || chr(10) || '- **空リンク総数**: ' || (SELECT count(*) FROM broken) || chr(10) || '- **ユニークなターゲット数**: ' || (SELECT count(*) FROM t) || chr(10) || chr(10)
+  || '## 空リンク一覧（ターゲット別）' || chr(10) || chr(10) || '※ 上位100件を表示' || chr(10) || chr(10) || string_agg(part, '' ORDER BY n DESC, shown)
+  || CASE WHEN (SELECT count(*) FROM t) > 100 THEN chr(10) || '... 他 ' || ((SELECT count(*) FROM t) - 100) || ' ターゲット省略' || chr(10) ELSE '' END AS text FROM p""",
     "q_range_redirect": f'WITH {_RANGES} SELECT link_id, num, start, "end" FROM best',
     "q_stubs": f"""WITH {_RANGES} SELECT law_name, num, array_to_string(list_sort(list(DISTINCT source)), ',') AS referenced_by, count(*) AS n FROM alinks
 WHERE from_main AND link_id NOT IN (SELECT link_id FROM best) AND NOT EXISTS (SELECT 1 FROM part WHERE p_partkey % 2 = 0 AND p_partkey = num) GROUP BY law_name, num""",

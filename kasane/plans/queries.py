@@ -431,6 +431,12 @@ def q_broken_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return integrity.report(_broken(spark, sf_dir)).select("shown", "n", F.size("sources").cast("long").alias("n_samples"))
 
 
+@query
+def q_broken_markdown(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report of broken links as a Markdown text."""
+    return integrity.report_markdown(_broken(spark, sf_dir))
+
+
 def _ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = table(spark, sf_dir, "supplier").selectExpr(f"{statutes._pick('s_suppkey % 8', 0)} AS law_name", "concat('第', s_suppkey * 3, '条から第', s_suppkey * 3 + s_suppkey % 7, '条まで.md') AS name")
     return integrity.article_ranges(files)

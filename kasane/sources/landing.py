@@ -127,15 +127,25 @@ def document_text(fields, body):
     return F.concat(F.lit("---\n"), F.array_join(lines, "\n"), F.lit("\n---\n\n"), body)
 
 
-def write_edges(edges: DataFrame, path: str, order: list[str] | None = None) -> None:
-    """Edges as JSON lines, repeated ones too; absent fields are left out.
+def write_json_lines(rows: DataFrame, path: str, order: list[str] | None = None, hidden: tuple[str, ...] = ()) -> None:
+    """Rows as JSON lines, repeated ones too; absent fields are left out.
 
-    With ``order`` the lines stand in the order of these columns, over all files by their names: ranges of them are sorted side by side, and no task holds all. Such columns
-    that edges do not have themselves (a file and a place in it) are not written.
+    With ``order`` the lines stand in the order of these columns, over all files by their names: ranges of them are sorted side by side, and no task holds all.
+    ``hidden`` columns order the lines and are not written. Edges, broken links and the differences of snapshots are written so.
     """
     if order:
-        edges = edges.repartitionByRange(*order).sortWithinPartitions(*order).drop(*(c for c in order if f"`{c}`" not in EDGES_V1 and f" {c} " not in f" {EDGES_V1}"))
-    edges.write.json(path, ignoreNullFields=True)
+        rows = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    rows.drop(*hidden).write.json(path, ignoreNullFields=True)
+
+
+def write_edges(edges: DataFrame, path: str, order: list[str] | None = None) -> None:
+    """Edges as JSON lines; columns of ``order`` that edges do not have themselves (a file and a place in it) are not written."""
+    own = spark_columns(EDGES_V1)
+    write_json_lines(edges, path, order, tuple(c for c in order or () if c not in own))
+
+
+def spark_columns(schema: str) -> list[str]:
+    return [c.split()[0].strip("`") for c in schema.split(",")]
 
 
 def append_log(rows: DataFrame, path: str) -> None:

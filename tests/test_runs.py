@@ -6,7 +6,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from kasane.operators import catalogue, incremental
+from kasane.operators import catalogue, incremental, integrity
 from kasane.sources import landing, readthrough
 
 
@@ -95,3 +95,8 @@ def test_domains_from_files(spark, tmp_path):
     rows = catalogue.entries(laws, landing.domain_overrides(spark, f"file://{tmp_path}/o.yaml"), landing.class_map(spark, f"file://{tmp_path}/c.yaml"))
     assert {r.law_id: r.domain for r in rows.collect()} == {"L1": ["特別", "海事法"], "L2": ["民事法"], "L3": ["その他", "私法", "税法"], "L4": []}
     assert landing.domain_overrides(spark, f"file://{tmp_path}/none.yaml").count() == 0 and landing.class_map(spark, f"file://{tmp_path}/none.yaml") == {}
+
+
+def test_markdown_of_no_broken_links(spark):
+    none = spark.createDataFrame([], "path string, line_no int, shown string")
+    assert integrity.report_markdown(none).first().text.endswith("**ユニークなターゲット数**: 0\n\n空リンクはありません。\n")
