@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+import bisect
+import re
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kasane.functions import arrays as A
 from kasane.functions import links as L
+from kasane.functions.automaton import Dictionary
 from kasane.functions.names import pending_id
 
 MARK = "%%PENDING:"
@@ -74,25 +80,87 @@ def put_back(bodies: DataFrame, entries: DataFrame) -> DataFrame:
     return rows.withColumn("method", method).select("path", "id", F.when(F.col("method") == "marker", by_mark).when(F.col("method") == "context", by_place).otherwise(F.col("body")).alias("body"), "method")
 
 
+_REFERENCES = "array<struct<ord: int, target_id: string, original: string, resolved: boolean>>"
+
+
 def applied(bodies: DataFrame, references: DataFrame) -> DataFrame:
     """``bodies`` (text_id, body) with each resolved reference as a link at its first place: (text_id, body, n_applied, n_references).
 
-    ``references``: text_id, target_id, original, resolved, ord. They are applied in order; words that already stand in a link are left.
+    ``references``: text_id, target_id, original, resolved, ord. They are applied in order; words that already stand in a link are left. A body is read
+    once by an automaton over its references' words, so time grows with its length and their number. A null body stays null; words with
+    brackets or line ends, and empty ones, are applied one after the other.
     """
-    own = references.groupBy("text_id").agg(F.array_sort(F.collect_list(F.struct("ord", "target_id", "original", "resolved"))).alias("__refs"), F.count("*").alias("n_references"))
-    start = F.struct(F.col("body").alias("body"), F.lit(0).alias("n"))
+    own = references.groupBy("text_id").agg(F.array_sort(F.collect_list(F.struct("ord", "target_id", "original", "resolved"))).cast(_REFERENCES).alias("__refs"), F.count("*").alias("n_references"))
+    rows = bodies.select("text_id", "body").join(own, "text_id", "left")
 
-    def step(acc: Column, r: Column) -> Column:
-        at = F.instr(acc["body"], r["original"])
-        linked = F.regexp_like(acc["body"], F.concat(F.lit(r"\[\[[^\]\n]*\Q"), r["original"], F.lit(r"\E[^\[\n]*\]\]")))
-        ok = r["resolved"] & (r["target_id"] != "UNRESOLVED") & (at > 0) & ~linked
-        new = F.concat(F.substr(acc["body"], F.lit(1), at - 1), F.lit("[["), r["target_id"], F.lit("]]"), F.substr(acc["body"], at + F.length(r["original"]), F.length(acc["body"])))
-        return F.when(ok, F.struct(new.alias("body"), (acc["n"] + 1).alias("n"))).otherwise(acc)
+    @F.pandas_udf("body string, n int")
+    def put(texts: pd.Series, refs: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([linked(t, [] if r is None else list(r)) for t, r in zip(texts, refs, strict=True)], columns=["body", "n"])
 
-    done = bodies.join(own, "text_id", "left").withColumn("__done", F.aggregate(F.coalesce("__refs", F.expr("cast(array() AS array<struct<ord:int,target_id:string,original:string,resolved:boolean>>)")), start, step))
+    done = rows.withColumn("__done", put("body", "__refs"))
     return done.select("text_id", F.col("__done.body").alias("body"), F.col("__done.n").alias("n_applied"), F.coalesce("n_references", F.lit(0).cast("long")).alias("n_references"))
 
 
+def linked(body: str | None, references: list[dict]) -> tuple[str | None, int]:
+    """A body with its references as links, and how many there are."""
+    good = [(r["original"], r["target_id"]) for r in references if r["resolved"] and r["original"] is not None and r["target_id"] not in (None, "UNRESOLVED")]
+    if body is None or not good:
+        return body, 0
+    if any(not w or set(w + t) & set("[]\n") for w, t in good):
+        return _one_by_one(body, good)
+    words = Dictionary({w: w for w, _ in good})
+    places: dict[str, list[int]] = {}
+    for start, _, w in words.found(body):
+        places.setdefault(w, []).append(start)
+    spans = _open_links(body)
+    within = {w for w, at in places.items() for s in at if any(lo <= s and s + len(w) <= hi for lo, hi in _around(spans, s))}
+    cut: list[tuple[int, int, str]] = []  # what is replaced, in order
+    for w, target in good:
+        if w in within:
+            continue
+        at = next((s for s in _left(places.get(w, []), cut, len(w))), None)
+        if at is not None:
+            bisect.insort(cut, (at, at + len(w), f"[[{target}]]"))
+            within |= {x for _, _, x in words.found(target)}
+    out, done = [], 0
+    for lo, hi, new in cut:
+        out += [body[done:lo], new]
+        done = hi
+    return "".join([*out, body[done:]]), len(cut)
+
+
+def _open_links(body: str) -> list[tuple[int, int]]:
+    """(begin, end) of what stands in a link, where words are left: behind [[ up to the next ] or line end, if ]] follows with no [ or line end before it."""
+    out = []
+    for m in re.finditer(r"\[\[([^\]\n]*)", body):
+        close = re.compile(r"[^\[\n]*\]\]").match(body, max(m.start(1), body.rfind("[", m.start(1), m.end(1)) + 1))
+        if close:
+            out.append((max(m.start(1), body.rfind("[", m.start(1), m.end(1)) + 1), m.end(1)))
+    return out
+
+
+def _around(spans: list[tuple[int, int]], at: int) -> list[tuple[int, int]]:
+    k = bisect.bisect_right(spans, (at, 1 << 62))
+    return spans[max(0, k - 1) : k]
+
+
+def _left(places: list[int], cut: list[tuple[int, int, str]], size: int) -> Iterator[int]:
+    """The places that nothing replaced overlaps, in order."""
+    for s in places:
+        k = bisect.bisect_left(cut, (s + size,))
+        if not k or cut[k - 1][1] <= s:
+            yield s
+
+
+def _one_by_one(body: str, references: list[tuple[str, str]]) -> tuple[str, int]:
+    n = 0
+    for w, target in references:
+        at = body.find(w)
+        if at >= 0 and not re.search(r"\[\[[^\]\n]*" + re.escape(w) + r"[^\[\n]*\]\]", body):
+            body, n = f"{body[:at]}[[{target}]]{body[at + len(w):]}", n + 1
+    return body, n
+
+
 def summarised(body: Column, summary: Column) -> Column:
     """A body with its summary section: an old one, up to the next heading, is replaced, else it is added at the end."""
     section = F.concat(F.lit(SUMMARY + "\n"), summary)

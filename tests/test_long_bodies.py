@@ -1,5 +1,6 @@
 """Bodies with very many matches: results right to the last, time in proportion to them."""
 
+import random
 import time
 
 import pytest
@@ -37,7 +38,14 @@ def _put_back(spark, n):
     assert (row.method, row.end) == ("context", "尾尾尾[[t|第三条]]乙"[-12:])
 
 
-@pytest.mark.parametrize("run", [_explicit, _unlinked, _relinked, _put_back])
+def _applied(spark, n):
+    body = "".join(f"第{i}条と" for i in range(n)) + "[[x|第5条]]"
+    refs = spark.range(n).selectExpr("1L AS text_id", "int(id) AS ord", "concat('a', id) AS target_id", "concat('第', id, '条') AS original", "true AS resolved")
+    row = repair.applied(spark.createDataFrame([(1, body)], "text_id long, body string"), refs).first()
+    assert row.n_applied == n - 1 and row.body.startswith("[[a0]]と[[a1]]と") and "と第5条と" in row.body
+
+
+@pytest.mark.parametrize("run", [_explicit, _unlinked, _relinked, _put_back, _applied])
 def test_time_in_proportion(spark, run):
     run(spark, 5)
     took = {}
@@ -63,3 +71,13 @@ def test_arrays_against_plain(spark):
             a.append(whole[at : at + 3])
             most.append(max([len(y), *most[-1:]]))
         assert (r.e, r.b, r.a, r.r) == (e, b, a, most)
+
+
+def test_applied_is_one_reference_after_the_other():
+    rng = random.Random(2)
+    bits = ["第3条", "第3条の2", "第13条", "前条", "x", "[[", "]]", "[", "]", "|", "\n", "と", "[[a|第3条]]"]
+    for _ in range(4000):
+        body = "".join(rng.choices(bits, k=rng.randint(0, 14)))
+        good = [(rng.choice(["第3条", "第3条の2", "3条", "前条", "第13条"]), rng.choice(["第3条", "T", "第13条#x"])) for _ in range(rng.randint(0, 5))]
+        refs = [{"ord": i, "original": w, "target_id": t, "resolved": True} for i, (w, t) in enumerate(good)]
+        assert repair.linked(body, refs) == repair._one_by_one(body, good)
