@@ -80,6 +80,7 @@ def put_back(bodies: DataFrame, entries: DataFrame) -> DataFrame:
     return rows.withColumn("method", method).select("path", "id", F.when(F.col("method") == "marker", by_mark).when(F.col("method") == "context", by_place).otherwise(F.col("body")).alias("body"), "method")
 
 
+_CLOSED = re.compile(r"[^\[\n]*\]\]")
 _REFERENCES = "array<struct<ord: int, target_id: string, original: string, resolved: boolean>>"
 
 
@@ -87,8 +88,8 @@ def applied(bodies: DataFrame, references: DataFrame) -> DataFrame:
     """``bodies`` (text_id, body) with each resolved reference as a link at its first place: (text_id, body, n_applied, n_references).
 
     ``references``: text_id, target_id, original, resolved, ord. They are applied in order; words that already stand in a link are left. A body is read
-    once by an automaton over its references' words, so time grows with its length and their number. A null body stays null; words with
-    brackets or line ends, and empty ones, are applied one after the other.
+    once by an automaton over its references' words, so time grows with its length and their number. A null body stays null. Words with
+    brackets or line ends, empty ones, and those of bodies with single brackets in their links are applied one after the other, which takes a reading each.
     """
     own = references.groupBy("text_id").agg(F.array_sort(F.collect_list(F.struct("ord", "target_id", "original", "resolved"))).cast(_REFERENCES).alias("__refs"), F.count("*").alias("n_references"))
     rows = bodies.select("text_id", "body").join(own, "text_id", "left")
@@ -113,6 +114,8 @@ def linked(body: str | None, references: list[dict]) -> tuple[str | None, int]:
     for start, _, w in words.found(body):
         places.setdefault(w, []).append(start)
     spans = _open_links(body)
+    if spans is None:
+        return _one_by_one(body, good)
     within = {w for w, at in places.items() for s in at if any(lo <= s and s + len(w) <= hi for lo, hi in _around(spans, s))}
     cut: list[tuple[int, int, str]] = []  # what is replaced, in order
     for w, target in good:
@@ -129,13 +132,15 @@ def linked(body: str | None, references: list[dict]) -> tuple[str | None, int]:
     return "".join([*out, body[done:]]), len(cut)
 
 
-def _open_links(body: str) -> list[tuple[int, int]]:
-    """(begin, end) of what stands in a link, where words are left: behind [[ up to the next ] or line end, if ]] follows with no [ or line end before it."""
+def _open_links(body: str) -> list[tuple[int, int]] | None:
+    """(begin, end) of what stands in each link; None where single brackets stand in or behind one, so that a link put there opens or closes others."""
     out = []
     for m in re.finditer(r"\[\[([^\]\n]*)", body):
-        close = re.compile(r"[^\[\n]*\]\]").match(body, max(m.start(1), body.rfind("[", m.start(1), m.end(1)) + 1))
-        if close:
-            out.append((max(m.start(1), body.rfind("[", m.start(1), m.end(1)) + 1), m.end(1)))
+        inner = m.start(1) + m[1].rfind("[") + 1
+        if _CLOSED.match(body, inner):
+            if inner > m.start(1) or not body.startswith("]]", m.end()):
+                return None
+            out.append((inner, m.end()))
     return out
 
 
