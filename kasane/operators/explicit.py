@@ -6,6 +6,9 @@ is joined or shuffled before the references of a text are reduced to the first o
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -19,8 +22,11 @@ SAME = f"同条(?:第({_N})項)?"
 SNIPPET = 20
 
 
-def _matches(text: Column, pattern: str, groups: int) -> Column:
-    """Structs (ord, raw, at, p1..pn) of the matches of ``pattern``; at: code points before the match. Null of a null text."""
+def _matches(text: Column, pattern: str, groups: int, signs: tuple[str, ...]) -> Column:
+    """Structs (ord, raw, at, p1..pn) of the matches of ``pattern``; at: code points before the match. Null of a null text.
+
+    No match is without one of ``signs``, so texts that hold none of them are not searched.
+    """
     lists = [F.regexp_extract_all(text, F.lit(pattern), F.lit(i)).alias(f"p{i}") for i in range(groups + 1)]
 
     def each(x: Column) -> Column:
@@ -28,7 +34,8 @@ def _matches(text: Column, pattern: str, groups: int) -> Column:
         named = lambda m: (m[f"p{i}"].alias(f"p{i}") for i in range(1, groups + 1))
         return F.transform(parts, lambda m, i: F.struct(i.alias("ord"), m["p0"].alias("raw"), (m["end"] - F.length(m["p0"])).alias("at"), *named(m)))
 
-    return A.let(F.struct(F.split(text, pattern, -1).alias("gaps"), *lists), each)
+    none = F.array().cast(f"array<struct<ord: int, raw: string, at: int, {', '.join(f'p{i}: string' for i in range(1, groups + 1))}>>")
+    return F.when(~reduce(or_, map(text.contains, signs)), none).otherwise(A.let(F.struct(F.split(text, pattern, -1).alias("gaps"), *lists), each))
 
 
 def _snippet(m: Column) -> Column:
@@ -91,11 +98,12 @@ def _same(m: Column) -> Column:
 def found(texts: DataFrame) -> DataFrame:
     """All references of ``texts`` (text_id, text, article: the current number), as rows. A null text has none."""
     text = F.col("text")
-    rows = texts.select("text_id", "text", "article", _matches(text, ABSOLUTE, 3).alias("absolute"), _matches(text, RELATIVE, 4).alias("relative"), _matches(text, SAME, 1).alias("same"))
+    rows = texts.select("text_id", "text", "article", _matches(text, ABSOLUTE, 3, ("第",)).alias("absolute"), _matches(text, RELATIVE, 4, ("前", "次")).alias("relative"), _matches(text, SAME, 1, ("同条",)).alias("same"))
     earlier = F.array_sort(F.concat(F.transform("absolute", _absolute), F.flatten(F.transform("relative", _relative))))
     rows = rows.select("text_id", "text", "same", earlier.alias("earlier"))
     rows = rows.withColumn("least", A.running(F.reverse(F.col("earlier")["first"]), F.least))
-    return rows.select("text_id", F.inline(F.concat("earlier", F.transform("same", _same))))
+    # outer, for else all is worked out a second time to drop empty lists first
+    return rows.select("text_id", F.inline_outer(F.concat("earlier", F.transform("same", _same)))).where("type is not null")
 
 
 def references(texts: DataFrame, available: DataFrame) -> DataFrame:
