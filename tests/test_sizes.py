@@ -1,8 +1,10 @@
 """What a task or a Python worker holds does not grow with the tables."""
 
 import duckdb
+import pytest
 from pyspark.sql import functions as F
 
+from kasane.functions import frontmatter as Y
 from kasane.operators import structure
 from kasane.plans import oracles, queries
 
@@ -32,3 +34,25 @@ def test_references_within_a_chapter_of_repeated_parts(spark, tmp_path):
         wanted = db.execute(oracles.ORACLES["q_refs_in_chapter"]).fetchall()
     assert sorted(map(tuple, got.collect())) == sorted(wanted) and wanted
     assert got.columns == ["group", "n", "targets"] and got.agg(F.sum("n")).first()[0] > len(wanted)
+
+
+@pytest.mark.parametrize("name", ["q_nested_front", "q_amend_front"])
+def test_front_matter_goes_to_python_in_few_rows(spark, name):
+    nodes = _nodes(queries.QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().sparkPlan().toString())
+    assert nodes.count("BatchEvalPython") == 2 and not {"ArrowEvalPython", "MapInArrow", "MapInPandas"} & set(nodes)
+
+
+@pytest.mark.parametrize("arrow", ["false", "true"])
+def test_front_matter_of_odd_texts_comes_back_whatever_the_session_prefers(spark, arrow):
+    key = "spark.sql.execution.pythonUDF.arrow.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, arrow)
+    try:
+        texts = ["", None, "\0", "😀\u2028\ufeff", "---\n---", "x" * 300_000, "法\r\n: #"] * 40
+        rows = spark.createDataFrame(list(enumerate(texts)), "i int, t string").coalesce(1)
+        rows = rows.withColumn("x", Y.parsed(Y.document(F.when(F.col("i") != 3, F.to_json(F.struct("t", "i"))), F.lit("b"))))
+        assert "ArrowEvalPython" not in rows._jdf.queryExecution().sparkPlan().toString()
+        got = [tuple(r) for r in rows.select("i", F.try_variant_get("x.front", "$.t", "string"), F.try_variant_get("x.front", "$.i", "int"), "x.body").orderBy("i").collect()]
+    finally:
+        spark.conf.set(key, before)
+    assert got == [(i, None if i == 3 else t, None if i == 3 else i, "b") for i, t in enumerate(texts)]
